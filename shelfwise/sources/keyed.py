@@ -37,6 +37,17 @@ BATCH_ID = "batch_id"
 LOG_COLUMNS = [GEN, BATCH, WRITER, BATCH_ID]
 
 
+def nullable(dt: T.DataType) -> T.DataType:
+    """The same type with every nested field and element nullable."""
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(nullable(dt.elementType), True)
+    if isinstance(dt, T.MapType):
+        return T.MapType(dt.keyType, nullable(dt.valueType), True)
+    return dt
+
+
 @dataclass
 class KeyedTable:
     spark: SparkSession
@@ -55,7 +66,7 @@ class KeyedTable:
 
     @property
     def log_schema(self) -> T.StructType:
-        fields = [T.StructField(f.name, f.dataType, True) for f in self.schema.fields]
+        fields = [T.StructField(f.name, nullable(f.dataType), True) for f in self.schema.fields]
         fields += [
             T.StructField(GEN, T.IntegerType(), True),
             T.StructField(BATCH, T.LongType(), True),
@@ -95,10 +106,11 @@ class KeyedTable:
         """
         cols = []
         for f in self.schema.fields:
+            dt = nullable(f.dataType)
             if f.name in df.columns:
-                cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+                cols.append(F.col(f.name).cast(dt).alias(f.name))
             else:
-                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+                cols.append(F.lit(None).cast(dt).alias(f.name))
         out = df.select(
             *cols,
             F.lit(generation).cast("int").alias(GEN),
