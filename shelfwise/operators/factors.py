@@ -142,90 +142,140 @@ def predict_with_model(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-# --- J5 parity form: blocked top-k over factor tables ------------------------------
+# --- J5 parity form: exact top-k over factor tables ---------------------------------
 
+# Item factor tables up to this size (bytes, as float64) are broadcast;
+# larger ones are scored block against block.
+BROADCAST_ITEM_BYTES = 256 * 1024 * 1024
+# Memory for one score matrix inside a task.
+SCORE_CHUNK_BYTES = 64 * 1024 * 1024
 
-def _block_scorer(k: int, margin: float, chunk: int = 512):
-    """Score one (user block, item block) pair; keep each user's candidates.
+_CANDIDATES = "uid int, iid int, score double"
 
-    Candidates are the block-local top ``k`` plus everything within
-    ``margin`` of the k-th score, so rounding ties are resolved exactly by
-    the final ranking.  The returned score is a sequential left fold of the
-    element products (the same value a column-expression dot product gives).
+
+def _empty_candidates() -> pd.DataFrame:
+    return pd.DataFrame({"uid": pd.Series([], dtype="int32"),
+                         "iid": pd.Series([], dtype="int32"),
+                         "score": pd.Series([], dtype="float64")})
+
+
+def _candidates(uid: np.ndarray, uf: np.ndarray, iid: np.ndarray, itf: np.ndarray,
+                k: int, margin: float) -> pd.DataFrame:
+    """Each user's near-top items among ``itf``.
+
+    Candidates are the local top ``k`` plus everything within ``margin`` of
+    the k-th score, so rounding ties are resolved exactly by the final
+    ranking.  The returned score is a sequential left fold of the element
+    products (the same value a column-expression dot product gives).
     """
+    n_items = itf.shape[0]
+    if uf.shape[0] == 0 or n_items == 0:
+        return _empty_candidates()
+    kk = min(k, n_items)
+    chunk = max(1, min(4096, SCORE_CHUNK_BYTES // (8 * n_items)))
+    out = []
+    for start in range(0, uf.shape[0], chunk):
+        block = uf[start:start + chunk]
+        s = block @ itf.T
+        kth = np.partition(s, n_items - kk, axis=1)[:, n_items - kk]
+        tol = margin + 1e-9 * np.maximum(1.0, np.abs(kth))
+        rows, cols = np.nonzero(s >= (kth - tol)[:, None])
+        prods = block[rows] * itf[cols]
+        exact = np.add.accumulate(prods, axis=1)[:, -1] if prods.shape[1] else np.zeros(len(rows))
+        out.append(pd.DataFrame({"uid": uid[start + rows].astype("int32"),
+                                 "iid": iid[cols].astype("int32"),
+                                 "score": exact}))
+    return pd.concat(out, ignore_index=True)
+
+
+def _stack(col: pd.Series) -> np.ndarray:
+    return np.stack(col.to_numpy()).astype(np.float64)
+
+
+def _block_scorer(k: int, margin: float):
+    """Co-grouped (user block, item block) -> candidates."""
 
     def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"uid": pd.Series([], dtype="int32"),
-                              "iid": pd.Series([], dtype="int32"),
-                              "score": pd.Series([], dtype="float64")})
         if users.empty or items.empty:
-            return empty
-        uf = np.stack(users["uf"].to_numpy()).astype(np.float64)
-        itf = np.stack(items["if_"].to_numpy()).astype(np.float64)
-        uid = users["uid"].to_numpy()
-        iid = items["iid"].to_numpy()
-        n_items = itf.shape[0]
-        kk = min(k, n_items)
-        out = []
-        for start in range(0, uf.shape[0], chunk):
-            block = uf[start:start + chunk]
-            s = block @ itf.T
-            kth = np.partition(s, n_items - kk, axis=1)[:, n_items - kk]
-            tol = margin + 1e-9 * np.maximum(1.0, np.abs(kth))
-            rows, cols = np.nonzero(s >= (kth - tol)[:, None])
-            prods = block[rows] * itf[cols]
-            exact = np.add.accumulate(prods, axis=1)[:, -1] if prods.shape[1] else np.zeros(len(rows))
-            out.append(pd.DataFrame({"uid": uid[start + rows].astype("int32"),
-                                     "iid": iid[cols].astype("int32"),
-                                     "score": exact}))
-        return pd.concat(out, ignore_index=True) if out else empty
+            return _empty_candidates()
+        return _candidates(users["uid"].to_numpy(), _stack(users["uf"]),
+                           items["iid"].to_numpy(), _stack(items["if_"]), k, margin)
+
+    return score
+
+
+def _broadcast_scorer(bc, k: int, margin: float):
+    """User batches scored against the broadcast item matrix."""
+
+    def score(batches):
+        iid, itf = bc.value
+        for pdf in batches:
+            if not pdf.empty:
+                yield _candidates(pdf["uid"].to_numpy(), _stack(pdf["uf"]), iid, itf, k, margin)
 
     return score
 
 
+def _rank(cand: DataFrame, k: int, round_digits: int | None) -> DataFrame:
+    score = F.round("score", round_digits) if round_digits is not None else F.col("score")
+    w = Window.partitionBy(USER).orderBy(F.col("score").desc(), F.col(ITEM).asc())
+    return (
+        cand.select(F.col("uid").alias(USER), F.col("iid").alias(ITEM), score.alias("score"))
+        .withColumn("rank", F.row_number().over(w))
+        .filter(F.col("rank") <= k)
+        .select(USER, "rank", ITEM, "score")
+    )
+
+
 def topk_from_factors(
     user_f: DataFrame,
     item_f: DataFrame,
     k: int = 10,
     round_digits: int | None = 6,
     block_size: int = 4096,
+    broadcast_bytes: int = BROADCAST_ITEM_BYTES,
 ) -> DataFrame:
     """Exact top-k items per user by dot product: ``(user_id, rank, product_id, score)``.
 
-    Factor rows are hashed into user blocks and item blocks; every (user
-    block, item block) pair is one co-grouped task that multiplies two
-    dense matrices and emits only near-top candidates, so no per-pair row
-    is ever materialised.  Ranking: score (rounded to ``round_digits``)
-    descending, then product id ascending.
+    Ranking: score (rounded to ``round_digits``) descending, then product id
+    ascending.  No per-pair row is ever materialised:
+
+    * item factors within ``broadcast_bytes`` (size checked first) are
+      broadcast and each user partition is scored in place (``mapInPandas``);
+    * larger item tables are hashed into user blocks x item blocks; each
+      pair of blocks is one co-grouped task multiplying two dense matrices.
+
+    Either way only near-top candidates (about k per user and item block)
+    are shuffled, to the final per-user ranking.
     """
-    n_users = user_f.count()
-    n_items = item_f.count()
+    spark = user_f.sparkSession
+    margin = 10.0 ** (-round_digits) if round_digits is not None else 0.0
+    users = user_f.select(F.col("id").cast("int").alias("uid"), F.col("features").cast("array<double>").alias("uf"))
+    items = item_f.select(F.col("id").cast("int").alias("iid"), F.col("features").cast("array<double>").alias("if_"))
+    stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("if_")).alias("dim")).first()
+    n_items, dim = int(stats["n"]), int(stats["dim"] or 0)
+    if n_items * max(dim, 1) * 8 <= broadcast_bytes:
+        local = items.toPandas()
+        iid = local["iid"].to_numpy() if n_items else np.zeros(0, dtype=np.int32)
+        itf = _stack(local["if_"]) if n_items else np.zeros((0, dim))
+        bc = spark.sparkContext.broadcast((iid, itf))
+        cand = users.mapInPandas(_broadcast_scorer(bc, k, margin), schema=_CANDIDATES)
+        return _rank(cand, k, round_digits)
+    n_users = users.count()
     n_ub = max(1, math.ceil(n_users / block_size))
     n_ib = max(1, math.ceil(n_items / block_size))
-    margin = 10.0 ** (-round_digits) if round_digits is not None else 0.0
-    users = user_f.select(
-        F.col("id").cast("int").alias("uid"), F.col("features").cast("array<double>").alias("uf")
-    ).withColumn("ub", F.pmod(F.xxhash64("uid"), F.lit(n_ub))).withColumn(
+    ublocks = users.withColumn("ub", F.pmod(F.xxhash64("uid"), F.lit(n_ub))).withColumn(
         "ib", F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1)).cast("array<bigint>"))
     )
-    items = item_f.select(
-        F.col("id").cast("int").alias("iid"), F.col("features").cast("array<double>").alias("if_")
-    ).withColumn("ib", F.pmod(F.xxhash64("iid"), F.lit(n_ib))).withColumn(
+    iblocks = items.withColumn("ib", F.pmod(F.xxhash64("iid"), F.lit(n_ib))).withColumn(
         "ub", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1)).cast("array<bigint>"))
     )
     cand = (
-        users.groupBy("ub", "ib")
-        .cogroup(items.groupBy("ub", "ib"))
-        .applyInPandas(_block_scorer(k, margin), schema="uid int, iid int, score double")
-    )
-    score = F.round("score", round_digits) if round_digits is not None else F.col("score")
-    w = Window.partitionBy(USER).orderBy(F.col("score").desc(), F.col(ITEM).asc())
-    return (
-        cand.select(F.col("uid").alias(USER), F.col("iid").alias(ITEM), score.alias("score"))
-        .withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= k)
-        .select(USER, "rank", ITEM, "score")
+        ublocks.groupBy("ub", "ib")
+        .cogroup(iblocks.groupBy("ub", "ib"))
+        .applyInPandas(_block_scorer(k, margin), schema=_CANDIDATES)
     )
+    return _rank(cand, k, round_digits)
 
 
 def model_factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
@@ -251,3 +301,12 @@ def split_known(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame
     """(rows of known users, rows of unknown users): semi- and anti-join."""
     known = known.select(USER)
     return rows.join(known, USER, "left_semi"), rows.join(known, USER, "left_anti")
+
+
+def flag_known(rows: DataFrame, known: DataFrame, flag: str = "is_known") -> DataFrame:
+    """Both sides of ``split_known`` in one pass: a left join on the distinct
+    known ids, so the rows are shuffled once, not once per side."""
+    ids = known.select(USER).distinct().withColumn("_known", F.lit(True))
+    return rows.join(ids, USER, "left").withColumn(
+        flag, F.coalesce(F.col("_known"), F.lit(False))
+    ).drop("_known")

@@ -86,8 +86,7 @@ def known_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def known_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = fx.rating_feed(spark, sf_dir)
     known = factors.distinct_users(_training_ratings(spark, sf_dir))
-    hit, miss = factors.split_known(feed, known)
-    return hit.withColumn("is_known", F.lit(True)).unionByName(miss.withColumn("is_known", F.lit(False)))
+    return factors.flag_known(feed, known)
 
 
 # --- features (P1, P2) ---------------------------------------------------------------------

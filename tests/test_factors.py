@@ -30,8 +30,10 @@ def test_topk_many_blocks_equals_one_block(spark):
     uf = fx.user_factors(spark, SF_SMALL)
     itf = fx.item_factors(spark, SF_SMALL)
     one = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5).collect())
-    many = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5, block_size=7).collect())
+    many = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5, block_size=7, broadcast_bytes=0).collect())
     assert one == many
+    blocked = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5, broadcast_bytes=0).collect())
+    assert one == blocked
 
 
 def test_topk_ties_break_on_item_id(spark):
