@@ -300,3 +300,81 @@ def create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = table.create()
     n = table.latest(["nick_name"]).agg(F.count(F.lit(1)).alias("n_rows"))
     return n.select(F.lit(first).alias("created_first"), F.lit(second).alias("created_second"), "n_rows")
+
+
+def keyed_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compaction keeps the latest state; writes after it still apply per cell."""
+    users = fx.users(spark, sf_dir)
+    table = _users_table(spark, "users-compact")
+    table.upsert(users, writer="bootstrap", batch_id=0, generation=0)
+    table.upsert(
+        users.filter(F.col("user_id") % 4 == 0).select(
+            "user_id", F.concat(F.col("nick_name"), F.lit("-renamed")).alias("nick_name")
+        ),
+        writer="users-feed-g1", batch_id=0, generation=1,
+    )
+    compacted = table.compact(scratch_path(spark, "users-compacted"))
+    compacted.upsert(
+        users.filter(F.col("user_id") % 6 == 0).select(
+            "user_id", F.concat(F.col("read_style"), F.lit("-c")).alias("read_style")
+        ),
+        writer="users-feed-g1", batch_id=1, generation=1,
+    )
+    return compacted.latest()
+
+
+# --- recommendation table merge (K8) -----------------------------------------------------------
+
+
+def recs_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-row merge of the recommendation table across writers.
+
+    ALS lists (model 1) for existing users; cold-start lists for *every*
+    user, which must not displace an ALS list; then ALS lists of model 2
+    for every tenth user.  Result: the list each user is served.
+    """
+    from pyspark.sql import Window
+
+    from shelfwise.plans import jobs
+
+    store = jobs.Store(spark, scratch_path(spark, "store"))
+    store.create()
+    given = _given_recs(spark, sf_dir)
+    store.write_recs(given, "als", 1, "bootstrap", 0, 0)
+    assigned = _user_clusters(spark, sf_dir)
+    copied = clusters.cold_start(assigned, clusters.donors(assigned, given), given)
+    store.write_recs(copied.select("user_id", "recs"), "cold_start", None, "users-g1", 0, 1)
+    w = Window.partitionBy("user_id").orderBy(F.col("rating").desc(), F.col("product_id").asc())
+    top = (
+        fx.ratings(spark, sf_dir).filter(F.col("user_id") % 10 == 0)
+        .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 10)
+        .select("user_id", "rank", "product_id", F.col("rating").alias("score"))
+    )
+    store.write_recs(factors.collect_recs(top), "als", 2, "ratings-g1", 0, 1)
+    latest = store.recs_latest()
+    return latest.select(
+        "user_id", "source", "model_version",
+        F.col("recs")[0]["product_id"].alias("first_product"),
+        F.size("recs").alias("n_recs"),
+    )
+
+
+# --- bootstrap from text (S1-S3, K3, K4, quarantine) ---------------------------------------------
+
+
+def bootstrap_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full bootstrap from comma text; the ratings file also carries the
+    faulty feed's lines.  Result: quarantined lines per (kind, reason)."""
+    from shelfwise.plans import jobs
+
+    ratings = fx.ratings(spark, sf_dir)
+    root = scratch_path(spark, "bootstrap")
+    paths = {k: f"{root}/input/{k}" for k in ("ratings", "users", "books")}
+    faulty = fx.faulty_feed_lines(spark, sf_dir).select("value")
+    text.write_lines(fx.rating_lines(ratings).unionByName(faulty), paths["ratings"])
+    text.write_lines(fx.user_lines(fx.users(spark, sf_dir)), paths["users"])
+    text.write_lines(fx.book_lines(fx.books(spark, sf_dir, ratings)), paths["books"])
+    jobs.bootstrap(spark, f"{root}/store", paths["ratings"], paths["users"], paths["books"],
+                   als_params={"max_iter": 5}, n_clusters=20)
+    rejected = jobs.Store(spark, f"{root}/store").rejected()
+    return rejected.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))

@@ -216,4 +216,31 @@ def queries_sql() -> dict[str, str]:
       WHERE user_id IN (SELECT CAST(user_id AS INT) FROM events)"""
     q["create_if_absent"] = with_(USERS) + """
       SELECT true AS created_first, false AS created_second, count(*) AS n_rows FROM users"""
+    q["keyed_compact"] = with_(USERS) + """
+      SELECT user_id,
+             CASE WHEN user_id % 4 = 0 THEN nick_name || '-renamed' ELSE nick_name END AS nick_name,
+             gender, age,
+             CASE WHEN user_id % 6 = 0 THEN read_style || '-c' ELSE read_style END AS read_style,
+             user_label
+      FROM users"""
+    q["recs_merge"] = with_(RATINGS, USERS, USER_CLUSTERS) + """,
+      all_top AS (
+        SELECT user_id, product_id,
+               row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, product_id) AS rk
+        FROM ratings WHERE user_id % 10 = 0),
+      als1 AS (SELECT user_id, 'als' AS source, CAST(1 AS BIGINT) AS model_version,
+                      max(CASE WHEN rk = 1 THEN product_id END) AS first_product, count(*) AS n_recs
+               FROM given_recs GROUP BY user_id),
+      als2 AS (SELECT user_id, 'als' AS source, CAST(2 AS BIGINT) AS model_version,
+                      max(CASE WHEN rk = 1 THEN product_id END) AS first_product, count(*) AS n_recs
+               FROM all_top WHERE rk <= 10 GROUP BY user_id),
+      cs AS (SELECT a.user_id, 'cold_start' AS source, CAST(NULL AS BIGINT) AS model_version,
+                    g.first_product, g.n_recs
+             FROM assigned a JOIN donors d ON a.cluster = d.cluster JOIN als1 g ON g.user_id = d.donor_id),
+      ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY prio DESC) AS r FROM (
+          SELECT *, 3 AS prio FROM als2 UNION ALL SELECT *, 2 FROM als1 UNION ALL SELECT *, 1 FROM cs) u)
+      SELECT user_id, source, model_version, first_product, CAST(n_recs AS INT) AS n_recs FROM ranked WHERE r = 1"""
+    q["bootstrap_quarantine"] = with_(FAULTY) + """
+      SELECT 'ratings' AS kind, reason, count(*) AS n FROM tagged WHERE reason IS NOT NULL GROUP BY reason"""
     return q
