@@ -68,7 +68,7 @@ def main() -> None:
 
     def rmse():
         _, valid = evaluate.split(rated)
-        return evaluate.model_rmse(model, valid)
+        return evaluate.model_rmse(model, valid, unique_pairs=True)
 
     timed("rmse_validation", rmse)
     timed("topk_factors", lambda: noop(factors.topk_from_factors(fx.user_factors(spark, sf_dir),

@@ -222,7 +222,8 @@ def retrain(
     rated = store.history.latest().persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, valid = evaluate.split(rated)
-        trials = evaluate.sweep(train, valid, grid, parallelism=parallelism, seed=seed)
+        # the history holds one rating per pair
+        trials = evaluate.sweep(train, valid, grid, parallelism=parallelism, seed=seed, unique_pairs=True)
         best = evaluate.select_best(trials, max_rmse=max_rmse).first()
         params = {"rank": int(best["rank"]), "max_iter": int(best["max_iter"]), "reg_param": float(best["reg_param"])}
         model = factors.fit_als(rated, seed=seed, **params)

@@ -22,12 +22,14 @@ def test_exact_queries_small(spark):
     con = duckdb.connect()
     for t in ["nation", "customer", "part", "orders", "lineitem", "events", "embeddings"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    for name in ["feed_parse", "rejected_lines", "topk_from_factors", "cold_start", "upsert_partial"]:
+    for name in ["feed_parse", "rejected_lines", "topk_from_factors", "cold_start", "upsert_partial",
+                 "keyed_compact", "recs_merge", "rmse_duplicate_pairs", "assign_to_centers"]:
         df = E.queries()[name](spark, SF_SMALL)
-        got = sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
+        key = lambda t: tuple((x is None, str(x)) for x in t)
+        got = sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=key)
         rel = con.sql(E.oracle_sql()[name])
         cols = rel.columns
         rows = rel.fetchall()
         order = sorted(range(len(cols)), key=lambda i: cols[i])
-        want = sorted(tuple(r[i] for i in order) for r in rows)
+        want = sorted((tuple(r[i] for i in order) for r in rows), key=key)
         assert got == want, name
