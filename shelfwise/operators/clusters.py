@@ -104,33 +104,48 @@ def donors(assigned: DataFrame, eligible: DataFrame) -> DataFrame:
     )
 
 
-def cold_start(new_users: DataFrame, donor_table: DataFrame, recs: DataFrame,
-               served: DataFrame | None = None, max_donors: int = 1_000_000) -> DataFrame:
-    """Recommendations for new users copied from their cluster's donor.
-
-    ``new_users``: ``(user_id, cluster)``; ``donor_table``: ``(cluster, donor_id)``;
-    ``recs``: ``(user_id, recs)``; ``served``: users that already have ALS
-    recommendations, which are never replaced.  Output ``(user_id,
-    donor_id, recs)`` with book ids only (scores null).
+def donor_lists(donor_table: DataFrame, recs: DataFrame, max_donors: int = 1_000_000) -> DataFrame:
+    """``(cluster, donor_id, recs)``: each donor's list, book ids only.
 
-    Donors are bounded by the number of clusters (checked), so they and
-    their lists are broadcast: the new-user side is never shuffled, however
-    a cluster is skewed.
+    At most one row per cluster (checked against ``max_donors``), so the
+    result is safe to broadcast.
     """
     n_donors = donor_table.count()
     if n_donors > max_donors:
         raise ValueError(f"{n_donors} donors exceed the broadcast bound {max_donors}")
-    targets = new_users.select(USER, CLUSTER)
-    if served is not None:
-        targets = targets.join(served.select(USER), USER, "left_anti")
-    donor_lists = recs.select(F.col(USER).alias("donor_id"), "recs").join(
+    lists = recs.select(F.col(USER).alias("donor_id"), "recs").join(
         F.broadcast(donor_table.select("donor_id").distinct()), "donor_id", "left_semi"
     )
     ids_only = F.transform(
         F.col("recs"), lambda x: F.struct(x["product_id"].alias("product_id"),
                                           F.lit(None).cast("double").alias("score"))
     )
-    donor_recs = F.broadcast(
-        donor_table.join(donor_lists, "donor_id").select(CLUSTER, "donor_id", ids_only.alias("recs"))
+    return F.broadcast(donor_table).join(lists, "donor_id").select(CLUSTER, "donor_id", ids_only.alias("recs"))
+
+
+def copy_from_donors(new_users: DataFrame, lists: DataFrame, served: DataFrame | None = None) -> DataFrame:
+    """Give each user its cluster's donor list: ``(user_id, donor_id, recs)``.
+
+    ``lists`` comes from ``donor_lists`` (one row per cluster) and is
+    broadcast, so the user side is never shuffled however a cluster is
+    skewed.  ``served`` users (with an ALS list) are skipped.
+    """
+    targets = new_users.select(USER, CLUSTER)
+    if served is not None:
+        targets = targets.join(served.select(USER), USER, "left_anti")
+    return targets.join(F.broadcast(lists.select(CLUSTER, "donor_id", "recs")), CLUSTER).select(
+        USER, "donor_id", "recs"
     )
-    return targets.join(donor_recs, CLUSTER).select(USER, "donor_id", "recs")
+
+
+def cold_start(new_users: DataFrame, donor_table: DataFrame, recs: DataFrame,
+               served: DataFrame | None = None, max_donors: int = 1_000_000) -> DataFrame:
+    """Recommendations for new users copied from their cluster's donor.
+
+    ``new_users``: ``(user_id, cluster)``; ``donor_table``: ``(cluster, donor_id)``;
+    ``recs``: ``(user_id, recs)``; ``served``: users that already have ALS
+    recommendations, which are never replaced.  Output ``(user_id,
+    donor_id, recs)`` with book ids only (scores null).  A cluster without a
+    donor gives its users no row.
+    """
+    return copy_from_donors(new_users, donor_lists(donor_table, recs, max_donors), served)

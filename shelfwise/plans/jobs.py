@@ -29,13 +29,21 @@ from pyspark.sql import types as T
 from shelfwise.operators import clusters, evaluate, factors, features, registry
 from shelfwise.schemas import BOOKS, RATINGS, RECS, USERS
 from shelfwise.sources import text
-from shelfwise.sources.keyed import KeyedTable
+from shelfwise.sources.keyed import KeyedTable, nullable
 
 # Recommendation sources, ranked: an ALS list always beats a copied one.
 SOURCE_RANK = {"cold_start": 1, "als": 2}
 
 RECS_LOG = T.StructType(list(RECS.fields) + [T.StructField("source_rank", T.IntegerType(), True)])
 
+DONORS = T.StructType(
+    [
+        T.StructField("cluster", T.IntegerType(), True),
+        T.StructField("donor_id", T.IntegerType(), True),
+        T.StructField("recs", nullable(RECS["recs"].dataType), True),
+    ]
+)
+
 REJECTED_LOG = T.StructType(
     [
         T.StructField("kind", T.StringType(), True),
@@ -126,7 +134,8 @@ class Store:
         return self._p("models", "donors", f"v{kmeans_version}")
 
     def donors(self, kmeans_version: int) -> DataFrame:
-        return self.spark.read.schema("cluster int, donor_id int").parquet(self.donors_path(kmeans_version))
+        """Donor lists of a clustering version: ``(cluster, donor_id, recs)``, at most k rows."""
+        return self.spark.read.schema(DONORS).parquet(self.donors_path(kmeans_version))
 
 
 # --- shared steps ------------------------------------------------------------------------------
@@ -139,16 +148,26 @@ def _user_vectors(users: DataFrame, feature_cols=features.DEFAULT_FEATURES) -> D
 
 def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: int = 1,
                      feature_cols=features.DEFAULT_FEATURES) -> int:
-    """Fit k-means on the current users, save it, and store its donor table."""
+    """Fit k-means on the current users, save it, and store its donor lists.
+
+    The donor lists (one ALS list per cluster, at most k rows) are a
+    snapshot taken here, once per clustering version, so a user micro-batch
+    joins this small table instead of scanning the recommendation table.
+    """
     vecs = _user_vectors(store.users.latest(["gender", "age"]), feature_cols)
     vecs = vecs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = clusters.fit_kmeans(vecs, n_clusters, max_iter, seed)
         version, _ = registry.save(store.spark, model, store.models, "kmeans")
         donor_table = clusters.donors(clusters.assign(model, vecs), store.als_users())
-        donor_table.select(F.col("cluster").cast("int"), F.col("donor_id").cast("int")).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(store.donors_path(version))
+        # at most one row per cluster: materialise once (bounded, checked)
+        rows = donor_table.select(F.col("cluster").cast("int"), F.col("donor_id").cast("int")).collect()
+        if len(rows) > n_clusters:
+            raise ValueError(f"{len(rows)} donors for {n_clusters} clusters")
+        donor_table = store.spark.createDataFrame(rows, "cluster int, donor_id int")
+        donor_recs = store.recs.lookup(donor_table.select(F.col("donor_id").alias("user_id")), ["recs"])
+        lists = clusters.donor_lists(donor_table, donor_recs)
+        lists.select(*DONORS.fieldNames()).coalesce(1).write.mode("overwrite").parquet(store.donors_path(version))
     finally:
         vecs.unpersist()
     return version
