@@ -15,8 +15,11 @@ from __future__ import annotations
 
 import math
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +31,10 @@ USER = "user_id"
 ITEM = "product_id"
 RATING = "rating"
 
+# The pandas functions below run in Python workers.  Pickle this module's
+# code by value so executors need numpy and pandas, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # --- M1 / M2: fit -------------------------------------------------------------
 
