@@ -17,7 +17,7 @@ also cuts the plan, so recomputation after a lost executor starts there.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
@@ -59,6 +59,7 @@ REJECTED_LOG = T.StructType(
 class Store:
     spark: SparkSession
     root: str
+    _loaded: dict = field(default_factory=dict, repr=False, compare=False)
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -124,11 +125,27 @@ class Store:
 
     # -- models ----------------------------------------------------------------------------
 
+    def _current(self, kind: str, loader):
+        """(version, model) of the newest registered ``kind``.
+
+        The registry (a few rows) is read every time, so a retrain is seen
+        by the next micro-batch; the model itself is loaded only when its
+        version changes.
+        """
+        cur = registry.current(self.spark, self.models, kind)
+        if cur is None:
+            return None, None
+        version, path = cur
+        cached = self._loaded.get(kind)
+        if cached is None or cached[0] != version:
+            self._loaded[kind] = (version, loader(path))
+        return self._loaded[kind]
+
     def current_als(self):
-        return registry.load(self.spark, self.models, "als", ALSModel.load)
+        return self._current("als", ALSModel.load)
 
     def current_kmeans(self):
-        return registry.load(self.spark, self.models, "kmeans", KMeansModel.load)
+        return self._current("kmeans", KMeansModel.load)
 
     def donors_path(self, kmeans_version: int) -> str:
         return self._p("models", "donors", f"v{kmeans_version}")

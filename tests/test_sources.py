@@ -62,3 +62,26 @@ def test_text_round_trip(spark, tmp_dir):
     p = text.read_ratings(spark, path)
     assert [tuple(r) for r in p.good.collect()] == [(1, 2, 3.0)]
     assert p.rejected.count() == 1
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_piece = st.one_of(
+    st.integers(-3_000_000_000, 3_000_000_000).map(str),
+    st.floats(allow_nan=True, allow_infinity=True).map(repr),
+    st.sampled_from(["", " ", "x", "1.5", " 7 ", "NaN", "+4", "-0"]),
+)
+_line = st.lists(_piece, min_size=0, max_size=5).map(",".join)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_line, min_size=1, max_size=30))
+def test_every_line_lands_in_exactly_one_side(spark, lines):
+    p = text.parse_ratings(lines_df(spark, lines))
+    good = p.good.collect()
+    bad = p.rejected.collect()
+    assert len(good) + len(bad) == len(lines)
+    for r in good:
+        assert -2**31 < r["user_id"] < 2**31 and -2**31 < r["product_id"] < 2**31
+        assert r["rating"] == r["rating"] and abs(r["rating"]) != float("inf")
