@@ -17,6 +17,7 @@ also cuts the plan, so recomputation after a lost executor starts there.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -119,9 +120,16 @@ class Store:
         return self.recs.latest(["recs", "source", "model_version"])
 
     def als_users(self, keys: DataFrame | None = None) -> DataFrame:
-        """Users whose current list came from ALS (optionally among ``keys``)."""
-        view = self.recs.latest(["source"]) if keys is None else self.recs.lookup(keys, ["source"])
-        return view.filter(F.col("source") == "als").select("user_id")
+        """Users whose current list came from ALS (optionally among ``keys``).
+
+        ALS is the highest source rank, so a user's current list is an ALS
+        list exactly when the log holds any ALS row for that user: a distinct
+        over two narrow columns, no merge of the lists themselves.
+        """
+        log = self.recs.log().select("user_id", "source").filter(F.col("source") == "als")
+        if keys is not None:
+            log = log.join(keys.select("user_id").distinct(), "user_id", "left_semi")
+        return log.select("user_id").distinct()
 
     # -- models ----------------------------------------------------------------------------
 
@@ -147,6 +155,9 @@ class Store:
     def current_kmeans(self):
         return self._current("kmeans", KMeansModel.load)
 
+    def snapshot_path(self, name: str) -> str:
+        return self._p("snapshots", f"{name}-{uuid.uuid4().hex[:12]}")
+
     def donors_path(self, kmeans_version: int) -> str:
         return self._p("models", "donors", f"v{kmeans_version}")
 
@@ -255,17 +266,19 @@ def retrain(
     """
     spark = store.spark
     grid = param_grid or evaluate.small_grid()
-    rated = store.history.latest().persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train, valid = evaluate.split(rated)
-        # the history holds one rating per pair
-        trials = evaluate.sweep(train, valid, grid, parallelism=parallelism, seed=seed, unique_pairs=True)
-        best = evaluate.select_best(trials, max_rmse=max_rmse).first()
-        params = {"rank": int(best["rank"]), "max_iter": int(best["max_iter"]), "reg_param": float(best["reg_param"])}
-        model = factors.fit_als(rated, seed=seed, **params)
-        als_version, _ = registry.save(spark, model, store.models, "als")
-    finally:
-        rated.unpersist()
+    # One snapshot of the current ratings (one per pair), written to shared
+    # storage: the split, every trial and the final fit scan it instead of
+    # re-running the latest-per-pair shuffle, and its lineage starts there.
+    snapshot = store.snapshot_path("ratings")
+    store.history.latest().write.mode("overwrite").parquet(snapshot)
+    rated = spark.read.schema(RATINGS).parquet(snapshot)
+    train, valid = evaluate.split(rated)
+    # the snapshot holds one rating per pair
+    trials = evaluate.sweep(train, valid, grid, parallelism=parallelism, seed=seed, unique_pairs=True)
+    best = evaluate.select_best(trials, max_rmse=max_rmse).first()
+    params = {"rank": int(best["rank"]), "max_iter": int(best["max_iter"]), "reg_param": float(best["reg_param"])}
+    model = factors.fit_als(rated, seed=seed, **params)
+    als_version, _ = registry.save(spark, model, store.models, "als")
     km_version = refresh_clusters(store, n_clusters, kmeans_iter, feature_cols=feature_cols)
     row = (als_version, km_version, len(grid), params["rank"], params["max_iter"], params["reg_param"],
            best["rmse"], bool(best["is_default"]))
