@@ -313,14 +313,14 @@ def keyed_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         writer="users-feed-g1", batch_id=0, generation=1,
     )
-    compacted = table.compact(scratch_path(spark, "users-compacted"))
-    compacted.upsert(
+    table.compact()
+    table.upsert(
         users.filter(F.col("user_id") % 6 == 0).select(
             "user_id", F.concat(F.col("read_style"), F.lit("-c")).alias("read_style")
         ),
         writer="users-feed-g1", batch_id=1, generation=1,
     )
-    return compacted.latest()
+    return table.latest()
 
 
 # --- recommendation table merge (K8) -----------------------------------------------------------

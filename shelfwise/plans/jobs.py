@@ -90,6 +90,15 @@ class Store:
         for t in (self.history, self.users, self.books, self.recs):
             t.create()
 
+    def compact(self) -> dict:
+        """Maintenance: fold each table's log into a new base version.
+
+        Safe while feeds are writing (the live log is not rewritten);
+        returns ``{table: base_version}``.
+        """
+        tables = {"history": self.history, "users": self.users, "books": self.books, "recs": self.recs}
+        return {name: t.compact() for name, t in tables.items()}
+
     # -- quarantine ----------------------------------------------------------------
 
     def quarantine(self, rejected: DataFrame, kind: str, writer: str, batch_id: int) -> None:
@@ -126,7 +135,7 @@ class Store:
         list exactly when the log holds any ALS row for that user: a distinct
         over two narrow columns, no merge of the lists themselves.
         """
-        log = self.recs.log().select("user_id", "source").filter(F.col("source") == "als")
+        log = self.recs.rows(["source"]).filter(F.col("source") == "als")
         if keys is not None:
             log = log.join(keys.select("user_id").distinct(), "user_id", "left_semi")
         return log.select("user_id").distinct()

@@ -14,8 +14,11 @@ Here a keyed table is a folder of Parquet files partitioned by
   columns that belong together (a list and its scores) never mix.
 * The version is ``(_gen, _batch, <tie columns>)``: a writer generation (0
   for bootstrap, higher for feeds), the batch id and, to make the order total,
-  the values themselves.  Version columns are stored as data so they
-  survive compaction.
+  the values themselves.
+* **compact** folds the log up to a per-writer watermark into a base
+  (versions kept, per cell where cells merge); readers union the base with
+  the log partitions above the watermark, so read cost stays bounded while
+  the log keeps growing, and the live log is never rewritten.
 
 Everything is set-based: a lookup is a join with a keys frame, pushed below
 the aggregation so only matching keys are shuffled.
@@ -125,102 +128,194 @@ class KeyedTable:
             .parquet(self.path)
         )
 
+    # -- layout of the compacted base ----------------------------------------------
+    #
+    # <path>/_base/v<n>        merged state up to a watermark (one row per key)
+    # <path>/_base/_registry   one row per base version: (version, path, watermark)
+    #
+    # Folders starting with "_" are invisible to the log's file listing.  Readers
+    # take the newest base and the log partitions above its watermark, so a
+    # compaction never rewrites or deletes the live log and may run while
+    # writers append.  Because the merge is idempotent, a replay of a batch at
+    # or below the watermark (same content) changes nothing.
+
+    def _cell_cols(self, c: str) -> tuple[str, str]:
+        return f"_g__{c}", f"_b__{c}"
+
+    @property
+    def base_schema(self) -> T.StructType:
+        fields = [T.StructField(f.name, nullable(f.dataType), True) for f in self.schema.fields]
+        if self.merge == "row":
+            fields += [T.StructField(GEN, T.IntegerType(), True), T.StructField(BATCH, T.LongType(), True)]
+        else:
+            for c in self.value_cols:
+                g, b = self._cell_cols(c)
+                fields += [T.StructField(g, T.IntegerType(), True), T.StructField(b, T.LongType(), True)]
+        return T.StructType(fields)
+
+    def _registry_path(self) -> str:
+        return f"{self.path.rstrip('/')}/_base/_registry"
+
+    def base_state(self) -> tuple[int, str, dict] | None:
+        """(version, path, watermark {writer: batch_id}) of the newest base."""
+        try:
+            reg = self.spark.read.schema(_BASE_REGISTRY).parquet(self._registry_path())
+        except AnalysisException:
+            return None
+        row = reg.agg(F.max_by(F.struct("version", "path", "watermark"), "version").alias("r")).first()
+        if row is None or row["r"] is None:
+            return None
+        r = row["r"]
+        return int(r["version"]), r["path"], {w["writer"]: int(w["batch_id"]) for w in r["watermark"]}
+
+    @staticmethod
+    def _after(wm: dict) -> Column:
+        """Log partitions above the watermark (partition filters: pruned at listing)."""
+        cond = ~F.col(WRITER).isin(list(wm)) if wm else F.lit(True)
+        for w, b in wm.items():
+            cond = cond | ((F.col(WRITER) == F.lit(w)) & (F.col(BATCH_ID) > F.lit(b)))
+        return cond
+
     # -- S7: scan -----------------------------------------------------------------
 
     def log(self) -> DataFrame:
+        """The raw change log (every write, all partitions)."""
         return self.spark.read.schema(self.log_schema).parquet(self.path)
 
-    def _version(self, tie: list[Column]) -> Column:
-        parts = [F.col(c) for c in self.rank_cols] + [F.col(GEN), F.col(BATCH)] + tie
-        return F.struct(*parts)
+    def _as_state(self, log: DataFrame, cols: list[str]) -> DataFrame:
+        """Log rows in the base's shape (per-cell versions for cell merge)."""
+        if self.merge == "row":
+            return log.select(*self.keys, *self.value_cols, GEN, BATCH)
+        out = [F.col(k) for k in self.keys]
+        for c in cols:
+            g, b = self._cell_cols(c)
+            written = F.col(c).isNotNull()
+            out += [F.col(c), F.when(written, F.col(GEN)).alias(g), F.when(written, F.col(BATCH)).alias(b)]
+        return log.select(*out)
 
-    def _merge(self, log: DataFrame, cols: list[str]) -> DataFrame:
+    def _state_cols(self, cols: list[str]) -> list[str]:
+        if self.merge == "row":
+            return [*self.keys, *self.value_cols, GEN, BATCH]
+        out = list(self.keys)
+        for c in cols:
+            out += [c, *self._cell_cols(c)]
+        return out
+
+    def _rows(self, cols: list[str], log_filter: Column | None = None) -> DataFrame:
+        """Unmerged state rows: newest base plus the log above its watermark."""
+        state = self.base_state()
+        log = self.log()
+        if state is not None:
+            log = log.filter(self._after(state[2]))
+        if log_filter is not None:
+            log = log.filter(log_filter)
+        rows = self._as_state(log, cols)
+        if state is not None:
+            base = self.spark.read.schema(self.base_schema).parquet(state[1]).select(*self._state_cols(cols))
+            if log_filter is not None:
+                base = base.filter(log_filter)
+            rows = base.unionByName(rows)
+        return rows
+
+    def rows(self, cols: list[str], log_filter: Column | None = None) -> DataFrame:
+        """Unmerged rows (keys + ``cols``) of the live state, for scans that
+        do not need the merge (e.g. "has any row with source X")."""
+        return self._rows(self.value_cols if self.merge == "row" else cols, log_filter).select(*self.keys, *cols)
+
+    def _merge(self, rows: DataFrame, cols: list[str], keep_versions: bool = False) -> DataFrame:
         if self.merge == "row":
             values = F.struct(*[F.col(c) for c in self.value_cols])
-            version = self._version([values])
-            merged = log.groupBy(*self.keys).agg(F.max_by(values, version).alias("_row"))
-            return merged.select(*self.keys, *[F.col("_row")[c].alias(c) for c in cols])
+            version = F.struct(*[F.col(c) for c in self.rank_cols], F.col(GEN), F.col(BATCH), values)
+            keep = F.struct(values.alias("v"), F.col(GEN), F.col(BATCH))
+            merged = rows.groupBy(*self.keys).agg(F.max_by(keep, version).alias("_r"))
+            out = [F.col(f"_r.v.{c}").alias(c) for c in cols]
+            if keep_versions:
+                out += [F.col(f"_r.{GEN}").alias(GEN), F.col(f"_r.{BATCH}").alias(BATCH)]
+            return merged.select(*self.keys, *out)
         aggs = []
         for c in cols:
-            written = F.col(c).isNotNull()
-            version = F.when(written, self._version([F.col(c)]))
-            aggs.append(F.max_by(F.col(c), version).alias(c))
-        return log.groupBy(*self.keys).agg(*aggs)
+            g, b = self._cell_cols(c)
+            version = F.when(F.col(c).isNotNull(), F.struct(F.col(g), F.col(b), F.col(c)))
+            aggs.append(F.max_by(F.struct(F.col(c).alias("v"), F.col(g).alias("g"), F.col(b).alias("b")), version).alias(c))
+        merged = rows.groupBy(*self.keys).agg(*aggs)
+        out = []
+        for c in cols:
+            out.append(F.col(f"{c}.v").alias(c))
+            if keep_versions:
+                g, b = self._cell_cols(c)
+                out += [F.col(f"{c}.g").alias(g), F.col(f"{c}.b").alias(b)]
+        return merged.select(*self.keys, *out)
 
     def latest(self, cols: list[str] | None = None) -> DataFrame:
         """Current state: one row per key (project ``cols`` to prune the scan)."""
         cols = cols if cols is not None else self.value_cols
-        needed = set(self.keys) | set(cols) | set(self.rank_cols) | {GEN, BATCH}
-        if self.merge == "row":
-            needed |= set(self.value_cols)
-        log = self.log().select(*[c for c in self.log_schema.fieldNames() if c in needed])
-        return self._merge(log, cols)
+        return self._merge(self._rows(cols), cols)
 
     # -- S8: lookup ----------------------------------------------------------------
 
     def lookup(self, keys_df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         """Latest values for the keys in ``keys_df`` (absent keys give no row).
 
-        The key filter is applied to the log before the aggregation, so the
-        shuffle carries only matching keys.
+        The key filter is applied before the aggregation, so the shuffle
+        carries only matching keys.
         """
         cols = cols if cols is not None else self.value_cols
-        needed = set(self.keys) | set(cols) | set(self.rank_cols) | {GEN, BATCH}
-        if self.merge == "row":
-            needed |= set(self.value_cols)
-        log = self.log().select(*[c for c in self.log_schema.fieldNames() if c in needed])
         wanted = keys_df.select(*self.keys).distinct()
-        return self._merge(log.join(wanted, self.keys, "left_semi"), cols)
+        return self._merge(self._rows(cols).join(wanted, self.keys, "left_semi"), cols)
 
     def get(self, key_values: dict, cols: list[str] | None = None) -> DataFrame:
-        """Point lookup of one key; the filter reaches the Parquet scan."""
+        """Point lookup of one key; the filter reaches the Parquet scans."""
         cols = cols if cols is not None else self.value_cols
         cond = None
         for k, v in key_values.items():
             c = F.col(k) == F.lit(v)
             cond = c if cond is None else cond & c
-        return self._merge(self.log().filter(cond), cols)
+        return self._merge(self._rows(cols, cond), cols)
 
     # -- compaction ------------------------------------------------------------------
 
-    def compact(self, new_path: str) -> "KeyedTable":
-        """Write the current state to a new path as one batch; versions kept.
+    def compact(self) -> int:
+        """Fold the log up to a per-writer watermark into a new base version.
 
-        Never overwrites the path being read: callers switch to the returned
-        table once the write has finished.
+        Reads the previous base and only the log partitions between the old
+        and the new watermark; keeps exact versions (per cell for cell
+        merge), so later writes of any generation merge correctly.  Returns
+        the new base version.
         """
-        log = self.log()
-        if self.merge == "row":
-            values = F.struct(*[F.col(c) for c in self.value_cols])
-            ver = self._version([values])
-            keep = F.struct(
-                values.alias("v"),
-                *[F.col(c) for c in self.rank_cols],
-                F.col(GEN),
-                F.col(BATCH),
-            )
-            merged = log.groupBy(*self.keys).agg(F.max_by(keep, ver).alias("_r"))
-            out = merged.select(
-                *self.keys,
-                *[F.col("_r.v")[c].alias(c) for c in self.value_cols],
-                F.col(f"_r.{GEN}").alias(GEN),
-                F.col(f"_r.{BATCH}").alias(BATCH),
-            )
-        else:
-            # Per-cell state keeps the newest version of the row as its own.
-            aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), self._version([F.col(c)]))).alias(c)
-                    for c in self.value_cols]
-            top = self._version([])
-            aggs.append(F.max(top).alias("_top"))
-            merged = log.groupBy(*self.keys).agg(*aggs)
-            out = merged.select(
-                *self.keys,
-                *self.value_cols,
-                F.col(f"_top.{GEN}").alias(GEN),
-                F.col(f"_top.{BATCH}").alias(BATCH),
-            )
-        out = out.withColumn(WRITER, F.lit("compacted")).withColumn(BATCH_ID, F.lit(0).cast("bigint"))
-        out.select(*self.log_schema.fieldNames()).write.mode("overwrite").partitionBy(
-            WRITER, BATCH_ID
-        ).parquet(new_path)
-        return KeyedTable(self.spark, new_path, self.schema, self.keys, self.merge, list(self.rank_cols))
+        state = self.base_state()
+        old_wm = state[2] if state else {}
+        seen = self.log().groupBy(WRITER).agg(F.max(BATCH_ID).alias("b")).collect()  # one row per writer
+        new_wm = dict(old_wm)
+        for r in seen:
+            new_wm[r[WRITER]] = max(int(r["b"]), old_wm.get(r[WRITER], -1))
+        cond = F.lit(False)
+        for w, b in new_wm.items():
+            part = (F.col(WRITER) == F.lit(w)) & (F.col(BATCH_ID) <= F.lit(b))
+            if w in old_wm:
+                part = part & (F.col(BATCH_ID) > F.lit(old_wm[w]))
+            cond = cond | part
+        rows = self._as_state(self.log().filter(cond), self.value_cols)
+        if state is not None:
+            base = self.spark.read.schema(self.base_schema).parquet(state[1]).select(*self._state_cols(self.value_cols))
+            rows = base.unionByName(rows)
+        merged = self._merge(rows, self.value_cols, keep_versions=True)
+        version = (state[0] + 1) if state else 1
+        path = f"{self.path.rstrip('/')}/_base/v{version}"
+        merged.select(*self.base_schema.fieldNames()).write.mode("overwrite").parquet(path)
+        wm_rows = [{"writer": w, "batch_id": int(b)} for w, b in sorted(new_wm.items())]
+        self.spark.createDataFrame([(version, path, wm_rows)], _BASE_REGISTRY).coalesce(1).write.mode(
+            "append"
+        ).parquet(self._registry_path())
+        return version
+
+
+_BASE_REGISTRY = T.StructType(
+    [
+        T.StructField("version", T.LongType(), False),
+        T.StructField("path", T.StringType(), False),
+        T.StructField(
+            "watermark",
+            T.ArrayType(T.StructType([T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())])),
+        ),
+    ]
+)

@@ -66,7 +66,41 @@ def test_compaction_keeps_state(spark, tmp_dir):
     t = KeyedTable(spark, f"{tmp_dir}/t", SCHEMA, ["id"])
     t.upsert(spark.createDataFrame([(1, "x", "y"), (2, "p", "q")], SCHEMA), "w", 0)
     t.upsert(spark.createDataFrame([(1, "z", None)], SCHEMA), "w", 1)
-    c = t.compact(f"{tmp_dir}/t2")
-    assert _rows(c.latest()) == _rows(t.latest()) == [(1, "z", "y"), (2, "p", "q")]
-    c.upsert(spark.createDataFrame([(2, None, "new")], SCHEMA), "w", 2)
-    assert _rows(c.latest()) == [(1, "z", "y"), (2, "p", "new")]
+    n_log = t.log().count()
+    assert t.compact() == 1
+    assert t.log().count() == n_log  # the live log is not touched, the base is not listed
+    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "q")]
+    t.upsert(spark.createDataFrame([(2, None, "new")], SCHEMA), "w", 2)
+    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "new")]
+    # a replay of a batch folded into the base changes nothing
+    t.upsert(spark.createDataFrame([(1, "z", None)], SCHEMA), "w", 1)
+    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "new")]
+    assert t.compact() == 2
+    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "new")]
+    assert _rows(t.lookup(spark.createDataFrame([(2,)], "id int"), ["b"])) == [(2, "new")]
+    assert _rows(t.get({"id": 1}, ["a"])) == [(1, "z")]
+
+
+def test_compaction_keeps_per_cell_versions(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/t", SCHEMA, ["id"])
+    t.upsert(spark.createDataFrame([(1, "a0", "b0")], SCHEMA), "bootstrap", 0, generation=0)
+    t.upsert(spark.createDataFrame([(1, "a1", None)], SCHEMA), "feed-g1", 0, generation=1)
+    t.compact()
+    # a later bootstrap batch (lower generation than the feed) rewrites cell b
+    # only: it must beat b's old version, and must not beat a's feed version
+    t.upsert(spark.createDataFrame([(1, "a2", "b2")], SCHEMA), "bootstrap", 1, generation=0)
+    assert _rows(t.latest()) == [(1, "a1", "b2")]
+
+
+def test_row_merge_compaction_and_rank(spark, tmp_dir):
+    from shelfwise.plans.jobs import RECS_LOG
+
+    t = KeyedTable(spark, f"{tmp_dir}/r", RECS_LOG, ["user_id"], merge="row", rank_cols=["source_rank", "model_version"])
+    rec = lambda u, p, src, mv, rank: (u, [(p, 1.0)], src, mv, rank)
+    t.upsert(spark.createDataFrame([rec(1, 5, "als", 1, 2), rec(2, 6, "als", 1, 2)], RECS_LOG), "bootstrap", 0)
+    t.compact()
+    t.upsert(spark.createDataFrame([rec(1, 9, "cold_start", None, 1), rec(3, 9, "cold_start", None, 1)], RECS_LOG),
+             "users-g1", 0, 1)
+    t.upsert(spark.createDataFrame([rec(2, 7, "als", 2, 2)], RECS_LOG), "ratings-g1", 0, 1)
+    got = {r["user_id"]: (r["recs"][0]["product_id"], r["source"]) for r in t.latest().collect()}
+    assert got == {1: (5, "als"), 2: (7, "als"), 3: (9, "cold_start")}
