@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from shelfwise import fixtures as fx  # noqa: E402
-from shelfwise.operators import clusters, evaluate, factors, features, registry  # noqa: E402
+from shelfwise.operators import evaluate, factors, registry  # noqa: E402
 from shelfwise.plans import jobs  # noqa: E402
 from shelfwise.session import local_session, scratch_path  # noqa: E402
 from shelfwise.sources import text  # noqa: E402

@@ -1,6 +1,5 @@
 """Clustering and cold start edge cases."""
 
-from pyspark.sql import functions as F
 
 from shelfwise.operators import clusters, features
 
