@@ -242,16 +242,33 @@ def bootstrap_frames(
     )
 
 
+def stage_parsed(store: Store, parsed: text.Parsed, kind: str) -> text.Parsed:
+    """Write one parse of a text input to staging, partitioned by ``ok``.
+
+    The input is read and parsed once; the good and the rejected side are
+    then each read from their own partition (pruned at listing), and the
+    lineage of every later step starts at the staged table.
+    """
+    path = store.snapshot_path(f"parsed-{kind}")
+    staged = parsed.tagged.withColumn("ok", F.col("reason").isNull())
+    staged.write.mode("overwrite").partitionBy("ok").parquet(path)
+    back = store.spark.read.schema(staged.schema).parquet(path)
+    good_cols = parsed.good.columns
+    return text.Parsed(
+        tagged=back,
+        good=back.filter(F.col("ok")).select(*good_cols),
+        rejected=back.filter(~F.col("ok")).select("line", "reason"),
+    )
+
+
 def bootstrap(spark: SparkSession, root: str, ratings_path: str, users_path: str, books_path: str,
               **kw) -> DataFrame:
     """Bootstrap from header-less comma text; bad lines go to quarantine."""
     store = Store(spark, root)
     store.create()
-    parsed = {
-        "ratings": text.read_ratings(spark, ratings_path),
-        "users": text.read_users(spark, users_path),
-        "books": text.read_books(spark, books_path),
-    }
+    readers = {"ratings": text.read_ratings, "users": text.read_users, "books": text.read_books}
+    paths = {"ratings": ratings_path, "users": users_path, "books": books_path}
+    parsed = {kind: stage_parsed(store, readers[kind](spark, paths[kind]), kind) for kind in readers}
     for kind, p in parsed.items():
         store.quarantine(p.rejected, kind, "bootstrap", 0)
     return bootstrap_frames(store, parsed["ratings"].good, parsed["users"].good, parsed["books"].good, **kw)

@@ -49,7 +49,9 @@ def _int_check(raw: Column) -> tuple[Column, Column]:
     ok_pattern = raw.rlike(_INT_PATTERN)
     in_range = wide.isNotNull() & (F.abs(wide) <= F.lit(MAX_ID))
     reason = F.when(~ok_pattern, F.lit(BAD_ID)).when(~in_range, F.lit(ID_OUT_OF_RANGE))
-    return wide.cast("int"), reason
+    # cast only in-range values: the tagged frame is materialised whole
+    # (persisted per micro-batch, staged at bootstrap), rejected rows included
+    return F.when(in_range, wide.cast("int")), reason
 
 
 def _double_check(raw: Column, allow_empty: bool = False) -> tuple[Column, Column]:

@@ -85,3 +85,10 @@ def test_every_line_lands_in_exactly_one_side(spark, lines):
     for r in good:
         assert -2**31 < r["user_id"] < 2**31 and -2**31 < r["product_id"] < 2**31
         assert r["rating"] == r["rating"] and abs(r["rating"]) != float("inf")
+
+
+def test_tagged_frame_materialises_with_out_of_range_ids(spark):
+    p = text.parse_ratings(lines_df(spark, ["2147483735,1,1", "1,99999999999,2", "3,4,5"]))
+    rows = p.tagged.collect()  # every row, rejected ones included
+    assert len(rows) == 3
+    assert sorted(r["reason"] or "" for r in rows) == ["", text.ID_OUT_OF_RANGE, text.ID_OUT_OF_RANGE]
