@@ -82,7 +82,7 @@ class KeyedTable:
 
     def exists(self) -> bool:
         try:
-            self.spark.read.schema(self.log_schema).parquet(self.path).limit(0).collect()
+            self.spark.read.schema(self.log_schema).parquet(self.path)  # resolving lists the path
             return True
         except AnalysisException:
             return False
