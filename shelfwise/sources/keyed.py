@@ -253,15 +253,18 @@ class KeyedTable:
 
     # -- S8: lookup ----------------------------------------------------------------
 
-    def lookup(self, keys_df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-        """Latest values for the keys in ``keys_df`` (absent keys give no row).
+    def lookup(self, keys_df: DataFrame, cols: list[str] | None = None, keep_absent: bool = False) -> DataFrame:
+        """Latest values for the keys in ``keys_df``.
 
-        The key filter is applied before the aggregation, so the shuffle
-        carries only matching keys.
+        Absent keys give no row, or with ``keep_absent`` a row of nulls (the
+        original's point get answered "" for an absent cell).  The key filter
+        is applied before the aggregation, so the shuffle carries only
+        matching keys.
         """
         cols = cols if cols is not None else self.value_cols
         wanted = keys_df.select(*self.keys).distinct()
-        return self._merge(self._rows(cols).join(wanted, self.keys, "left_semi"), cols)
+        found = self._merge(self._rows(cols).join(wanted, self.keys, "left_semi"), cols)
+        return wanted.join(found, self.keys, "left") if keep_absent else found
 
     def get(self, key_values: dict, cols: list[str] | None = None) -> DataFrame:
         """Point lookup of one key; the filter reaches the Parquet scans."""

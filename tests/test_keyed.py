@@ -59,6 +59,7 @@ def test_lookup_and_get(spark, tmp_dir):
     t.upsert(spark.createDataFrame([(1, "x", "y"), (2, "p", "q")], SCHEMA), "w", 0)
     keys = spark.createDataFrame([(2,), (7,)], "id int")
     assert _rows(t.lookup(keys, ["a"])) == [(2, "p")]
+    assert sorted(t.lookup(keys, ["a"], keep_absent=True).collect(), key=lambda r: r["id"]) == [(2, "p"), (7, None)]
     assert _rows(t.get({"id": 1}, ["b"])) == [(1, "y")]
 
 
