@@ -41,16 +41,28 @@ def current(spark: SparkSession, root: str, kind: str) -> tuple[int, str] | None
     return int(row["v"]["version"]), row["v"]["path"]
 
 
-def save(spark: SparkSession, model, root: str, kind: str, version: int | None = None) -> tuple[int, str]:
-    """Save ``model`` as the next version of ``kind``; returns (version, path)."""
+def save(spark: SparkSession, model, root: str, kind: str, version: int | None = None,
+         register_now: bool = True) -> tuple[int, str]:
+    """Save ``model`` as the next version of ``kind``; returns (version, path).
+
+    With ``register_now=False`` the model is written but not yet visible;
+    call ``register`` once everything that belongs to the version (e.g. its
+    donor lists) is written too.
+    """
     if version is None:
         cur = current(spark, root, kind)
         version = 1 if cur is None else cur[0] + 1
     path = f"{root.rstrip('/')}/{kind}/v{version}"
     model.write().overwrite().save(path)
+    if register_now:
+        register(spark, root, kind, version, path)
+    return version, path
+
+
+def register(spark: SparkSession, root: str, kind: str, version: int, path: str) -> None:
+    """Make a saved version the current one (one appended registry row)."""
     row = [(kind, int(version), path, int(time.time() * 1000))]
     spark.createDataFrame(row, _SCHEMA).coalesce(1).write.mode("append").parquet(_registry_path(root))
-    return version, path
 
 
 def load(spark: SparkSession, root: str, kind: str, loader):

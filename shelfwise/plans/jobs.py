@@ -191,11 +191,14 @@ def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: in
     snapshot taken here, once per clustering version, so a user micro-batch
     joins this small table instead of scanning the recommendation table.
     """
-    vecs = _user_vectors(store.users.latest(["gender", "age"]), feature_cols)
+    value_cols = [c for c in feature_cols if c != "user_id"]
+    vecs = _user_vectors(store.users.latest(value_cols), feature_cols)
     vecs = vecs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = clusters.fit_kmeans(vecs, n_clusters, max_iter, seed)
-        version, _ = registry.save(store.spark, model, store.models, "kmeans")
+        # written now, registered only after its donor lists exist, so a user
+        # micro-batch never sees a clustering version without them
+        version, path = registry.save(store.spark, model, store.models, "kmeans", register_now=False)
         donor_table = clusters.donors(clusters.assign(model, vecs), store.als_users())
         # at most one row per cluster: materialise once (bounded, checked)
         rows = donor_table.select(F.col("cluster").cast("int"), F.col("donor_id").cast("int")).collect()
@@ -205,6 +208,7 @@ def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: in
         donor_recs = store.recs.lookup(donor_table.select(F.col("donor_id").alias("user_id")), ["recs"])
         lists = clusters.donor_lists(donor_table, donor_recs)
         lists.select(*DONORS.fieldNames()).coalesce(1).write.mode("overwrite").parquet(store.donors_path(version))
+        registry.register(store.spark, store.models, "kmeans", version, path)
     finally:
         vecs.unpersist()
     return version
