@@ -44,3 +44,22 @@ def test_retrain_adds_versions(spark, tmp_dir):
     row = jobs.retrain(store, evaluate.grid([2, 3], [2], [0.1]), n_clusters=5, kmeans_iter=3).first()
     assert (row["als_version"], row["kmeans_version"], row["n_trials"]) == (2, 2, 2)
     assert row["is_default"] or row["rmse"] < 1.0
+
+
+def test_rating_batches_pick_up_a_retrain(spark, tmp_dir):
+    from conftest import lines_df
+    from shelfwise.streaming.handlers import OnRatings
+
+    store = jobs.Store(spark, f"{tmp_dir}/store")
+    ratings = fx.ratings(spark, SF_SMALL)
+    jobs.bootstrap_frames(store, ratings, fx.users(spark, SF_SMALL), fx.books(spark, SF_SMALL, ratings),
+                          als_params={"rank": 3, "max_iter": 2}, n_clusters=5, kmeans_iter=3)
+    handler = OnRatings(store, "ratings-g1", 1)  # one instance, as a running stream holds it
+    handler(lines_df(spark, ["1,1,4"]), 0)
+    jobs.retrain(store, evaluate.grid([2], [2], [0.1]), n_clusters=5, kmeans_iter=3)
+    handler(lines_df(spark, ["1,2,5"]), 1)
+    written = {r["batch_id"]: r["model_version"] for r in
+               store.recs.log().filter(F.col("writer") == "ratings-g1").select("batch_id", "model_version").collect()}
+    assert written == {0: 1, 1: 2}
+    latest = store.recs_latest().filter(F.col("user_id") == 1).first()
+    assert (latest["source"], latest["model_version"]) == ("als", 2)
