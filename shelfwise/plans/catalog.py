@@ -329,8 +329,8 @@ def recs_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-row merge of the recommendation table across writers.
 
     ALS lists (model 1) for existing users; cold-start lists for *every*
-    user, which must not displace an ALS list; then ALS lists of model 2
-    for every tenth user.  Result: the list each user is served.
+    user, which must not displace an ALS list; a compaction; then ALS lists
+    of model 2 for every tenth user.  Result: the list each user is served.
     """
     store = jobs.Store(spark, scratch_path(spark, "store"))
     store.create()
@@ -339,6 +339,7 @@ def recs_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = _user_clusters(spark, sf_dir)
     copied = clusters.cold_start(assigned, clusters.donors(assigned, given), given)
     store.write_recs(copied.select("user_id", "recs"), "cold_start", None, "users-g1", 0, 1)
+    store.recs.compact()  # whole-row merge across a compacted base and newer batches
     w = Window.partitionBy("user_id").orderBy(F.col("rating").desc(), F.col("product_id").asc())
     top = (
         fx.ratings(spark, sf_dir).filter(F.col("user_id") % 10 == 0)
