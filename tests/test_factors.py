@@ -94,3 +94,22 @@ def test_same_seed_same_factors(spark):
     fa = {r["id"]: np.array(r["features"]) for r in a.userFactors.collect()}
     fb = {r["id"]: np.array(r["features"]) for r in b.userFactors.collect()}
     assert max(float(np.abs(fa[i] - fb[i]).max()) for i in fa) == 0.0
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_vec = st.lists(st.integers(-2, 2).map(float), min_size=3, max_size=3)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_vec, min_size=1, max_size=6), st.lists(_vec, min_size=1, max_size=12), st.integers(1, 5))
+def test_topk_exact_with_ties_on_both_paths(spark, users, items, k):
+    schema = "id int, features array<double>"
+    uf = spark.createDataFrame(list(enumerate(users)), schema)
+    itf = spark.createDataFrame([(100 + i, v) for i, v in enumerate(items)], schema)
+    want = _brute_topk(list(enumerate(users)), [(100 + i, v) for i, v in enumerate(items)], k)
+    broadcast = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, k).collect())
+    blocked = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, k, block_size=3, broadcast_bytes=0).collect())
+    assert broadcast == want
+    assert blocked == want
