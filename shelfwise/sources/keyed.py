@@ -137,7 +137,9 @@ class KeyedTable:
     # take the newest base and the log partitions above its watermark, so a
     # compaction never rewrites or deletes the live log and may run while
     # writers append.  Because the merge is idempotent, a replay of a batch at
-    # or below the watermark (same content) changes nothing.
+    # or below the watermark (same content) changes nothing.  A writer's new
+    # batches must carry increasing ids (a stream's do); a new batch below the
+    # writer's watermark would not be read.
 
     def _cell_cols(self, c: str) -> tuple[str, str]:
         return f"_g__{c}", f"_b__{c}"
