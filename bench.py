@@ -1,6 +1,7 @@
 """Headline timings at one scale factor; prints ONE JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_EVENT_LOG_DIR=/tmp/run-xyz/events ...   # also write Spark's event log
 
 Steps follow the jobs a deployment runs: bootstrap (ratings into the store,
 ALS fit, top-10 for every user, k-means), validation RMSE, the blocked top-k
@@ -35,7 +36,11 @@ def noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="shelfwise-bench")
+    extra = {}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # opt-in: stage and task times
+    if event_dir:
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir}
+    spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="shelfwise-bench", extra=extra)
     times: dict[str, float] = {}
 
     def timed(name, fn):
