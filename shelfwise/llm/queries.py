@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import line_dedup, mixing
+from shelfwise.llm import jaccard_join, line_dedup, mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 85 % of their 4-word shingles."""
+    return jaccard_join.similarity_components(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup of all documents: keys of 40 code points or more, in 5 documents or more."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -26,5 +31,5 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op5_line_dedup)
+    f.__name__: f for f in (op1_mixing, op3_jaccard_join, op5_line_dedup)
 }
