@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import jaccard_join, language_id, line_dedup, mixing
+from shelfwise.llm import jaccard_join, language_id, line_dedup, mixing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels of those that are not held out."""
+    return quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_jaccard_join, op5_line_dedup, op7_language_id)
+    f.__name__: f for f in (op1_mixing, op3_jaccard_join, op5_line_dedup, op7_language_id, op9_quality)
 }
