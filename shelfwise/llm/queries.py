@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import jaccard_join, language_id, line_dedup, mixing, quality
+from shelfwise.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item: 80 % of its 5-word shingles."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -41,5 +46,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_jaccard_join, op5_line_dedup, op7_language_id, op9_quality)
+    f.__name__: f for f in (op1_mixing, op3_jaccard_join, op5_line_dedup, op6_decontamination, op7_language_id, op9_quality)
 }

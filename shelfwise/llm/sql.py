@@ -51,3 +51,15 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) A
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY i, doc_id
 """
+
+ORACLE["op6_decontamination"] = r"""
+WITH it AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+s AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM it)),
+n AS (SELECT item_id, count(*) AS n_item FROM s GROUP BY item_id),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+g AS (SELECT DISTINCT r, doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+o AS (SELECT r, doc_id, item_id, count(*) AS n_shared FROM g JOIN s USING (s) GROUP BY ALL),
+m AS (SELECT doc_id, item_id, max(n_shared) AS n_shared FROM o GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM m JOIN n USING (item_id) WHERE n_shared * 100 >= n_item * 80
+"""
