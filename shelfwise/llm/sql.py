@@ -63,3 +63,19 @@ m AS (SELECT doc_id, item_id, max(n_shared) AS n_shared FROM o GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
 FROM m JOIN n USING (item_id) WHERE n_shared * 100 >= n_item * 80
 """
+
+ORACLE["op4_chat_format"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r0, text AS t0 FROM conversations
+  UNION ALL
+  SELECT -7, n, r, '</s>[INST] ok [/INST]', r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r)),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, r0 NULLS FIRST, t0 NULLS FIRST) AS i,
+         length(regexp_replace(role, '(\\|</?s>|\[/?INST\])', '\\\1', 'g')) + length(regexp_replace(text, '(\\|</?s>|\[/?INST\])', '\\\1', 'g')) + 23 AS chars
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS turns,
+         coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '') AS loss, CAST(sum(chars) AS BIGINT) AS formatted_chars
+  FROM o GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
+"""
