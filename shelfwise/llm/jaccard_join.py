@@ -18,6 +18,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,31 +157,63 @@ def _shared(batches):
     yield pa.RecordBatch.from_arrays([pa.array(g[out]), pa.array(k[out]), pa.array(at[out])], names=["gram", "key", "at"])
 
 
-def _sets(width: int):
+def cells_of(count: np.ndarray) -> np.ndarray:
+    """Length of a set's profile: the power of two from half its size up, 16 at least."""
+    return 1 << np.ceil(np.log2(np.maximum(count / 2, 16))).astype(np.int64)
+
+
+def _profiled(width: int):
     def run(batches):
+        """Each text with its set's name and profile: how many shingles fall into each cell of the hash range (255: or more)."""
         for batch in slices(batches, "text"):
             grams, count = shingle_sets(Words(batch.column("text"), fold=True), width)
-            ends = np.concatenate([[0], np.cumsum(count)])
+            size = cells_of(count)
+            first = np.cumsum(size) - size
+            row = rows_of(count)
+            cell = first[row] + (grams & (size[row] - 1).astype(np.uint64)).astype(np.int64)
+            profile = np.minimum(np.bincount(cell, minlength=int(size.sum())), 255).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("f"), digests(grams, count)[1], pa.array([grams[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
-                names=["f", "c", "grams"],
+                [batch.column("f"), digests(grams, count)[1], pa.array([profile[x : x + m].tobytes() for x, m in zip(first, size, strict=True)], pa.binary()), batch.column("text")],
+                names=["f", "c", "profile", "text"],
             )
 
     return run
 
 
-def _verified(t: int):
+def _named(batch):
+    """The rows whose names are those asked for (an id may come with several texts)."""
+    return batch.filter(pa.compute.and_(pa.compute.equal(batch.column("a"), batch.column("ca")), pa.compute.equal(batch.column("b"), batch.column("cb"))))
+
+
+def _possible(t: int):
     def run(batches):
-        """Pairs whose sets overlap enough: 100 |A and B| >= t |A or B|."""
-        for batch in batches:
+        """Pairs whose profiles allow the overlap: the sum of the smaller counts bounds it."""
+        for batch in map(_named, batches):
             keep_row = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep_row[i] = 100 * common >= t * (len(x) + len(y) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(keep_row))
+            for i, (x, y, n, m) in enumerate(zip(batch.column("x"), batch.column("y"), batch.column("na").to_numpy(), batch.column("nb").to_numpy(), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                full = bool((x == 255).any() or (y == 255).any())
+                if len(x) != len(y):
+                    small = min(len(x), len(y))
+                    x, y = (v.reshape(-1, small).sum(axis=0) for v in (x, y))
+                keep_row[i] = full or int(np.minimum(x, y).sum()) * (100 + t) >= t * int(n + m)
+            yield batch.select(["a", "fa", "b", "fb"]).filter(pa.array(keep_row))
+
+    return run
+
+
+def _verified(width: int, t: int):
+    def run(batches):
+        """Pairs whose sets overlap enough: 100 |A and B| >= t |A or B|."""
+        for batch in slices(map(_named, batches), "x", 1 << 20):
+            x, nx = shingle_sets(Words(batch.column("x"), fold=True), width)
+            y, ny = shingle_sets(Words(batch.column("y"), fold=True), width)
+            grams, row = np.concatenate([x, y]), np.concatenate([rows_of(nx), rows_of(ny)])
+            order = np.lexsort((grams, row))
+            grams, row = grams[order], row[order]
+            same = (grams[1:] == grams[:-1]) & (row[1:] == row[:-1])
+            common = np.bincount(row[1:][same], minlength=batch.num_rows)
+            yield batch.select(["a", "b"]).filter(pa.array(100 * common >= t * (nx + ny - common)))
 
     return run
 
@@ -215,19 +248,24 @@ def similar_classes(
     postings = keep(postings, "postings")
     table.unpersist()
 
-    # the sets of classes that share a prefix shingle, in buckets by id: joining pairs to them moves the pairs only
+    # texts of classes that share a prefix shingle, in buckets by id: joining pairs to them moves the pairs only
     active = postings.select("f").distinct()
-    sets = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("f"), "text").join(active, "f", "left_semi").mapInArrow(_sets(width), "f long, c binary, grams binary")
-    name = f"sets_{uuid.uuid4().hex[:12]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets.write.bucketBy(buckets, "f").option("path", f"{shared_dir(spark)}/llm/{name}").saveAsTable(name)
-    sets = spark.table(name)
+    rows = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("f"), "text").join(active, "f", "left_semi")
+    name = f"active_{uuid.uuid4().hex[:12]}"
+    rows = rows.mapInArrow(_profiled(width), "f long, c binary, profile binary, text string").write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "f")
+    rows.option("compression", "zstd").option("path", f"{shared_dir(spark)}/llm/{name}").saveAsTable(name)
+    rows = spark.table(name)
+
+    def meet(pairs: DataFrame, column: str) -> DataFrame:
+        for k, v in (("a", "x"), ("b", "y")):
+            pairs = pairs.join(rows.select(F.col("f").alias(f"f{k}"), F.col("c").alias(f"c{k}"), F.col(column).alias(v)), f"f{k}")
+        return pairs
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
-        """Of pairs ``a fa b fb``, those that link."""
-        met = pairs.join(sets.select(F.col("f").alias("fa"), F.col("c").alias("ca"), F.col("grams").alias("x")), "fa").where("a = ca")
-        met = met.join(sets.select(F.col("f").alias("fb"), F.col("c").alias("cb"), F.col("grams").alias("y")), "fb").where("b = cb")
-        return keep(met.select("a", "b", "x", "y").mapInArrow(_verified(percent), "a binary, b binary"), name)
+        """Of pairs ``a fa na b fb nb``, those that link."""
+        pairs = meet(pairs, "profile").mapInArrow(_possible(percent), "a binary, fa long, b binary, fb long")
+        met = meet(keep(pairs, name + "-possible"), "text").select("a", "b", "ca", "cb", "x", "y")
+        return keep(met.mapInArrow(_verified(width, percent), "a binary, b binary"), name)
 
     links = roots = None
     for turn in range(ROUNDS):
@@ -235,7 +273,7 @@ def similar_classes(
         # the pivot of a bucket: a pseudo-random one of its classes, another in each round
         pivot = rooted.groupBy("gram").agg(F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "f", "n", "root")).alias("p"))
         pairs = rooted.join(pivot, "gram").where((F.col("root") != F.col("p.root")) & _sizes(F.col("n"), F.col("p.n"), percent))
-        pairs = pairs.select(F.col("c").alias("a"), F.col("f").alias("fa"), F.col("p.c").alias("b"), F.col("p.f").alias("fb")).distinct()
+        pairs = pairs.select(F.col("c").alias("a"), F.col("f").alias("fa"), F.col("p.c").alias("b"), F.col("p.f").alias("fb"), F.col("n").alias("na"), F.col("p.n").alias("nb")).distinct()
         found = verify(pairs, "pivot-links")
         links = found if links is None else links.union(found)
         roots = keep(components(links), "roots")
@@ -247,8 +285,8 @@ def similar_classes(
     most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
     enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
     met = x.join(y, "gram").where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & enough)
-    pairs = met.groupBy("c1", "f1", "c2", "f2").agg(F.count("*").alias("m"), F.min(F.least("l1", "l2")).alias("l")).where("m >= l")
-    found = verify(pairs.select(F.col("c1").alias("a"), F.col("f1").alias("fa"), F.col("c2").alias("b"), F.col("f2").alias("fb")), "exact-links")
+    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("m"), F.min(F.least("l1", "l2")).alias("l")).where("m >= l")
+    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb", "m", "l").drop("m", "l"), "exact-links")
     return classes, links.union(found), members
 
 
