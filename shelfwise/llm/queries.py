@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality
+from shelfwise.llm import chat, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents without those in runs of 50 that an earlier document also holds."""
+    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 85 % of their 4-word shingles."""
     return jaccard_join.similarity_components(table(spark, sf_dir, "documents"))
@@ -54,5 +60,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op9_quality)
+    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op9_quality)
 }

@@ -79,3 +79,17 @@ g AS (
   FROM o GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
 """
+
+ORACLE["op2_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+m AS (SELECT h, min(doc_id) AS first FROM x GROUP BY h),
+b AS (SELECT r, i FROM x JOIN m USING (h) WHERE doc_id > first),
+e AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+c AS (SELECT e.r, e.i, word, coalesce(max(b.i) OVER (PARTITION BY e.r ORDER BY e.i), -100) >= e.i - 49 AS gone FROM e LEFT JOIN b ON e.r = b.r AND e.i = b.i),
+k AS (
+  SELECT r, count(*) AS n_words, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept
+  FROM c GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
