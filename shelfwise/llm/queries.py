@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, substring_dedup
+from shelfwise.llm import ann, chat, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,11 +54,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every embedding whose id is divisible by 50."""
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from labels of those that are not held out."""
     return quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op9_quality)
+    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op8_ann, op9_quality)
 }
