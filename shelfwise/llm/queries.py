@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import ann, chat, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, substring_dedup
+from shelfwise.llm import ann, chat, decontaminate, html_text, jaccard_join, language_id, line_dedup, mixing, quality, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op8_ann, op9_quality)
+    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op8_ann, op9_quality, op10_html_text)
 }
