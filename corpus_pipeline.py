@@ -1,29 +1,69 @@
-"""Corpus pipeline: stages over ``documents``, each written to the shared folder and read back."""
+"""Corpus pipeline: five stages over ``documents``, each written to the shared folder and read back.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all documents its
+predecessor kept; all but the last return the columns of ``documents``.
+Null texts are rejected by the first stage (no language); repeated rows meet
+in the near-duplicate stage, where one of each group stays; an empty table
+passes through as an empty table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from shelfwise.llm.line_dedup import dedup_lines
-from shelfwise.llm.mixing import plan
+from shelfwise.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing
 from shelfwise.llm.store import keep
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop lines that five documents or more share, except in the last of them."""
-    return dedup_lines(docs).select(*DOCUMENT)
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a recognisable language: no letter, or no language with half of the posterior."""
+    model = language_id.fit(docs.where(~language_id.held_out("doc_id", 4, 2)))
+    told = language_id.predict(docs.select(*DOCUMENT), model, with_text=True)
+    return told.where((F.col("lang_pred") != language_id.UNDEFINED) & (F.col("score") >= 0.5)).select(*DOCUMENT)
+
+
+def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops lines that five documents or more share, except in the last of them.
+
+    ``n_chars`` follows the text; a document that loses all its lines stays as an empty one.
+    """
+    kept = line_dedup.dedup_lines(docs.select(*DOCUMENT))
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*DOCUMENT)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (five-word shingles, similarity 0.8): the one with the smallest id."""
+    groups = jaccard_join.similarity_components(docs, width=5, percent=80)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
+    kept = docs.select(*DOCUMENT).join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    # rows that repeat an id and its text are copies too
+    copy = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source"))
+    return kept.withColumn("copy", copy).where("copy = 1").select(*DOCUMENT)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.decontaminate(docs.select(*DOCUMENT), items)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents it takes, with their share of words."""
-    return plan(docs, carry=("text", "lang", "n_chars")).where("taken > 0")
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix to the sources' target weights: every document with how many of its words are taken, copies counted."""
+    return mixing.plan(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-STAGES = [("line dedup", line_dedup), ("mix", mix)]
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_common_lines),
+    ("jaccard_join", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
 
-#: Language ID is a fitted model: no SQL states its rows.
+#: The first stage is a fitted model, which SQL can't express; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
@@ -31,5 +71,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = keep(stage(spark, docs, sf_dir), name)
     return docs

@@ -201,7 +201,7 @@ def _table(pieces: tuple[bytes, ...]):
     return hashed(list(pieces))
 
 
-def _score(langs: list[str], pieces, p, prior):
+def _score(langs: list[str], pieces, p, prior, with_text: bool):
     def run(batches):
         table, prob = _table(tuple(pieces.value)), p.value
         for batch in slices(batches, "text"):
@@ -219,7 +219,7 @@ def _score(langs: list[str], pieces, p, prior):
             score = 1 / np.exp(evidence - evidence.max(axis=1, keepdims=True)).sum(axis=1)
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
             names = [langs[b] if ok else UNDEFINED for b, ok in zip(best, letters, strict=True)]
-            rest = batch.select([c for c in batch.schema.names if c not in ("text", "letters")])
+            rest = batch.select([c for c in batch.schema.names if c != "letters" and (with_text or c != "text")])
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(names, pa.string()), pa.array(np.where(letters, score, 0.0))], names=[*rest.schema.names, "lang_pred", "score"])
 
     return run
@@ -266,16 +266,20 @@ def fit(train: DataFrame, vocabulary: str = VOCABULARY, rounds: int = 1) -> Mode
     return Model(langs, pieces, p, prior)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, plus ``lang_pred`` and ``score`` (posterior of the predicted language, 0 for ``und``)."""
+def predict(docs: DataFrame, model: Model, with_text: bool = False) -> DataFrame:
+    """``docs`` (``text`` and other columns) with ``lang_pred`` and ``score``, the posterior of the predicted language (0 for ``und``).
+
+    The text itself comes back only if asked for.  Columns named
+    ``lang_pred``, ``score`` or ``letters`` are replaced or dropped.
+    """
     spark = docs.sparkSession
-    asked = docs.withColumnRenamed(text_col, "text").drop("lang_pred", "score", "letters").withColumn("letters", has_letter(F.col("text")))
-    rest = [f for f in asked.schema.fields if f.name not in ("text", "letters")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["lang_pred string", "score double"])
+    asked = docs.drop("lang_pred", "score", "letters").withColumn("letters", has_letter(F.col("text")))
+    rest = [f for f in asked.schema.fields if f.name != "letters" and (with_text or f.name != "text")]
     if not model.langs:
-        return asked.select(*[f.name for f in rest], F.lit(UNDEFINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return asked.select(*[f"`{f.name}`" for f in rest], F.lit(UNDEFINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["lang_pred string", "score double"])
     pieces, p = spark.sparkContext.broadcast(model.pieces), spark.sparkContext.broadcast(model.p)
-    return asked.mapInArrow(_score(model.langs, pieces, p, model.prior), schema)
+    return asked.mapInArrow(_score(model.langs, pieces, p, model.prior, with_text), schema)
 
 
 def held_out(id_col: str, parts: int, out: int) -> Column:
