@@ -16,8 +16,9 @@ from shelfwise.session import table_path
 
 # Fixed values of the test derivations (shared with the SQL oracles).
 NEW_USER_MODULUS = 5  # user_id % 5 = 0 -> "new" user, hidden from training
-USER_FACTOR_CUT = 50  # embeddings vec_id < 50 are user factors, the rest items
-CENTER_CUT = 10  # vec_id < 10 / user_id < 10 are the fixed centres
+FACTOR_MODULUS = 5  # embeddings vec_id % 5 = 0 are user factors (numbered vec_id / 5), the rest items (numbered on)
+CENTER_MODULUS = 50  # vec_id % 50 = 0 are the fixed centres
+USER_CENTER_MODULUS = 150  # user_id % 150 = 0 are the fixed centres of users
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,8 +47,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     order = F.struct("o_orderdate", "o_orderkey", "l_linenumber", "rating")
     return joined.groupBy(
-        F.col("o_custkey").cast("int").alias("user_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        F.col("o_custkey").cast("bigint").alias("user_id"),
+        F.col("l_partkey").cast("bigint").alias("product_id"),
     ).agg(F.max_by("rating", order).alias("rating"))
 
 
@@ -55,7 +56,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read(spark, sf_dir, "customer")
     nation = read(spark, sf_dir, "nation")  # fixed 25-row dimension
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        F.col("c_custkey").cast("int").alias("user_id"),
+        F.col("c_custkey").cast("bigint").alias("user_id"),
         F.col("c_name").alias("nick_name"),
         (F.col("c_nationkey") % 2).cast("double").alias("gender"),
         (F.lit(18) + F.col("c_custkey") * 7 % 60).cast("double").alias("age"),
@@ -71,7 +72,7 @@ def books(spark: SparkSession, sf_dir: str, rated: DataFrame | None = None) -> D
     )
     part = read(spark, sf_dir, "part")
     return part.join(averages, part.p_partkey == averages.product_id, "left").select(
-        F.col("p_partkey").cast("int").alias("book_id"),
+        F.col("p_partkey").cast("bigint").alias("book_id"),
         F.col("p_name").alias("book_name"),
         F.col("p_brand").alias("author"),
         F.col("average"),
@@ -84,8 +85,8 @@ def rating_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New ratings arriving after bootstrap: one per event."""
     return read(spark, sf_dir, "events").select(
         "event_id",
-        F.col("user_id").cast("int").alias("user_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("product_id"),
+        F.col("user_id").cast("bigint").alias("user_id"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
         F.least(F.lit(5.0), F.lit(1.0) + F.floor(F.col("value") / 20)).cast("double").alias("rating"),
     )
 
@@ -95,32 +96,30 @@ def is_new_user(user_id: Column) -> Column:
 
 
 def user_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, features array<double>)`` for ``vec_id < 50``."""
+    """``(id, features array<double>)`` of every fifth embedding."""
     emb = read(spark, sf_dir, "embeddings")
-    return emb.filter(F.col("vec_id") < USER_FACTOR_CUT).select(
-        F.col("vec_id").cast("int").alias("id"),
+    return emb.filter(F.col("vec_id") % FACTOR_MODULUS == 0).select(
+        F.floor(F.col("vec_id") / FACTOR_MODULUS).cast("bigint").alias("id"),
         F.col("embedding").cast("array<double>").alias("features"),
     )
 
 
 def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other embeddings, numbered 0, 1, ... in the order of their ids."""
     emb = read(spark, sf_dir, "embeddings")
-    return emb.filter(F.col("vec_id") >= USER_FACTOR_CUT).select(
-        F.col("vec_id").cast("int").alias("id"),
+    return emb.filter(F.col("vec_id") % FACTOR_MODULUS != 0).select(
+        (F.col("vec_id") - F.floor(F.col("vec_id") / FACTOR_MODULUS) - 1).cast("bigint").alias("id"),
         F.col("embedding").cast("array<double>").alias("features"),
     )
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read(spark, sf_dir, "embeddings")
-    return emb.select(
-        F.col("vec_id").cast("int").alias("id"),
-        F.col("embedding").cast("array<double>").alias("features"),
-    )
+    return emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"))
 
 
 def embedding_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_points(spark, sf_dir).filter(F.col("id") < CENTER_CUT).select(
+    return embedding_points(spark, sf_dir).filter(F.col("id") % CENTER_MODULUS == 0).select(
         F.col("id").alias("center_id"), "features"
     )
 
@@ -161,7 +160,7 @@ def faulty_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     - purchase: ``user, product,rating``                (blank, trimmed, kept)
     - signup:   ``user,product``                        (too few fields)
     - error:    ``user,product,NaN``                    (rating not finite)
-    - any type with value >= 300: user id + 2^31        (id out of range)
+    - any type with value >= 300: user id + 2^63        (id out of range)
     """
     feed = read(spark, sf_dir, "events").select(
         "event_id",
@@ -171,9 +170,8 @@ def faulty_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("p"),
         F.least(F.lit(5.0), F.lit(1.0) + F.floor(F.col("value") / 20)).cast("double").cast("string").alias("r"),
     )
-    u = F.when(
-        F.col("value") >= 300, (F.col("u").cast("bigint") + F.lit(2147483648)).cast("string")
-    ).otherwise(F.col("u"))
+    beyond = (F.col("u").cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("decimal(20,0)")
+    u = F.when(F.col("value") >= 300, beyond.cast("string")).otherwise(F.col("u"))
     line = (
         F.when(F.col("event_type") == "click", F.concat_ws(",", u, "p", "r", F.col("event_id").cast("string")))
         .when(F.col("event_type") == "purchase", F.concat(u, F.lit(", "), F.col("p"), F.lit(","), F.col("r")))
@@ -182,3 +180,40 @@ def faulty_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws(",", u, "p", "r"))
     )
     return feed.select("event_id", line.alias("value"))
+
+
+def faulty_user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user line per event, with the fields producers get wrong.
+
+    By event type: click lines have a gender in words, purchase lines an
+    empty age, error lines both and an id beyond 2^31, signup lines lack
+    fields.
+    """
+    u = F.col("user_id").cast("string")
+    wide = (F.col("user_id") + F.lit(1 << 33)).cast("string")
+    age = (F.col("event_id") % 90).cast("string")
+    line = (
+        F.when(F.col("event_type") == "click", F.concat_ws(",", u, F.lit("n"), F.lit("female"), age, F.lit("s"), F.lit("l")))
+        .when(F.col("event_type") == "purchase", F.concat_ws(",", u, F.lit("n"), F.lit("1"), F.lit(""), F.lit("s"), F.lit("l")))
+        .when(F.col("event_type") == "signup", F.concat_ws(",", u, F.lit("n")))
+        .when(F.col("event_type") == "error", F.concat_ws(",", wide, F.lit("n"), F.lit("?"), F.lit("old"), F.lit("s"), F.lit("l")))
+        .otherwise(F.concat_ws(",", u, F.lit("n"), F.lit("0"), age, F.lit("s"), F.lit("l")))
+    )
+    return read(spark, sf_dir, "events").select("event_id", line.alias("value"))
+
+
+def faulty_book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A book line per event: 13-digit ids, averages in words, empty or infinite, missing fields."""
+    isbn = (F.lit(9780000000000) + F.col("event_id")).cast("string")
+    average = (
+        F.when(F.col("event_type") == "click", F.lit("n/a")).when(F.col("event_type") == "purchase", F.lit(""))
+        .when(F.col("event_type") == "error", F.lit("Infinity")).otherwise((F.col("event_id") % 5).cast("string"))
+    )
+    full = F.concat_ws(",", isbn, F.lit("t"), F.lit("a"), average, F.lit("s"), F.lit("l"))
+    line = F.when(F.col("event_type") == "signup", F.concat_ws(",", isbn, F.lit("t"))).otherwise(full)
+    return read(spark, sf_dir, "events").select("event_id", line.alias("value"))
+
+
+def wide(ids: Column) -> Column:
+    """Ids moved past the INT range, as book and user keys of large catalogues are."""
+    return ids + F.lit(1 << 40)

@@ -2,16 +2,14 @@
 
 from shelfwise.functions.lists import books_text, first_id, recs_from_text, scores_text
 from shelfwise.functions.split import hash_bucket, key_string, train_flag
-from shelfwise.functions.vectors import as_doubles, dot, nearest, sq_dist
+from shelfwise.functions.vectors import dot, sq_dist
 
 __all__ = [
-    "as_doubles",
     "books_text",
     "dot",
     "first_id",
     "hash_bucket",
     "key_string",
-    "nearest",
     "recs_from_text",
     "scores_text",
     "sq_dist",

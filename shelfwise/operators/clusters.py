@@ -9,19 +9,25 @@ by nearest-centre column expressions for given centres), donors are
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.vectors import nearest
-
 USER = "user_id"
 CLUSTER = "cluster"
 
-# Upper bound on centre values inlined into a plan (k x dim); beyond this use
-# a fitted KMeansModel and ``assign``.
+# Most centre values (k x dim) sent to the tasks of an assignment; beyond this
+# use a fitted KMeansModel and ``assign``.
 MAX_CENTER_VALUES = 2_000_000
 
+# The scoring code travels by value: executors need numpy, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # --- M6 / K7 ----------------------------------------------------------------------
 
@@ -52,31 +58,36 @@ def assign_to_centers(points: DataFrame, centers: DataFrame, id_col: str = "id",
                       features_col: str = "features") -> DataFrame:
     """Nearest given centre: ``(id, center_id, dist)``; ties to the lowest centre id.
 
-    The centre table is bounded by k (checked) and travels with the plan as
-    a constant array, so each point is scored in place - no join, no shuffle.
+    The centre table is bounded by k (checked before it is collected) and
+    broadcast once, so each point is scored in place - no join, no shuffle.
     """
-    n = centers.count()
+    stats = centers.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim")).first()
+    n, dim = int(stats["n"]), int(stats["dim"] or 0)
     if n == 0:
         raise ValueError("no centres")
-    rows = centers.select("center_id", F.col("features").cast("array<double>")).collect()
-    dim = len(rows[0]["features"])
     if n * max(dim, 1) > MAX_CENTER_VALUES:
-        raise ValueError(f"{n} centres x {dim} values exceed the inline bound; fit a KMeansModel")
-    arr = F.array(
-        *[
-            F.struct(
-                F.lit(int(r["center_id"])).alias("center_id"),
-                F.lit([float(x) for x in r["features"]]).cast("array<double>").alias("features"),
-            )
-            for r in rows
-        ]
-    )
-    best = nearest(F.col(features_col).cast("array<double>"), arr)
-    return points.select(
-        F.col(id_col),
-        best["center_id"].alias("center_id"),
-        best["dist"].alias("dist"),
-    )
+        raise ValueError(f"{n} centres x {dim} values exceed the bound; fit a KMeansModel")
+    rows = sorted(centers.select("center_id", F.col("features").cast("array<double>").alias("f")).collect(), key=lambda r: r["center_id"])
+    sent = points.sparkSession.sparkContext.broadcast((np.array([r["center_id"] for r in rows]), np.array([r["f"] for r in rows], float)))
+
+    def score(batches):
+        ids, c = sent.value
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            p = np.stack(pdf["f"].to_numpy()).astype(float)
+            # element by element in order, as a sequential sum does; ties go to the lowest id
+            dist = np.zeros((len(p), len(c)))
+            for j in range(c.shape[1]):
+                d = p[:, j, None] - c[None, :, j]
+                dist += d * d
+            best = dist.argmin(axis=1)
+            yield pd.DataFrame({"id": pdf["id"], "center_id": ids[best], "dist": dist[np.arange(len(p)), best]})
+
+    kinds = {"id": points.schema[id_col].dataType.simpleString(), "center": centers.schema["center_id"].dataType.simpleString()}
+    rows = points.select(F.col(id_col).alias("id"), F.col(features_col).cast("array<double>").alias("f"))
+    out = rows.mapInPandas(score, f"id {kinds['id']}, center_id {kinds['center']}, dist double")
+    return out.withColumnRenamed("id", id_col)
 
 
 # --- F2 / L2 / M8 / J3 / M9 -------------------------------------------------------
@@ -84,6 +95,7 @@ def assign_to_centers(points: DataFrame, centers: DataFrame, id_col: str = "id",
 
 def same_cluster(assigned: DataFrame, clusters: DataFrame) -> DataFrame:
     """Rows whose cluster is one of ``clusters`` (set form of the filter)."""
+    # cluster ids are few by construction: AQE broadcasts the distinct ones by their measured size
     return assigned.join(clusters.select(CLUSTER).distinct(), CLUSTER, "left_semi")
 
 

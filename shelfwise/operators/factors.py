@@ -1,11 +1,12 @@
 """Matrix-factorisation recommendations.
 
-* ``fit_als`` / ``recommend`` wrap ``pyspark.ml`` ALS: the whole user base is
-  scored in one blocked job (``recommendForAllUsers``), or just the users of
-  a micro-batch (``recommendForUserSubset``) - never one job per user.
-* ``topk_from_factors`` / ``predict_pairs`` work on *given* factor tables
-  ``(id, features array<double>)``, for parity checks and for factors that
-  did not come from a fitted model.
+* ``fit_als`` runs ``pyspark.ml`` ALS over ids of any size: a stored
+  dictionary numbers the distinct users and items as the INT that ALS wants.
+  The result is a pair of factor tables under the original ids.
+* ``recommend`` / ``topk_from_factors`` score factor tables: blocks of items
+  are broadcast one after the other, user rows are scored where they lie,
+  and each block leaves at most k rows per user.  ``predict_pairs`` scores
+  given pairs.
 
 Scores include items the user already rated (as the original did), and are
 not clamped to the rating scale.
@@ -13,8 +14,6 @@ not clamped to the rating scale.
 
 from __future__ import annotations
 
-import math
-
 import sys
 
 import numpy as np
@@ -25,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.vectors import dot
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.schemas import MAX_DISTINCT
+from shelfwise.session import ensure_checkpoint_dir, scratch_path
 
 USER = "user_id"
 ITEM = "product_id"
@@ -44,7 +44,7 @@ def als(
     max_iter: int = 20,
     reg_param: float = 0.1,
     seed: int = 42,
-    num_blocks: int | None = None,
+    num_blocks: int = 10,
     implicit_prefs: bool = False,
     checkpoint_interval: int = 10,
 ) -> ALS:
@@ -63,49 +63,130 @@ def als(
         intermediateStorageLevel="MEMORY_AND_DISK",
         finalStorageLevel="MEMORY_AND_DISK",
     )
-    if num_blocks:
-        est = est.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
-    return est
+    return est.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
+
+
+#: ALS blocks unless the job says otherwise; part of the model, not of the cluster it was fitted on.
+NUM_BLOCKS = 10
+#: Folders of a saved user-factor table, so that a batch reads only those of its users.
+USER_BUCKETS = 64
+
 
+def dictionary(ids: DataFrame, id_col: str) -> DataFrame:
+    """``(id, idx)``: distinct ids numbered 0, 1, ... without collecting them.
 
-def default_blocks(spark: SparkSession) -> int:
-    """ALS blocks follow the cluster's parallelism (bounded)."""
-    return max(1, min(int(spark.sparkContext.defaultParallelism), 2000))
+    Ids are dealt into parts by hash; a part's numbers start after those of
+    the parts before it.  More than ALS can number are refused.
+    """
+    distinct = ids.select(F.col(id_col).cast("bigint").alias("id")).distinct()
+    n = distinct.count()
+    if n > MAX_DISTINCT:
+        raise ValueError(f"{n} distinct {id_col} values: ALS numbers at most {MAX_DISTINCT}")
+    parts = max(1, n // 50_000)
+    dealt = distinct.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
+    sizes = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("start"))  # a row per part
+    place = F.row_number().over(Window.partitionBy("part").orderBy("id")) - 1
+    return dealt.withColumn("place", place).join(starts, "part").select("id", (F.col("start") + F.col("place")).cast("int").alias("idx"))
+
+
+class FactorModel:
+    """A fitted factorisation: ``users`` and ``items`` are ``(id, features)`` under the original ids."""
+
+    def __init__(self, users: DataFrame, items: DataFrame, rank: int, als: ALSModel | None = None, path: str | None = None,
+                 ids: dict[str, DataFrame] | None = None):
+        self.users, self.items, self.rank, self.als, self.path, self.ids = users, items, rank, als, path, ids or {}
+        self._block = None
+
+    def save_to(self, path: str) -> None:
+        """Factor tables under ``path``, the users' in buckets by id, and the ``pyspark.ml`` model with its numbering beside them."""
+        bucket = F.pmod(F.xxhash64("id"), F.lit(USER_BUCKETS)).alias("bucket")
+        self.users.select("id", "features", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/users")
+        self.items.write.mode("overwrite").parquet(f"{path}/items")
+        if self.als is not None:
+            self.als.write().overwrite().save(f"{path}/als")
+        for short, ids in self.ids.items():
+            ids.write.mode("overwrite").parquet(f"{path}/ids-{short}")
+
+    @staticmethod
+    def load(path: str) -> "FactorModel":
+        spark = SparkSession.getActiveSession()
+        users = spark.read.schema("id bigint, features array<double>, bucket int").parquet(f"{path}/users")
+        items = spark.read.schema("id bigint, features array<double>").parquet(f"{path}/items")
+        first = items.select(F.size("features").alias("n")).first()
+        return FactorModel(users, items, int(first["n"]) if first else 0, path=path)
+
+    def of_users(self, wanted: DataFrame) -> DataFrame:
+        """Factors of the users in ``wanted``; of a saved model only their buckets are read."""
+        wanted = wanted.select(F.col(USER).cast("bigint").alias("id")).distinct()
+        users = self.users
+        if self.path is not None:
+            # at most USER_BUCKETS values
+            buckets = wanted.select(F.pmod(F.xxhash64("id"), F.lit(USER_BUCKETS)).cast("int").alias("b")).distinct().collect()
+            users = users.filter(F.col("bucket").isin([r["b"] for r in buckets]))
+        return users.select("id", "features").join(wanted, "id", "left_semi")
 
 
 def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 20, reg_param: float = 0.1,
-            seed: int = 42, num_blocks: int | None = None, **kw) -> ALSModel:
-    """Explicit-feedback ALS on ``(user_id, product_id, rating)``.
+            seed: int = 42, num_blocks: int = NUM_BLOCKS, **kw) -> FactorModel:
+    """Explicit-feedback ALS on ``(user_id, product_id, rating)``, ids of any BIGINT value.
 
     Lineage is cut every ``checkpoint_interval`` iterations into the
-    session's checkpoint folder, so long fits survive lost executors.
+    session's checkpoint folder, so long fits survive lost executors.  The
+    fit depends on ``num_blocks``, not on the size of the cluster.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = num_blocks or default_blocks(spark)
-    return als(rank, max_iter, reg_param, seed, blocks, **kw).fit(ratings.select(USER, ITEM, RATING))
+    root = scratch_path(spark, "als-ids")
+    numbered = ratings.select(USER, ITEM, RATING)
+    for column, short in ((USER, "u"), (ITEM, "i")):
+        dictionary(ratings, column).write.parquet(f"{root}/{short}")
+    ids = {short: spark.read.parquet(f"{root}/{short}") for short in ("u", "i")}
+    for column, short in ((USER, "u"), (ITEM, "i")):
+        numbered = numbered.join(ids[short].select(F.col("id").alias(column), F.col("idx").alias(short)), column)
+    numbered = numbered.select(F.col("u").alias(USER), F.col("i").alias(ITEM), RATING)
+    model = als(rank, max_iter, reg_param, seed, num_blocks, **kw).fit(numbered)
 
+    def tables(found: DataFrame, short: str) -> DataFrame:
+        named = found.join(ids[short], found["id"] == ids[short]["idx"])
+        return named.select(ids[short]["id"], F.col("features").cast("array<double>").alias("features"))
 
-# --- L1 / J5: recommend ---------------------------------------------------------
+    return FactorModel(tables(model.userFactors, "u"), tables(model.itemFactors, "i"), rank, als=model, ids=ids)
 
 
-def _normalise(recs: DataFrame) -> DataFrame:
-    items = F.transform(
-        F.col("recommendations"),
-        lambda x: F.struct(x[ITEM].alias(ITEM), x[RATING].cast("double").alias("score")),
-    )
-    return recs.select(F.col(USER), items.alias("recs"))
+def transform(path: str, pairs: DataFrame) -> DataFrame:
+    """Scores pairs with the saved ``pyspark.ml`` model itself: adds ``prediction``; unknown ids drop out."""
+    spark = pairs.sparkSession
+    numbered = pairs
+    for column, short in ((USER, "u"), (ITEM, "i")):
+        ids = spark.read.schema("id bigint, idx int").parquet(f"{path}/ids-{short}")
+        numbered = numbered.join(ids.select(F.col("id").alias(column), F.col("idx").alias(f"_{short}")), column)
+    model = ALSModel.load(f"{path}/als").setUserCol("_u").setItemCol("_i").setColdStartStrategy("drop")
+    return model.transform(numbered).drop("_u", "_i")
+
 
+def release(spark: SparkSession, before: set[int]) -> None:
+    """Unpersists the RDDs that fits have left behind since ``before`` (see ``persistent``)."""
+    for key, rdd in dict(spark.sparkContext._jsc.getPersistentRDDs()).items():
+        if int(key) not in before:
+            rdd.unpersist(False)
 
-def recommend(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:
+
+def persistent(spark: SparkSession) -> set[int]:
+    return {int(k) for k in dict(spark.sparkContext._jsc.getPersistentRDDs())}
+
+
+# --- L1 / J5: recommend ---------------------------------------------------------
+
+
+def recommend(model: FactorModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:
     """``(user_id, recs array<struct<product_id, score>>)``, best first.
 
     With ``users`` only those users are scored (cost follows the batch, not
     the user base); unseen users get no row.
     """
-    if users is None:
-        return _normalise(model.recommendForAllUsers(k))
-    return _normalise(model.recommendForUserSubset(users.select(USER).distinct(), k))
+    rows = model.users if users is None else model.of_users(users)
+    return collect_recs(topk_from_factors(rows, model.items, k, round_digits=None, model=model))
 
 
 def explode_recs(recs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -135,90 +216,82 @@ def collect_recs(ranked: DataFrame) -> DataFrame:
 
 def predict_pairs(pairs: DataFrame, user_f: DataFrame, item_f: DataFrame,
                   round_digits: int | None = 6) -> DataFrame:
-    """Pairs joined to both factor tables; unknown ids drop out (inner joins)."""
+    """Pairs joined to both factor tables; unknown ids drop out (inner joins).
+
+    An item table of at most BLOCK_BYTES (counted first) is broadcast, so
+    that no user vector is shuffled a second time with its pair.
+    """
+    stats = item_f.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim")).first()
+    small = int(stats["n"]) * int(stats["dim"] or 1) * 8 <= BLOCK_BYTES
     u = user_f.select(F.col("id").alias(USER), F.col("features").alias("_uf"))
     i = item_f.select(F.col("id").alias(ITEM), F.col("features").alias("_if"))
     score = dot(F.col("_uf"), F.col("_if"))
     if round_digits is not None:
         score = F.round(score, round_digits)
-    return pairs.join(u, USER).join(i, ITEM).withColumn("score", score).drop("_uf", "_if")
+    return pairs.join(u, USER).join(F.broadcast(i) if small else i, ITEM).withColumn("score", score).drop("_uf", "_if")
 
 
-def predict_with_model(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """``model.transform``: adds ``prediction``; pairs with unknown ids are dropped."""
-    return model.transform(pairs)
+def predict_with_model(model: FactorModel, pairs: DataFrame) -> DataFrame:
+    """Adds ``prediction``; pairs with unknown ids are dropped."""
+    return predict_pairs(pairs, model.users, model.items, None).withColumnRenamed("score", "prediction")
 
 
-# --- J5 parity form: exact top-k over factor tables ---------------------------------
+# --- J5: exact top-k over factor tables ----------------------------------------------
 
-# Item factor tables up to this size (bytes, as float64) are broadcast;
-# larger ones are scored block against block.
-BROADCAST_ITEM_BYTES = 256 * 1024 * 1024
-# Memory for one score matrix inside a task.
-SCORE_CHUNK_BYTES = 64 * 1024 * 1024
+#: Bytes of item factors broadcast at once; a larger table is scored block after block.
+BLOCK_BYTES = 64 * 1024 * 1024
+#: Bytes of one score matrix, or of one batch of element products, inside a task.
+CHUNK_BYTES = 32 * 1024 * 1024
 
-_CANDIDATES = "uid int, iid int, score double"
+_CANDIDATES = "uid bigint, iid bigint, score double"
 
 
-def _empty_candidates() -> pd.DataFrame:
-    return pd.DataFrame({"uid": pd.Series([], dtype="int32"),
-                         "iid": pd.Series([], dtype="int32"),
-                         "score": pd.Series([], dtype="float64")})
+def _rounded(score: np.ndarray, digits: int | None, shift: float) -> np.ndarray:
+    return score if digits is None else np.floor((score + shift) * 10.0**digits + 0.5)
 
 
-def _candidates(uid: np.ndarray, uf: np.ndarray, iid: np.ndarray, itf: np.ndarray,
-                k: int, margin: float) -> pd.DataFrame:
-    """Each user's near-top items among ``itf``.
+def _best(uid: np.ndarray, uf: np.ndarray, iid: np.ndarray, itf: np.ndarray, k: int, digits: int | None):
+    """Each user's k best items of one block by (score, item id), as frames.
 
-    Candidates are the local top ``k`` plus everything within ``margin`` of
-    the k-th score, so rounding ties are resolved exactly by the final
-    ranking.  The returned score is a sequential left fold of the element
-    products (the same value a column-expression dot product gives).
+    Matrix products only choose; the score returned is a sequential left
+    fold of the element products (the value a column expression gives).
+    With rounding, a score within 1e-9 of a rounding edge is ranked both
+    ways, and what either ranking keeps goes on to the final one.
     """
-    n_items = itf.shape[0]
-    if uf.shape[0] == 0 or n_items == 0:
-        return _empty_candidates()
-    kk = min(k, n_items)
-    chunk = max(1, min(4096, SCORE_CHUNK_BYTES // (8 * n_items)))
-    out = []
-    for start in range(0, uf.shape[0], chunk):
-        block = uf[start:start + chunk]
+    n, dim = itf.shape
+    kk = min(k, n)
+    margin = 0.0 if digits is None else 10.0**-digits
+    step = max(1, CHUNK_BYTES // (8 * n))
+    for at in range(0, len(uf), step):
+        block = uf[at : at + step]
         s = block @ itf.T
-        kth = np.partition(s, n_items - kk, axis=1)[:, n_items - kk]
-        tol = margin + 1e-9 * np.maximum(1.0, np.abs(kth))
-        rows, cols = np.nonzero(s >= (kth - tol)[:, None])
-        prods = block[rows] * itf[cols]
-        exact = np.add.accumulate(prods, axis=1)[:, -1] if prods.shape[1] else np.zeros(len(rows))
-        out.append(pd.DataFrame({"uid": uid[start + rows].astype("int32"),
-                                 "iid": iid[cols].astype("int32"),
-                                 "score": exact}))
-    return pd.concat(out, ignore_index=True)
+        kth = np.partition(s, n - kk, axis=1)[:, n - kk]
+        near = kth - margin - 1e-9 * np.maximum(1.0, np.abs(kth))
+        rows, cols = np.nonzero(s >= near[:, None])
+        exact = np.zeros(len(rows))
+        few = max(1, CHUNK_BYTES // (8 * max(1, dim)))
+        for a in range(0, len(rows), few):
+            fold = np.add.accumulate(block[rows[a : a + few]] * itf[cols[a : a + few]], axis=1)
+            exact[a : a + few] = fold[:, -1] if dim else 0.0
+        kept = np.zeros(len(rows), bool)
+        for shift in (0.0,) if digits is None else (-1e-9, 1e-9):
+            order = np.lexsort((iid[cols], -_rounded(exact, digits, shift), rows))
+            r = rows[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            kept[order[place < k]] = True
+        yield pd.DataFrame({"uid": uid[at + rows[kept]], "iid": iid[cols[kept]], "score": exact[kept]})
 
 
 def _stack(col: pd.Series) -> np.ndarray:
     return np.stack(col.to_numpy()).astype(np.float64)
 
 
-def _block_scorer(k: int, margin: float):
-    """Co-grouped (user block, item block) -> candidates."""
-
-    def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        if users.empty or items.empty:
-            return _empty_candidates()
-        return _candidates(users["uid"].to_numpy(), _stack(users["uf"]),
-                           items["iid"].to_numpy(), _stack(items["if_"]), k, margin)
-
-    return score
-
-
-def _broadcast_scorer(bc, k: int, margin: float):
-    """User batches scored against the broadcast item matrix."""
-
+def _scorer(block, k: int, digits: int | None):
     def score(batches):
-        iid, itf = bc.value
+        iid, itf = block.value
         for pdf in batches:
-            if not pdf.empty:
-                yield _candidates(pdf["uid"].to_numpy(), _stack(pdf["uf"]), iid, itf, k, margin)
+            if len(pdf) and len(iid):
+                yield from _best(pdf["uid"].to_numpy(), _stack(pdf["uf"]), iid, itf, k, digits)
 
     return score
 
@@ -234,61 +307,47 @@ def _rank(cand: DataFrame, k: int, round_digits: int | None) -> DataFrame:
     )
 
 
+def _send(items: DataFrame):
+    """One block of items, of at most about BLOCK_BYTES, as a broadcast pair of arrays."""
+    local = items.toPandas()
+    values = (local["iid"].to_numpy(), _stack(local["features"])) if len(local) else (np.zeros(0, np.int64), np.zeros((0, 0)))
+    return items.sparkSession.sparkContext.broadcast(values)
+
+
 def topk_from_factors(
     user_f: DataFrame,
     item_f: DataFrame,
     k: int = 10,
     round_digits: int | None = 6,
-    block_size: int = 4096,
-    broadcast_bytes: int = BROADCAST_ITEM_BYTES,
+    block_bytes: int = BLOCK_BYTES,
+    model: FactorModel | None = None,
 ) -> DataFrame:
     """Exact top-k items per user by dot product: ``(user_id, rank, product_id, score)``.
 
     Ranking: score (rounded to ``round_digits``) descending, then product id
-    ascending.  No per-pair row is ever materialised:
-
-    * item factors within ``broadcast_bytes`` (size checked first) are
-      broadcast and each user partition is scored in place (``mapInPandas``);
-    * larger item tables are hashed into user blocks x item blocks; each
-      pair of blocks is one co-grouped task multiplying two dense matrices.
-
-    Either way only near-top candidates (about k per user and item block)
-    are shuffled, to the final per-user ranking.
+    ascending.  Items are dealt into blocks of ``block_bytes``; each block
+    is broadcast in turn and leaves at most k rows per user (a few more at
+    rounding edges), written to shared storage before the next one.  Users
+    are never shuffled.  A model's only block stays broadcast with it.
     """
     spark = user_f.sparkSession
-    margin = 10.0 ** (-round_digits) if round_digits is not None else 0.0
-    users = user_f.select(F.col("id").cast("int").alias("uid"), F.col("features").cast("array<double>").alias("uf"))
-    items = item_f.select(F.col("id").cast("int").alias("iid"), F.col("features").cast("array<double>").alias("if_"))
-    stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("if_")).alias("dim")).first()
-    n_items, dim = int(stats["n"]), int(stats["dim"] or 0)
-    if n_items * max(dim, 1) * 8 <= broadcast_bytes:
-        local = items.toPandas()
-        iid = local["iid"].to_numpy() if n_items else np.zeros(0, dtype=np.int32)
-        itf = _stack(local["if_"]) if n_items else np.zeros((0, dim))
-        bc = spark.sparkContext.broadcast((iid, itf))
-        cand = users.mapInPandas(_broadcast_scorer(bc, k, margin), schema=_CANDIDATES)
-        return _rank(cand, k, round_digits)
-    n_users = users.count()
-    n_ub = max(1, math.ceil(n_users / block_size))
-    n_ib = max(1, math.ceil(n_items / block_size))
-    ublocks = users.withColumn("ub", F.pmod(F.xxhash64("uid"), F.lit(n_ub))).withColumn(
-        "ib", F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1)).cast("array<bigint>"))
-    )
-    iblocks = items.withColumn("ib", F.pmod(F.xxhash64("iid"), F.lit(n_ib))).withColumn(
-        "ub", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1)).cast("array<bigint>"))
-    )
-    cand = (
-        ublocks.groupBy("ub", "ib")
-        .cogroup(iblocks.groupBy("ub", "ib"))
-        .applyInPandas(_block_scorer(k, margin), schema=_CANDIDATES)
-    )
-    return _rank(cand, k, round_digits)
-
-
-def model_factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
-    """The fitted factor tables as ``(id, features array<double>)``."""
-    cast = lambda df: df.select(F.col("id").cast("int"), F.col("features").cast("array<double>"))
-    return cast(model.userFactors), cast(model.itemFactors)
+    users = user_f.select(F.col("id").cast("bigint").alias("uid"), F.col("features").cast("array<double>").alias("uf"))
+    items = item_f.select(F.col("id").cast("bigint").alias("iid"), F.col("features").cast("array<double>").alias("features"))
+    if model is not None and model._block is not None:
+        return _rank(users.mapInPandas(_scorer(model._block, k, round_digits), schema=_CANDIDATES), k, round_digits)
+    stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim")).first()
+    n_blocks = max(1, -(-int(stats["n"]) * int(stats["dim"] or 1) * 8 // block_bytes))
+    if n_blocks == 1:
+        block = _send(items)
+        if model is not None:
+            model._block = block
+        return _rank(users.mapInPandas(_scorer(block, k, round_digits), schema=_CANDIDATES), k, round_digits)
+    root = scratch_path(spark, "topk")
+    for b in range(n_blocks):
+        block = _send(items.filter(F.pmod(F.xxhash64("iid"), F.lit(n_blocks)) == b))
+        users.mapInPandas(_scorer(block, k, round_digits), schema=_CANDIDATES).write.parquet(f"{root}/block={b}")
+        block.destroy()
+    return _rank(spark.read.schema(_CANDIDATES).parquet(*[f"{root}/block={b}" for b in range(n_blocks)]), k, round_digits)
 
 
 # --- A1 / F1 / J2: who is known ---------------------------------------------------
@@ -299,9 +358,9 @@ def distinct_users(ratings: DataFrame) -> DataFrame:
     return ratings.select(USER).distinct()
 
 
-def known_users(model: ALSModel) -> DataFrame:
+def known_users(model: FactorModel) -> DataFrame:
     """Users the model has factors for (and can therefore recommend to)."""
-    return model.userFactors.select(F.col("id").cast("int").alias(USER))
+    return model.users.select(F.col("id").alias(USER))
 
 
 def split_known(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,12 +28,16 @@ def _registry_path(root: str) -> str:
     return f"{root.rstrip('/')}/_registry"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def current(spark: SparkSession, root: str, kind: str) -> tuple[int, str] | None:
     """(version, path) of the newest registered model of ``kind``."""
-    try:
-        reg = spark.read.schema(_SCHEMA).parquet(_registry_path(root))
-    except AnalysisException:
+    if not exists(spark, _registry_path(root)):
         return None
+    reg = spark.read.schema(_SCHEMA).parquet(_registry_path(root))
     row = reg.filter(F.col("kind") == kind).agg(F.max_by(F.struct("version", "path"), "version").alias("v")).first()
     if row is None or row["v"] is None:
         return None
@@ -52,8 +55,14 @@ def save(spark: SparkSession, model, root: str, kind: str, version: int | None =
     if version is None:
         cur = current(spark, root, kind)
         version = 1 if cur is None else cur[0] + 1
+        # a folder left by a save that was never registered is not taken over
+        while exists(spark, f"{root.rstrip('/')}/{kind}/v{version}"):
+            version += 1
     path = f"{root.rstrip('/')}/{kind}/v{version}"
-    model.write().overwrite().save(path)
+    if hasattr(model, "save_to"):
+        model.save_to(path)
+    else:
+        model.write().overwrite().save(path)
     if register_now:
         register(spark, root, kind, version, path)
     return version, path

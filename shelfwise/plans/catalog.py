@@ -24,6 +24,13 @@ from shelfwise.sources.keyed import KeyedTable
 ROUND = 6
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to shared storage, for queries that use a derived frame several times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- sources (S1-S3) -------------------------------------------------------------------
 
 
@@ -46,6 +53,24 @@ def books_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.read_books(spark, path).good
 
 
+def users_parse_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept user lines of a faulty producer: gender or age null where it is no number, ids past INT."""
+    return text.parse_users(fx.faulty_user_lines(spark, sf_dir), keep=["event_id"]).good
+
+
+def books_parse_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept book lines of a faulty producer: 13-digit ids, averages null where they are no number."""
+    return text.parse_books(fx.faulty_book_lines(spark, sf_dir), keep=["event_id"]).good
+
+
+def parse_wide_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating lines whose ids are past INT, read back whole."""
+    feed = fx.rating_feed(spark, sf_dir)
+    moved = feed.select("event_id", fx.wide(F.col("user_id")).alias("user_id"), fx.wide(F.col("product_id")).alias("product_id"), "rating")
+    lines = moved.select("event_id", F.concat_ws(",", "user_id", "product_id", "rating").alias("value"))
+    return text.parse_ratings(lines, keep=["event_id"]).good
+
+
 def feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted lines of the faulty rating feed."""
     return text.parse_ratings(fx.faulty_feed_lines(spark, sf_dir), keep=["event_id"]).good
@@ -109,7 +134,7 @@ def train_valid_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rmse_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-product mean of the training side predicts the validation side."""
-    train, valid = evaluate.split(fx.ratings(spark, sf_dir))
+    train, valid = evaluate.split(staged(fx.ratings(spark, sf_dir), "ratings"))
     means = train.groupBy("product_id").agg(F.avg("rating").alias("prediction"))
     pred = valid.select("user_id", "product_id").join(means, "product_id")
     out = evaluate.rmse_frame(pred, valid)
@@ -131,7 +156,7 @@ SELECT_THRESHOLDS = [1.0, 10.0]
 
 def baseline_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trials table of a damped per-product-mean predictor, one pass for all trials."""
-    train, valid = evaluate.split(fx.ratings(spark, sf_dir))
+    train, valid = evaluate.split(staged(fx.ratings(spark, sf_dir), "ratings"))
     stats = train.groupBy("product_id").agg(F.sum("rating").alias("s"), F.count(F.lit(1)).alias("n"))
     mu = train.agg(F.avg("rating")).first()[0]  # one scalar
     params = F.explode(
@@ -156,7 +181,7 @@ def baseline_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trials = baseline_trials(spark, sf_dir)
+    trials = staged(baseline_trials(spark, sf_dir), "trials")
     outs = [
         evaluate.select_best(trials, max_rmse=t).withColumn("threshold", F.lit(t))
         for t in SELECT_THRESHOLDS
@@ -172,8 +197,7 @@ def select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fx.rating_feed(spark, sf_dir).select("event_id", "user_id", "product_id")
-    items = fx.item_factors(spark, sf_dir).withColumn("id", F.col("id") - fx.USER_FACTOR_CUT)
-    return factors.predict_pairs(pairs, fx.user_factors(spark, sf_dir), items, ROUND).select(
+    return factors.predict_pairs(pairs, fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), ROUND).select(
         "event_id", "user_id", "product_id", "score"
     )
 
@@ -182,6 +206,18 @@ def topk_from_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factors.topk_from_factors(fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), 10, ROUND)
 
 
+def topk_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k where all scores tie: every fifth user has zero factors, so the smallest item ids win."""
+    zero = F.transform("features", lambda x: x * 0.0)
+    users = fx.user_factors(spark, sf_dir).withColumn("features", F.when(F.col("id") % 5 == 0, zero).otherwise(F.col("features")))
+    return factors.topk_from_factors(users, fx.item_factors(spark, sf_dir), 10, ROUND)
+
+
+def topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same top-k with items dealt into several broadcast blocks."""
+    return factors.topk_from_factors(fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), 10, ROUND, block_bytes=64 * 1024)
+
+
 def recs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = factors.collect_recs(topk_from_factors(spark, sf_dir))
     return recs.select("user_id", lists.books_text(F.col("recs")).alias("books"),
@@ -206,10 +242,10 @@ CLUSTER_FEATURES = ("gender", "age")
 
 
 def _user_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every user's nearest fixed centre (users 0..9 on gender, age)."""
+    """Every user's nearest fixed centre (every 150th user, on gender and age)."""
     users = fx.users(spark, sf_dir)
     pts = users.select(F.col("user_id").alias("id"), F.array(*[F.col(c) for c in CLUSTER_FEATURES]).alias("features"))
-    centers = pts.filter(F.col("id") < fx.CENTER_CUT).select(F.col("id").alias("center_id"), "features")
+    centers = pts.filter(F.col("id") % fx.USER_CENTER_MODULUS == 0).select(F.col("id").alias("center_id"), "features")
     return clusters.assign_to_centers(pts, centers).select(
         F.col("id").alias("user_id"), F.col("center_id").alias("cluster")
     )
@@ -239,9 +275,9 @@ def cluster_donors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cold_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = _user_clusters(spark, sf_dir)
-    recs = _given_recs(spark, sf_dir)
-    donor_table = clusters.donors(assigned, recs)
+    assigned = staged(_user_clusters(spark, sf_dir), "assigned")
+    recs = staged(_given_recs(spark, sf_dir), "recs")
+    donor_table = staged(clusters.donors(assigned, recs), "donors")
     new = assigned.filter(fx.is_new_user(F.col("user_id")))
     out = clusters.cold_start(new, donor_table, recs, served=recs)
     return factors.explode_recs(out, keep=["donor_id"]).select("user_id", "donor_id", "rank", "product_id")
@@ -301,6 +337,56 @@ def create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(F.lit(first).alias("created_first"), F.lit(second).alias("created_second"), "n_rows")
 
 
+def keyed_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point lookup of the user of the latest event, and the answer for keys that are absent."""
+    table = _users_table(spark, "users-get")
+    table.upsert(fx.users(spark, sf_dir), writer="bootstrap", batch_id=0)
+    last = fx.rating_feed(spark, sf_dir).agg(F.max_by("user_id", "event_id").alias("u")).first()["u"]
+    point = table.get({"user_id": last}, ["nick_name", "age"]).withColumn("how", F.lit("get"))
+    keys = fx.rating_feed(spark, sf_dir).select((F.col("user_id") * 100).alias("user_id"))
+    looked = table.lookup(keys, ["nick_name", "age"], keep_absent=True).withColumn("how", F.lit("lookup"))
+    return point.unionByName(looked)
+
+
+def _placed(df: DataFrame, order: str, *cols: str) -> DataFrame:
+    """Rows with a ``_seq`` that follows ``order``, as the lines of one file have."""
+    seq = F.struct(*[F.lit(0).cast("bigint").alias(c) for c in ("at", "file", "block")], F.col(order).alias("pos"))
+    return df.select(*cols, seq.alias("_seq"))
+
+
+def upsert_same_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many lines of one user in one batch: the last line wins as a whole, cells of two lines never mix."""
+    table = _users_table(spark, "users-same-batch")
+    table.upsert(fx.users(spark, sf_dir), writer="bootstrap", batch_id=0, generation=0, full=True)
+    e = F.col("event_id")
+    lines = fx.read(spark, sf_dir, "events").select(
+        e, F.col("user_id"), F.concat(F.lit("n"), e).alias("nick_name"), (e % 2).cast("double").alias("gender"),
+        F.when(e % 3 > 0, (100 - e % 83).cast("double")).alias("age"), F.concat(F.lit("s"), e % 7).alias("read_style"), F.concat(F.lit("l"), 9 - e % 9).alias("user_label"),
+    )
+    rows = _placed(lines, "event_id", "user_id", "nick_name", "gender", "age", "read_style", "user_label")
+    table.upsert(rows, writer="users-feed-g1", batch_id=0, generation=1, full=True)
+    return table.latest()
+
+
+def history_same_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of one pair in one batch: the last wins, not the largest."""
+    table = jobs.Store(spark, scratch_path(spark, "store")).history
+    feed = fx.rating_feed(spark, sf_dir)
+    table.upsert(_placed(feed, "event_id", "user_id", "product_id", "rating"), writer="ratings-g1", batch_id=0, generation=1)
+    return table.latest()
+
+
+def reload_after_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load after a fold: changed and added users are there, the rest is as before."""
+    users = fx.users(spark, sf_dir)
+    table = _users_table(spark, "users-reload")
+    table.upsert(users.filter(F.col("user_id") % 7 != 0), writer="bootstrap", batch_id=1, generation=0, full=True)
+    table.compact()
+    again = users.filter((F.col("user_id") % 7 == 0) | (F.col("user_id") % 4 == 0))
+    table.upsert(again.withColumn("nick_name", F.concat("nick_name", F.lit("-2"))), writer="bootstrap", batch_id=2, generation=0, full=True)
+    return table.latest()
+
+
 def keyed_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compaction keeps the latest state; writes after it still apply per cell."""
     users = fx.users(spark, sf_dir)
@@ -350,7 +436,7 @@ def recs_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = store.recs_latest()
     return latest.select(
         "user_id", "source", "model_version",
-        F.col("recs")[0]["product_id"].alias("first_product"),
+        F.array_join(F.transform("recs", lambda x: x["product_id"].cast("string")), ",").alias("products"),
         F.size("recs").alias("n_recs"),
     )
 
@@ -368,7 +454,6 @@ def bootstrap_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     text.write_lines(fx.rating_lines(ratings).unionByName(faulty), paths["ratings"])
     text.write_lines(fx.user_lines(fx.users(spark, sf_dir)), paths["users"])
     text.write_lines(fx.book_lines(fx.books(spark, sf_dir, ratings)), paths["books"])
-    jobs.bootstrap(spark, f"{root}/store", paths["ratings"], paths["users"], paths["books"],
-                   als_params={"max_iter": 5}, n_clusters=20)
+    jobs.bootstrap(spark, f"{root}/store", paths["ratings"], paths["users"], paths["books"])
     rejected = jobs.Store(spark, f"{root}/store").rejected()
     return rejected.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))

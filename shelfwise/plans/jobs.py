@@ -17,12 +17,12 @@ also cuts the plan, so recomputation after a lost executor starts there.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from shelfwise.operators import clusters, evaluate, factors, features, registry
 from shelfwise.schemas import BOOKS, RATINGS, RECS, USERS
 from shelfwise.sources import text
-from shelfwise.sources.keyed import KeyedTable, nullable
+from shelfwise.sources.keyed import SEQ, KeyedTable, nullable
 
 # Recommendation sources, ranked: an ALS list always beats a copied one.
 SOURCE_RANK = {"cold_start": 1, "als": 2}
@@ -40,7 +40,7 @@ RECS_LOG = T.StructType(list(RECS.fields) + [T.StructField("source_rank", T.Inte
 DONORS = T.StructType(
     [
         T.StructField("cluster", T.IntegerType(), True),
-        T.StructField("donor_id", T.IntegerType(), True),
+        T.StructField("donor_id", T.LongType(), True),
         T.StructField("recs", nullable(RECS["recs"].dataType), True),
     ]
 )
@@ -91,11 +91,7 @@ class Store:
             t.create()
 
     def compact(self) -> dict:
-        """Maintenance: fold each table's log into a new base version.
-
-        Safe while feeds are writing (the live log is not rewritten);
-        returns ``{table: base_version}``.
-        """
+        """Maintenance: fold each table's log into its state; returns ``{table: fold}``."""
         tables = {"history": self.history, "users": self.users, "books": self.books, "recs": self.recs}
         return {name: t.compact() for name, t in tables.items()}
 
@@ -159,7 +155,7 @@ class Store:
         return self._loaded[kind]
 
     def current_als(self):
-        return self._current("als", ALSModel.load)
+        return self._current("als", factors.FactorModel.load)
 
     def current_kmeans(self):
         return self._current("kmeans", KMeansModel.load)
@@ -170,6 +166,10 @@ class Store:
     def donors_path(self, kmeans_version: int) -> str:
         return self._p("models", "donors", f"v{kmeans_version}")
 
+    def trials_path(self, als_version: int) -> str:
+        """Where the trials that chose an ALS version's parameters are kept."""
+        return self._p("models", "trials", f"v{als_version}")
+
     def donors(self, kmeans_version: int) -> DataFrame:
         """Donor lists of a clustering version: ``(cluster, donor_id, recs)``, at most k rows."""
         return self.spark.read.schema(DONORS).parquet(self.donors_path(kmeans_version))
@@ -201,10 +201,10 @@ def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: in
         version, path = registry.save(store.spark, model, store.models, "kmeans", register_now=False)
         donor_table = clusters.donors(clusters.assign(model, vecs), store.als_users())
         # at most one row per cluster: materialise once (bounded, checked)
-        rows = donor_table.select(F.col("cluster").cast("int"), F.col("donor_id").cast("int")).collect()
+        rows = donor_table.select(F.col("cluster").cast("int"), "donor_id").limit(n_clusters + 1).collect()
         if len(rows) > n_clusters:
             raise ValueError(f"{len(rows)} donors for {n_clusters} clusters")
-        donor_table = store.spark.createDataFrame(rows, "cluster int, donor_id int")
+        donor_table = store.spark.createDataFrame(rows, "cluster int, donor_id bigint")
         donor_recs = store.recs.lookup(donor_table.select(F.col("donor_id").alias("user_id")), ["recs"])
         lists = clusters.donor_lists(donor_table, donor_recs)
         lists.select(*DONORS.fieldNames()).coalesce(1).write.mode("overwrite").parquet(store.donors_path(version))
@@ -225,27 +225,59 @@ def bootstrap_frames(
     kmeans_iter: int = 20,
     seed: int = 42,
     feature_cols=features.DEFAULT_FEATURES,
+    load_id: int | None = None,
 ) -> DataFrame:
     """Load tables, train ALS, write every user's top-k, train k-means.
 
-    Returns a one-row summary ``(als_version, kmeans_version)``.
+    Every load is a batch of its own: a later one changes what it holds
+    anew.  ``load_id`` (by default the time in milliseconds) names it;
+    running a broken load again under its id converges.  Returns a one-row
+    summary ``(als_version, kmeans_version, skipped_users)``, the last being
+    the users that a missing feature keeps out of the clustering.
     """
     params = dict(evaluate.DEFAULT_PARAMS, **(als_params or {}))
+    load_id = int(time.time() * 1000) if load_id is None else load_id
     store.create()
-    store.history.upsert(ratings, "bootstrap", 0, 0)
-    store.users.upsert(users, "bootstrap", 0, 0)
-    store.books.upsert(books, "bootstrap", 0, 0)
+    store.history.upsert(ratings, "bootstrap", load_id, 0)
+    store.users.upsert(users, "bootstrap", load_id, 0, full=True)
+    store.books.upsert(books, "bootstrap", load_id, 0, full=True)
     # train on what was stored: unique pairs, lineage starts at the table
     rated = store.history.latest()
-    model = factors.fit_als(rated, seed=seed, **params)
-    als_version, _ = registry.save(store.spark, model, store.models, "als")
-    store.write_recs(factors.recommend(model, k), "als", als_version, "bootstrap", 0, 0)
+    als_version, model = refit_als(store, rated, params, seed)
+    store.write_recs(factors.recommend(model, k), "als", als_version, "bootstrap", load_id, 0)
     km_version = refresh_clusters(store, n_clusters, kmeans_iter, feature_cols=feature_cols)
+    skipped = features.invalid_features(features.user_features(store.users.latest(), feature_cols), features.feature_names(feature_cols)).count()
     return store.spark.createDataFrame(
-        [(als_version, km_version)], "als_version bigint, kmeans_version bigint"
+        [(als_version, km_version, skipped)], "als_version bigint, kmeans_version bigint, skipped_users bigint"
     )
 
 
+def refit_als(store: Store, rated: DataFrame, params: dict, seed: int) -> tuple[int, factors.FactorModel]:
+    """Fit and save the next ALS version; what the fit persisted is released."""
+    before = factors.persistent(store.spark)
+    version, _ = registry.save(store.spark, factors.fit_als(rated, seed=seed, **params), store.models, "als")
+    factors.release(store.spark, before)
+    return version, store.current_als()[1]
+
+
+def backfill(store: Store, als_version: int, km_version: int, k: int = 10, feature_cols=features.DEFAULT_FEATURES) -> None:
+    """Lists for users who have none yet although the new models know them.
+
+    Users with factors but no ALS list get their top-k; then users with a
+    cluster and no list at all get their donor's.
+    """
+    _, model = store.current_als()
+    missing = factors.known_users(model).join(store.als_users(), "user_id", "left_anti")
+    store.write_recs(factors.recommend(model, k, missing), "als", als_version, "retrain-als", als_version, 0)
+    _, kmeans = store.current_kmeans()
+    value_cols = [c for c in feature_cols if c != "user_id"]
+    vecs = _user_vectors(store.users.latest(value_cols), feature_cols)
+    served = store.recs.rows(["source"]).select("user_id").distinct()
+    new = clusters.assign(kmeans, vecs).select("user_id", "cluster").join(served, "user_id", "left_anti")
+    copied = clusters.copy_from_donors(new, store.donors(km_version))
+    store.write_recs(copied.select("user_id", "recs"), "cold_start", None, "retrain-cold", als_version, 0)
+
+
 def stage_parsed(store: Store, parsed: text.Parsed, kind: str) -> text.Parsed:
     """Write one parse of a text input to staging, partitioned by ``ok``.
 
@@ -272,30 +304,34 @@ def bootstrap(spark: SparkSession, root: str, ratings_path: str, users_path: str
     store.create()
     readers = {"ratings": text.read_ratings, "users": text.read_users, "books": text.read_books}
     paths = {"ratings": ratings_path, "users": users_path, "books": books_path}
-    parsed = {kind: stage_parsed(store, readers[kind](spark, paths[kind]), kind) for kind in readers}
+    kw["load_id"] = int(time.time() * 1000) if kw.get("load_id") is None else kw["load_id"]
+    parsed = {kind: stage_parsed(store, readers[kind](spark, paths[kind], keep=[SEQ]), kind) for kind in readers}
     for kind, p in parsed.items():
-        store.quarantine(p.rejected, kind, "bootstrap", 0)
+        store.quarantine(p.rejected, kind, "bootstrap", kw["load_id"])
     return bootstrap_frames(store, parsed["ratings"].good, parsed["users"].good, parsed["books"].good, **kw)
 
 
 def retrain(
     store: Store,
-    param_grid: list[dict] | None = None,
+    param_grid: list[dict],
     parallelism: int = 2,
     n_clusters: int = 100,
     kmeans_iter: int = 20,
     max_rmse: float = evaluate.MAX_RMSE,
     seed: int = 42,
     feature_cols=features.DEFAULT_FEATURES,
+    k: int = 10,
 ) -> DataFrame:
     """T4: choose ALS parameters by validation RMSE, refit on all ratings,
     refit k-means on the users; both become new model versions.
 
-    Existing recommendations are left as they are; they change when a user
-    next rates (as before).  Returns a one-row summary.
+    ``param_grid`` is the caller's: ``evaluate.full_grid()`` is the original
+    sweep.  Existing recommendations are left as they are; they change when
+    a user next rates (as before).  Users without a list get one where the
+    new models know them.  Returns a one-row summary.
     """
     spark = store.spark
-    grid = param_grid or evaluate.small_grid()
+    grid = param_grid
     # One snapshot of the current ratings (one per pair), written to shared
     # storage: the split, every trial and the final fit scan it instead of
     # re-running the latest-per-pair shuffle, and its lineage starts there.
@@ -307,9 +343,10 @@ def retrain(
     trials = evaluate.sweep(train, valid, grid, parallelism=parallelism, seed=seed, unique_pairs=True)
     best = evaluate.select_best(trials, max_rmse=max_rmse).first()
     params = {"rank": int(best["rank"]), "max_iter": int(best["max_iter"]), "reg_param": float(best["reg_param"])}
-    model = factors.fit_als(rated, seed=seed, **params)
-    als_version, _ = registry.save(spark, model, store.models, "als")
+    als_version, _ = refit_als(store, rated, params, seed)
+    trials.write.mode("overwrite").parquet(store.trials_path(als_version))
     km_version = refresh_clusters(store, n_clusters, kmeans_iter, feature_cols=feature_cols)
+    backfill(store, als_version, km_version, k, feature_cols)
     row = (als_version, km_version, len(grid), params["rank"], params["max_iter"], params["reg_param"],
            best["rmse"], bool(best["is_default"]))
     return spark.createDataFrame(

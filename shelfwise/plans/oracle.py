@@ -12,7 +12,7 @@ from __future__ import annotations
 
 RATINGS = """
 ratings AS (
-  SELECT CAST(o_custkey AS INT) AS user_id, CAST(l_partkey AS INT) AS product_id,
+  SELECT o_custkey AS user_id, l_partkey AS product_id,
          arg_max(rating, (o_orderdate, o_orderkey, l_linenumber, rating)) AS rating
   FROM (SELECT l_partkey, l_linenumber, o_orderkey, o_custkey, o_orderdate,
                CAST(1 + floor((l_quantity - 1) / 10) AS DOUBLE) AS rating
@@ -21,28 +21,28 @@ ratings AS (
 
 USERS = """
 users AS (
-  SELECT CAST(c_custkey AS INT) AS user_id, c_name AS nick_name,
+  SELECT c_custkey AS user_id, c_name AS nick_name,
          CAST(c_nationkey % 2 AS DOUBLE) AS gender, CAST(18 + c_custkey * 7 % 60 AS DOUBLE) AS age,
          c_mktsegment AS read_style, n_name AS user_label
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 BOOKS = """
 books AS (
-  SELECT CAST(p_partkey AS INT) AS book_id, p_name AS book_name, p_brand AS author, a.average,
+  SELECT p_partkey AS book_id, p_name AS book_name, p_brand AS author, a.average,
          p_type AS book_style, concat('size-', p_size) AS book_label
   FROM part LEFT JOIN (SELECT product_id, round(avg(rating), 6) AS average FROM ratings GROUP BY 1) a
     ON a.product_id = p_partkey)"""
 
 FEED = """
 feed AS (
-  SELECT event_id, CAST(user_id AS INT) AS user_id,
-         CAST(json_extract(props, '$.k') AS INT) AS product_id,
+  SELECT event_id, CAST(user_id AS BIGINT) AS user_id,
+         CAST(json_extract(props, '$.k') AS BIGINT) AS product_id,
          CAST(least(5, 1 + floor(value / 20)) AS DOUBLE) AS rating
   FROM events)"""
 
 FACTORS = """
-ufac AS (SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id < 50),
-ifac AS (SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id >= 50)"""
+ufac AS (SELECT vec_id // 5 AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id % 5 = 0),
+ifac AS (SELECT vec_id - vec_id // 5 - 1 AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id % 5 <> 0)"""
 
 SPLIT = "('0x' || substr(md5(CAST(concat_ws(':', user_id, product_id) AS VARCHAR)), 1, 8))::BIGINT % 10 < 7"
 
@@ -66,7 +66,7 @@ def with_(*ctes: str) -> str:
 FAULTY = """
 raw AS (
   SELECT event_id, event_type, value,
-         CASE WHEN value >= 300 THEN CAST(CAST(user_id AS BIGINT) + 2147483648 AS VARCHAR)
+         CASE WHEN value >= 300 THEN CAST(CAST(user_id AS HUGEINT) + 9223372036854775808 AS VARCHAR)
               ELSE CAST(user_id AS VARCHAR) END AS u,
          CAST(json_extract_string(props, '$.k') AS VARCHAR) AS p,
          CAST(CAST(least(5, 1 + floor(value / 20)) AS DOUBLE) AS VARCHAR) AS r
@@ -83,18 +83,18 @@ lines AS (
 tagged AS (
   SELECT event_id, line,
          CASE WHEN event_type = 'signup' THEN 'too few fields'
-              WHEN CAST(u AS BIGINT) > 2147483647 THEN 'id out of range'
+              WHEN CAST(u AS HUGEINT) > 9223372036854775807 THEN 'id out of range'
               WHEN event_type = 'error' THEN 'number not finite'
               ELSE NULL END AS reason,
-         CAST(u AS BIGINT) AS user_id, CAST(trim(p) AS INT) AS product_id, CAST(r AS DOUBLE) AS rating
+         TRY_CAST(u AS BIGINT) AS user_id, CAST(trim(p) AS BIGINT) AS product_id, CAST(r AS DOUBLE) AS rating
   FROM lines)"""
 
 
-# --- clusters on users (gender, age) with users 0..9 as centres ------------------------------
+# --- clusters on users (gender, age) with every 150th user as a centre ------------------------------
 
 USER_CLUSTERS = """
 pts AS (SELECT user_id, [gender, age] AS f FROM users),
-ctr AS (SELECT user_id AS center_id, [gender, age] AS f FROM users WHERE user_id < 10),
+ctr AS (SELECT user_id AS center_id, [gender, age] AS f FROM users WHERE user_id % 150 = 0),
 assigned AS (
   SELECT user_id, arg_min(center_id, (d, center_id)) AS cluster FROM (
     SELECT p.user_id, c.center_id,
@@ -118,7 +118,7 @@ def queries_sql() -> dict[str, str]:
     q["users_parse"] = with_(USERS) + " SELECT * FROM users"
     q["books_parse"] = with_(RATINGS, BOOKS) + " SELECT * FROM books"
     q["feed_parse"] = with_(FAULTY) + """
-      SELECT event_id, CAST(user_id AS INT) AS user_id, product_id, rating FROM tagged WHERE reason IS NULL"""
+      SELECT event_id, user_id, product_id, rating FROM tagged WHERE reason IS NULL"""
     q["rejected_lines"] = with_(FAULTY) + " SELECT event_id, line, reason FROM tagged WHERE reason IS NOT NULL"
     q["history_tokens"] = with_(FEED) + """
       SELECT user_id, product_id, rating, count(*) AS n FROM feed GROUP BY 1, 2, 3"""
@@ -167,7 +167,7 @@ def queries_sql() -> dict[str, str]:
 
     q["predict_pairs"] = with_(FEED, FACTORS) + f"""
       SELECT e.event_id, e.user_id, e.product_id, round({dot('u.f', 'i.f')}, 6) AS score
-      FROM feed e JOIN ufac u ON u.id = e.user_id JOIN ifac i ON i.id - 50 = e.product_id"""
+      FROM feed e JOIN ufac u ON u.id = e.user_id JOIN ifac i ON i.id = e.product_id"""
     topk = with_(FACTORS) + f""",
       scored AS (SELECT u.id AS user_id, i.id AS product_id, round({dot('u.f', 'i.f')}, 6) AS score
                  FROM ufac u CROSS JOIN ifac i),
@@ -183,8 +183,8 @@ def queries_sql() -> dict[str, str]:
       SELECT user_id, rank, product_id, CAST(printf('%.6f', score) AS DOUBLE) AS score FROM ranked WHERE rank <= 10"""
 
     q["assign_to_centers"] = f"""
-      WITH pts AS (SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
-      ctr AS (SELECT id AS center_id, f FROM pts WHERE id < 10),
+      WITH pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+      ctr AS (SELECT id AS center_id, f FROM pts WHERE id % 50 = 0),
       d AS (SELECT p.id, c.center_id, {sqdist('p.f', 'c.f')} AS dist FROM pts p CROSS JOIN ctr c)
       SELECT id, arg_min(center_id, (dist, center_id)) AS center_id, round(min(dist), 6) AS dist
       FROM d GROUP BY id"""
@@ -213,7 +213,7 @@ def queries_sql() -> dict[str, str]:
       FROM users"""
     q["keyed_lookup"] = with_(USERS) + """
       SELECT user_id, nick_name, user_label FROM users
-      WHERE user_id IN (SELECT CAST(user_id AS INT) FROM events)"""
+      WHERE user_id IN (SELECT user_id FROM events)"""
     q["create_if_absent"] = with_(USERS) + """
       SELECT true AS created_first, false AS created_second, count(*) AS n_rows FROM users"""
     q["keyed_compact"] = with_(USERS) + """
@@ -229,18 +229,57 @@ def queries_sql() -> dict[str, str]:
                row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, product_id) AS rk
         FROM ratings WHERE user_id % 10 = 0),
       als1 AS (SELECT user_id, 'als' AS source, CAST(1 AS BIGINT) AS model_version,
-                      max(CASE WHEN rk = 1 THEN product_id END) AS first_product, count(*) AS n_recs
+                      string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rk) AS products, count(*) AS n_recs
                FROM given_recs GROUP BY user_id),
       als2 AS (SELECT user_id, 'als' AS source, CAST(2 AS BIGINT) AS model_version,
-                      max(CASE WHEN rk = 1 THEN product_id END) AS first_product, count(*) AS n_recs
+                      string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rk) AS products, count(*) AS n_recs
                FROM all_top WHERE rk <= 10 GROUP BY user_id),
       cs AS (SELECT a.user_id, 'cold_start' AS source, CAST(NULL AS BIGINT) AS model_version,
-                    g.first_product, g.n_recs
+                    g.products, g.n_recs
              FROM assigned a JOIN donors d ON a.cluster = d.cluster JOIN als1 g ON g.user_id = d.donor_id),
       ranked AS (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY prio DESC) AS r FROM (
           SELECT *, 3 AS prio FROM als2 UNION ALL SELECT *, 2 FROM als1 UNION ALL SELECT *, 1 FROM cs) u)
-      SELECT user_id, source, model_version, first_product, CAST(n_recs AS INT) AS n_recs FROM ranked WHERE r = 1"""
+      SELECT user_id, source, model_version, products, CAST(n_recs AS INT) AS n_recs FROM ranked WHERE r = 1"""
+    q["topk_ties"] = with_(FACTORS) + f""",
+      scored AS (SELECT u.id AS user_id, i.id AS product_id, round(CASE WHEN u.id % 5 = 0 THEN 0.0 ELSE {dot('u.f', 'i.f')} END, 6) AS score
+                 FROM ufac u CROSS JOIN ifac i),
+      ranked AS (SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INT) AS rank,
+                        product_id, score FROM scored)
+      SELECT * FROM ranked WHERE rank <= 10"""
+    q["topk_blocks"] = q["topk_from_factors"]
+    q["users_parse_faulty"] = """
+      SELECT event_id, CAST(CASE WHEN event_type = 'error' THEN user_id + 8589934592 ELSE user_id END AS BIGINT) AS user_id, 'n' AS nick_name,
+             CASE event_type WHEN 'click' THEN NULL WHEN 'error' THEN NULL WHEN 'purchase' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS gender,
+             CASE WHEN event_type IN ('purchase', 'error') THEN NULL ELSE CAST(event_id % 90 AS DOUBLE) END AS age,
+             's' AS read_style, 'l' AS user_label
+      FROM events WHERE event_type <> 'signup'"""
+    q["books_parse_faulty"] = """
+      SELECT event_id, CAST(9780000000000 + event_id AS BIGINT) AS book_id, 't' AS book_name, 'a' AS author,
+             CASE WHEN event_type IN ('click', 'purchase', 'error') THEN NULL ELSE CAST(event_id % 5 AS DOUBLE) END AS average,
+             's' AS book_style, 'l' AS book_label
+      FROM events WHERE event_type <> 'signup'"""
+    q["parse_wide_ids"] = with_(FEED) + """
+      SELECT event_id, user_id + 1099511627776 AS user_id, product_id + 1099511627776 AS product_id, rating FROM feed"""
+    q["keyed_get"] = with_(USERS, FEED) + """
+      SELECT user_id, nick_name, age, 'get' AS how FROM users WHERE user_id = (SELECT arg_max(user_id, event_id) FROM feed)
+      UNION ALL
+      SELECT k.user_id, nick_name, age, 'lookup' FROM (SELECT DISTINCT user_id * 100 AS user_id FROM feed) k LEFT JOIN users u ON u.user_id = k.user_id"""
+    q["upsert_same_batch"] = with_(USERS) + """,
+      lines AS (SELECT user_id, max(event_id) AS e FROM events GROUP BY user_id)
+      SELECT coalesce(u.user_id, l.user_id) AS user_id,
+             CASE WHEN e IS NULL THEN nick_name ELSE 'n' || CAST(e AS VARCHAR) END AS nick_name,
+             CASE WHEN e IS NULL THEN gender ELSE CAST(e % 2 AS DOUBLE) END AS gender,
+             CASE WHEN e IS NULL THEN age WHEN e % 3 > 0 THEN CAST(100 - e % 83 AS DOUBLE) END AS age,
+             CASE WHEN e IS NULL THEN read_style ELSE 's' || CAST(e % 7 AS VARCHAR) END AS read_style,
+             CASE WHEN e IS NULL THEN user_label ELSE 'l' || CAST(9 - e % 9 AS VARCHAR) END AS user_label
+      FROM users u FULL JOIN lines l ON u.user_id = l.user_id"""
+    q["history_same_batch"] = with_(FEED) + """
+      SELECT user_id, product_id, arg_max(rating, event_id) AS rating FROM feed GROUP BY user_id, product_id"""
+    q["reload_after_compact"] = with_(USERS) + """
+      SELECT user_id, CASE WHEN user_id % 7 = 0 OR user_id % 4 = 0 THEN nick_name || '-2' ELSE nick_name END AS nick_name,
+             gender, age, read_style, user_label
+      FROM users"""
     q["bootstrap_quarantine"] = with_(FAULTY) + """
       SELECT 'ratings' AS kind, reason, count(*) AS n FROM tagged WHERE reason IS NOT NULL GROUP BY reason"""
     return q

@@ -4,15 +4,15 @@ from pyspark.sql import types as T
 
 RATINGS = T.StructType(
     [
-        T.StructField("user_id", T.IntegerType(), False),
-        T.StructField("product_id", T.IntegerType(), False),
+        T.StructField("user_id", T.LongType(), False),
+        T.StructField("product_id", T.LongType(), False),
         T.StructField("rating", T.DoubleType(), False),
     ]
 )
 
 USERS = T.StructType(
     [
-        T.StructField("user_id", T.IntegerType(), False),
+        T.StructField("user_id", T.LongType(), False),
         T.StructField("nick_name", T.StringType(), True),
         T.StructField("gender", T.DoubleType(), True),
         T.StructField("age", T.DoubleType(), True),
@@ -23,7 +23,7 @@ USERS = T.StructType(
 
 BOOKS = T.StructType(
     [
-        T.StructField("book_id", T.IntegerType(), False),
+        T.StructField("book_id", T.LongType(), False),
         T.StructField("book_name", T.StringType(), True),
         T.StructField("author", T.StringType(), True),
         T.StructField("average", T.DoubleType(), True),
@@ -34,14 +34,14 @@ BOOKS = T.StructType(
 
 REC_ITEM = T.StructType(
     [
-        T.StructField("product_id", T.IntegerType(), False),
+        T.StructField("product_id", T.LongType(), False),
         T.StructField("score", T.DoubleType(), True),
     ]
 )
 
 RECS = T.StructType(
     [
-        T.StructField("user_id", T.IntegerType(), False),
+        T.StructField("user_id", T.LongType(), False),
         T.StructField("recs", T.ArrayType(REC_ITEM, False), True),
         T.StructField("source", T.StringType(), True),
         T.StructField("model_version", T.LongType(), True),
@@ -57,7 +57,7 @@ REJECTED = T.StructType(
 
 FACTORS = T.StructType(
     [
-        T.StructField("id", T.IntegerType(), False),
+        T.StructField("id", T.LongType(), False),
         T.StructField("features", T.ArrayType(T.DoubleType(), False), False),
     ]
 )
@@ -72,5 +72,5 @@ TRIALS = T.StructType(
     ]
 )
 
-# Largest id pyspark.ml ALS accepts (ids are cast to INT).
-MAX_ID = 2_147_483_647
+# Most distinct users or items pyspark.ml ALS accepts (it numbers them as INT).
+MAX_DISTINCT = 2_147_483_647

@@ -1,43 +1,45 @@
-"""Keyed tables: a Parquet change log plus a "latest per key" view.
+"""Keyed tables: folders of changes plus a "latest per key" view.
 
 The original system kept users, books and recommendations in a wide-row key
 value store where a put writes one cell and the last write wins per cell.
-Here a keyed table is a folder of Parquet files partitioned by
-``(writer, batch_id)``:
+Here a keyed table is a folder of Parquet files:
 
-* **upsert** appends one batch; a replay of the same ``(writer, batch_id)``
+    <path>/log/e<n>/writer=../batch_id=..   changes since the n-th fold
+    <path>/state/e<n>                       everything before them, one row per key
+
+* **upsert** writes one batch; a replay of the same ``(writer, batch_id)``
   replaces that partition (dynamic partition overwrite), so a re-run batch
   converges instead of duplicating rows.
-* **latest** is a ``groupBy(key)`` over the log.  ``merge="cell"`` takes, per
-  column, the value of the newest version where that column is not null
-  (null means "cell not written"); ``merge="row"`` takes whole rows, so
-  columns that belong together (a list and its scores) never mix.
-* The version is ``(_gen, _batch, <tie columns>)``: a writer generation (0
-  for bootstrap, higher for feeds), the batch id and, to make the order total,
-  the values themselves.
-* **compact** folds the log up to a per-writer watermark into a base
-  (versions kept, per cell where cells merge); readers union the base with
-  the log partitions above the watermark, so read cost stays bounded while
-  the log keeps growing, and the live log is never rewritten.
-
-Everything is set-based: a lookup is a join with a keys frame, pushed below
-the aggregation so only matching keys are shuffled.
+* **latest** is a ``groupBy(key)`` over state and log.  ``merge="cell"``
+  takes, per column, the newest written value; ``merge="row"`` takes whole
+  rows, so columns that belong together (a list and its scores) never mix.
+* The version of a row is ``(gen, at, batch, file, block, pos)``: a writer
+  generation (0 for bootstrap, higher for feeds), then the place of the line
+  it came from (see ``text.sequenced``).  All cells of one line share it, so
+  the last line of a key wins as a whole.
+* **compact** writes the merged state as the next fold and starts an empty
+  log.  Readers name the two current folders, so what they list does not
+  grow with the number of batches ever written.  A write that a fold
+  overtakes is written again into the new log.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GEN = "_gen"
-BATCH = "_batch"
+SEQ = "_seq"
+VERSION = "_v"
+FULL = "_full"
 WRITER = "writer"
 BATCH_ID = "batch_id"
-LOG_COLUMNS = [GEN, BATCH, WRITER, BATCH_ID]
+
+_VERSION_TYPE = T.StructType(
+    [T.StructField("gen", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in ("at", "batch", "file", "block", "pos")]
+)
 
 
 def nullable(dt: T.DataType) -> T.DataType:
@@ -58,7 +60,7 @@ class KeyedTable:
     schema: T.StructType
     keys: list[str]
     merge: str = "cell"  # or "row"
-    # Extra version columns ranked before (_gen, _batch), e.g. a source rank.
+    # Extra version columns ranked before the row's version, e.g. a source rank.
     rank_cols: list[str] = field(default_factory=list)
 
     # -- layout ---------------------------------------------------------------
@@ -67,25 +69,54 @@ class KeyedTable:
     def value_cols(self) -> list[str]:
         return [f.name for f in self.schema.fields if f.name not in self.keys]
 
+    @property
+    def _fields(self) -> list[T.StructField]:
+        return [T.StructField(f.name, nullable(f.dataType), True) for f in self.schema.fields]
+
     @property
     def log_schema(self) -> T.StructType:
-        fields = [T.StructField(f.name, nullable(f.dataType), True) for f in self.schema.fields]
-        fields += [
-            T.StructField(GEN, T.IntegerType(), True),
-            T.StructField(BATCH, T.LongType(), True),
-            T.StructField(WRITER, T.StringType(), True),
-            T.StructField(BATCH_ID, T.LongType(), True),
-        ]
-        return T.StructType(fields)
+        return T.StructType(
+            [
+                *self._fields,
+                T.StructField(VERSION, _VERSION_TYPE),
+                T.StructField(FULL, T.BooleanType()),
+                T.StructField(WRITER, T.StringType()),
+                T.StructField(BATCH_ID, T.LongType()),
+            ]
+        )
+
+    @property
+    def state_schema(self) -> T.StructType:
+        """Merged rows with the version of the row, or of every cell."""
+        versions = [VERSION] if self.merge == "row" else [f"{VERSION}__{c}" for c in self.value_cols]
+        return T.StructType([*self._fields, *[T.StructField(v, _VERSION_TYPE) for v in versions]])
+
+    def _folder(self, kind: str, epoch: int) -> str:
+        return f"{self.path.rstrip('/')}/{kind}/e{epoch}"
+
+    def _fs(self, path: str):
+        """(file system, path) in the JVM, for the existence checks that Spark's reader only answers by an error."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _is_there(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    @property
+    def epoch(self) -> int:
+        """Number of completed folds: the newest committed state (one listing of a few entries)."""
+        fs, p = self._fs(f"{self.path.rstrip('/')}/state")
+        if not fs.exists(p):
+            return 0
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        done = [int(n[1:]) for n in names if n.startswith("e") and n[1:].isdigit() and self._is_there(f"{self._folder('state', int(n[1:]))}/_SUCCESS")]
+        return max(done, default=0)
 
     # -- K1: create if absent ---------------------------------------------------
 
     def exists(self) -> bool:
-        try:
-            self.spark.read.schema(self.log_schema).parquet(self.path)  # resolving lists the path
-            return True
-        except AnalysisException:
-            return False
+        return self._is_there(self._folder("log", 0)) or self.epoch > 0
 
     def create(self) -> bool:
         """Create an empty table; an existing table is left as it is.
@@ -96,156 +127,98 @@ class KeyedTable:
         if self.exists():
             return False
         empty = self.spark.createDataFrame([], self.log_schema)
-        empty.write.mode("ignore").partitionBy(WRITER, BATCH_ID).parquet(self.path)
+        empty.write.mode("ignore").partitionBy(WRITER, BATCH_ID).parquet(self._folder("log", 0))
         return True
 
     # -- K2: upsert -------------------------------------------------------------
 
-    def upsert(self, df: DataFrame, writer: str, batch_id: int, generation: int = 0) -> None:
-        """Append one batch of (possibly partial) rows.
+    def upsert(self, df: DataFrame, writer: str, batch_id: int, generation: int = 0, full: bool = False) -> None:
+        """Write one batch of (possibly partial) rows.
 
-        Missing value columns are written as null, i.e. "not written".
+        Missing value columns are written as null.  Null means "not written"
+        unless ``full``: then every cell of the row is written, null or not.
+        A ``_seq`` column (see ``text.sequenced``) orders rows of one key.
         Replaying ``(writer, batch_id)`` replaces the earlier attempt.
         """
         cols = []
         for f in self.schema.fields:
             dt = nullable(f.dataType)
-            if f.name in df.columns:
-                cols.append(F.col(f.name).cast(dt).alias(f.name))
-            else:
-                cols.append(F.lit(None).cast(dt).alias(f.name))
+            cols.append((F.col(f.name).cast(dt) if f.name in df.columns else F.lit(None).cast(dt)).alias(f.name))
+        seq = {c: (F.col(f"{SEQ}.{c}") if SEQ in df.columns else F.lit(0)).cast("bigint") for c in ("at", "file", "block", "pos")}
+        version = F.struct(
+            F.lit(generation).cast("int").alias("gen"), seq["at"].alias("at"), F.lit(batch_id).cast("bigint").alias("batch"),
+            *[seq[c].alias(c) for c in ("file", "block", "pos")],
+        )
         out = df.select(
             *cols,
-            F.lit(generation).cast("int").alias(GEN),
-            F.lit(batch_id).cast("bigint").alias(BATCH),
+            version.alias(VERSION),
+            F.lit(full).alias(FULL),
             F.lit(writer).alias(WRITER),
             F.lit(batch_id).cast("bigint").alias(BATCH_ID),
         )
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(WRITER, BATCH_ID)
-            .parquet(self.path)
-        )
-
-    # -- layout of the compacted base ----------------------------------------------
-    #
-    # <path>/_base/v<n>        merged state up to a watermark (one row per key)
-    # <path>/_base/_registry   one row per base version: (version, path, watermark)
-    #
-    # Folders starting with "_" are invisible to the log's file listing.  Readers
-    # take the newest base and the log partitions above its watermark, so a
-    # compaction never rewrites or deletes the live log and may run while
-    # writers append.  Because the merge is idempotent, a replay of a batch at
-    # or below the watermark (same content) changes nothing.  A writer's new
-    # batches must carry increasing ids (a stream's do); a new batch below the
-    # writer's watermark would not be read.
-
-    def _cell_cols(self, c: str) -> tuple[str, str]:
-        return f"_g__{c}", f"_b__{c}"
-
-    @property
-    def base_schema(self) -> T.StructType:
-        fields = [T.StructField(f.name, nullable(f.dataType), True) for f in self.schema.fields]
-        if self.merge == "row":
-            fields += [T.StructField(GEN, T.IntegerType(), True), T.StructField(BATCH, T.LongType(), True)]
-        else:
-            for c in self.value_cols:
-                g, b = self._cell_cols(c)
-                fields += [T.StructField(g, T.IntegerType(), True), T.StructField(b, T.LongType(), True)]
-        return T.StructType(fields)
-
-    def _registry_path(self) -> str:
-        return f"{self.path.rstrip('/')}/_base/_registry"
-
-    def base_state(self) -> tuple[int, str, dict] | None:
-        """(version, path, watermark {writer: batch_id}) of the newest base."""
-        try:
-            reg = self.spark.read.schema(_BASE_REGISTRY).parquet(self._registry_path())
-        except AnalysisException:
-            return None
-        row = reg.agg(F.max_by(F.struct("version", "path", "watermark"), "version").alias("r")).first()
-        if row is None or row["r"] is None:
-            return None
-        r = row["r"]
-        return int(r["version"]), r["path"], {w["writer"]: int(w["batch_id"]) for w in r["watermark"]}
-
-    @staticmethod
-    def _after(wm: dict) -> Column:
-        """Log partitions above the watermark (partition filters: pruned at listing)."""
-        cond = ~F.col(WRITER).isin(list(wm)) if wm else F.lit(True)
-        for w, b in wm.items():
-            cond = cond | ((F.col(WRITER) == F.lit(w)) & (F.col(BATCH_ID) > F.lit(b)))
-        return cond
+        epoch = self.epoch
+        while True:
+            (
+                out.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(WRITER, BATCH_ID)
+                .parquet(self._folder("log", epoch))
+            )
+            now = self.epoch
+            if now == epoch:
+                return
+            epoch = now  # folded meanwhile: the batch may have come too late for it
 
     # -- S7: scan -----------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        """The raw change log (every write, all partitions)."""
-        return self.spark.read.schema(self.log_schema).parquet(self.path)
+        """The changes since the last fold."""
+        return self._read("log", self.epoch, self.log_schema)
 
-    def _as_state(self, log: DataFrame, cols: list[str]) -> DataFrame:
-        """Log rows in the base's shape (per-cell versions for cell merge)."""
-        if self.merge == "row":
-            return log.select(*self.keys, *self.value_cols, GEN, BATCH)
-        out = [F.col(k) for k in self.keys]
-        for c in cols:
-            g, b = self._cell_cols(c)
-            written = F.col(c).isNotNull()
-            out += [F.col(c), F.when(written, F.col(GEN)).alias(g), F.when(written, F.col(BATCH)).alias(b)]
-        return log.select(*out)
+    def _read(self, kind: str, epoch: int, schema: T.StructType) -> DataFrame:
+        path = self._folder(kind, epoch)
+        if not self._is_there(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def _state_cols(self, cols: list[str]) -> list[str]:
         if self.merge == "row":
-            return [*self.keys, *self.value_cols, GEN, BATCH]
-        out = list(self.keys)
-        for c in cols:
-            out += [c, *self._cell_cols(c)]
-        return out
-
-    def _rows(self, cols: list[str], log_filter: Column | None = None) -> DataFrame:
-        """Unmerged state rows: newest base plus the log above its watermark."""
-        state = self.base_state()
-        log = self.log()
-        if state is not None:
-            log = log.filter(self._after(state[2]))
-        if log_filter is not None:
-            log = log.filter(log_filter)
-        rows = self._as_state(log, cols)
-        if state is not None:
-            base = self.spark.read.schema(self.base_schema).parquet(state[1]).select(*self._state_cols(cols))
-            if log_filter is not None:
-                base = base.filter(log_filter)
-            rows = base.unionByName(rows)
-        return rows
-
-    def rows(self, cols: list[str], log_filter: Column | None = None) -> DataFrame:
-        """Unmerged rows (keys + ``cols``) of the live state, for scans that
-        do not need the merge (e.g. "has any row with source X")."""
-        return self._rows(self.value_cols if self.merge == "row" else cols, log_filter).select(*self.keys, *cols)
+            return [*self.keys, *self.value_cols, VERSION]
+        return [*self.keys, *cols, *[f"{VERSION}__{c}" for c in cols]]
+
+    def _rows(self, cols: list[str], where: Column | None = None) -> DataFrame:
+        """Rows of the current state and log in the state's shape, not merged."""
+        epoch = self.epoch
+        log = self._read("log", epoch, self.log_schema)
+        if self.merge == "cell":
+            for c in cols:
+                log = log.withColumn(f"{VERSION}__{c}", F.when(F.col(FULL) | F.col(c).isNotNull(), F.col(VERSION)))
+        rows = log.select(*self._state_cols(cols))
+        if epoch:
+            rows = self._read("state", epoch, self.state_schema).select(*self._state_cols(cols)).unionByName(rows)
+        return rows if where is None else rows.filter(where)
+
+    def rows(self, cols: list[str], where: Column | None = None) -> DataFrame:
+        """Rows not merged (keys + ``cols``), for scans that do not need the
+        merge (e.g. "has any row with source X")."""
+        return self._rows(self.value_cols if self.merge == "row" else cols, where).select(*self.keys, *cols)
 
     def _merge(self, rows: DataFrame, cols: list[str], keep_versions: bool = False) -> DataFrame:
         if self.merge == "row":
-            values = F.struct(*[F.col(c) for c in self.value_cols])
-            version = F.struct(*[F.col(c) for c in self.rank_cols], F.col(GEN), F.col(BATCH), values)
-            keep = F.struct(values.alias("v"), F.col(GEN), F.col(BATCH))
-            merged = rows.groupBy(*self.keys).agg(F.max_by(keep, version).alias("_r"))
+            values = F.struct(*self.value_cols)
+            rank = F.struct(*self.rank_cols, VERSION, values)
+            merged = rows.groupBy(*self.keys).agg(F.max_by(F.struct(values.alias("v"), F.col(VERSION)), rank).alias("_r"))
             out = [F.col(f"_r.v.{c}").alias(c) for c in cols]
-            if keep_versions:
-                out += [F.col(f"_r.{GEN}").alias(GEN), F.col(f"_r.{BATCH}").alias(BATCH)]
-            return merged.select(*self.keys, *out)
+            return merged.select(*self.keys, *out, *([F.col(f"_r.{VERSION}").alias(VERSION)] if keep_versions else []))
         aggs = []
         for c in cols:
-            g, b = self._cell_cols(c)
-            version = F.when(F.col(c).isNotNull(), F.struct(F.col(g), F.col(b), F.col(c)))
-            aggs.append(F.max_by(F.struct(F.col(c).alias("v"), F.col(g).alias("g"), F.col(b).alias("b")), version).alias(c))
+            v = F.col(f"{VERSION}__{c}")
+            # equal versions (rows without a sequence): the larger value, deterministically
+            aggs.append(F.max(F.when(v.isNotNull(), F.struct(v.alias("v"), F.col(c).alias("x")))).alias(f"_{c}"))
         merged = rows.groupBy(*self.keys).agg(*aggs)
-        out = []
-        for c in cols:
-            out.append(F.col(f"{c}.v").alias(c))
-            if keep_versions:
-                g, b = self._cell_cols(c)
-                out += [F.col(f"{c}.g").alias(g), F.col(f"{c}.b").alias(b)]
+        out = [F.col(f"_{c}.x").alias(c) for c in cols]
+        if keep_versions:
+            out += [F.col(f"_{c}.v").alias(f"{VERSION}__{c}") for c in cols]
         return merged.select(*self.keys, *out)
 
     def latest(self, cols: list[str] | None = None) -> DataFrame:
@@ -271,56 +244,24 @@ class KeyedTable:
     def get(self, key_values: dict, cols: list[str] | None = None) -> DataFrame:
         """Point lookup of one key; the filter reaches the Parquet scans."""
         cols = cols if cols is not None else self.value_cols
-        cond = None
+        where = None
         for k, v in key_values.items():
             c = F.col(k) == F.lit(v)
-            cond = c if cond is None else cond & c
-        return self._merge(self._rows(cols, cond), cols)
+            where = c if where is None else where & c
+        return self._merge(self._rows(cols, where), cols)
 
-    # -- compaction ------------------------------------------------------------------
+    # -- fold ------------------------------------------------------------------------
 
     def compact(self) -> int:
-        """Fold the log up to a per-writer watermark into a new base version.
+        """Write the merged state as the next fold and start an empty log; returns its number.
 
-        Reads the previous base and only the log partitions between the old
-        and the new watermark; keeps exact versions (per cell for cell
-        merge), so later writes of any generation merge correctly.  Returns
-        the new base version.
+        Versions are kept (per cell for cell merge), so later writes of any
+        generation merge as if nothing had been folded.  The folders before
+        the last fold are no longer read and can be removed.  One fold runs
+        at a time.
         """
-        state = self.base_state()
-        old_wm = state[2] if state else {}
-        seen = self.log().groupBy(WRITER).agg(F.max(BATCH_ID).alias("b")).collect()  # one row per writer
-        new_wm = dict(old_wm)
-        for r in seen:
-            new_wm[r[WRITER]] = max(int(r["b"]), old_wm.get(r[WRITER], -1))
-        cond = F.lit(False)
-        for w, b in new_wm.items():
-            part = (F.col(WRITER) == F.lit(w)) & (F.col(BATCH_ID) <= F.lit(b))
-            if w in old_wm:
-                part = part & (F.col(BATCH_ID) > F.lit(old_wm[w]))
-            cond = cond | part
-        rows = self._as_state(self.log().filter(cond), self.value_cols)
-        if state is not None:
-            base = self.spark.read.schema(self.base_schema).parquet(state[1]).select(*self._state_cols(self.value_cols))
-            rows = base.unionByName(rows)
-        merged = self._merge(rows, self.value_cols, keep_versions=True)
-        version = (state[0] + 1) if state else 1
-        path = f"{self.path.rstrip('/')}/_base/v{version}"
-        merged.select(*self.base_schema.fieldNames()).write.mode("overwrite").parquet(path)
-        wm_rows = [{"writer": w, "batch_id": int(b)} for w, b in sorted(new_wm.items())]
-        self.spark.createDataFrame([(version, path, wm_rows)], _BASE_REGISTRY).coalesce(1).write.mode(
-            "append"
-        ).parquet(self._registry_path())
-        return version
-
-
-_BASE_REGISTRY = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("path", T.StringType(), False),
-        T.StructField(
-            "watermark",
-            T.ArrayType(T.StructType([T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())])),
-        ),
-    ]
-)
+        epoch = self.epoch + 1
+        merged = self._merge(self._rows(self.value_cols), self.value_cols, keep_versions=True)
+        self.spark.createDataFrame([], self.log_schema).write.mode("ignore").partitionBy(WRITER, BATCH_ID).parquet(self._folder("log", epoch))
+        merged.select(*self.state_schema.fieldNames()).write.mode("overwrite").parquet(self._folder("state", epoch))
+        return epoch

@@ -1,8 +1,9 @@
 """Header-less comma text -> typed rows, with bad lines set aside.
 
 Lines are split on ',' (positional schema, extra trailing fields ignored);
-ids must be integers within INT range, numbers must parse and be finite.
-Every line lands in exactly one of two frames: ``good`` (typed) or
+ids must be integers (BIGINT).  Ratings must be finite numbers; a user's
+gender and age and a book's average become null when they are not, and the
+row is kept.  Every line lands in exactly one of two frames: ``good`` (typed) or
 ``rejected`` (``line``, ``reason``).  One malformed line never fails a job.
 
 The CSV reader is not used on purpose: it would mark a line with an extra
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.schemas import MAX_ID
+from shelfwise.sources.keyed import SEQ
 
 _INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 
@@ -46,24 +47,27 @@ def _field(fields: Column, i: int) -> Column:
 def _int_check(raw: Column) -> tuple[Column, Column]:
     """(value, reason) for an id field."""
     wide = F.trim(raw).try_cast("bigint")
-    ok_pattern = raw.rlike(_INT_PATTERN)
-    in_range = wide.isNotNull() & (F.abs(wide) <= F.lit(MAX_ID))
-    reason = F.when(~ok_pattern, F.lit(BAD_ID)).when(~in_range, F.lit(ID_OUT_OF_RANGE))
-    # cast only in-range values: the tagged frame is materialised whole
-    # (persisted per micro-batch, staged at bootstrap), rejected rows included
-    return F.when(in_range, wide.cast("int")), reason
+    reason = F.when(~raw.rlike(_INT_PATTERN), F.lit(BAD_ID)).when(wide.isNull(), F.lit(ID_OUT_OF_RANGE))
+    return F.when(raw.rlike(_INT_PATTERN), wide), reason
 
 
-def _double_check(raw: Column, allow_empty: bool = False) -> tuple[Column, Column]:
+def _double_check(raw: Column) -> tuple[Column, Column]:
+    """(value, reason) for a number that must be there."""
     value = F.trim(raw).try_cast("double")
-    finite = ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
-    empty = F.trim(raw) == ""
-    reason = F.when(value.isNull() & ~(F.lit(allow_empty) & empty), F.lit(BAD_NUMBER)).when(
-        value.isNotNull() & ~finite, F.lit(NOT_FINITE)
-    )
+    reason = F.when(value.isNull(), F.lit(BAD_NUMBER)).when(~_finite(value), F.lit(NOT_FINITE))
     return value, reason
 
 
+def _finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
+
+
+def _double_or_null(raw: Column) -> Column:
+    """The number, or null where the field is empty or holds anything else."""
+    value = F.trim(raw).try_cast("double")
+    return F.when(_finite(value), value)
+
+
 def _first_reason(reasons: list[Column]) -> Column:
     return F.coalesce(*reasons)
 
@@ -84,7 +88,7 @@ def _tag(lines: DataFrame, line_col: str, n_fields: int, typed: dict, keep: list
         elif kind == "double":
             value, reason = _double_check(piece)
         elif kind == "double_or_null":
-            value, reason = _double_check(piece, allow_empty=True)
+            value, reason = _double_or_null(piece), None
         else:  # text, kept as written
             value, reason = piece, None
         cols[name] = value
@@ -106,7 +110,7 @@ def _split(tagged: DataFrame, out_cols: list[str], keep: list[str]) -> Parsed:
 
 
 def parse_ratings(lines: DataFrame, line_col: str = "value", keep: list[str] | None = None) -> Parsed:
-    """``user,product,rating`` -> (user_id INT, product_id INT, rating DOUBLE)."""
+    """``user,product,rating`` -> (user_id BIGINT, product_id BIGINT, rating DOUBLE)."""
     keep = keep or []
     spec = {"user_id": (0, "id"), "product_id": (1, "id"), "rating": (2, "double")}
     tagged = _tag(lines, line_col, 3, spec, keep)
@@ -114,13 +118,13 @@ def parse_ratings(lines: DataFrame, line_col: str = "value", keep: list[str] | N
 
 
 def parse_users(lines: DataFrame, line_col: str = "value", keep: list[str] | None = None) -> Parsed:
-    """``userId,nickName,gender,age,readStyle,userLabel``; gender/age numeric."""
+    """``userId,nickName,gender,age,readStyle,userLabel``; a gender or age that is no number is null."""
     keep = keep or []
     spec = {
         "user_id": (0, "id"),
         "nick_name": (1, "text"),
-        "gender": (2, "double"),
-        "age": (3, "double"),
+        "gender": (2, "double_or_null"),
+        "age": (3, "double_or_null"),
         "read_style": (4, "text"),
         "user_label": (5, "text"),
     }
@@ -129,7 +133,7 @@ def parse_users(lines: DataFrame, line_col: str = "value", keep: list[str] | Non
 
 
 def parse_books(lines: DataFrame, line_col: str = "value", keep: list[str] | None = None) -> Parsed:
-    """``bookId,bookName,author,average,bookStyle,bookLabel``; empty average is null.
+    """``bookId,bookName,author,average,bookStyle,bookLabel``; an average that is no number is null.
 
     The label is field 6; the original book feed stored field 4 (the average)
     as the label, which we treat as a defect.
@@ -147,20 +151,50 @@ def parse_books(lines: DataFrame, line_col: str = "value", keep: list[str] | Non
     return _split(tagged, list(spec), keep)
 
 
+def sequenced(lines: DataFrame) -> DataFrame:
+    """Adds ``_seq``: where each line stands, so that the last line of a key can win.
+
+    Lines follow by their file's modification time, then file, then block
+    and place in it.  Frames that carry ``_seq_file`` (see ``with_file``)
+    keep it; others count as one file in the order of their partitions.
+    """
+    if SEQ in lines.columns:
+        return lines
+    pos = F.monotonically_increasing_id().alias("pos")
+    if SEQ_FILE in lines.columns:
+        parts = [F.col(f"{SEQ_FILE}.{c}").alias(c) for c in ("at", "file", "block")]
+        return lines.withColumn(SEQ, F.struct(*parts, pos)).drop(SEQ_FILE)
+    return lines.withColumn(SEQ, F.struct(*[F.lit(0).cast("bigint").alias(c) for c in ("at", "file", "block")], pos))
+
+
+#: Column with modification time, file and block of a line.
+SEQ_FILE = "_seq_file"
+
+
+def with_file(lines: DataFrame) -> DataFrame:
+    """Lines of a file source (batch or stream) with the file they come from."""
+    meta = F.struct(
+        F.unix_millis("_metadata.file_modification_time").alias("at"),
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").cast("bigint").alias("block"),
+    )
+    return lines.select("value", meta.alias(SEQ_FILE))
+
+
 def _read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    return sequenced(with_file(spark.read.text(path)))
 
 
-def read_ratings(spark: SparkSession, path: str) -> Parsed:
-    return parse_ratings(_read_lines(spark, path))
+def read_ratings(spark: SparkSession, path: str, keep: list[str] | None = None) -> Parsed:
+    return parse_ratings(_read_lines(spark, path), keep=keep)
 
 
-def read_users(spark: SparkSession, path: str) -> Parsed:
-    return parse_users(_read_lines(spark, path))
+def read_users(spark: SparkSession, path: str, keep: list[str] | None = None) -> Parsed:
+    return parse_users(_read_lines(spark, path), keep=keep)
 
 
-def read_books(spark: SparkSession, path: str) -> Parsed:
-    return parse_books(_read_lines(spark, path))
+def read_books(spark: SparkSession, path: str, keep: list[str] | None = None) -> Parsed:
+    return parse_books(_read_lines(spark, path), keep=keep)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -174,7 +208,10 @@ def tokens_to_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     The original history append split each incoming line on whitespace and
     wrote every token on its own line; ``1,2,3 4,5,1`` is two ratings.
     """
-    return (
-        lines.select(F.explode(F.split(F.trim(F.col(line_col)), r"\s+")).alias(line_col))
-        .filter(F.col(line_col) != "")
-    )
+    tokens = F.posexplode(F.split(F.trim(F.col(line_col)), r"\s+"))
+    if SEQ not in lines.columns:
+        return lines.select(tokens.alias("_nth", line_col)).filter(F.col(line_col) != "").drop("_nth")
+    # a line's tokens follow each other: lines are far apart in pos * 2^20
+    placed = lines.select(SEQ, tokens.alias("_nth", line_col)).filter(F.col(line_col) != "")
+    seq = F.struct(*[F.col(f"{SEQ}.{c}").alias(c) for c in ("at", "file", "block")], (F.col(f"{SEQ}.pos") * 1048576 + F.col("_nth")).alias("pos"))
+    return placed.select(F.col(line_col), seq.alias(SEQ))
