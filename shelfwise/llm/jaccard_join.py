@@ -4,7 +4,11 @@ A document's shingles are put in one global order, frequent ones last.  Two
 sets of similarity t share at least l shingles among the first
 ``n - ceil(t n) + l`` of each (the l-prefix).  Every document picks its own
 l: a longer prefix costs more postings but asks for more matches before a
-pair is verified.  A pair must share ``min(l, l')`` prefix shingles.
+pair is verified.  Of two prefixes the one that ends first in the order
+holds every common shingle up to there, so a pair whose sets must share o
+shingles must share o less the longer rest behind a prefix within the
+prefixes; that is ``min(l, l')`` at least, and far more for sets of like
+size.
 
 Copies of one set are one class from the start.  Classes that agree with a
 bucket's pivot are joined first; the exact join then only looks at pairs of
@@ -236,7 +240,7 @@ def similar_classes(
     blocks = folded.where("block is not null").select("block", "cells").groupBy("block").applyInArrow(_add, "block int, cells binary")
     # a bounded table: CELLS counters, whatever the input
     cells = np.zeros(CELLS, np.uint32)
-    for row in blocks.toLocalIterator():
+    for row in blocks.collect():
         cells[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.cells, np.uint32)
     table = spark.sparkContext.broadcast(cells)
 
@@ -245,8 +249,12 @@ def similar_classes(
     postings = texts.mapInArrow(_prefixes(width, percent, table), "gram long, key long, at long")
     postings = postings.repartition("gram").sortWithinPartitions("gram", "key").mapInArrow(_shared, "gram long, key long, at long")
     postings = postings.join(classes, "key").select("gram", "c", "f", "n", (F.col("at") % 8).alias("l"), F.floor(F.col("at") / 8).alias("place"))
-    postings = keep(postings, "postings")
+    postings = keep(postings, "postings-all")
     table.unpersist()
+    # m: how many prefix shingles a class shares with any other; rest: what lies behind its prefix
+    rest = needed_col(F.col("n"), percent) - F.col("l")
+    postings = postings.join(postings.groupBy("c").agg(F.count("*").alias("m")), "c").withColumn("rest", F.greatest(rest, F.lit(0)))
+    postings = keep(postings, "postings")
 
     # texts of classes that share a prefix shingle, in buckets by id: joining pairs to them moves the pairs only
     active = postings.select("f").distinct()
@@ -270,9 +278,11 @@ def similar_classes(
     links = roots = None
     for turn in range(ROUNDS):
         rooted = _rooted(postings, roots)
-        # the pivot of a bucket: a pseudo-random one of its classes, another in each round
-        pivot = rooted.groupBy("gram").agg(F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "f", "n", "root")).alias("p"))
+        # the pivot of a bucket: the class that shares most, such as the text that the
+        # others are copies of; in later rounds a pseudo-random one
+        pivot = rooted.groupBy("gram").agg(F.min(F.struct((-F.col("m") if turn == 0 else F.lit(0)).alias("o"), F.xxhash64("c", F.lit(turn)).alias("h"), "c", "f", "n", "m", "rest", "root")).alias("p"))
         pairs = rooted.join(pivot, "gram").where((F.col("root") != F.col("p.root")) & _sizes(F.col("n"), F.col("p.n"), percent))
+        pairs = pairs.where(F.least("m", "p.m") >= matches(F.col("n"), F.col("rest"), F.col("p.n"), F.col("p.rest"), percent))
         pairs = pairs.select(F.col("c").alias("a"), F.col("f").alias("fa"), F.col("p.c").alias("b"), F.col("p.f").alias("fb"), F.col("n").alias("na"), F.col("p.n").alias("nb")).distinct()
         found = verify(pairs, "pivot-links")
         links = found if links is None else links.union(found)
@@ -280,13 +290,14 @@ def similar_classes(
     rooted = _rooted(postings, roots)
     mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
     rooted = keep(rooted.join(mixed, "gram", "left_semi"), "open")
-    x, y = (rooted.select("gram", *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "l", "place", "root")]) for i in (1, 2))
+    x, y = (rooted.select("gram", *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "m", "rest", "place", "root")]) for i in (1, 2))
     # what can still be shared: the places before this shingle, itself, and the rest of the shorter set
     most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
     enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
-    met = x.join(y, "gram").where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & enough)
-    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("m"), F.min(F.least("l1", "l2")).alias("l")).where("m >= l")
-    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb", "m", "l").drop("m", "l"), "exact-links")
+    least = matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent)
+    met = x.join(y, "gram").where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & enough)
+    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("m"), F.min(least).alias("least")).where("m >= least")
+    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb", "m", "least").drop("m", "least"), "exact-links")
     return classes, links.union(found), members
 
 
@@ -300,6 +311,16 @@ def _rooted(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
     return postings.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
 
 
+def needed_col(n, t: int):
+    return F.ceil(n * t / 100).cast("int")
+
+
+def matches(n, rest_n, m, rest_m, t: int):
+    """Prefix shingles that two linked sets of n and m share at least."""
+    overlap = F.ceil((n + m) * t / (100 + t))
+    return overlap - F.greatest(rest_n, rest_m)
+
+
 def _sizes(n, m, t: int):
     return (n * 100 >= m * t) & (m * 100 >= n * t)
 
