@@ -40,7 +40,7 @@ def recs_from_text(books: Column, scores: Column | None = None) -> Column:
         return F.transform(
             ids,
             lambda b: F.struct(
-                F.trim(b).try_cast("int").alias("product_id"),
+                F.trim(b).try_cast("bigint").alias("product_id"),
                 F.lit(None).cast("double").alias("score"),
             ),
         )
@@ -48,7 +48,7 @@ def recs_from_text(books: Column, scores: Column | None = None) -> Column:
     return F.transform(
         ids,
         lambda b, i: F.struct(
-            F.trim(b).try_cast("int").alias("product_id"),
+            F.trim(b).try_cast("bigint").alias("product_id"),
             F.trim(F.get(vals, i)).try_cast("double").alias("score"),
         ),
     )
@@ -56,4 +56,4 @@ def recs_from_text(books: Column, scores: Column | None = None) -> Column:
 
 def first_id(books: Column) -> Column:
     """First product id of a comma list (the donor-key idiom of the feed)."""
-    return F.trim(F.split(books, ",").getItem(0)).try_cast("int")
+    return F.trim(F.split(books, ",").getItem(0)).try_cast("bigint")

