@@ -8,7 +8,8 @@ pair is verified.  Of two prefixes the one that ends first in the order
 holds every common shingle up to there, so a pair whose sets must share o
 shingles must share o less the longer rest behind a prefix within the
 prefixes; that is ``min(l, l')`` at least, and far more for sets of like
-size.
+size.  So only the rarest of the shingles that a set shares with any other
+are looked up, as many as leave room for that.
 
 Copies of one set are one class from the start.  Classes that agree with a
 bucket's pivot are joined first; the exact join then only looks at pairs of
@@ -23,7 +24,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
@@ -251,9 +252,11 @@ def similar_classes(
     postings = postings.join(classes, "key").select("gram", "c", "f", "n", (F.col("at") % 8).alias("l"), F.floor(F.col("at") / 8).alias("place"))
     postings = keep(postings, "postings-all")
     table.unpersist()
-    # m: how many prefix shingles a class shares with any other; rest: what lies behind its prefix
-    rest = needed_col(F.col("n"), percent) - F.col("l")
-    postings = postings.join(postings.groupBy("c").agg(F.count("*").alias("m")), "c").withColumn("rest", F.greatest(rest, F.lit(0)))
+    # m: how many prefix shingles a class shares with any other; rank: this one's place among
+    # them; rest: what lies behind the prefix (a class has no more rows than its prefix is long)
+    own = Window.partitionBy("c")
+    rest = F.greatest(needed_col(F.col("n"), percent) - F.col("l"), F.lit(0))
+    postings = postings.select("*", F.count("*").over(own).alias("m"), F.row_number().over(own.orderBy("place")).alias("rank"), rest.alias("rest"))
     postings = keep(postings, "postings")
 
     # texts of classes that share a prefix shingle, in buckets by id: joining pairs to them moves the pairs only
@@ -290,14 +293,18 @@ def similar_classes(
     rooted = _rooted(postings, roots)
     mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
     rooted = keep(rooted.join(mixed, "gram", "left_semi"), "open")
-    x, y = (rooted.select("gram", *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "m", "rest", "place", "root")]) for i in (1, 2))
+    x, y = (rooted.select("gram", *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "l", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
     # what can still be shared: the places before this shingle, itself, and the rest of the shorter set
     most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
     enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
-    least = matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent)
-    met = x.join(y, "gram").where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & enough)
-    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("m"), F.min(least).alias("least")).where("m >= least")
-    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb", "m", "least").drop("m", "least"), "exact-links")
+    # of the shingles that two classes must share within their prefixes, the first l stand
+    # among the first m - least + l that each shares with any class
+    least = F.greatest(matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent), F.lit(1))
+    l = F.least("l1", "l2", least)
+    first = (F.col("rank1") <= F.col("m1") - least + l) & (F.col("rank2") <= F.col("m2") - least + l)
+    met = x.join(y, "gram").where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & first & enough)
+    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("met"), F.min(l).alias("l")).where("met >= l")
+    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb", "met", "l").drop("met", "l"), "exact-links")
     return classes, links.union(found), members
 
 
