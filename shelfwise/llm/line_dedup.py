@@ -47,6 +47,8 @@ def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, m
         .where(F.col("n") >= min_docs)
         .select("k", "last")
     )
+    # a table of its own, so that Spark can split the partition of a very common key in the join
+    common = keep(common, "common-lines")
     return (
         found.join(common, "k")
         .where(F.col("d") < F.col("last"))
