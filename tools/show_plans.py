@@ -63,11 +63,12 @@ def main() -> None:
         "ratings derivation (join + latest per pair)": fx.ratings(spark, sf),
         "keyed latest, per cell (users)": store.users.latest(["nick_name", "age"]),
         "keyed lookup (recs of feed users)": store.recs.lookup(fx.rating_feed(spark, sf).select("user_id"), ["recs"]),
-        "exact top-k over factor tables (broadcast path)": factors.topk_from_factors(
+        "exact top-k over factor tables (one item block)": factors.topk_from_factors(
             fx.user_factors(spark, sf), fx.item_factors(spark, sf), 10),
+        "recommendations of a micro-batch": factors.recommend(store.current_als()[1], 10, fx.rating_feed(spark, sf).select("user_id")),
         "predict given pairs": catalog.predict_pairs(spark, sf),
         "RMSE with m x n join semantics (pre-aggregated)": catalog.rmse_duplicate_pairs(spark, sf),
-        "nearest given centre (inlined centres)": catalog.assign_to_centers(spark, sf),
+        "nearest given centre (broadcast centres)": catalog.assign_to_centers(spark, sf),
         "cold start of a user batch (donor snapshot)": clusters.copy_from_donors(
             clusters.assign(km, vecs).select("user_id", "cluster"), store.donors(version)),
         "known flag (single left join)": catalog.known_split(spark, sf),
