@@ -119,24 +119,33 @@ class Runs:
                     alpha[j + k + 1, some] += alpha[j, some] * p[piece[some]]
         return alpha, np.log(np.maximum(alpha[self.size, np.arange(self.n)], 1e-300))
 
-    def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Expected count of each piece in each language, for runs seen ``counts[i, l]`` times."""
-        alpha, _ = self.forward(p)
-        beta = np.zeros_like(alpha)
-        beta[self.size, np.arange(self.n)] = counts / np.maximum(alpha[self.size, np.arange(self.n)], 1e-300)
-        out = np.zeros(p.shape)
-        for j in range(self.width - 1, -1, -1):
+    def expected(self, p: np.ndarray, lang: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Expected count of each piece in each language, for runs of language ``lang`` seen ``counts`` times."""
+        langs, every = p.shape[1], np.arange(self.n)
+        flat = p.ravel()
+        edges = []
+        alpha = np.zeros((self.width + 1, self.n))
+        alpha[0] = 1.0
+        for j in range(self.width):
             for k in range(min(len(self.pieces), self.width - j)):
                 piece = self.pieces[k][:, j]
                 some = np.flatnonzero(piece >= 0)
-                if not len(some):
-                    continue
-                part = p[piece[some]] * beta[j + k + 1, some]
-                beta[j, some] += part
-                part *= alpha[j, some]
-                for l in range(p.shape[1]):
-                    out[:, l] += np.bincount(piece[some], part[:, l], minlength=len(p))
-        return out
+                if len(some):
+                    which = piece[some].astype(np.int64) * langs + lang[some]
+                    chance = flat[which]
+                    alpha[j + k + 1, some] += alpha[j, some] * chance
+                    edges.append((j, k, some, which, chance))
+        beta = np.zeros_like(alpha)
+        beta[self.size, every] = counts / np.maximum(alpha[self.size, every], 1e-300)
+        shares = []
+        for j, k, some, _, chance in reversed(edges):
+            part = chance * beta[j + k + 1, some]
+            beta[j, some] += part
+            shares.append(part * alpha[j, some])
+        if not edges:
+            return np.zeros(p.shape)
+        which = np.concatenate([e[3] for e in reversed(edges)])
+        return np.bincount(which, np.concatenate(shares), minlength=p.size).reshape(p.shape)
 
 
 def cut_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -153,13 +162,16 @@ def cut_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return data, start, np.minimum(RUN_BYTES, ends[word] - start), rows_of(words.count)[word]
 
 
-def distinct_runs(data, start, size):
-    """Number of each run's kind, and one run of every kind."""
+def distinct_runs(data, start, size, lang=None):
+    """One run of every kind, and the kind of each run; runs of different languages differ."""
     total = np.zeros(len(start), np.uint64)
     for j in range(int(size.max(initial=0))):
         more = np.flatnonzero(size > j) if j else slice(None)
         total[more] = step(total[more], data[start[more] + j])
-    _, one, kind = np.unique(mix(total ^ (size.astype(np.uint64) << np.uint64(56))), return_index=True, return_inverse=True)
+    total = mix(total ^ (size.astype(np.uint64) << np.uint64(56)))
+    if lang is not None:
+        total = mix(total + lang.astype(np.uint64) + np.uint64(1))
+    _, one, kind = np.unique(total, return_index=True, return_inverse=True)
     return one, kind
 
 
@@ -172,12 +184,13 @@ def _count(langs: list[str], pieces, p):
             data, start, size, row = cut_words(Words(batch.column("text"), fold=True))
             if not len(start):
                 continue
-            one, kind = distinct_runs(data, start, size)
-            lang = np.array([langs.index(x) for x in batch.column("lang").to_pylist()])
-            counts = np.zeros((len(one), len(langs)))
-            np.add.at(counts, (kind, lang[row]), 1.0)
+            number = {x: k for k, x in enumerate(langs)}
+            lang = np.array([number[x] for x in batch.column("lang").to_pylist()])[row]
+            one, kind = distinct_runs(data, start, size, lang)
+            seen = np.bincount(kind, minlength=len(one)).astype(float)
             for some in _blocks(size[one]):
-                total += Runs(data, start[one[some]], size[one[some]], table).expected(prob, counts[some])
+                runs = Runs(data, start[one[some]], size[one[some]], table)
+                total += runs.expected(prob, lang[one[some]], seen[some])
         piece, lang = np.nonzero(total > 1e-9)
         yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(lang.astype(np.int32)), pa.array(total[piece, lang])], names=["piece", "lang", "n"])
 

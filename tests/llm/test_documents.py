@@ -221,7 +221,7 @@ def test_language_id_sums_segmentations():
     logs = runs.forward(p)[1]
     assert np.allclose(logs, np.log([total(b" the"), total(b" anches")]))
     # expected counts: each word's pieces cover its bytes once
-    counts = runs.expected(p, np.array([[1.0, 0.0], [0.0, 2.0]]))
+    counts = runs.expected(p, np.array([0, 1]), np.array([1.0, 2.0]))
     size = np.array([len(x) for x in pieces])
     assert np.allclose(size @ counts, [4.0, 14.0])
 
