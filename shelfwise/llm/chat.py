@@ -66,16 +66,16 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     start = nodes.join(known.withColumn("has", F.lit(True)), ["tree", "parent"], "left")
     now = start.select("tree", "node", F.when(F.col("has"), F.col("parent")).alias("up"), F.lit(0).cast("long").alias("depth"), F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
     now = keep(now.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1)), "reply-0")
-    # levels[i]: each node's ancestor 2^i up; depth and score cover the nodes from it (without it) down to the node
-    levels = []
-    while now.where("up is not null").limit(1).count():
-        levels.append(now.where("up is not null").select("tree", "node", "up"))
-        other = now.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("score").alias("score2"))
-        met = now.join(other, ["tree", "up"], "left")
-        now = keep(
-            met.select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score")),
-            f"reply-{len(levels)}",
-        )
+    # levels[i]: each node's ancestor 2^i up; depth and score cover the nodes from it (without it)
+    # down to the node.  Nodes that have reached a root are done and are only looked up.
+    levels, done, active = [], now.where("up is null"), now.where("up is not null")
+    while active.limit(1).count():
+        levels.append(active.select("tree", "node", "up"))
+        other = done.union(active).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("score").alias("score2"))
+        met = active.join(other, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"), (F.col("score") + F.col("score2")).alias("score"))
+        met = keep(met, f"reply-{len(levels)}")
+        done, active = done.union(met.where("up is null")), met.where("up is not null")
+    now = done
     parents = levels[0].select("tree", F.col("up").alias("node")).distinct() if levels else None
     leaves = now.join(parents, ["tree", "node"], "left_anti") if parents is not None else now
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("score").desc(), "node"))
