@@ -155,8 +155,10 @@ def fold_repeats(items: list[list]) -> list[list]:
             j = i + size
             while j + size <= len(items) and all(items[i + k][0] == items[j + k][0] for k in range(size)):
                 j += size
-            # a group is a whole element: it opens what it closes
-            if j > i + size and _balanced([x[0] for x in items[i : i + size]]):
+            # a group is whole elements that open what they close; two alike that hold others may
+            # as well be the template's box beside the content's, so those must come three times
+            depth = _depth([x[0] for x in items[i : i + size]])
+            if depth >= 0 and j >= i + size * (2 if depth < 2 else 3):
                 group = [list(x) for x in items[i : i + size]]
                 for a in range(i + size, j, size):
                     for k in range(size):
@@ -173,14 +175,16 @@ def fold_repeats(items: list[list]) -> list[list]:
     return items
 
 
-def _balanced(signs: list[str]) -> bool:
-    depth = 0
+def _depth(signs: list[str]) -> int:
+    """How deep elements stand in each other; -1 if the run does not close what it opens."""
+    depth = most = 0
     for s in signs:
         depth += s.startswith("<") and not s.startswith("</")
         depth -= s.startswith("</")
         if depth < 0:
-            return False
-    return depth == 0
+            return -1
+        most = max(most, depth)
+    return most if depth == 0 else -1
 
 
 def _merge(a: list, b: list, same_page: bool = False) -> None:
