@@ -293,18 +293,17 @@ def similar_classes(
     rooted = _rooted(postings, roots)
     mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
     rooted = keep(rooted.join(mixed, "gram", "left_semi"), "open")
-    x, y = (rooted.select("gram", *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "l", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
+    x, y = (rooted.select("gram", *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
     # what can still be shared: the places before this shingle, itself, and the rest of the shorter set
     most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
     enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
-    # of the shingles that two classes must share within their prefixes, the first l stand
-    # among the first m - least + l that each shares with any class
+    # of the shingles that two classes must share within their prefixes, the first stands
+    # among the first m - least + 1 that each shares with any class
     least = F.greatest(matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent), F.lit(1))
-    l = F.least("l1", "l2", least)
-    first = (F.col("rank1") <= F.col("m1") - least + l) & (F.col("rank2") <= F.col("m2") - least + l)
+    first = (F.col("rank1") <= F.col("m1") - least + 1) & (F.col("rank2") <= F.col("m2") - least + 1)
     met = x.join(y, "gram").where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & first & enough)
-    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("met"), F.min(l).alias("l")).where("met >= l")
-    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb", "met", "l").drop("met", "l"), "exact-links")
+    pairs = met.select("c1", "f1", "n1", "c2", "f2", "n2").distinct()
+    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb"), "exact-links")
     return classes, links.union(found), members
 
 
