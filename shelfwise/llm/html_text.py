@@ -18,7 +18,9 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,58 +29,92 @@ from pyspark.sql import functions as F
 from shelfwise.llm.store import by_value, keep
 
 #: HTML's element kinds.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp", "annotation", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
     "mark", "q", "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "br",
+    "math", "semantics", "annotation", "annotation-xml", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom",
+    "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "mtable", "mtr", "mlabeledtr", "mtd", "maction",
 }
 ARTICLE = {"article", "main"}
-#: Elements, roles and class or id words of what is not main text.
-ASIDE = {"nav", "footer", "aside", "form", "button", "select", "option", "svg", "canvas", "audio", "video", "object", "head", "dialog", "menu", "fieldset", "math"}
-ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
+#: Elements and roles of what is not main text.
+ASIDE = {"nav", "footer", "aside", "button", "select", "option", "svg", "canvas", "audio", "video", "object", "head", "dialog", "menu"}
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "dialog", "alert", "menu", "menubar"}
+#: Elements and roles that are not main text unless they hold most of the page; they never hide an article.
+FORMS, FORM_ROLES = {"form", "fieldset"}, {"form", "search"}
+#: Words of classes or ids that name a box beside the main text, unless it holds most of the page.
 MARKS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "nav", "navbar", "navigation",
     "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "footer", "masthead", "topbar", "cookie", "cookies", "consent", "notice", "notices", "gdpr",
     "alert", "popup", "modal", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended",
     "comment", "comments", "respond", "replies", "disqus", "pagination", "pager", "toolbar", "widget", "copyright", "disclaimer",
 }
-#: Class or id words that say so only outside an article.
+#: Class or id words that say so only outside an article, and those of boxes that may well be longer than the article.
 OUTSIDE_MARKS = {"header"}
+THREADS = {"comment", "comments", "respond", "replies", "disqus", "related", "recommended"}
 #: What a new block element closes when it is still open.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements that an implied end does not cross.
 HOLDS = {"article", "main", "section", "div", "ul", "ol", "dl", "table", "td", "th", "blockquote", "body", "nav", "aside", "header", "footer", "form", "figure"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-LABEL = re.compile(r"(?:^|[\s\"'])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 PIECE = re.compile(r"[A-Za-z]+")
 #: Longest group looked for as repeated, and pages that must agree on a template text.
 GROUP, AGREE = 24, 3
 
 
-def _labels(attributes: str, inside: bool) -> tuple[str, bool]:
-    """First class or id, and whether class, id or role name something beside the main text."""
-    name, beside = "", False
-    for m in LABEL.finditer(attributes):
-        kind, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
+def _marked(value: str, inside: bool) -> set[str]:
+    """Words of the class or id tokens that are made of such words alone (``cookie-notice``, but not ``has-sidebar``)."""
+    marks = MARKS if inside else MARKS | OUTSIDE_MARKS
+    found = set()
+    for token in value.split():
+        words = {p.lower() for p in PIECE.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token))}
+        if words <= marks:
+            found |= words
+    return found
+
+
+def _labels(attributes: str, inside: bool) -> tuple[str, bool, bool, set[str]]:
+    """First class or id; whether hidden or of a role beside the main text; whether of a form's role; words that mark class or id."""
+    name, hidden, form, marks, met = "", False, False, set(), set()
+    for m in ATTRIBUTE.finditer(attributes):
+        kind, value = (m.group(1) or "").lower(), m.group(2) or m.group(3) or m.group(4) or ""
+        if kind not in ("class", "id", "role", "hidden") or kind in met:
+            continue
+        met.add(kind)
         if kind == "hidden":
-            beside = True
+            hidden = True
         elif kind == "role":
-            beside |= value.strip().lower() in ROLES
+            hidden |= value.strip().lower() in ROLES
+            form |= value.strip().lower() in FORM_ROLES
         else:
             name = name or value.strip().split(" ")[0].lower()
-            beside |= any(p.lower() in MARKS or not inside and p.lower() in OUTSIDE_MARKS for p in PIECE.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value)))
-    return name, beside
+            marks |= _marked(html.unescape(value), inside)
+    return name, hidden, form, marks
+
+
+class Block(NamedTuple):
+    """A text and its path; the outermost article or main it lies in (0: none), whether it is beside the main text, the marked boxes around it."""
+
+    path: str
+    text: str
+    article: int
+    aside: bool
+    boxes: tuple[int, ...]
 
 
 class Page:
-    """Blocks of a page: path, text, whether in an article and whether beside the main text; and its token stream."""
+    """Blocks of a page and its token stream."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, bool, bool]] = []
+        self.blocks: list[Block] = []
         self.items: list[tuple[str, str | None]] = []
-        stack: list[tuple[str, str, bool, bool]] = []
+        #: of each marked box, whether it may be longer than the article; of each article, its name and the boxes around it
+        self.threads: list[bool] = []
+        self.articles: list[tuple[str, tuple[int, ...]]] = [("", ())]
+        stack: list[tuple[str, str, int, bool, tuple[int, ...]]] = []
         self.text: list[str] = []
         at = 0
         while True:
@@ -122,17 +158,25 @@ class Page:
                 # head and the like end where the body begins
                 while stack and stack[-1][0] == "head":
                     self._pop(stack)
-            inside = bool(stack) and stack[-1][2]
-            label, beside = _labels(m.group(3), inside)
+            article, aside, boxes = stack[-1][2:] if stack else (0, False, ())
+            label, hidden, form, marks = _labels(m.group(3), article > 0)
             # a page's header is not main text, an article's own header is
-            aside = name in ASIDE or name == "header" and not inside or beside and name not in {"html", "body"} | ARTICLE
+            aside |= name in ASIDE or name == "header" and not article
+            if name not in {"html", "body"} | ARTICLE:
+                aside |= hidden
+                if marks or form or name in FORMS:
+                    boxes += (len(self.threads),)
+                    self.threads.append(bool(marks & THREADS))
+            elif name in ARTICLE and not article:
+                article = len(self.articles)
+                self.articles.append((name, boxes))
             step = f"{name}.{label}" if label else name
-            stack.append((name, step, inside or name in ARTICLE, aside or bool(stack) and stack[-1][3]))
+            stack.append((name, step, article, aside, boxes))
             self.items.append((f"<{step}>", None))
         self._flush(stack)
 
     def _pop(self, stack) -> str:
-        name, step, _, _ = stack.pop()
+        name, step, *_ = stack.pop()
         self.items.append((f"</{step}>", None))
         return name
 
@@ -141,8 +185,7 @@ class Page:
         self.text = []
         if text:
             path = "/".join(e[1] for e in stack if e[0] not in ("html", "body"))
-            inside, aside = stack[-1][2:] if stack else (False, False)
-            self.blocks.append((path, text, inside, aside))
+            self.blocks.append(Block(path, text, *(stack[-1][2:] if stack else (0, False, ()))))
             self.items.append((f"#{path}", text))
 
 
@@ -233,13 +276,26 @@ def template(wrapper: list[list]) -> list[tuple[str, str]]:
     return [(sign[1:], text) for sign, text, pages, _, _ in wrapper if text is not None and pages >= AGREE and sign[0] == "#"]
 
 
+def shown(page: Page, blocks: list[Block]) -> list[Block]:
+    """Of a page's varying blocks, those that no marked box hides.
+
+    A box that holds most of the varying text hides nothing, unless it is a
+    thread beside an article; and no box hides a page's only article.
+    """
+    held, total = Counter(), sum(len(b.text) for b in blocks)
+    for b in blocks:
+        for x in b.boxes:
+            held[x] += len(b.text)
+    plain = any(b.article and not b.boxes for b in blocks)
+    open_ = {x for x, n in held.items() if 2 * n > total and not (plain and page.threads[x])}
+    return [b for b in blocks if all(x in open_ or not plain and x in page.articles[b.article][1] for x in b.boxes)]
+
+
 def main_text(source: str, fixed: set[tuple[str, str]]) -> str:
     """The page's main text, blocks joined by an empty line."""
-    blocks = Page(source).blocks
-    inside = [text for path, text, article, aside in blocks if article and not aside]
-    if inside:
-        return "\n\n".join(inside)
-    return "\n\n".join(text for path, text, _, aside in blocks if not aside and (path, text) not in fixed)
+    page = Page(source)
+    blocks = shown(page, [b for b in page.blocks if not b.aside and (b.article or (b.path, b.text) not in fixed)])
+    return "\n\n".join(b.text for b in [b for b in blocks if b.article] or blocks)
 
 
 def _per_task(batches):

@@ -195,3 +195,20 @@ def test_pipeline_empty(spark):
     for _, stage in corpus_pipeline.STAGES:
         kept = stage(spark, kept, "/root/testdata/sf0.001")
     assert kept.collect() == []
+
+
+def test_marked_boxes_and_attributes():
+    """Boxes are marked by whole names of their own attributes, and hide neither an article nor most of a page."""
+    body = "<p>The whole text of this page, which is longer than what stands beside it.</p>"
+    text = "The whole text of this page, which is longer than what stands beside it."
+    for box in ("div class='elementor-widget-container'", "div class=has-sidebar", "section id='related-work'", "div style='overflow: hidden'", "div title=\"hidden gems\"", "div data-state='hidden'", "div class='widget'", "form"):
+        name = box.split()[0]
+        assert html_text.main_text(f"<article><h1>T</h1><{box}>{body}</{name}></article>", set()) == f"T\n\n{text}", box
+        assert html_text.main_text(f"<{box}><nav>n</nav><article>{body}</article></{name}>", set()) == text, box
+        assert html_text.main_text(f"<{box}>{body}</{name}>", set()) == text, box
+    assert html_text.main_text(f"<div class='widget'><article>{body}</article></div><div>{body * 3}</div>", set()).startswith(text)
+    for box in ("div hidden", "div class='big ad'", "div class='cookie-notice'", "div id=socialShare", "form", "div role=form"):
+        assert html_text.main_text(f"<article>{body}<{box}>beside</{box.split()[0]}></article>", set()) == text, box
+    assert html_text.main_text(f"<article>{body}</article><div id=comments>{'<article>long</article>' * 90}</div>", set()) == text
+    formula = "<article><p>As <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"
+    assert html_text.main_text(formula, set()) == "As a=2 holds."
