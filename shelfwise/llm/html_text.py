@@ -61,8 +61,8 @@ HOLDS = {"article", "main", "section", "div", "ul", "ol", "dl", "table", "td", "
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 PIECE = re.compile(r"[A-Za-z]+")
-#: Longest group looked for as repeated, and pages that must agree on a template text.
-GROUP, AGREE = 24, 3
+#: Longest group looked for as repeated.
+GROUP = 24
 
 
 def _marked(value: str, inside: bool) -> set[str]:
@@ -271,9 +271,14 @@ def expression(wrapper: list[list]) -> str:
     return " ".join(out)
 
 
-def template(wrapper: list[list]) -> list[tuple[str, str]]:
-    """Path and text of what all of the host's pages that have this place repeat."""
-    return [(sign[1:], text) for sign, text, pages, _, _ in wrapper if text is not None and pages >= AGREE and sign[0] == "#"]
+def agreed(n: int, pages: int) -> bool:
+    """Whether n of a host's distinct pages are most of them; one page alone tells nothing."""
+    return n >= 2 and 2 * n > pages
+
+
+def template(wrapper: list[list], pages: int) -> list[tuple[str, str]]:
+    """Path and text of places that most of the host's distinct pages have, where all that have them agree."""
+    return [(sign[1:], text) for sign, text, n, _, _ in wrapper if text is not None and agreed(n, pages) and sign[0] == "#"]
 
 
 def shown(page: Page, blocks: list[Block]) -> list[Block]:
@@ -299,16 +304,22 @@ def main_text(source: str, fixed: set[tuple[str, str]]) -> str:
 
 
 def _per_task(batches):
-    """A wrapper for each host among this task's pages."""
+    """A wrapper for each host among this task's pages, and how many pages it covers."""
     hosts: dict[str, list] = {}
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(hosts)), pa.array([json.dumps(w) for w in hosts.values()])], names=["host", "wrapper"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(hosts), pa.string()), pa.array([json.dumps(w) for w, _ in hosts.values()], pa.string()), pa.array([n for _, n in hosts.values()], pa.int64())],
+            names=["host", "wrapper", "pages"],
+        )
 
     for batch in batches:
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
-            w = page_wrapper(source.as_py() or "")
-            hosts[host] = align(hosts[host], w) if host in hosts else w
+            w = page_wrapper(source.as_py())
+            if not w:
+                continue
+            known, n = hosts.get(host, (None, 0))
+            hosts[host] = (w if known is None else align(known, w), n + 1)
             if len(hosts) >= 2000:
                 yield out()
                 hosts = {}
@@ -317,11 +328,12 @@ def _per_task(batches):
 
 def _join(table):
     """One wrapper of a group's wrappers."""
-    whole = None
-    for row in table.sort_by("wrapper").column("wrapper").to_pylist():
-        w = json.loads(row)
+    whole, pages = None, 0
+    for row in table.sort_by("wrapper").to_pylist():
+        w = json.loads(row["wrapper"])
         whole = w if whole is None else align(whole, w)
-    return pa.table({"host": table.column("host").slice(0, 1), "wrapper": pa.array([json.dumps(whole)])})
+        pages += row["pages"]
+    return pa.table({"host": table.column("host").slice(0, 1), "wrapper": pa.array([json.dumps(whole)]), "pages": pa.array([pages], pa.int64())})
 
 
 def host_of(url: Column) -> Column:
@@ -329,32 +341,41 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
 
 
+def distinct_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``host html``: every page of a host once.  Only pages that have copies are shuffled, after partial aggregation."""
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("html is not null")
+    rows = rows.withColumn("digest", F.sha2("html", 256))
+    copies = keep(rows.groupBy("host", "digest").count().where("count > 1").select("host", "digest"), "copies")
+    once = rows.join(copies, ["host", "digest"], "left_semi").groupBy("host", "digest").agg(F.min("html").alias("html"))
+    return rows.join(copies, ["host", "digest"], "left_anti").select("host", "html").union(once.select("host", "html"))
+
+
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", fan: int = 32) -> DataFrame:
-    """``host wrapper``: the wrapper inferred from all pages of each host, as JSON."""
-    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    now = keep(rows.mapInArrow(_per_task, "host string, wrapper string"), "wrappers")
+    """``host wrapper pages``: the wrapper inferred from all distinct pages of each host, as JSON, and their number; pages without any element or text don't count."""
+    kinds = "host string, wrapper string, pages long"
+    now = keep(distinct_pages(pages, url_col, html_col).mapInArrow(_per_task, kinds), "wrappers")
     # a host's wrappers meet in groups of about fan, until one is left
     while True:
         most = now.groupBy("host").count().agg(F.max("count")).first()[0] or 0
         if most <= 1:
             return now
         salt = F.pmod(F.xxhash64("wrapper"), F.lit(-(-most // fan))).alias("salt")
-        now = keep(now.select("host", "wrapper", salt).groupBy("host", "salt").applyInArrow(_join, "host string, wrapper string"), "wrappers")
+        now = keep(now.select("host", "wrapper", "pages", salt).groupBy("host", "salt").applyInArrow(_join, kinds), "wrappers")
         if most <= fan:
             return now
 
 
 def _extracted(batches):
-    fixed: dict[str, set] = {}
+    fixed: dict[tuple, set] = {}
     for batch in batches:
         texts = []
-        for source, wrapper in zip(batch.column("html"), batch.column("wrapper").to_pylist(), strict=True):
-            if wrapper not in fixed:
+        for source, wrapper, pages in zip(batch.column("html"), batch.column("wrapper").to_pylist(), batch.column("pages").to_pylist(), strict=True):
+            if (wrapper, pages) not in fixed:
                 if len(fixed) > 200:
                     fixed.clear()
-                fixed[wrapper] = set(template(json.loads(wrapper))) if wrapper else set()
-            texts.append(main_text(source.as_py() or "", fixed[wrapper]))
-        rest = [c for c in batch.schema.names if c not in ("html", "wrapper")]
+                fixed[wrapper, pages] = set(template(json.loads(wrapper), pages)) if wrapper else set()
+            texts.append(main_text(source.as_py() or "", fixed[wrapper, pages]))
+        rest = [c for c in batch.schema.names if c not in ("html", "wrapper", "pages")]
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
 
@@ -370,9 +391,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     own.  An empty table gives an empty result; other columns are not read.
     """
     known = wrappers(pages, url_col, html_col)
-    known = known.select(F.col("host").alias("of"), "wrapper")
+    known = known.select(F.col("host").alias("of"), "wrapper", "pages")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    met = rows.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "wrapper")
+    met = rows.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "wrapper", "pages")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     return met.mapInArrow(_extracted, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
 

@@ -212,3 +212,17 @@ def test_marked_boxes_and_attributes():
     assert html_text.main_text(f"<article>{body}</article><div id=comments>{'<article>long</article>' * 90}</div>", set()) == text
     formula = "<article><p>As <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"
     assert html_text.main_text(formula, set()) == "As a=2 holds."
+
+
+def test_template_counts_distinct_pages(spark):
+    """Copies of a page are one page, and template is what most pages of the host repeat, be they two."""
+    pages = [(i, f"http://big.example/{i}", f"<div><p>Big host</p></div><section><p>text {i}</p></section>") for i in range(12)]
+    quoted = "<div><p>Big host</p></div><section><p>quoting</p></section><blockquote>quoted words</blockquote><h3>part</h3>"
+    pages += [(100 + k, f"http://big.example/copy{k}", quoted) for k in range(4)]
+    pages += [(200 + k, f"http://same.example/{k}", "<div><p>one page</p></div><section><p>many times</p></section>") for k in range(5)]
+    pages += [(300 + k, f"http://two.example/{k}", f"<div><p>Two pages</p></div><section><p>text {k}</p></section>") for k in range(2)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.extract(table).collect()}
+    want = {i: f"text {i}" for i in range(12)} | {100 + k: "quoting\n\nquoted words\n\npart" for k in range(4)}
+    want |= {200 + k: "one page\n\nmany times" for k in range(5)} | {300: "text 0", 301: "text 1"}
+    assert got == want
