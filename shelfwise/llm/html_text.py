@@ -8,9 +8,9 @@ without unions, tells the host's template (texts that every page repeats)
 from its slots.  Wrappers of parts of a host are aligned with each other in
 the same way, so a host's pages never meet in one task.
 
-A page's main text is what its article holds; on a page that marks no
-article, it is the text of slots outside menus, headers, footers and the
-like.
+A page's main text is the text of slots, less menus, headers, footers and the
+like.  Articles are a hint only: they are the main region if they hold at
+least as much of that text as the rest of the page.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import json
 import re
 from collections import Counter
 from difflib import SequenceMatcher
+from hashlib import blake2b
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -239,10 +240,6 @@ def _merge(a: list, b: list, same_page: bool = False) -> None:
     a[4] |= b[4]
 
 
-def page_wrapper(source: str) -> list[list]:
-    return fold_repeats([[sign, text, 1, 0, 0] for sign, text in Page(source).items])
-
-
 def align(a: list[list], b: list[list]) -> list[list]:
     """The wrapper that covers both: matches merged, the rest optional, repeats folded."""
     if [x[0] for x in a] == [x[0] for x in b]:
@@ -276,9 +273,19 @@ def agreed(n: int, pages: int) -> bool:
     return n >= 2 and 2 * n > pages
 
 
-def template(wrapper: list[list], pages: int) -> list[tuple[str, str]]:
-    """Path and text of places that most of the host's distinct pages have, where all that have them agree."""
-    return [(sign[1:], text) for sign, text, n, _, _ in wrapper if text is not None and agreed(n, pages) and sign[0] == "#"]
+def place(path: str, text: str) -> int:
+    """A 64-bit number for a text at a path."""
+    return int.from_bytes(blake2b(f"{path}\n{text}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def template(wrapper: list[list], pages: int) -> set[int]:
+    """Places and texts that most of the host's distinct pages have, where all that have them agree."""
+    return {place(sign[1:], text) for sign, text, n, _, _ in wrapper if text is not None and agreed(n, pages) and sign[0] == "#"}
+
+
+def repeated(wrapper: list[list]) -> set[str]:
+    """Paths of repeated groups whose texts differ; a template text may stand among them."""
+    return {sign[1:] for sign, text, _, _, many in wrapper if many and text is None and sign[0] == "#"}
 
 
 def shown(page: Page, blocks: list[Block]) -> list[Block]:
@@ -296,34 +303,68 @@ def shown(page: Page, blocks: list[Block]) -> list[Block]:
     return [b for b in blocks if all(x in open_ or not plain and x in page.articles[b.article][1] for x in b.boxes)]
 
 
-def main_text(source: str, fixed: set[tuple[str, str]]) -> str:
-    """The page's main text, blocks joined by an empty line."""
+def main_text(source: str, fixed: set[int], lists: dict[str, set[int]] | None = None) -> str:
+    """The page's main text, blocks joined by an empty line.
+
+    ``fixed``: the host's template.  ``lists``: of paths that repeat, the
+    texts that most pages of the host hold there.
+    """
     page = Page(source)
-    blocks = shown(page, [b for b in page.blocks if not b.aside and (b.article or (b.path, b.text) not in fixed)])
-    return "\n\n".join(b.text for b in [b for b in blocks if b.article] or blocks)
+    lists = lists or {}
+    blocks = []
+    for b in page.blocks:
+        if not b.aside:
+            at = place(b.path, b.text) if fixed or b.path in lists else None
+            if at is None or at not in fixed and at not in lists.get(b.path, ()):
+                blocks.append(b)
+    return "\n\n".join(b.text for b in region(page, shown(page, blocks)))
+
+
+def region(page: Page, blocks: list[Block]) -> list[Block]:
+    """Of the blocks shown, those of the main region.
+
+    Articles are the region if they hold at least as much as the rest.  If
+    not, the rest is it, with the article if there is only one; several are
+    cards beside the text.
+    """
+    inside = [b for b in blocks if b.article]
+    rest = [b for b in blocks if not b.article]
+    if sum(len(b.text) for b in inside) >= sum(len(b.text) for b in rest):
+        return inside
+    cards = {b.article for b in inside if page.articles[b.article][0] == "article"}
+    return [b for b in blocks if len(cards) < 2 or b.article not in cards]
 
 
 def _per_task(batches):
-    """A wrapper for each host among this task's pages, and how many pages it covers."""
+    """A wrapper for each host among this task's pages, and how many pages it covers; on how many of them each text stands at its path."""
     hosts: dict[str, list] = {}
+    texts: Counter = Counter()
 
     def out():
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(hosts), pa.string()), pa.array([json.dumps(w) for w, _ in hosts.values()], pa.string()), pa.array([n for _, n in hosts.values()], pa.int64())],
-            names=["host", "wrapper", "pages"],
+        n, m = len(hosts), len(texts)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([*hosts, *(host for host, _ in texts)], pa.string()),
+                pa.concat_arrays([pa.array([json.dumps(w) for w, _ in hosts.values()], pa.string()), pa.nulls(m, pa.string())]),
+                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array([at for _, at in texts], pa.int64())]),
+                pa.array([*(k for _, k in hosts.values()), *texts.values()], pa.int64()),
+            ],
+            names=["host", "wrapper", "at", "pages"],
         )
 
     for batch in batches:
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
-            w = page_wrapper(source.as_py())
-            if not w:
+            page = Page(source.as_py())
+            if not page.items:
                 continue
+            w = fold_repeats([[sign, text, 1, 0, 0] for sign, text in page.items])
             known, n = hosts.get(host, (None, 0))
             hosts[host] = (w if known is None else align(known, w), n + 1)
-            if len(hosts) >= 2000:
-                yield out()
-                hosts = {}
-    yield out()
+            texts.update({(host, place(b.path, b.text)) for b in page.blocks if not b.aside})
+            if len(hosts) >= 2000 or len(texts) >= 200_000:
+                yield from out()
+                hosts, texts = {}, Counter()
+    yield from out()
 
 
 def _join(table):
@@ -351,31 +392,43 @@ def distinct_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", fan: int = 32) -> DataFrame:
-    """``host wrapper pages``: the wrapper inferred from all distinct pages of each host, as JSON, and their number; pages without any element or text don't count."""
+    """``host wrapper pages common`` for each host.
+
+    ``wrapper``: inferred from all distinct pages, as JSON; ``pages``: their
+    number, without those that hold no element or text; ``common``: texts
+    that most of them hold at one path, see ``place``.
+    """
     kinds = "host string, wrapper string, pages long"
-    now = keep(distinct_pages(pages, url_col, html_col).mapInArrow(_per_task, kinds), "wrappers")
+    parts = keep(distinct_pages(pages, url_col, html_col).mapInArrow(_per_task, "host string, wrapper string, at long, pages long"), "wrappers")
+    now = parts.where("wrapper is not null").select("host", "wrapper", "pages")
+    total = now.groupBy(F.col("host").alias("of")).agg(F.sum("pages").alias("total"))
+    common = parts.where("wrapper is null").groupBy("host", "at").agg(F.sum("pages").alias("n")).where("n >= 2")
+    common = common.join(total, F.col("host") == F.col("of")).where(F.col("n") * 2 > F.col("total"))
+    common = keep(common.groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_list("at")).alias("common")), "common")
     # a host's wrappers meet in groups of about fan, until one is left
     while True:
         most = now.groupBy("host").count().agg(F.max("count")).first()[0] or 0
-        if most <= 1:
-            return now
-        salt = F.pmod(F.xxhash64("wrapper"), F.lit(-(-most // fan))).alias("salt")
-        now = keep(now.select("host", "wrapper", "pages", salt).groupBy("host", "salt").applyInArrow(_join, kinds), "wrappers")
+        if most > 1:
+            salt = F.pmod(F.xxhash64("wrapper"), F.lit(-(-most // fan))).alias("salt")
+            now = keep(now.select("host", "wrapper", "pages", salt).groupBy("host", "salt").applyInArrow(_join, kinds), "wrappers")
         if most <= fan:
-            return now
+            return now.join(common, F.col("host") == F.col("of"), "left").select("host", "wrapper", "pages", "common")
 
 
 def _extracted(batches):
-    fixed: dict[tuple, set] = {}
+    hosts: dict[str, tuple[set, dict]] = {}
     for batch in batches:
         texts = []
-        for source, wrapper, pages in zip(batch.column("html"), batch.column("wrapper").to_pylist(), batch.column("pages").to_pylist(), strict=True):
-            if (wrapper, pages) not in fixed:
-                if len(fixed) > 200:
-                    fixed.clear()
-                fixed[wrapper, pages] = set(template(json.loads(wrapper), pages)) if wrapper else set()
-            texts.append(main_text(source.as_py() or "", fixed[wrapper, pages]))
-        rest = [c for c in batch.schema.names if c not in ("html", "wrapper", "pages")]
+        for source, host, wrapper, pages, common in zip(*(batch.column(c) for c in ("html", "host", "wrapper", "pages", "common")), strict=True):
+            host = host.as_py()
+            if host not in hosts:
+                if len(hosts) > 200:
+                    hosts.clear()
+                w = json.loads(wrapper.as_py() or "[]")
+                at = set(common.as_py() or ())
+                hosts[host] = template(w, pages.as_py() or 0), dict.fromkeys(repeated(w), at) if at else {}
+            texts.append(main_text(source.as_py() or "", *hosts[host]))
+        rest = ["page_id", "url"]
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
 
@@ -391,9 +444,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     own.  An empty table gives an empty result; other columns are not read.
     """
     known = wrappers(pages, url_col, html_col)
-    known = known.select(F.col("host").alias("of"), "wrapper", "pages")
+    known = known.select(F.col("host").alias("of"), "wrapper", "pages", "common")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    met = rows.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "wrapper", "pages")
+    met = rows.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "host", "wrapper", "pages", "common")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     return met.mapInArrow(_extracted, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
 

@@ -226,3 +226,16 @@ def test_template_counts_distinct_pages(spark):
     want = {i: f"text {i}" for i in range(12)} | {100 + k: "quoting\n\nquoted words\n\npart" for k in range(4)}
     want |= {200 + k: "one page\n\nmany times" for k in range(5)} | {300: "text 0", 301: "text 1"}
     assert got == want
+
+
+def test_template_decides_with_articles(spark):
+    """Template goes from articles too, and articles that are cards do not displace the text."""
+    notice = "<p>All rights to this text are with the host.</p>"
+    pages = [(i, f"http://n.example/{i}", f"<article>{''.join(f'<p>text {i} {k}</p>' for k in range(1 + i % 4))}{notice}</article>") for i in range(9)]
+    pages += [(20 + i, f"http://d.example/{i}", f"<article><div>Note</div><h1>title {i}</h1></article>") for i in range(5)]
+    long = "Long main text of the page, in an element that says nothing of itself."
+    pages += [(40 + i, f"http://c.example/{i}", f"<div><p>{long} {i}</p></div><div>{''.join(f'<article><h3>card {i} {k}</h3></article>' for k in range(3))}</div>") for i in range(4)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.extract(table).collect()}
+    want = {i: "\n\n".join(f"text {i} {k}" for k in range(1 + i % 4)) for i in range(9)} | {20 + i: f"title {i}" for i in range(5)}
+    assert got == want | {40 + i: f"{long} {i}" for i in range(4)}
