@@ -36,7 +36,7 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five-word shingles, similarity 0.8): the one with the smallest id."""
-    groups = jaccard_join.similarity_components(docs, width=5, percent=80)
+    groups = jaccard_join.similarity_components(docs, width=5, percent=80, every=False)
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
     kept = docs.select(*DOCUMENT).join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
     # rows that repeat an id and its text are copies too

@@ -11,10 +11,11 @@ prefixes; that is ``min(l, l')`` at least, and far more for sets of like
 size.  So only the rarest of the shingles that a set shares with any other
 are looked up, as many as leave room for that.
 
-Copies of one set are one class from the start.  Classes that agree with a
-bucket's pivot are joined first; the exact join then only looks at pairs of
-classes that are not yet in one component, so that a large group of near
-copies never unfolds into all its pairs.
+Copies of one set are one class from the start.  The join verifies every
+candidate pair of different classes and lists all their links.  Where only
+the components are asked for, classes that agree with a bucket's pivot are
+joined first, and the exact join then only looks at pairs of classes that are
+not yet in one component.
 """
 
 from __future__ import annotations
@@ -35,8 +36,10 @@ from shelfwise.llm.words import Words, mix, rolled, rows_of, slices
 CELLS, BLOCK = 1 << 21, 1 << 14
 #: Longest prefix extension tried, and the cost of verifying one candidate in postings read.
 LONGEST, VERIFY = 4, 20
-#: Rounds of linking to pivots before the exact join.
+#: Rounds of linking to pivots before the exact join, where only components are asked for.
 ROUNDS = 2
+#: Classes of one shingle that meet in one task; larger buckets are dealt by a second key.
+TILE = 256
 
 
 def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,15 +227,16 @@ def _verified(width: int, t: int):
 
 
 def similar_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, every: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(classes, links, members)`` of the similarity join.
 
     ``members``: ``doc_id n c``, every row with its set's size and 128-bit
-    name (null for an empty set).  ``classes``: ``c key f n``, every
-    distinct set with the smallest id ``f`` that holds it.  ``links``:
-    verified pairs ``a b`` of classes, enough to connect every pair of
-    linked classes.
+    name (null for an empty set).  ``classes``: ``c key f n size``, every
+    distinct set with the smallest id ``f`` that holds it and the number of
+    ids that do.  ``links``: all pairs ``a b`` of different classes that are
+    similar, each once; without ``every``, enough verified pairs to connect
+    every pair of linked classes.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -246,7 +250,8 @@ def similar_classes(
     table = spark.sparkContext.broadcast(cells)
 
     at = F.coalesce("doc_id", F.lit(NO_ID))
-    classes = keep(members.where("n > 0").groupBy("c", "key").agg(F.min(at).alias("f"), F.max("n").alias("n")), "classes")
+    sets = members.where("n > 0").select("c", "key", "n", at.alias("at")).distinct()
+    classes = keep(sets.groupBy("c", "key").agg(F.min("at").alias("f"), F.max("n").alias("n"), F.count("*").alias("size")), "classes")
     postings = texts.mapInArrow(_prefixes(width, percent, table), "gram long, key long, at long")
     postings = postings.repartition("gram").sortWithinPartitions("gram", "key").mapInArrow(_shared, "gram long, key long, at long")
     postings = postings.join(classes, "key").select("gram", "c", "f", "n", (F.col("at") % 8).alias("l"), F.floor(F.col("at") / 8).alias("place"))
@@ -279,7 +284,7 @@ def similar_classes(
         return keep(met.mapInArrow(_verified(width, percent), "a binary, b binary"), name)
 
     links = roots = None
-    for turn in range(ROUNDS):
+    for turn in range(0 if every else ROUNDS):
         rooted = _rooted(postings, roots)
         # the pivot of a bucket: the class that shares most, such as the text that the
         # others are copies of; in later rounds a pseudo-random one
@@ -291,9 +296,14 @@ def similar_classes(
         links = found if links is None else links.union(found)
         roots = keep(components(links), "roots")
     rooted = _rooted(postings, roots)
-    mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
-    rooted = keep(rooted.join(mixed, "gram", "left_semi"), "open")
-    x, y = (rooted.select("gram", *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
+    if not every:
+        mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
+        rooted = keep(rooted.join(mixed, "gram", "left_semi"), "open")
+    # a crowded bucket is dealt: each class on one side to one of its tiles, on the other to all of them
+    crowded = keep(rooted.groupBy("gram").count().where(F.col("count") > TILE).select("gram", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "crowded")
+    rooted = rooted.join(crowded, "gram", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    tile = {1: F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"), 2: F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))}
+    x, y = (rooted.select("gram", tile[i].alias("tile"), *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
     # what can still be shared: the places before this shingle, itself, and the rest of the shorter set
     most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
     enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
@@ -301,10 +311,10 @@ def similar_classes(
     # among the first m - least + 1 that each shares with any class
     least = F.greatest(matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent), F.lit(1))
     first = (F.col("rank1") <= F.col("m1") - least + 1) & (F.col("rank2") <= F.col("m2") - least + 1)
-    met = x.join(y, "gram").where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & first & enough)
+    met = x.join(y, ["gram", "tile"]).where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & first & enough)
     pairs = met.select("c1", "f1", "n1", "c2", "f2", "n2").distinct()
     found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb"), "exact-links")
-    return classes, links.union(found), members
+    return classes, found if every else links.union(found), members
 
 
 #: Stands for a null id: below all others.
@@ -332,15 +342,17 @@ def _sizes(n, m, t: int):
 
 
 def similarity_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, every: bool = True
 ) -> DataFrame:
-    """``doc_id n_shingles component_id`` for every row of ``docs``.
+    """``doc_id n_shingles component_id n_links`` for every row of ``docs``; ``n_links`` only with ``every``.
 
     Words are runs of other bytes than space and 0x09-0x0D, A-Z folded; a
     document's set holds its distinct shingles of ``width`` words (a shorter
     text is one shingle).  Documents link when 100 times the intersection is
     at least ``percent`` times the union; a component's id is the smallest
-    document id in it.
+    document id in it.  ``n_links``: how many other documents this row links
+    to, copies of its set and of the sets like it included; a document is an
+    id with one set.
 
     Nulls: a null or blank text has an empty set, links with nothing and is
     its own component.  A null id counts below all others and comes back as
@@ -348,14 +360,21 @@ def similarity_components(
     different texts, each row links by its own text.  An empty table gives
     an empty result.
     """
-    classes, links, members = similar_classes(docs, id_col, text_col, width, percent)
+    classes, links, members = similar_classes(docs, id_col, text_col, width, percent, every)
     roots = components(links).withColumnRenamed("node", "c")
     rooted = classes.select("c", "f").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = rooted.groupBy("root").agg(F.min("f").alias("component"))
     rooted = rooted.join(least, "root").select(F.col("c").alias("name"), "component")
+    if every:
+        both = links.union(links.select("b", "a")).join(classes.select(F.col("c").alias("b"), "size"), "b")
+        beside = both.groupBy(F.col("a").alias("name")).agg(F.sum("size").alias("beside"))
+        own = classes.select(F.col("c").alias("name"), "size").join(beside, "name", "left")
+        own = own.select("name", (F.col("size") - 1 + F.coalesce("beside", F.lit(0))).alias("n_links"))
+        rooted = rooted.join(own, "name")
     out = members.join(rooted, members["c"] == rooted["name"], "left")
     component = F.when(F.col("name").isNull(), F.col("doc_id")).when(F.col("component") != NO_ID, F.col("component"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    linked = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if every else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), *linked)
 
 
 by_value(__name__)

@@ -178,6 +178,30 @@ def test_jaccard_join_chain(spark):
     assert Counter((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == linked(rows, 4, 85)
 
 
+def test_jaccard_join_lists_all_links(spark, odd, monkeypatch):
+    """Every link between different texts is listed, within connected groups too, and each row has its number of links."""
+    monkeypatch.setattr(jaccard_join, "TILE", 7)
+    rng = np.random.default_rng(6)
+    rows = [r for r in odd if r[0] is None or r[0] < 30]
+    for i in range(100, 150):
+        copy = [f"p{k}" for k in range(160)]
+        for k in rng.integers(0, 160, rng.integers(0, 3)):
+            copy[k] = f"q{rng.integers(9)}"
+        rows.append((i, " ".join(copy), "en", "a"))
+    docs = documents(spark, rows)
+    sets = {}
+    for i, text, *_ in rows:
+        words = (text or "").lower().split()
+        grams = frozenset(" ".join(words[k : k + 4]) for k in range(max(len(words) - 3, 1))) if words else frozenset()
+        sets.setdefault(grams, set()).add(i)
+    alike = {(x, y) for x in sets for y in sets if x and y and x != y and 100 * len(x & y) >= 85 * len(x | y)}
+    _, links, _ = jaccard_join.similar_classes(docs)
+    assert links.count() == links.distinct().count() == len(alike) // 2 > 200
+    count = {x: len(ids) - 1 + sum(len(sets[y]) for y in sets if (x, y) in alike) if x else 0 for x, ids in sets.items()}
+    want = Counter((str(i), count[x]) for i, t, *_ in rows for x, ids in sets.items() if i in ids)
+    assert Counter((str(r.doc_id), r.n_links) for r in jaccard_join.similarity_components(docs).collect()) == want
+
+
 def test_decontamination(spark, odd):
     texts = {i: t for i, t, *_ in odd}
     items = [(1, " ".join(texts[5].split()[20:50])), (2, "never seen anywhere at all in here"), (3, None), (4, "too short"), (5, " ".join(texts[16].upper().split()[500:640])), (5, None), (6, "same same same same same same")]
