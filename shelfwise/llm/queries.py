@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import ann, chat, decontaminate, html_text, jaccard_join, language_id, line_dedup, mixing, quality, substring_dedup
+from shelfwise.llm import ann, bpe_lexicon, chat, decontaminate, divergence, html_text, jaccard_join, language_id, line_dedup, mixing, periodic, quality, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,54 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def planted(text: Column, doc_id: Column) -> Column:
+    """The text, of every tenth document (by crc32 of its id) with its words from some place on repeated periodically."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words).cast("long")
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    turns = F.ceil((n - a) / p).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), turns))
+    whole = F.slice(F.concat(F.slice(words, F.lit(1), a), again), F.lit(1), n.cast("int"))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(whole, " ")).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least 24 words and three periods in all documents, some of which are made periodic first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.collapse_runs(docs, min_length=24, min_exponent=3)
+    # runs come by start, then period: the first of the greatest exponent wins
+    kind = "struct<start:long,length:long,period:long>"
+    best = F.aggregate(
+        "runs", F.lit(None).cast(kind),
+        lambda top, r: F.when(top.isNull() | (r["length"] * top["period"] > top["length"] * r["period"]), r).otherwise(top),
+    )
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return found.withColumn("top", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"), F.col("top.length").alias("length"), F.col("top.period").alias("period"),
+        F.expr("(1000 * top.length) div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded with a public vocabulary, and decoded again."""
+    coder = bpe_lexicon.Coder.from_file(bpe_lexicon.VOCABULARY)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe_lexicon.decode(bpe_lexicon.encode(docs, coder), coder)
+    return coded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the 200 most telling terms of each source."""
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op8_ann, op9_quality, op10_html_text)
+    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_jaccard_join, op4_chat_format, op5_line_dedup, op6_decontamination, op7_language_id, op8_ann, op9_quality, op10_html_text, op11_periodic_runs, op12_bpe, op13_divergence)
 }

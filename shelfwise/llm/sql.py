@@ -93,3 +93,29 @@ k AS (
   FROM c GROUP BY r)
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
 """
+
+ORACLE["op13_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+e AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM e GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM e JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS kept, sum(total) AS size FROM k GROUP BY lang),
+s AS (SELECT lang, source, coalesce(sum(n), 0) AS size FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+f AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         CAST(1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (s.size + v.kept) AS HUGEINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (k.total + 1)) // (v.size + v.kept) AS HUGEINT) AS q
+  FROM s JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM f a JOIN f b USING (lang, term) WHERE a.source != b.source GROUP BY ALL),
+u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source != b.source LEFT JOIN p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT) FROM f WHERE n > 0 AND p > q),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 200
+"""
