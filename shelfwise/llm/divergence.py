@@ -17,6 +17,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,9 +29,10 @@ TERM = re.compile(rb"[a-z\x80-\xff]+")
 #: Probabilities are whole multiples of 1 / SCALE.
 SCALE = 1_000_000_000
 #: Terms that a task counts before it hands them on.
-HELD = 200_000
-#: Rows whose dominators are counted at once.
+HELD = 400_000
+#: Rows whose dominators are counted at once, and rows that a task gathers beyond its skybands before it cuts them.
 BLOCK = 256
+SETTLE = 100_000
 
 _COUNTS = "lang string, source string, term string, n long, df long"
 _TERMS = "lang string, source string, term string, n long, total long"
@@ -107,38 +109,42 @@ def skyband(n: np.ndarray, total: np.ndarray, place: np.ndarray, k: int) -> np.n
     rows of their own block.
     """
     order = np.lexsort((place, total, -n))
+    total = np.searchsorted(np.unique(total), total)[order].astype(np.int32)
+    place = place[order].astype(np.int32)
     kept = np.zeros(0, np.int64)
     for at in range(0, len(order), BLOCK):
-        block = order[at : at + BLOCK]
-        beaten = np.zeros(len(block), np.int64)
-        for others in (kept, block):
-            beaten += (
-                (n[others][None, :] >= n[block][:, None]) & (total[others][None, :] <= total[block][:, None]) & (place[others][None, :] < place[block][:, None])
-            ).sum(axis=1)
-        kept = np.concatenate([kept, block[beaten < k]])
-    return kept
+        t, u = total[at : at + BLOCK, None], place[at : at + BLOCK, None]
+        own = (t.T <= t) & (u.T < u)
+        beaten = np.count_nonzero((total[kept] <= t) & (place[kept] < u), axis=1) + np.count_nonzero(np.tril(own, -1), axis=1)
+        kept = np.concatenate([kept, at + np.flatnonzero(beaten < k)])
+    return order[kept]
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    return np.asarray(column.combine_chunks().dictionary_encode().indices).astype(np.int64)
+
+
+def _skybands(table: pa.Table, k: int) -> pa.Table:
+    """The rows of every group that are in its skyband."""
+    place = np.empty(table.num_rows, np.int64)
+    place[np.asarray(pc.sort_indices(table["term"]))] = np.arange(table.num_rows)
+    n, total = np.asarray(table["n"]), np.asarray(table["total"])
+    group = _codes(table["lang"]) * table.num_rows + _codes(table["source"])
+    rows = np.argsort(group, kind="stable")
+    parts = np.split(rows, np.flatnonzero(np.diff(group[rows])) + 1)
+    return table.take(np.concatenate([part[skyband(n[part], total[part], place[part], k)] for part in parts]))
 
 
 def _band(k: int):
     def run(batches):
-        held: dict = {}
+        held, limit = [], SETTLE
         for batch in batches:
-            rows: dict = {}
-            for lang, source, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.setdefault((lang, source), []).append(row)
-            for key, more in rows.items():
-                more = held.get(key, []) + more
-                terms = [r[0].encode() for r in more]
-                place = np.empty(len(more), np.int64)
-                place[sorted(range(len(more)), key=terms.__getitem__)] = np.arange(len(more))
-                stay = skyband(np.array([r[1] for r in more]), np.array([r[2] for r in more]), place, k)
-                held[key] = [more[i] for i in stay.tolist()]
-        for (lang, source), rows in held.items():
-            term, n, total = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(rows), pa.string()), pa.array([source] * len(rows), pa.string()), pa.array(term, pa.string()), pa.array(n, pa.int64()), pa.array(total, pa.int64())],
-                names=["lang", "source", "term", "n", "total"],
-            )
+            held.append(pa.Table.from_batches([batch]))
+            if sum(t.num_rows for t in held) >= limit:
+                held = [_skybands(pa.concat_tables(held), k)]
+                limit = 2 * held[0].num_rows + SETTLE
+        if sum(t.num_rows for t in held):
+            yield from _skybands(pa.concat_tables(held), k).to_batches(max_chunksize=10_000)
 
     return run
 
