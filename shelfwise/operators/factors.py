@@ -1,7 +1,7 @@
 """Matrix-factorisation recommendations.
 
-* ``fit_als`` runs ``pyspark.ml`` ALS over ids of any size: a stored
-  dictionary numbers the distinct users and items as the INT that ALS wants.
+* ``fit_als`` runs ``pyspark.ml`` ALS over ids of any size: ids past INT are
+  numbered by a stored dictionary, once for all fits on the same ratings.
   The result is a pair of factor tables under the original ids.
 * ``recommend`` / ``topk_from_factors`` score factor tables: blocks of items
   are broadcast one after the other, user rows are scored where they lie,
@@ -22,10 +22,14 @@ from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions.vectors import dot
+from shelfwise.operators.registry import exists as registry_exists
 from shelfwise.schemas import MAX_DISTINCT
 from shelfwise.session import ensure_checkpoint_dir, scratch_path
+from shelfwise.sources import placed
+from shelfwise.sources.placed import Placed
 
 USER = "user_id"
 ITEM = "product_id"
@@ -68,8 +72,6 @@ def als(
 
 #: ALS blocks unless the job says otherwise; part of the model, not of the cluster it was fitted on.
 NUM_BLOCKS = 10
-#: Folders of a saved user-factor table, so that a batch reads only those of its users.
-USER_BUCKETS = 64
 
 
 def dictionary(ids: DataFrame, id_col: str) -> DataFrame:
@@ -90,18 +92,22 @@ def dictionary(ids: DataFrame, id_col: str) -> DataFrame:
     return dealt.withColumn("place", place).join(starts, "part").select("id", (F.col("start") + F.col("place")).cast("int").alias("idx"))
 
 
+FACTORS = T.StructType([T.StructField("id", T.LongType()), T.StructField("features", T.ArrayType(T.DoubleType()))])
+
+
 class FactorModel:
     """A fitted factorisation: ``users`` and ``items`` are ``(id, features)`` under the original ids."""
 
     def __init__(self, users: DataFrame, items: DataFrame, rank: int, als: ALSModel | None = None, path: str | None = None,
-                 ids: dict[str, DataFrame] | None = None):
+                 ids: dict[str, DataFrame] | None = None, n_users: int | None = None):
         self.users, self.items, self.rank, self.als, self.path, self.ids = users, items, rank, als, path, ids or {}
+        self.n_users = n_users
         self._block = None
 
     def save_to(self, path: str) -> None:
-        """Factor tables under ``path``, the users' in buckets by id, and the ``pyspark.ml`` model with its numbering beside them."""
-        bucket = F.pmod(F.xxhash64("id"), F.lit(USER_BUCKETS)).alias("bucket")
-        self.users.select("id", "features", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/users")
+        """Factor tables under ``path``, the users' placed by id, and the ``pyspark.ml`` model with its numbering beside them."""
+        n_users = self.n_users if self.n_users is not None else self.users.count()
+        placed.write(self.users.select("id", "features"), f"{path}/users", ["id"], n_users)
         self.items.write.mode("overwrite").parquet(f"{path}/items")
         if self.als is not None:
             self.als.write().overwrite().save(f"{path}/als")
@@ -111,23 +117,71 @@ class FactorModel:
     @staticmethod
     def load(path: str) -> "FactorModel":
         spark = SparkSession.getActiveSession()
-        users = spark.read.schema("id bigint, features array<double>, bucket int").parquet(f"{path}/users")
-        items = spark.read.schema("id bigint, features array<double>").parquet(f"{path}/items")
+        users = Placed(spark, f"{path}/users", FACTORS, ["id"]).rows()
+        items = spark.read.schema(FACTORS).parquet(f"{path}/items")
         first = items.select(F.size("features").alias("n")).first()
         return FactorModel(users, items, int(first["n"]) if first else 0, path=path)
 
     def of_users(self, wanted: DataFrame) -> DataFrame:
-        """Factors of the users in ``wanted``; of a saved model only their buckets are read."""
+        """Factors of the users in ``wanted``; of a saved model only their buckets, and of few users only their pages, are read."""
         wanted = wanted.select(F.col(USER).cast("bigint").alias("id")).distinct()
-        users = self.users
         if self.path is not None:
-            # at most USER_BUCKETS values
-            buckets = wanted.select(F.pmod(F.xxhash64("id"), F.lit(USER_BUCKETS)).cast("int").alias("b")).distinct().collect()
-            users = users.filter(F.col("bucket").isin([r["b"] for r in buckets]))
-        return users.select("id", "features").join(wanted, "id", "left_semi")
+            return Placed(wanted.sparkSession, f"{self.path}/users", FACTORS, ["id"]).of(wanted).select("id", "features")
+        return self.users.select("id", "features").join(wanted, "id", "left_semi")
+
+
+class Numbered:
+    """Ratings under the INT ids that ALS wants, and the dictionaries of the ids that are not such already.
+
+    Numbered once, for all fits on them: a sweep's trials share it.
+    """
+
+    def __init__(self, ratings: DataFrame, ids: dict[str, DataFrame], n_users: int):
+        self.ratings, self.ids, self.n_users = ratings, ids, n_users
+
+    def subset(self, rows: DataFrame) -> "Numbered":
+        """The same numbering for other ratings of the same users and items."""
+        return Numbered(_renamed(rows.select(USER, ITEM, RATING), self.ids), self.ids, self.n_users)
+
+    def tables(self, model: ALSModel) -> tuple[DataFrame, DataFrame]:
+        """Factor tables of a fitted model under the original ids."""
+        out = []
+        for short, found in (("u", model.userFactors), ("i", model.itemFactors)):
+            if short in self.ids:
+                ids = self.ids[short]
+                named = found.join(ids, found["id"] == ids["idx"]).select(ids["id"], "features")
+            else:
+                named = found.select(F.col("id").cast("bigint").alias("id"), "features")
+            out.append(named.select("id", F.col("features").cast("array<double>").alias("features")))
+        return out[0], out[1]
+
+
+def _renamed(ratings: DataFrame, ids: dict[str, DataFrame]) -> DataFrame:
+    for column, short in ((USER, "u"), (ITEM, "i")):
+        if short in ids:
+            ratings = ratings.join(ids[short].select(F.col("id").alias(column), F.col("idx").alias(f"_{short}")), column)
+    names = [F.col(f"_{short}" if short in ids else column).cast("int").alias(column) for column, short in ((USER, "u"), (ITEM, "i"))]
+    return ratings.select(*names, RATING)
 
 
-def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 20, reg_param: float = 0.1,
+def numbered(ratings: DataFrame) -> Numbered:
+    """Numbers users and items whose ids do not all fit an INT; ids that do stay as they are.
+
+    The dictionaries are written to shared storage; a job that fits several
+    models on parts of the same ratings numbers once and passes the result.
+    """
+    spark = ratings.sparkSession
+    ends = [f(F.col(c).cast("bigint")).alias(f"{s}_{n}") for c, s in ((USER, "u"), (ITEM, "i")) for f, n in ((F.min, "low"), (F.max, "high"))]
+    seen = ratings.agg(*ends, F.approx_count_distinct(USER).alias("n")).first()
+    root, ids = scratch_path(spark, "als-ids"), {}
+    for column, short in ((USER, "u"), (ITEM, "i")):
+        if (seen[f"{short}_high"] or 0) > MAX_DISTINCT or (seen[f"{short}_low"] or 0) < -MAX_DISTINCT:
+            dictionary(ratings, column).write.parquet(f"{root}/{short}")
+            ids[short] = spark.read.schema("id bigint, idx int").parquet(f"{root}/{short}")
+    return Numbered(_renamed(ratings.select(USER, ITEM, RATING), ids), ids, int(seen["n"]))
+
+
+def fit_als(ratings: DataFrame | Numbered, rank: int = 10, max_iter: int = 20, reg_param: float = 0.1,
             seed: int = 42, num_blocks: int = NUM_BLOCKS, **kw) -> FactorModel:
     """Explicit-feedback ALS on ``(user_id, product_id, rating)``, ids of any BIGINT value.
 
@@ -135,23 +189,11 @@ def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 20, reg_param: f
     session's checkpoint folder, so long fits survive lost executors.  The
     fit depends on ``num_blocks``, not on the size of the cluster.
     """
-    spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
-    root = scratch_path(spark, "als-ids")
-    numbered = ratings.select(USER, ITEM, RATING)
-    for column, short in ((USER, "u"), (ITEM, "i")):
-        dictionary(ratings, column).write.parquet(f"{root}/{short}")
-    ids = {short: spark.read.parquet(f"{root}/{short}") for short in ("u", "i")}
-    for column, short in ((USER, "u"), (ITEM, "i")):
-        numbered = numbered.join(ids[short].select(F.col("id").alias(column), F.col("idx").alias(short)), column)
-    numbered = numbered.select(F.col("u").alias(USER), F.col("i").alias(ITEM), RATING)
-    model = als(rank, max_iter, reg_param, seed, num_blocks, **kw).fit(numbered)
-
-    def tables(found: DataFrame, short: str) -> DataFrame:
-        named = found.join(ids[short], found["id"] == ids[short]["idx"])
-        return named.select(ids[short]["id"], F.col("features").cast("array<double>").alias("features"))
-
-    return FactorModel(tables(model.userFactors, "u"), tables(model.itemFactors, "i"), rank, als=model, ids=ids)
+    given = ratings if isinstance(ratings, Numbered) else numbered(ratings)
+    ensure_checkpoint_dir(given.ratings.sparkSession)
+    model = als(rank, max_iter, reg_param, seed, num_blocks, **kw).fit(given.ratings)
+    users, items = given.tables(model)
+    return FactorModel(users, items, rank, als=model, ids=given.ids, n_users=given.n_users)
 
 
 def transform(path: str, pairs: DataFrame) -> DataFrame:
@@ -159,8 +201,11 @@ def transform(path: str, pairs: DataFrame) -> DataFrame:
     spark = pairs.sparkSession
     numbered = pairs
     for column, short in ((USER, "u"), (ITEM, "i")):
-        ids = spark.read.schema("id bigint, idx int").parquet(f"{path}/ids-{short}")
-        numbered = numbered.join(ids.select(F.col("id").alias(column), F.col("idx").alias(f"_{short}")), column)
+        if registry_exists(spark, f"{path}/ids-{short}"):
+            ids = spark.read.schema("id bigint, idx int").parquet(f"{path}/ids-{short}")
+            numbered = numbered.join(ids.select(F.col("id").alias(column), F.col("idx").alias(f"_{short}")), column)
+        else:
+            numbered = numbered.withColumn(f"_{short}", F.col(column).cast("int"))
     model = ALSModel.load(f"{path}/als").setUserCol("_u").setItemCol("_i").setColdStartStrategy("drop")
     return model.transform(numbered).drop("_u", "_i")
 

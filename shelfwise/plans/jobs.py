@@ -6,8 +6,10 @@ A *store* is one folder on shared storage:
     <root>/tables/users     user rows, per-cell latest
     <root>/tables/books     book rows, per-cell latest
     <root>/tables/recs      one list per user, whole-row latest, ALS over cold start
+    <root>/tables/donors    a donor and its current list per clustering version and cluster
+    <root>/tables/waiting   users who signed up when no donor could serve them
     <root>/tables/rejected  quarantined lines with the reason
-    <root>/models           versioned ALS / k-means models and donor tables
+    <root>/models           versioned ALS / k-means models
 
 Every write is keyed by ``(writer, batch_id)`` and replaces that partition
 when re-run, so a job that dies half way converges when it is run again.
@@ -39,12 +41,15 @@ RECS_LOG = T.StructType(list(RECS.fields) + [T.StructField("source_rank", T.Inte
 
 DONORS = T.StructType(
     [
+        T.StructField("kmeans_version", T.LongType(), True),
         T.StructField("cluster", T.IntegerType(), True),
         T.StructField("donor_id", T.LongType(), True),
         T.StructField("recs", nullable(RECS["recs"].dataType), True),
     ]
 )
 
+WAITING = T.StructType([T.StructField("user_id", T.LongType(), True), T.StructField("waits", T.BooleanType(), True)])
+
 REJECTED_LOG = T.StructType(
     [
         T.StructField("kind", T.StringType(), True),
@@ -82,17 +87,25 @@ class Store:
         return KeyedTable(self.spark, self._p("tables", "recs"), RECS_LOG, ["user_id"], merge="row",
                           rank_cols=["source_rank", "model_version"])
 
+    @property
+    def donor_lists(self) -> KeyedTable:
+        return KeyedTable(self.spark, self._p("tables", "donors"), DONORS, ["kmeans_version", "cluster"], merge="row")
+
+    @property
+    def waiting(self) -> KeyedTable:
+        return KeyedTable(self.spark, self._p("tables", "waiting"), WAITING, ["user_id"], merge="row")
+
     @property
     def models(self) -> str:
         return self._p("models")
 
     def create(self) -> None:
-        for t in (self.history, self.users, self.books, self.recs):
+        for t in (self.history, self.users, self.books, self.recs, self.donor_lists, self.waiting):
             t.create()
 
     def compact(self) -> dict:
-        """Maintenance: fold each table's log into its state; returns ``{table: fold}``."""
-        tables = {"history": self.history, "users": self.users, "books": self.books, "recs": self.recs}
+        """Maintenance: a snapshot of each table, and what it makes superfluous removed; returns ``{table: snapshot}``."""
+        tables = {"history": self.history, "users": self.users, "books": self.books, "recs": self.recs, "donors": self.donor_lists, "waiting": self.waiting}
         return {name: t.compact() for name, t in tables.items()}
 
     # -- quarantine ----------------------------------------------------------------
@@ -163,16 +176,29 @@ class Store:
     def snapshot_path(self, name: str) -> str:
         return self._p("snapshots", f"{name}-{uuid.uuid4().hex[:12]}")
 
-    def donors_path(self, kmeans_version: int) -> str:
-        return self._p("models", "donors", f"v{kmeans_version}")
-
     def trials_path(self, als_version: int) -> str:
         """Where the trials that chose an ALS version's parameters are kept."""
         return self._p("models", "trials", f"v{als_version}")
 
     def donors(self, kmeans_version: int) -> DataFrame:
-        """Donor lists of a clustering version: ``(cluster, donor_id, recs)``, at most k rows."""
-        return self.spark.read.schema(DONORS).parquet(self.donors_path(kmeans_version))
+        """Donors of a clustering version with their lists as they are now: ``(cluster, donor_id, recs)``, at most k rows."""
+        rows = self.donor_lists.latest(["donor_id", "recs"])
+        return rows.filter(F.col("kmeans_version") == kmeans_version).select("cluster", "donor_id", "recs")
+
+    def write_donors(self, lists: DataFrame, kmeans_version: int, writer: str, batch_id: int, generation: int) -> None:
+        """Donor lists ``(cluster, donor_id, recs)``, ids only; later ones of a cluster replace earlier ones whoever writes them."""
+        ids_only = F.transform("recs", lambda x: F.struct(x["product_id"].alias("product_id"), F.lit(None).cast("double").alias("score")))
+        now = F.struct(F.lit(int(time.time() * 1000)).cast("bigint").alias("at"), *[F.lit(0).cast("bigint").alias(c) for c in ("file", "block", "pos")])
+        out = lists.select(F.lit(kmeans_version).cast("bigint").alias("kmeans_version"), "cluster", "donor_id", ids_only.alias("recs"), now.alias(SEQ))
+        self.donor_lists.upsert(out, writer, batch_id, generation)
+
+    def refresh_donors(self, recs: DataFrame, writer: str, batch_id: int, generation: int) -> None:
+        """Keeps donor lists current: of the users whose lists ``recs`` has just changed, donors change their cluster's row."""
+        version, _ = self.current_kmeans()
+        if version is None:
+            return
+        donors = self.donors(version).select("cluster", "donor_id")  # at most k rows
+        self.write_donors(recs.withColumnRenamed("user_id", "donor_id").join(F.broadcast(donors), "donor_id"), version, writer, batch_id, generation)
 
 
 # --- shared steps ------------------------------------------------------------------------------
@@ -187,9 +213,9 @@ def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: in
                      feature_cols=features.DEFAULT_FEATURES) -> int:
     """Fit k-means on the current users, save it, and store its donor lists.
 
-    The donor lists (one ALS list per cluster, at most k rows) are a
-    snapshot taken here, once per clustering version, so a user micro-batch
-    joins this small table instead of scanning the recommendation table.
+    The donor lists (one ALS list per cluster, at most k rows) are copied
+    here, and by every rating batch that changes a donor's list, so a user
+    micro-batch joins this small table instead of the recommendation table.
     """
     value_cols = [c for c in feature_cols if c != "user_id"]
     vecs = _user_vectors(store.users.latest(value_cols), feature_cols)
@@ -206,8 +232,7 @@ def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: in
             raise ValueError(f"{len(rows)} donors for {n_clusters} clusters")
         donor_table = store.spark.createDataFrame(rows, "cluster int, donor_id bigint")
         donor_recs = store.recs.lookup(donor_table.select(F.col("donor_id").alias("user_id")), ["recs"])
-        lists = clusters.donor_lists(donor_table, donor_recs)
-        lists.select(*DONORS.fieldNames()).coalesce(1).write.mode("overwrite").parquet(store.donors_path(version))
+        store.write_donors(clusters.donor_lists(donor_table, donor_recs), version, "kmeans", version, 0)
         registry.register(store.spark, store.models, "kmeans", version, path)
     finally:
         vecs.unpersist()

@@ -137,3 +137,31 @@ def test_topk_exact_with_ties_on_both_paths(spark, users, items, k):
     blocked = sorted(tuple(r) for r in factors.topk_from_factors(uf, itf, k, block_bytes=80).collect())
     assert broadcast == want
     assert blocked == want
+
+
+def test_a_batch_reads_few_of_the_factor_rows(spark, tmp_dir):
+    """300 users of 100,000: less than a tenth of the saved factor rows is read, and all 300 come back."""
+    from shelfwise.sources import placed
+
+    users = spark.range(100_000).select((F.col("id") * 7).alias("id"), F.array(*[F.rand(i) for i in range(10)]).alias("features"))
+    items = spark.createDataFrame([(1, [0.5] * 10)], "id bigint, features array<double>")
+    factors.FactorModel(users, items, 10).save_to(f"{tmp_dir}/m")
+    model = factors.FactorModel.load(f"{tmp_dir}/m")
+    asked = spark.range(300).select((F.pmod(F.xxhash64("id"), F.lit(100_000)) * 7).alias("user_id")).distinct()
+    n = asked.count()
+    found = model.of_users(asked)
+    assert len(found.collect()) == n
+    assert placed.scanned(found)["numOutputRows"] < 10_000
+    unknown = model.of_users(spark.createDataFrame([(3,), (None,)], "user_id bigint"))
+    assert unknown.collect() == []
+
+
+def test_narrow_ids_are_not_numbered_again(spark):
+    rated = spark.createDataFrame([(u, 100 + i, float(1 + (u * i) % 5)) for u in range(1, 9) for i in range(1, 7)], "user_id bigint, product_id bigint, rating double")
+    assert factors.numbered(rated).ids == {}
+    wide = rated.withColumn("user_id", F.col("user_id") - 2**40)
+    given = factors.numbered(wide)
+    assert set(given.ids) == {"u"} and given.ratings.count() == rated.count()
+    model = factors.fit_als(given, rank=2, max_iter=2)
+    assert {r["id"] for r in model.users.collect()} == {u - 2**40 for u in range(1, 9)}
+    assert {r["id"] for r in model.items.collect()} == set(range(101, 107))

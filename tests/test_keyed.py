@@ -120,6 +120,92 @@ def test_row_merge_compaction_and_rank(spark, tmp_dir):
     assert got == {1: (5, "als"), 2: (7, "als"), 3: (9, "cold_start")}
 
 
+def test_a_batch_written_during_a_snapshot_is_not_lost(spark, tmp_dir, monkeypatch):
+    from shelfwise.sources import keyed
+
+    t = KeyedTable(spark, f"{tmp_dir}/t", SCHEMA, ["id"])
+    t.upsert(spark.createDataFrame([(1, "x", "y")], SCHEMA), "w", 0)
+    real = keyed.write_placed
+
+    def late(*args):
+        # the batches have been named; another one comes before they are written
+        t.upsert(spark.createDataFrame([(2, "p", "q"), (1, "z", None)], SCHEMA), "w", 1)
+        real(*args)
+        t.upsert(spark.createDataFrame([(3, "r", "s")], SCHEMA), "v", 0)
+
+    monkeypatch.setattr(keyed, "write_placed", late)
+    t.snapshot()
+    monkeypatch.undo()
+    want = [(1, "z", "y"), (2, "p", "q"), (3, "r", "s")]
+    assert _rows(t.latest()) == want
+    t.clean()
+    assert _rows(t.latest()) == want
+    assert t.log().count() == 3  # only the batch that the snapshot holds is gone
+    t.snapshot()
+    assert _rows(t.latest()) == want
+    assert _rows(t.get({"id": 1})) == [(1, "z", "y")]
+
+
+def test_an_unfinished_snapshot_is_not_read(spark, tmp_dir, monkeypatch):
+    from shelfwise.sources import keyed
+
+    t = KeyedTable(spark, f"{tmp_dir}/t", SCHEMA, ["id"])
+    t.upsert(spark.createDataFrame([(1, "x", "y")], SCHEMA), "w", 0)
+    real = keyed.write_placed
+
+    def broken(*args):
+        real(*args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(keyed, "write_placed", broken)
+    try:
+        t.snapshot()
+    except OSError:
+        pass
+    monkeypatch.undo()
+    t.upsert(spark.createDataFrame([(1, "z", None)], SCHEMA), "w", 1)
+    assert _rows(t.latest()) == [(1, "z", "y")]
+    assert t.snapshot() == 2
+    assert _rows(t.latest()) == [(1, "z", "y")]
+
+
+def test_lookup_reads_its_keys_only(spark, tmp_dir, monkeypatch):
+    from shelfwise.sources import placed
+
+    t = KeyedTable(spark, f"{tmp_dir}/t", SCHEMA, ["id"])
+    rows = spark.range(64_000).selectExpr("cast(id * 3 as int) as id", "concat('a', id) as a", "repeat(cast(id as string), 4) as b")
+    t.upsert(rows, "w", 0)
+    t.snapshot(bucket_rows=1000)
+    t.clean()
+    every = t.latest()
+    assert every.count() == 64_000
+    keys = spark.range(100).selectExpr("cast(pmod(xxhash64(id), 64000) * 3 as int) as id").distinct()
+    whole = placed.Placed(spark, f"{t._snapshot(1)}/rows", t.state_schema, ["id"])
+    rows_of_all = whole.rows()
+    rows_of_all.collect()
+    all_read = placed.scanned(rows_of_all)
+    assert (all_read["numFiles"], all_read["numOutputRows"]) == (64, 64_000)
+
+    got = t.lookup(keys, ["a"])
+    assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in keys.collect())
+    read = placed.scanned(got)
+    assert read["filesSize"] < all_read["filesSize"] and read["numFiles"] < 64
+    assert read["numOutputRows"] < 64_000 * 0.15
+
+    point = t.get({"id": 300})
+    assert [tuple(r) for r in point.collect()] == [(300, "a100", "100" * 4)]
+    read = placed.scanned(point)
+    assert read["numFiles"] == 1 and read["numOutputRows"] <= 200
+
+    # more keys than are sent one by one: buckets are pruned at run time
+    monkeypatch.setattr(placed, "FEW_KEYS", 2)
+    got = t.lookup(spark.range(5).selectExpr("cast(id * 3 as int) as id"), ["a"])
+    assert len(got.collect()) == 5
+    assert 0 < placed.scanned(got)["numFiles"] <= 5
+    monkeypatch.undo()
+    assert t.lookup(keys.filter("id < 0")).collect() == []
+
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
