@@ -70,8 +70,14 @@ def save(spark: SparkSession, model, root: str, kind: str, version: int | None =
 
 def register(spark: SparkSession, root: str, kind: str, version: int, path: str) -> None:
     """Make a saved version the current one (one appended registry row)."""
-    row = [(kind, int(version), path, int(time.time() * 1000))]
-    spark.createDataFrame(row, _SCHEMA).coalesce(1).write.mode("append").parquet(_registry_path(root))
+    register_all(spark, root, [(kind, version, path)])
+
+
+def register_all(spark: SparkSession, root: str, saved: list[tuple[str, int, str]]) -> None:
+    """Make saved versions ``(kind, version, path)`` current together: their rows are one file, so readers see all or none."""
+    now = int(time.time() * 1000)
+    rows = [(kind, int(version), path, now) for kind, version, path in saved]
+    spark.createDataFrame(rows, _SCHEMA).coalesce(1).write.mode("append").parquet(_registry_path(root))
 
 
 def load(spark: SparkSession, root: str, kind: str, loader):

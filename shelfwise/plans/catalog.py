@@ -9,7 +9,7 @@ the session's checkpoint folder first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise import fixtures as fx
@@ -58,6 +58,20 @@ def users_parse_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.parse_users(fx.faulty_user_lines(spark, sf_dir), keep=["event_id"]).good
 
 
+def skipped_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a faulty producer, counted by the scan that writes their features: rejected ones, and users a missing feature keeps out."""
+    parsed = text.parse_users(fx.faulty_user_lines(spark, sf_dir), keep=["event_id"])
+    rejected = Observation()
+    tagged = parsed.tagged.observe(rejected, F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected"))
+    names = features.feature_names()
+    rows, seen = features.counted(features.user_features(tagged.filter(F.col("reason").isNull())), names)
+    path = scratch_path(spark, "features")
+    rows.write.parquet(path)
+    vectors = features.assemble(spark.read.schema(rows.schema).parquet(path), names).count()
+    counts = (rejected.get["lines"], rejected.get["rejected"], seen.get["skipped"], vectors)
+    return spark.createDataFrame([counts], "n_lines bigint, n_rejected bigint, n_skipped bigint, n_vectors bigint")
+
+
 def books_parse_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept book lines of a faulty producer: 13-digit ids, averages null where they are no number."""
     return text.parse_books(fx.faulty_book_lines(spark, sf_dir), keep=["event_id"]).good

@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,11 @@ REJECTED_LOG = T.StructType(
 )
 
 
+def written_now() -> Column:
+    """A ``_seq`` for rows that follow from the state at this moment, whoever writes them."""
+    return F.struct(F.lit(int(time.time() * 1000)).cast("bigint").alias("at"), *[F.lit(0).cast("bigint").alias(c) for c in ("file", "block", "pos")])
+
+
 @dataclass
 class Store:
     spark: SparkSession
@@ -188,8 +193,7 @@ class Store:
     def write_donors(self, lists: DataFrame, kmeans_version: int, writer: str, batch_id: int, generation: int) -> None:
         """Donor lists ``(cluster, donor_id, recs)``, ids only; later ones of a cluster replace earlier ones whoever writes them."""
         ids_only = F.transform("recs", lambda x: F.struct(x["product_id"].alias("product_id"), F.lit(None).cast("double").alias("score")))
-        now = F.struct(F.lit(int(time.time() * 1000)).cast("bigint").alias("at"), *[F.lit(0).cast("bigint").alias(c) for c in ("file", "block", "pos")])
-        out = lists.select(F.lit(kmeans_version).cast("bigint").alias("kmeans_version"), "cluster", "donor_id", ids_only.alias("recs"), now.alias(SEQ))
+        out = lists.select(F.lit(kmeans_version).cast("bigint").alias("kmeans_version"), "cluster", "donor_id", ids_only.alias("recs"), written_now().alias(SEQ))
         self.donor_lists.upsert(out, writer, batch_id, generation)
 
     def refresh_donors(self, recs: DataFrame, writer: str, batch_id: int, generation: int) -> None:
@@ -211,32 +215,38 @@ def _user_vectors(users: DataFrame, feature_cols=features.DEFAULT_FEATURES) -> D
 
 def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: int = 1,
                      feature_cols=features.DEFAULT_FEATURES) -> int:
-    """Fit k-means on the current users, save it, and store its donor lists.
+    """Fit k-means on the current users, save it with its donor lists, and make it current; returns its version."""
+    version, path, _ = fit_clusters(store, n_clusters, max_iter, seed, feature_cols, store.als_users())
+    registry.register(store.spark, store.models, "kmeans", version, path)
+    return version
+
 
-    The donor lists (one ALS list per cluster, at most k rows) are copied
-    here, and by every rating batch that changes a donor's list, so a user
-    micro-batch joins this small table instead of the recommendation table.
+def fit_clusters(store: Store, n_clusters: int, max_iter: int, seed: int, feature_cols, eligible: DataFrame) -> tuple[int, str, int]:
+    """A saved clustering that is not current yet: ``(version, path, skipped users)``.
+
+    The features are written once and counted in the same pass.  The donor
+    lists (one ALS list per cluster, at most k rows) are copied here, and by
+    every rating batch that changes a donor's list, so a user micro-batch
+    joins this small table instead of the recommendation table.
     """
-    value_cols = [c for c in feature_cols if c != "user_id"]
-    vecs = _user_vectors(store.users.latest(value_cols), feature_cols)
-    vecs = vecs.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = clusters.fit_kmeans(vecs, n_clusters, max_iter, seed)
-        # written now, registered only after its donor lists exist, so a user
-        # micro-batch never sees a clustering version without them
-        version, path = registry.save(store.spark, model, store.models, "kmeans", register_now=False)
-        donor_table = clusters.donors(clusters.assign(model, vecs), store.als_users())
-        # at most one row per cluster: materialise once (bounded, checked)
-        rows = donor_table.select(F.col("cluster").cast("int"), "donor_id").limit(n_clusters + 1).collect()
-        if len(rows) > n_clusters:
-            raise ValueError(f"{len(rows)} donors for {n_clusters} clusters")
-        donor_table = store.spark.createDataFrame(rows, "cluster int, donor_id bigint")
-        donor_recs = store.recs.lookup(donor_table.select(F.col("donor_id").alias("user_id")), ["recs"])
-        store.write_donors(clusters.donor_lists(donor_table, donor_recs), version, "kmeans", version, 0)
-        registry.register(store.spark, store.models, "kmeans", version, path)
-    finally:
-        vecs.unpersist()
-    return version
+    value_cols, names = [c for c in feature_cols if c != "user_id"], features.feature_names(feature_cols)
+    rows, seen = features.counted(features.user_features(store.users.latest(value_cols), feature_cols), names)
+    kept = store.snapshot_path("features")
+    rows.write.parquet(kept)
+    vecs = features.assemble(store.spark.read.schema(rows.schema).parquet(kept), names)
+    model = clusters.fit_kmeans(vecs, n_clusters, max_iter, seed)
+    # written now, registered only after its donor lists exist, so a user
+    # micro-batch never sees a clustering version without them
+    version, path = registry.save(store.spark, model, store.models, "kmeans", register_now=False)
+    donor_table = clusters.donors(clusters.assign(model, vecs), eligible)
+    # at most one row per cluster: materialise once (bounded, checked)
+    found = donor_table.select(F.col("cluster").cast("int"), "donor_id").limit(n_clusters + 1).collect()
+    if len(found) > n_clusters:
+        raise ValueError(f"{len(found)} donors for {n_clusters} clusters")
+    donor_table = store.spark.createDataFrame(found, "cluster int, donor_id bigint")
+    donor_recs = store.recs.lookup(donor_table.select(F.col("donor_id").alias("user_id")), ["recs"])
+    store.write_donors(clusters.donor_lists(donor_table, donor_recs), version, "kmeans", version, 0)
+    return version, path, seen.get["skipped"]
 
 
 def bootstrap_frames(
@@ -270,19 +280,26 @@ def bootstrap_frames(
     rated = store.history.latest()
     als_version, model = refit_als(store, rated, params, seed)
     store.write_recs(factors.recommend(model, k), "als", als_version, "bootstrap", load_id, 0)
-    km_version = refresh_clusters(store, n_clusters, kmeans_iter, feature_cols=feature_cols)
-    skipped = features.invalid_features(features.user_features(store.users.latest(), feature_cols), features.feature_names(feature_cols)).count()
+    km_version, km_path, skipped = fit_clusters(store, n_clusters, kmeans_iter, 1, feature_cols, store.als_users())
+    registry.register(store.spark, store.models, "kmeans", km_version, km_path)
     return store.spark.createDataFrame(
         [(als_version, km_version, skipped)], "als_version bigint, kmeans_version bigint, skipped_users bigint"
     )
 
 
 def refit_als(store: Store, rated: DataFrame, params: dict, seed: int) -> tuple[int, factors.FactorModel]:
-    """Fit and save the next ALS version; what the fit persisted is released."""
+    """Fit, save and make current the next ALS version; what the fit persisted is released."""
+    version, path = save_als(store, rated, params, seed)
+    registry.register(store.spark, store.models, "als", version, path)
+    return version, store.current_als()[1]
+
+
+def save_als(store: Store, rated: DataFrame, params: dict, seed: int) -> tuple[int, str]:
+    """A saved ALS version that is not current yet: ``(version, path)``."""
     before = factors.persistent(store.spark)
-    version, _ = registry.save(store.spark, factors.fit_als(rated, seed=seed, **params), store.models, "als")
+    saved = registry.save(store.spark, factors.fit_als(rated, seed=seed, **params), store.models, "als", register_now=False)
     factors.release(store.spark, before)
-    return version, store.current_als()[1]
+    return saved
 
 
 def backfill(store: Store, als_version: int, km_version: int, k: int = 10, feature_cols=features.DEFAULT_FEATURES) -> None:
@@ -346,6 +363,8 @@ def retrain(
     seed: int = 42,
     feature_cols=features.DEFAULT_FEATURES,
     k: int = 10,
+    run_id: str | None = None,
+    on_step=None,
 ) -> DataFrame:
     """T4: choose ALS parameters by validation RMSE, refit on all ratings,
     refit k-means on the users; both become new model versions.
@@ -354,24 +373,41 @@ def retrain(
     sweep.  Existing recommendations are left as they are; they change when
     a user next rates (as before).  Users without a list get one where the
     new models know them.  Returns a one-row summary.
+
+    The new ALS version, its trials, the clustering and its donor lists are
+    all written before one registry write makes them current together; until
+    then every reader sees the old set whole.  A retrain that was broken off
+    goes on under its ``run_id``: the ratings it began with and the trials
+    it had finished are read back.  ``on_step`` is told the name of each
+    step when it is done.
     """
     spark = store.spark
     grid = param_grid
+    told = on_step or (lambda name: None)
     # One snapshot of the current ratings (one per pair), written to shared
     # storage: the split, every trial and the final fit scan it instead of
     # re-running the latest-per-pair shuffle, and its lineage starts there.
-    snapshot = store.snapshot_path("ratings")
-    store.history.latest().write.mode("overwrite").parquet(snapshot)
+    run_id = run_id or uuid.uuid4().hex[:12]
+    snapshot = store._p("snapshots", f"ratings-{run_id}")
+    if not registry.exists(spark, f"{snapshot}/_SUCCESS"):
+        store.history.latest().write.mode("overwrite").parquet(snapshot)
     rated = spark.read.schema(RATINGS).parquet(snapshot)
     train, valid = evaluate.split(rated)
     # the snapshot holds one rating per pair
-    trials = evaluate.sweep(train, valid, grid, parallelism=parallelism, seed=seed, unique_pairs=True)
+    trials = evaluate.sweep(train, valid, grid, parallelism=parallelism, seed=seed, unique_pairs=True, path=store._p("models", "trials", f"run-{run_id}"))
     best = evaluate.select_best(trials, max_rmse=max_rmse).first()
     params = {"rank": int(best["rank"]), "max_iter": int(best["max_iter"]), "reg_param": float(best["reg_param"])}
-    als_version, _ = refit_als(store, rated, params, seed)
+    told("sweep")
+    als_version, als_path = save_als(store, rated, params, seed)
+    told("als")
     trials.write.mode("overwrite").parquet(store.trials_path(als_version))
-    km_version = refresh_clusters(store, n_clusters, kmeans_iter, feature_cols=feature_cols)
+    told("trials")
+    km_version, km_path, _ = fit_clusters(store, n_clusters, kmeans_iter, 1, feature_cols, store.als_users())
+    told("clusters and donors")
+    registry.register_all(spark, store.models, [("als", als_version, als_path), ("kmeans", km_version, km_path)])
+    told("switch")
     backfill(store, als_version, km_version, k, feature_cols)
+    told("backfill")
     row = (als_version, km_version, len(grid), params["rank"], params["max_iter"], params["reg_param"],
            best["rmse"], bool(best["is_default"]))
     return spark.createDataFrame(

@@ -254,6 +254,11 @@ def queries_sql() -> dict[str, str]:
              CASE WHEN event_type IN ('purchase', 'error') THEN NULL ELSE CAST(event_id % 90 AS DOUBLE) END AS age,
              's' AS read_style, 'l' AS user_label
       FROM events WHERE event_type <> 'signup'"""
+    q["skipped_users"] = """
+      SELECT count(*) AS n_lines, count(*) FILTER (WHERE event_type = 'signup') AS n_rejected,
+             count(*) FILTER (WHERE event_type IN ('click', 'purchase', 'error')) AS n_skipped,
+             count(*) FILTER (WHERE event_type NOT IN ('signup', 'click', 'purchase', 'error')) AS n_vectors
+      FROM events"""
     q["books_parse_faulty"] = """
       SELECT event_id, CAST(9780000000000 + event_id AS BIGINT) AS book_id, 't' AS book_name, 'a' AS author,
              CASE WHEN event_type IN ('click', 'purchase', 'error') THEN NULL ELSE CAST(event_id % 5 AS DOUBLE) END AS average,
