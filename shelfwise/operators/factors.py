@@ -295,7 +295,56 @@ def _rounded(score: np.ndarray, digits: int | None, shift: float) -> np.ndarray:
     return score if digits is None else np.floor((score + shift) * 10.0**digits + 0.5)
 
 
-def _best(uid: np.ndarray, uf: np.ndarray, iid: np.ndarray, itf: np.ndarray, k: int, digits: int | None):
+def _all_near(block: np.ndarray, itf: np.ndarray, k: int, margin: float):
+    """(row, item) pairs that can be among a row's k best: all products, then a cut below the k-th."""
+    kk = min(k, len(itf))
+    s = block @ itf.T
+    kth = np.partition(s, len(itf) - kk, axis=1)[:, len(itf) - kk]
+    near = kth - margin - 1e-9 * np.maximum(1.0, np.abs(kth))
+    return np.nonzero(s >= near[:, None])
+
+
+#: Items whose products are made at once when items come by falling norm.
+STRIP = 512
+
+
+def pruned_near(block: np.ndarray, itf: np.ndarray, k: int, margin: float, made: list | None = None):
+    """As ``_all_near``, for items by falling norm: strips that cannot reach a row's k-th score are skipped.
+
+    By Cauchy-Schwarz no product of a row with an item is above the product
+    of their norms, so once the norm of a strip's first item times the
+    row's falls below its k-th score so far, the row is done with all that
+    follow.  ``made`` counts the products.
+    """
+    norm_u, norm_i = np.linalg.norm(block, axis=1), np.linalg.norm(itf, axis=1)
+    best = np.full((len(block), min(k, len(itf))), -np.inf)
+    found = []
+    open_ = np.arange(len(block))
+    for at in range(0, len(itf), STRIP):
+        kth = best[open_].min(axis=1)
+        slack = margin + 1e-9 * np.maximum(1.0, np.where(np.isfinite(kth), np.abs(kth), 1.0)) + 1e-9 * norm_u[open_] * norm_i[at]
+        open_ = open_[norm_u[open_] * norm_i[at] >= kth - slack]
+        if not len(open_):
+            break
+        s = block[open_] @ itf[at : at + STRIP].T
+        if made is not None:
+            made.append(s.size)
+        both = np.concatenate([best[open_], s], axis=1)
+        width = best.shape[1]
+        best[open_] = np.partition(both, both.shape[1] - width, axis=1)[:, -width:]
+        kth = best[open_].min(axis=1)
+        floor = np.where(np.isfinite(kth), kth - margin - 1e-9 * np.maximum(1.0, np.abs(kth)), -np.inf)
+        r, c = np.nonzero(s >= floor[:, None])
+        found.append((open_[r], at + c, s[r, c]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    rows, cols, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    kth = best.min(axis=1)
+    stay = score >= (kth - margin - 1e-9 * np.maximum(1.0, np.abs(kth)))[rows]
+    return rows[stay], cols[stay]
+
+
+def _best(uid: np.ndarray, uf: np.ndarray, iid: np.ndarray, itf: np.ndarray, k: int, digits: int | None, near=_all_near):
     """Each user's k best items of one block by (score, item id), as frames.
 
     Matrix products only choose; the score returned is a sequential left
@@ -304,15 +353,11 @@ def _best(uid: np.ndarray, uf: np.ndarray, iid: np.ndarray, itf: np.ndarray, k:
     ways, and what either ranking keeps goes on to the final one.
     """
     n, dim = itf.shape
-    kk = min(k, n)
     margin = 0.0 if digits is None else 10.0**-digits
     step = max(1, CHUNK_BYTES // (8 * n))
     for at in range(0, len(uf), step):
         block = uf[at : at + step]
-        s = block @ itf.T
-        kth = np.partition(s, n - kk, axis=1)[:, n - kk]
-        near = kth - margin - 1e-9 * np.maximum(1.0, np.abs(kth))
-        rows, cols = np.nonzero(s >= near[:, None])
+        rows, cols = near(block, itf, k, margin)
         exact = np.zeros(len(rows))
         few = max(1, CHUNK_BYTES // (8 * max(1, dim)))
         for a in range(0, len(rows), few):
@@ -331,12 +376,15 @@ def _stack(col: pd.Series) -> np.ndarray:
     return np.stack(col.to_numpy()).astype(np.float64)
 
 
-def _scorer(block, k: int, digits: int | None):
+def _scorer(block, k: int, digits: int | None, prune: bool = False):
     def score(batches):
         iid, itf = block.value
+        if prune:
+            order = np.argsort(-np.linalg.norm(itf, axis=1), kind="stable") if len(iid) else np.zeros(0, np.int64)
+            iid, itf = iid[order], itf[order]
         for pdf in batches:
             if len(pdf) and len(iid):
-                yield from _best(pdf["uid"].to_numpy(), _stack(pdf["uf"]), iid, itf, k, digits)
+                yield from _best(pdf["uid"].to_numpy(), _stack(pdf["uf"]), iid, itf, k, digits, pruned_near if prune else _all_near)
 
     return score
 
@@ -366,6 +414,7 @@ def topk_from_factors(
     round_digits: int | None = 6,
     block_bytes: int = BLOCK_BYTES,
     model: FactorModel | None = None,
+    prune: bool = False,
 ) -> DataFrame:
     """Exact top-k items per user by dot product: ``(user_id, rank, product_id, score)``.
 
@@ -374,23 +423,27 @@ def topk_from_factors(
     is broadcast in turn and leaves at most k rows per user (a few more at
     rounding edges), written to shared storage before the next one.  Users
     are never shuffled.  A model's only block stays broadcast with it.
+
+    ``prune`` takes a block's items by falling norm and leaves out products
+    that no bound allows into the first k (see ``pruned_near``): the same
+    result, fewer products where norms differ.
     """
     spark = user_f.sparkSession
     users = user_f.select(F.col("id").cast("bigint").alias("uid"), F.col("features").cast("array<double>").alias("uf"))
     items = item_f.select(F.col("id").cast("bigint").alias("iid"), F.col("features").cast("array<double>").alias("features"))
     if model is not None and model._block is not None:
-        return _rank(users.mapInPandas(_scorer(model._block, k, round_digits), schema=_CANDIDATES), k, round_digits)
+        return _rank(users.mapInPandas(_scorer(model._block, k, round_digits, prune), schema=_CANDIDATES), k, round_digits)
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim")).first()
     n_blocks = max(1, -(-int(stats["n"]) * int(stats["dim"] or 1) * 8 // block_bytes))
     if n_blocks == 1:
         block = _send(items)
         if model is not None:
             model._block = block
-        return _rank(users.mapInPandas(_scorer(block, k, round_digits), schema=_CANDIDATES), k, round_digits)
+        return _rank(users.mapInPandas(_scorer(block, k, round_digits, prune), schema=_CANDIDATES), k, round_digits)
     root = scratch_path(spark, "topk")
     for b in range(n_blocks):
         block = _send(items.filter(F.pmod(F.xxhash64("iid"), F.lit(n_blocks)) == b))
-        users.mapInPandas(_scorer(block, k, round_digits), schema=_CANDIDATES).write.parquet(f"{root}/block={b}")
+        users.mapInPandas(_scorer(block, k, round_digits, prune), schema=_CANDIDATES).write.parquet(f"{root}/block={b}")
         block.destroy()
     return _rank(spark.read.schema(_CANDIDATES).parquet(*[f"{root}/block={b}" for b in range(n_blocks)]), k, round_digits)
 

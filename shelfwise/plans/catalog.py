@@ -220,6 +220,11 @@ def topk_from_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factors.topk_from_factors(fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), 10, ROUND)
 
 
+def topk_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact top-k without the products that the items' and users' norms rule out."""
+    return factors.topk_from_factors(fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), 10, ROUND, prune=True)
+
+
 def topk_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-k where all scores tie: every fifth user has zero factors, so the smallest item ids win."""
     zero = F.transform("features", lambda x: x * 0.0)

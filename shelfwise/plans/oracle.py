@@ -247,7 +247,7 @@ def queries_sql() -> dict[str, str]:
       ranked AS (SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INT) AS rank,
                         product_id, score FROM scored)
       SELECT * FROM ranked WHERE rank <= 10"""
-    q["topk_blocks"] = q["topk_from_factors"]
+    q["topk_blocks"] = q["topk_pruned"] = q["topk_from_factors"]
     q["users_parse_faulty"] = """
       SELECT event_id, CAST(CASE WHEN event_type = 'error' THEN user_id + 8589934592 ELSE user_id END AS BIGINT) AS user_id, 'n' AS nick_name,
              CASE event_type WHEN 'click' THEN NULL WHEN 'error' THEN NULL WHEN 'purchase' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS gender,

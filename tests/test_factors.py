@@ -165,3 +165,26 @@ def test_narrow_ids_are_not_numbered_again(spark):
     model = factors.fit_als(given, rank=2, max_iter=2)
     assert {r["id"] for r in model.users.collect()} == {u - 2**40 for u in range(1, 9)}
     assert {r["id"] for r in model.items.collect()} == set(range(101, 107))
+
+
+def test_pruned_topk_is_exact_and_skips_products(spark):
+    rng = np.random.default_rng(3)
+    items = rng.normal(size=(6000, 8)) * (1.0 / np.arange(1, 6001))[:, None] ** 0.5
+    items[50:70] = items[50]  # ties
+    users = rng.normal(size=(300, 8))
+    users[0] = 0.0
+    order = np.argsort(-np.linalg.norm(items, axis=1), kind="stable")
+    made: list = []
+    for margin in (0.0, 1e-6):
+        rows, cols = factors.pruned_near(users, items[order], 10, margin, made)
+        want = factors._all_near(users, items[order], 10, margin)
+        assert set(zip(rows.tolist(), cols.tolist())) == set(zip(*(x.tolist() for x in want)))
+    # far fewer than all products
+    assert sum(made) < 2 * users.shape[0] * len(items) * 0.5
+    uf = spark.createDataFrame([(i, [float(x) for x in u]) for i, u in enumerate(users[:40])], "id bigint, features array<double>")
+    itf = spark.createDataFrame([(1000 + i, [float(x) for x in v]) for i, v in enumerate(items[:1500])], "id bigint, features array<double>")
+    plain = factors.topk_from_factors(uf, itf, 7)
+    for bytes_ in (factors.BLOCK_BYTES, 32_000):
+        assert sorted(factors.topk_from_factors(uf, itf, 7, block_bytes=bytes_, prune=True).collect()) == sorted(plain.collect())
+    one = factors.topk_from_factors(uf, itf.limit(3), 7, prune=True)
+    assert one.count() == 120
