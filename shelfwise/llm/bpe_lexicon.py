@@ -31,14 +31,18 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.store import by_value, shared_dir
+from shelfwise.llm.store import by_value, keep, shared_dir
 from shelfwise.llm.words import raw, slices, spread
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 #: Words in the lexicon, and the longest one in bytes; all others are merged where they occur.
-LEXICON = 65_536
+LEXICON = 131_072
 LONGEST = 64
-#: Distinct words that a task counts before it hands them on, and merged ones that it remembers.
+#: Bytes up to which pieces are merged all at once; longer ones take a heap each.
+SHORT = 64
+#: Above all ranks and all ids.
+NEVER = WIDE = 1 << 31
+#: Distinct words that a task counts before it hands them on.
 HELD = 200_000
 
 # What the vocabulary's tokenizer knows of Unicode beyond version 15.1, whose tables Python has.
@@ -84,9 +88,12 @@ class Coder:
         stands = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
         self.inner = [tokens[stands[b]] for b in range(256)]
         self.final = [tokens[stands[b] + suffix] for b in range(256)]
-        self.merges = {(tokens[a], tokens[b]): (rank, tokens[a + b]) for rank, (a, b) in enumerate(merges)}
-        if len({new for _, new in self.merges.values()}) < len(self.merges):
+        self.made = np.array([tokens[a + b] for a, b in merges], np.int64)
+        if len(np.unique(self.made)) < len(merges):
             raise ValueError("a token with two merges: the order of merging would be ambiguous")
+        pairs = np.array([tokens[a] * WIDE + tokens[b] for a, b in merges], np.int64)
+        self.order = np.argsort(pairs)  # the rank of each pair
+        self.pairs = pairs[self.order]
         letters, numbers = _class("L", LETTERS_16), _class("N", NUMBERS_16)
         self.pattern = f"{ENDINGS}|[{letters}]+|[{numbers}]|[^{SPACES}{letters}{numbers}]+"
 
@@ -98,44 +105,114 @@ class Coder:
         model = known["model"]
         return Coder(model["vocab"], model["merges"], {t["content"]: t["id"] for t in known["added_tokens"]}, model["end_of_word_suffix"])
 
-    def code(self):
-        """A function from a word between blanks to its ids, by the vocabulary's own rules."""
-        pieces_of = re.compile(self.pattern).findall
+    def pieces(self):
+        """A function from a word between blanks to its pieces; a special token is a piece."""
+        split = re.compile(self.pattern).findall
         special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
-        def plain(text: str) -> list[int]:
+        def plain(text: str) -> list[str]:
             text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).translate(LOWER_17).lower()
-            return [i for piece in pieces_of(text) for i in self.merge(piece.encode())]
+            return [text] if text.isalpha() else split(text)  # letters of any alphabet are one piece
 
-        def ids(word: bytes) -> list[int]:
+        def pieces(word: bytes) -> list[str]:
             text = word.decode()
             if special is None or not special.search(text):
                 return plain(text)
-            return [x for i, part in enumerate(special.split(text)) for x in ([self.special[part]] if i % 2 else plain(part))]
-
-        return ids
-
-    def merge(self, word: bytes) -> list[int]:
-        """Ids of a piece: of all neighbours, the pair earliest in the list of merges is merged first, the leftmost of them first."""
-        symbols = [self.inner[b] for b in word[:-1]] + [self.final[word[-1]]]
-        merges = self.merges
+            return [x for i, part in enumerate(special.split(text)) for x in ([part] if i % 2 else plain(part))]
+
+        return pieces
+
+    def code(self, words: list[bytes], pieces) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has."""
+        parts = [pieces(w) for w in words]
+        place: dict[str, int] = {}
+        at = np.array([place.setdefault(p, len(place)) for part in parts for p in part], np.int64)
+        many = np.fromiter(map(len, parts), np.int64, len(parts))
+        ids, size = self.merge([self.special.get(p, p.encode()) for p in place])
+        flat = ids[spread((np.cumsum(size) - size)[at], size[at])]
+        ends = np.concatenate([[0], np.cumsum(size[at])])[np.concatenate([[0], np.cumsum(many)])]
+        return flat, np.diff(ends)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place of each pair in the list of merges, or NEVER."""
+        pair = left * WIDE + right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.order[at], NEVER)
+
+    def merge(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces (bytes, or the id of a special token), one after the other, and how many each has.
+
+        Of a piece's neighbours, the pair earliest in the list of merges is
+        merged first, the leftmost of them first.  All pieces take a step at
+        once; those with nothing left to merge drop out.
+        """
+        symbols = [np.array([p], np.int64) if isinstance(p, int) else None for p in pieces]
+        for i, p in enumerate(pieces):
+            if symbols[i] is None and len(p) > SHORT:
+                symbols[i] = np.array(self._merge_long(p), np.int64)
+        size = np.array([len(pieces[i]) if s is None else len(s) for i, s in enumerate(symbols)], np.int64)
+        out = np.full(int(size.sum()), -1, np.int64)
+        start = np.cumsum(size) - size
+        for i, s in enumerate(symbols):
+            if s is not None:
+                out[start[i] : start[i] + len(s)] = s
+        open_ = np.array([i for i, s in enumerate(symbols) if s is None], np.int64)
+        data = np.frombuffer(b"".join([pieces[i] for i in open_.tolist()]), np.uint8)
+        owner = np.repeat(open_, size[open_])
+        last = np.ones(len(owner), bool)
+        last[:-1] = owner[1:] != owner[:-1]
+        symbol = np.where(last, np.array(self.final)[data], np.array(self.inner)[data])
+        rank = np.full(len(owner), NEVER, np.int64)
+        inside = np.flatnonzero(~last)
+        rank[inside] = self.rank(symbol[inside], symbol[inside + 1])
+        while len(owner):
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            count = np.diff(np.concatenate([first, [len(owner)]]))
+            least = np.minimum.reduceat(rank, first)
+            done = np.repeat(least == NEVER, count)
+            if done.any():
+                ended = owner[first[least == NEVER]]
+                out[spread(start[ended], count[least == NEVER])] = symbol[done]
+                size[ended] = count[least == NEVER]
+                owner, symbol, rank = owner[~done], symbol[~done], rank[~done]
+                least, count = least[least != NEVER], count[least != NEVER]
+            if not len(owner):
+                break
+            at = np.flatnonzero(rank == np.repeat(least, count))
+            at = at[np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])]
+            symbol[at] = self.made[least]
+            stay = np.ones(len(owner), bool)
+            stay[at + 1] = False
+            owner, symbol, rank, at = owner[stay], symbol[stay], rank[stay], at - np.arange(len(at))
+            for x in (at, at - 1):
+                x = x[x >= 0]
+                rank[x] = NEVER
+                x = x[x + 1 < len(owner)]
+                x = x[owner[x] == owner[x + 1]]
+                rank[x] = self.rank(symbol[x], symbol[x + 1])
+        kept = spread(start, size)
+        return out[kept], size
+
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """The same with a heap of pairs, for pieces of any length."""
+        symbols = [self.inner[b] for b in piece[:-1]] + [self.final[piece[-1]]]
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
+        ranks = self.rank(np.array(symbols[:-1]), np.array(symbols[1:])).tolist()
+        heap = [(rank, i, symbols[i], symbols[i + 1]) for i, rank in enumerate(ranks) if rank != NEVER]
+        heapq.heapify(heap)
 
         def push(i: int, j: int) -> None:
-            pair = (symbols[i], symbols[j])
-            if pair in merges:
-                heapq.heappush(heap, (merges[pair][0], i, pair))
+            rank = int(self.rank(np.array([symbols[i]]), np.array([symbols[j]]))[0])
+            if rank != NEVER:
+                heapq.heappush(heap, (rank, i, symbols[i], symbols[j]))
 
-        for i in range(n - 1):
-            push(i, i + 1)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
-            if j >= n or (symbols[i], symbols[j]) != pair:
+            if j >= n or symbols[i] != left or symbols[j] != right:
                 continue  # one of the two has been merged since
-            symbols[i], symbols[j] = merges[pair][1], -1
+            symbols[i], symbols[j] = int(self.made[rank]), -1
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
@@ -259,18 +336,29 @@ def _count(batches) -> Iterator[pa.RecordBatch]:
 
 
 def build_lexicon(texts: DataFrame, coder: Coder, size: int = LEXICON) -> str:
-    """Compiles the ``size`` most frequent words of ``text`` and hands the file to all executors; returns its name.
+    """Compiles the most frequent words of ``text``, at most ``size``, and hands the file to all executors; returns its name.
 
     The file is bounded by ``size`` words of LONGEST bytes, whatever the input.
     """
     spark = texts.sparkSession
     counts = texts.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    frequent = counts.orderBy(F.col("n").desc(), "word").limit(size).select("word").collect()
-    ids = coder.code()
+    counts = keep(counts, "word-counts")
+    # as many of the steps of frequency, a few hundred, as leave room for their words
+    steps = counts.groupBy(F.floor(F.log2("n") * 8).alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
+    least, room = None, size
+    for step in sorted(steps, key=lambda r: -r["step"]):
+        room -= step["words"]
+        if room < 0:
+            break
+        least = step["least"]
+    frequent = counts.where(F.col("n") >= least).select("word").collect() if least is not None else []
+    words = [bytes(r["word"]) for r in frequent]
+    ids, sizes = coder.code(words, coder.pieces())
     name = f"lexicon-{uuid.uuid4().hex[:12]}.bin"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/llm/{name}")
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(compile_lexicon([(w, ids(w)) for w in (bytes(r["word"]) for r in frequent)])))
+    ends = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    out.write(bytearray(compile_lexicon([(w, ids[a:b].tolist()) for w, a, b in zip(words, ends[:-1], ends[1:], strict=True)])))
     out.close()
     spark.sparkContext.addFile(path.toString())
     return name
@@ -279,7 +367,8 @@ def build_lexicon(texts: DataFrame, coder: Coder, size: int = LEXICON) -> str:
 def _encode(sent, name: str):
     def run(batches) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(SparkFiles.get(name))
-        ids_of, merged = sent.value.code(), {}
+        coder = sent.value
+        pieces = coder.pieces()
         for batch in slices(batches, "text"):
             data, offsets = raw(batch.column("text"))
             data, offsets = data.tobytes(), offsets.tolist()
@@ -292,17 +381,10 @@ def _encode(sent, name: str):
             number = lexicon.find(distinct)
             start = np.where(number >= 0, lexicon.at[np.maximum(number, 0)], 0).astype(np.int64)
             size = np.where(number >= 0, lexicon.at[np.minimum(number + 1, len(lexicon.at) - 1)] - start, 0).astype(np.int64)
-            own: list[int] = []
-            for i in np.flatnonzero(number < 0).tolist():
-                word = distinct[i]
-                ids = merged.get(word)
-                if ids is None:
-                    if len(merged) >= HELD:
-                        merged.clear()
-                    ids = merged[word] = ids_of(word)
-                start[i], size[i] = len(lexicon.ids) + len(own), len(ids)
-                own += ids
-            flat = np.concatenate([lexicon.ids, np.asarray(own, np.int32)])
+            unseen = np.flatnonzero(number < 0)
+            own, size[unseen] = coder.code([distinct[i] for i in unseen.tolist()], pieces)
+            start[unseen] = len(lexicon.ids) + np.cumsum(size[unseen]) - size[unseen]
+            flat = np.concatenate([lexicon.ids, own])
             place = dict(zip(distinct, range(len(distinct)), strict=True))
             at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
             ids = flat[spread(start[at], size[at])].astype("<u4")
