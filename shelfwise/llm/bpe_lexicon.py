@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ LONGEST = 64
 SHORT = 64
 #: Above all ranks and all ids.
 NEVER = WIDE = 1 << 31
+#: Bytes of text, or of ids, that a task codes at once; a single longer text is taken whole.
+SLICE = 1 << 20
 #: Distinct words that a task counts before it hands them on.
 HELD = 200_000
 
@@ -369,7 +372,7 @@ def _encode(sent, name: str):
         lexicon = Lexicon(SparkFiles.get(name))
         coder = sent.value
         pieces = coder.pieces()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             data, offsets = raw(batch.column("text"))
             data, offsets = data.tobytes(), offsets.tolist()
             words: list[bytes] = []
@@ -419,10 +422,16 @@ def encode(docs: DataFrame, coder: Coder, id_col: str = "doc_id", text_col: str
 def _decode(sent, column: str):
     def run(batches) -> Iterator[pa.RecordBatch]:
         tokens = sent.value.tokens
-        for batch in batches:
-            packed = batch.column(batch.schema.get_field_index(column)).to_pylist()
-            texts = [" ".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist() if i in tokens]) for ids in packed]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column(whole.schema.get_field_index(column))), 0)
+            # as many rows at a time as hold about SLICE bytes of ids, one at least
+            parts = np.cumsum(np.asarray(sizes, np.int64)) // SLICE
+            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), whole.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                batch = whole.slice(a, b - a)
+                packed = batch.column(batch.schema.get_field_index(column))
+                texts = [" ".join([tokens[i] for i in np.frombuffer(ids.as_py() or b"", "<u4").tolist() if i in tokens]) for ids in packed]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return run
 
