@@ -92,6 +92,9 @@ def dictionary(ids: DataFrame, id_col: str) -> DataFrame:
     return dealt.withColumn("place", place).join(starts, "part").select("id", (F.col("start") + F.col("place")).cast("int").alias("idx"))
 
 
+#: Users of a bucket of a saved factor table: small enough that scoring all users is spread over the tasks.
+USER_BUCKET_ROWS = 1_500
+
 FACTORS = T.StructType([T.StructField("id", T.LongType()), T.StructField("features", T.ArrayType(T.DoubleType()))])
 
 
@@ -107,7 +110,7 @@ class FactorModel:
     def save_to(self, path: str) -> None:
         """Factor tables under ``path``, the users' placed by id, and the ``pyspark.ml`` model with its numbering beside them."""
         n_users = self.n_users if self.n_users is not None else self.users.count()
-        placed.write(self.users.select("id", "features"), f"{path}/users", ["id"], n_users)
+        placed.write(self.users.select("id", "features"), f"{path}/users", ["id"], n_users, USER_BUCKET_ROWS)
         self.items.write.mode("overwrite").parquet(f"{path}/items")
         if self.als is not None:
             self.als.write().overwrite().save(f"{path}/als")
