@@ -116,6 +116,18 @@ def donors(assigned: DataFrame, eligible: DataFrame) -> DataFrame:
     )
 
 
+def rating_pool(centers: DataFrame, ratings: DataFrame) -> DataFrame:
+    """``(user_id, cluster)`` of rating rows taken as points (user, product, rating): the original's own donor pool.
+
+    It compared rating rows with centres that were fitted on (user, gender,
+    age); the default pool are the users' features.  ``centers`` as for
+    ``assign_to_centers``, in three dimensions.
+    """
+    point = F.array(*[F.col(c).cast("double") for c in (USER, "product_id", "rating")])
+    points = ratings.select(F.col(USER).alias("id"), point.alias("features"))
+    return assign_to_centers(points, centers).select(F.col("id").alias(USER), F.col("center_id").alias(CLUSTER))
+
+
 def donor_lists(donor_table: DataFrame, recs: DataFrame, max_donors: int = 1_000_000) -> DataFrame:
     """``(cluster, donor_id, recs)``: each donor's list, book ids only.
 

@@ -214,20 +214,24 @@ def _user_vectors(users: DataFrame, feature_cols=features.DEFAULT_FEATURES) -> D
 
 
 def refresh_clusters(store: Store, n_clusters: int, max_iter: int = 20, seed: int = 1,
-                     feature_cols=features.DEFAULT_FEATURES) -> int:
+                     feature_cols=features.DEFAULT_FEATURES, donor_pool: str = "users") -> int:
     """Fit k-means on the current users, save it with its donor lists, and make it current; returns its version."""
-    version, path, _ = fit_clusters(store, n_clusters, max_iter, seed, feature_cols, store.als_users())
+    version, path, _ = fit_clusters(store, n_clusters, max_iter, seed, feature_cols, store.als_users(), donor_pool)
     registry.register(store.spark, store.models, "kmeans", version, path)
     return version
 
 
-def fit_clusters(store: Store, n_clusters: int, max_iter: int, seed: int, feature_cols, eligible: DataFrame) -> tuple[int, str, int]:
+def fit_clusters(store: Store, n_clusters: int, max_iter: int, seed: int, feature_cols, eligible: DataFrame,
+                 donor_pool: str = "users") -> tuple[int, str, int]:
     """A saved clustering that is not current yet: ``(version, path, skipped users)``.
 
     The features are written once and counted in the same pass.  The donor
     lists (one ALS list per cluster, at most k rows) are copied here, and by
     every rating batch that changes a donor's list, so a user micro-batch
     joins this small table instead of the recommendation table.
+
+    ``donor_pool="ratings"`` looks for donors among rating rows taken as
+    points, as the original did, in place of the users themselves.
     """
     value_cols, names = [c for c in feature_cols if c != "user_id"], features.feature_names(feature_cols)
     rows, seen = features.counted(features.user_features(store.users.latest(value_cols), feature_cols), names)
@@ -238,7 +242,11 @@ def fit_clusters(store: Store, n_clusters: int, max_iter: int, seed: int, featur
     # written now, registered only after its donor lists exist, so a user
     # micro-batch never sees a clustering version without them
     version, path = registry.save(store.spark, model, store.models, "kmeans", register_now=False)
-    donor_table = clusters.donors(clusters.assign(model, vecs), eligible)
+    if donor_pool == "ratings":
+        pool = clusters.rating_pool(clusters.centers_frame(store.spark, model), store.history.latest())
+    else:
+        pool = clusters.assign(model, vecs)
+    donor_table = clusters.donors(pool, eligible)
     # at most one row per cluster: materialise once (bounded, checked)
     found = donor_table.select(F.col("cluster").cast("int"), "donor_id").limit(n_clusters + 1).collect()
     if len(found) > n_clusters:

@@ -195,6 +195,12 @@ def queries_sql() -> dict[str, str]:
         ON n.cluster = m.cluster
       WHERE n.user_id % 5 = 0"""
     q["cluster_donors"] = with_(RATINGS, USERS, USER_CLUSTERS) + " SELECT cluster, donor_id FROM donors"
+    q["donors_from_ratings"] = with_(RATINGS, USERS) + """
+      , ctr AS (SELECT user_id AS c, CAST(user_id AS DOUBLE) AS x, gender AS y, age AS z FROM users WHERE user_id % 150 = 0),
+      pts AS (SELECT user_id, CAST(user_id AS DOUBLE) AS x, CAST(product_id AS DOUBLE) AS y, rating AS z FROM ratings WHERE user_id % 5 <> 0),
+      d AS (SELECT user_id, p.y AS product, c, (p.x - ctr.x) * (p.x - ctr.x) + (p.y - ctr.y) * (p.y - ctr.y) + (p.z - ctr.z) * (p.z - ctr.z) AS dist FROM pts p CROSS JOIN ctr),
+      n AS (SELECT user_id, product, arg_min(c, (dist, c)) AS cluster FROM d GROUP BY 1, 2)
+      SELECT cluster, min(user_id) AS donor_id FROM n GROUP BY 1"""
     q["cold_start"] = with_(RATINGS, USERS, USER_CLUSTERS) + """
       SELECT n.user_id, d.donor_id, CAST(g.rk AS INT) AS rank, g.product_id
       FROM assigned n JOIN donors d ON n.cluster = d.cluster JOIN given_recs g ON g.user_id = d.donor_id

@@ -54,3 +54,25 @@ def test_same_cluster_set_form(spark):
     assigned = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "user_id int, cluster int")
     wanted = spark.createDataFrame([(0,)], "cluster int")
     assert sorted(r["user_id"] for r in clusters.same_cluster(assigned, wanted).collect()) == [1, 2]
+
+
+def test_donors_from_rating_rows(spark, tmp_dir):
+    from shelfwise.plans import jobs
+
+    centers = spark.createDataFrame([(0, [0.0, 0.0, 30.0]), (1, [9.0, 1.0, 50.0])], "center_id int, features array<double>")
+    rated = spark.createDataFrame([(8, 2, 5.0), (7, 1, 4.0), (1, 1, 3.0), (2, 40, 1.0)], "user_id bigint, product_id bigint, rating double")
+    want = set()
+    for u, p, r in ((8, 2, 5.0), (7, 1, 4.0), (1, 1, 3.0), (2, 40, 1.0)):
+        far = [(u - a) ** 2 + (p - b) ** 2 + (r - c) ** 2 for a, b, c in ((0, 0, 30), (9, 1, 50))]
+        want.add((u, far.index(min(far))))
+    pool = clusters.rating_pool(centers, rated)
+    assert {tuple(x) for x in pool.collect()} == want
+    # as a parameter of a store's clustering: every donor is a user who has rated and has an ALS list
+    store = jobs.Store(spark, f"{tmp_dir}/store")
+    users = spark.createDataFrame([(u, f"n{u}", float(u % 2), 20.0 + u, "s", "l") for u in range(1, 13)], "user_id bigint, nick_name string, gender double, age double, read_style string, user_label string")
+    books = spark.createDataFrame([], "book_id bigint, book_name string, author string, average double, book_style string, book_label string")
+    ratings = spark.createDataFrame([(u, p, float(1 + (u * p) % 5)) for u in range(1, 10) for p in range(1, 6)], "user_id bigint, product_id bigint, rating double")
+    jobs.bootstrap_frames(store, ratings, users, books, als_params={"rank": 2, "max_iter": 2}, n_clusters=3, kmeans_iter=3)
+    version = jobs.refresh_clusters(store, 3, 3, donor_pool="ratings")
+    found = store.donors(version).collect()
+    assert found and all(1 <= r["donor_id"] <= 9 and r["recs"] for r in found)
