@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.store import keep
+from shelfwise.llm.store import discard, keep
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = keep(_clean(large), "large-star")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
-        now = keep(_clean(small), "small-star")
+        before, now = now, keep(_clean(small), "small-star")
+        discard(before, large)
         digest = _digest(now)
         if digest == seen:
             break

@@ -9,18 +9,21 @@ holds every common shingle up to there, so a pair whose sets must share o
 shingles must share o less the longer rest behind a prefix within the
 prefixes; that is ``min(l, l')`` at least, and far more for sets of like
 size.  So only the rarest of the shingles that a set shares with any other
-are looked up, as many as leave room for that.
-
-Copies of one set are one class from the start.  The join verifies every
-candidate pair of different classes and lists all their links.  Where only
-the components are asked for, classes that agree with a bucket's pivot are
-joined first, and the exact join then only looks at pairs of classes that are
-not yet in one component.
+are looked up, as many as leave room for l matches of those, and a pair that
+meets in fewer than l of them is never verified.
+
+Copies of one set are one class from the start.  Classes that agree with a
+bucket's pivot are joined first, and the multi-match join then only looks at
+pairs of classes that are not yet in one component.  All links lie within the
+components so found.  Each component's classes are dealt into tiles, and a
+task compares the whole sets of two tiles with one matrix product, so that
+every link is counted (or listed, where asked for) without a row per pair.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +32,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.store import by_value, keep, shared_dir
+from shelfwise.llm.store import by_value, discard, keep, remove, shared_dir
 from shelfwise.llm.words import Words, mix, rolled, rows_of, slices
 
 #: Cells of the table of shingle frequencies, and of one row of it.
 CELLS, BLOCK = 1 << 21, 1 << 14
 #: Longest prefix extension tried, and the cost of verifying one candidate in postings read.
 LONGEST, VERIFY = 4, 20
-#: Rounds of linking to pivots before the exact join, where only components are asked for.
+#: Rounds of linking to pivots before the exact join.
 ROUNDS = 2
-#: Classes of one shingle that meet in one task; larger buckets are dealt by a second key.
-TILE = 256
+#: Classes of one shingle or component that meet in one task, and bytes of their texts; larger groups are dealt by a second key.
+TILE, TILE_BYTES = 256, 1 << 23
+#: Tasks that first add up the frequencies of one block of cells.
+PARTS = 16
 
 
 def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,32 +76,54 @@ def digests(grams: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, pa.Array]
 
 def _fold(width: int):
     def run(batches):
-        """Per document its set's size and digest; per task the frequency cells, a block a row."""
+        """Per document its set's size and digest; per task the frequencies met, a block of cells a row."""
         cells = np.zeros(CELLS, np.uint32)
         for batch in slices(batches, "text"):
             grams, count = shingle_sets(Words(batch.column("text"), fold=True), width)
             cells += np.bincount((grams & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
             key, name = digests(grams, count)
+            none = pa.nulls(len(key), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count.astype(np.int64)), pa.array(key), name, pa.nulls(len(key), pa.int32()), pa.nulls(len(key), pa.binary())],
-                names=["doc_id", "n", "key", "c", "block", "cells"],
+                [batch.column("doc_id"), pa.array(count.astype(np.int64)), pa.array(key), name, pa.nulls(len(key), pa.int32()), none, none],
+                names=["doc_id", "n", "key", "c", "block", "cell", "often"],
             )
-        blocks = [b for b in range(CELLS // BLOCK) if cells[b * BLOCK : (b + 1) * BLOCK].any()]
-        none = pa.nulls(len(blocks), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.nulls(len(blocks), pa.binary()), pa.array(blocks, pa.int32()), pa.array([cells[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in blocks], pa.binary())],
-            names=["doc_id", "n", "key", "c", "block", "cells"],
-        )
+        blocks = _blocks(cells)
+        none = pa.nulls(blocks.num_rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(blocks.num_rows, pa.binary()), *blocks.columns], names=["doc_id", "n", "key", "c", *blocks.schema.names])
 
     return run
 
 
-def _add(key, table):
-    total = np.zeros(BLOCK, np.uint64)
-    for cell in table.column("cells"):
-        total += np.frombuffer(cell.as_buffer(), np.uint32)
-    total = np.minimum(total, 2**32 - 1).astype(np.uint32)
-    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.tobytes()], pa.binary())})
+def _blocks(cells: np.ndarray) -> pa.RecordBatch:
+    """The cells that are not zero, a block a row: ``block``, their places ``cell`` in it and their counts ``often``."""
+    rows = []
+    for block in range(CELLS // BLOCK):
+        part = cells[block * BLOCK : (block + 1) * BLOCK]
+        at = np.flatnonzero(part)
+        if len(at):
+            rows.append((block, at.astype(np.uint16).tobytes(), np.minimum(part[at], 2**32 - 1).astype(np.uint32).tobytes()))
+    kinds = (pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["block", "cell", "often"])
+
+
+def _add(batches):
+    """The sum of a task's blocks."""
+    cells = np.zeros(CELLS, np.uint64)
+    for batch in batches:
+        for block, cell, often in zip(batch.column("block").to_pylist(), batch.column("cell"), batch.column("often"), strict=True):
+            cells[block * BLOCK + np.frombuffer(cell.as_buffer(), np.uint16).astype(np.int64)] += np.frombuffer(often.as_buffer(), np.uint32)
+    yield _blocks(cells)
+
+
+def _frequencies(folded: DataFrame) -> np.ndarray:
+    """The table of all shingles' frequencies: CELLS counters, whatever the input.  Its blocks are added up in two rounds."""
+    kind = "block int, cell binary, often binary"
+    blocks = folded.where("block is not null").select("block", "cell", "often", F.floor(F.rand(0) * PARTS).alias("part"))
+    blocks = blocks.repartition("block", "part").select("block", "cell", "often").mapInArrow(_add, kind)
+    cells = np.zeros(CELLS, np.uint32)
+    for row in blocks.repartition("block").mapInArrow(_add, kind).collect():
+        cells[row.block * BLOCK + np.frombuffer(row.cell, np.uint16).astype(np.int64)] = np.frombuffer(row.often, np.uint32)
+    return cells
 
 
 def needed(n, t: int):
@@ -226,6 +253,73 @@ def _verified(width: int, t: int):
     return run
 
 
+def _compared(width: int, t: int, each: bool):
+    def run(key, table):
+        """Two tiles of a component (or one with itself): all links between them, or for each class how many documents it links to."""
+        c, side, size = table.column("c").to_pylist(), table.column("side").to_numpy(), table.column("size").to_numpy()
+        grams, count = shingle_sets(Words(table.column("text").combine_chunks(), fold=True), width)
+        row = rows_of(count)
+        _, gram, met = np.unique(grams, return_inverse=True, return_counts=True)
+        # shingles of one class only add nothing; the others are numbered anew
+        row, gram = row[met[gram] > 1], (np.cumsum(met > 1) - 1)[gram[met[gram] > 1]]
+        order = np.argsort(gram, kind="stable")
+        row, gram = row[order], gram[order]
+        common, wide = np.zeros((len(c), len(c))), max(256, (1 << 21) // len(c))
+        for start in range(0, int(gram[-1]) + 1 if len(gram) else 0, wide):
+            lo, hi = np.searchsorted(gram, [start, start + wide])
+            has = np.zeros((len(c), wide), np.float32)
+            has[row[lo:hi], gram[lo:hi] - start] = 1
+            common += has @ has.T
+        alike = 100 * common >= t * (count[:, None] + count[None, :] - common)
+        np.fill_diagonal(alike, False)
+        if key[1].as_py() != key[2].as_py():
+            alike &= side[:, None] != side[None, :]
+        if each:
+            pairs = [(min(c[i], c[j]), max(c[i], c[j])) for i, j in zip(*np.nonzero(np.triu(alike)), strict=True)]
+            return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+        return pa.table({"c": pa.array(c, pa.binary()), "beside": pa.array((alike * size[None, :]).sum(axis=1).astype(np.int64))})
+
+    return run
+
+
+def _within(texts: DataFrame, classes: DataFrame, roots: DataFrame, width: int, percent: int, each: bool) -> DataFrame:
+    """All links ``a b`` within the components ``roots``, or ``c beside``: with how many documents of other classes each class links.
+
+    A class meets the other tiles of its component in one task each, and its
+    own tile in another; no row stands for a pair.
+    """
+    grouped = classes.join(roots.withColumnRenamed("node", "c"), "c").select("c", "f", "size", "root")
+    rows = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("f"), "text").join(grouped.select("f").distinct(), "f", "left_semi")
+    named = rows.mapInArrow(_named_texts(width), "f long, name binary, text string")
+    joined = named.join(grouped, (named["f"] == grouped["f"]) & (named["name"] == grouped["c"])).select("c", "size", "root", "text")
+    # an id that repeats a text gives it once
+    joined = keep(joined.groupBy("c").agg(F.first("size").alias("size"), F.first("root").alias("root"), F.min("text").alias("text")), "grouped")
+    tiles = joined.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / TILE, F.sum(F.length("text")) / TILE_BYTES)).cast("int").alias("tiles"))
+    tile = F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int")
+    dealt = joined.join(tiles, "root").withColumn("own", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "c", "size", F.col("own").alias("side"), "text")
+    found = dealt.groupBy("root", "lo", "hi").applyInArrow(_compared(width, percent, each), "a binary, b binary" if each else "c binary, beside long")
+    if not each:
+        found = found.groupBy("c").agg(F.sum("beside").alias("beside"))
+    found = keep(found, "within")
+    discard(joined)
+    return found
+
+
+def _named_texts(width: int):
+    def run(batches):
+        """Each text with its set's name."""
+        for batch in slices(batches, "text"):
+            name = digests(*shingle_sets(Words(batch.column("text"), fold=True), width))[1]
+            yield pa.RecordBatch.from_arrays([batch.column("f"), name, batch.column("text")], names=["f", "name", "text"])
+
+    return run
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
 def similar_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, every: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -239,37 +333,34 @@ def similar_classes(
     every pair of linked classes.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    folded = keep(texts.mapInArrow(_fold(width), "doc_id long, n long, key long, c binary, block int, cells binary"), "folded")
-    members = folded.where("block is null").select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"), "key")
-    blocks = folded.where("block is not null").select("block", "cells").groupBy("block").applyInArrow(_add, "block int, cells binary")
-    # a bounded table: CELLS counters, whatever the input
-    cells = np.zeros(CELLS, np.uint32)
-    for row in blocks.collect():
-        cells[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.cells, np.uint32)
-    table = spark.sparkContext.broadcast(cells)
+    texts = _texts(docs, id_col, text_col)
+    folded = keep(texts.mapInArrow(_fold(width), "doc_id long, n long, key long, c binary, block int, cell binary, often binary"), "folded")
+    table = spark.sparkContext.broadcast(_frequencies(folded))
+    members = keep(folded.where("block is null").select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"), "key"), "members")
+    discard(folded)
 
     at = F.coalesce("doc_id", F.lit(NO_ID))
     sets = members.where("n > 0").select("c", "key", "n", at.alias("at")).distinct()
     classes = keep(sets.groupBy("c", "key").agg(F.min("at").alias("f"), F.max("n").alias("n"), F.count("*").alias("size")), "classes")
-    postings = texts.mapInArrow(_prefixes(width, percent, table), "gram long, key long, at long")
-    postings = postings.repartition("gram").sortWithinPartitions("gram", "key").mapInArrow(_shared, "gram long, key long, at long")
-    postings = postings.join(classes, "key").select("gram", "c", "f", "n", (F.col("at") % 8).alias("l"), F.floor(F.col("at") / 8).alias("place"))
-    postings = keep(postings, "postings-all")
+    found = texts.mapInArrow(_prefixes(width, percent, table), "gram long, key long, at long")
+    found = found.repartition("gram").sortWithinPartitions("gram", "key").mapInArrow(_shared, "gram long, key long, at long")
+    found = found.join(classes, "key").select("gram", "c", "f", "n", (F.col("at") % 8).alias("l"), F.floor(F.col("at") / 8).alias("place"))
+    found = keep(found, "postings-all")
     table.unpersist()
     # m: how many prefix shingles a class shares with any other; rank: this one's place among
     # them; rest: what lies behind the prefix (a class has no more rows than its prefix is long)
     own = Window.partitionBy("c")
     rest = F.greatest(needed_col(F.col("n"), percent) - F.col("l"), F.lit(0))
-    postings = postings.select("*", F.count("*").over(own).alias("m"), F.row_number().over(own.orderBy("place")).alias("rank"), rest.alias("rest"))
-    postings = keep(postings, "postings")
+    postings = keep(found.select("*", F.count("*").over(own).alias("m"), F.row_number().over(own.orderBy("place")).alias("rank"), rest.alias("rest")), "postings")
+    discard(found)
 
     # texts of classes that share a prefix shingle, in buckets by id: joining pairs to them moves the pairs only
     active = postings.select("f").distinct()
     rows = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("f"), "text").join(active, "f", "left_semi")
     name = f"active_{uuid.uuid4().hex[:12]}"
+    folder = f"{shared_dir(spark)}/llm/{name}"
     rows = rows.mapInArrow(_profiled(width), "f long, c binary, profile binary, text string").write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "f")
-    rows.option("compression", "zstd").option("path", f"{shared_dir(spark)}/llm/{name}").saveAsTable(name)
+    rows.option("compression", "zstd").option("path", folder).saveAsTable(name)
     rows = spark.table(name)
 
     def meet(pairs: DataFrame, column: str) -> DataFrame:
@@ -280,11 +371,14 @@ def similar_classes(
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         """Of pairs ``a fa na b fb nb``, those that link."""
         pairs = meet(pairs, "profile").mapInArrow(_possible(percent), "a binary, fa long, b binary, fb long")
-        met = meet(keep(pairs, name + "-possible"), "text").select("a", "b", "ca", "cb", "x", "y")
-        return keep(met.mapInArrow(_verified(width, percent), "a binary, b binary"), name)
-
-    links = roots = None
-    for turn in range(0 if every else ROUNDS):
+        possible = keep(pairs, name + "-possible")
+        met = meet(possible, "text").select("a", "b", "ca", "cb", "x", "y")
+        linked = keep(met.mapInArrow(_verified(width, percent), "a binary, b binary"), name)
+        discard(possible)
+        return linked
+
+    links, roots = [], None
+    for turn in range(ROUNDS):
         rooted = _rooted(postings, roots)
         # the pivot of a bucket: the class that shares most, such as the text that the
         # others are copies of; in later rounds a pseudo-random one
@@ -292,29 +386,36 @@ def similar_classes(
         pairs = rooted.join(pivot, "gram").where((F.col("root") != F.col("p.root")) & _sizes(F.col("n"), F.col("p.n"), percent))
         pairs = pairs.where(F.least("m", "p.m") >= matches(F.col("n"), F.col("rest"), F.col("p.n"), F.col("p.rest"), percent))
         pairs = pairs.select(F.col("c").alias("a"), F.col("f").alias("fa"), F.col("p.c").alias("b"), F.col("p.f").alias("fb"), F.col("n").alias("na"), F.col("p.n").alias("nb")).distinct()
-        found = verify(pairs, "pivot-links")
-        links = found if links is None else links.union(found)
-        roots = keep(components(links), "roots")
+        links.append(verify(pairs, "pivot-links"))
+        before, roots = roots, keep(components(reduce(DataFrame.union, links)), "roots")
+        discard(before)
     rooted = _rooted(postings, roots)
-    if not every:
-        mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
-        rooted = keep(rooted.join(mixed, "gram", "left_semi"), "open")
+    mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
+    rooted = opened = keep(rooted.join(mixed, "gram", "left_semi"), "open")
+    discard(postings, roots)
     # a crowded bucket is dealt: each class on one side to one of its tiles, on the other to all of them
     crowded = keep(rooted.groupBy("gram").count().where(F.col("count") > TILE).select("gram", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "crowded")
     rooted = rooted.join(crowded, "gram", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     tile = {1: F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"), 2: F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))}
-    x, y = (rooted.select("gram", tile[i].alias("tile"), *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
+    x, y = (rooted.select("gram", tile[i].alias("tile"), *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "l", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
     # what can still be shared: the places before this shingle, itself, and the rest of the shorter set
     most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
     enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
-    # of the shingles that two classes must share within their prefixes, the first stands
-    # among the first m - least + 1 that each shares with any class
+    # of the shingles that two classes must share within their prefixes, the first l stand
+    # among the first m - least + l that each shares with any class: so many must match
     least = F.greatest(matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent), F.lit(1))
-    first = (F.col("rank1") <= F.col("m1") - least + 1) & (F.col("rank2") <= F.col("m2") - least + 1)
-    met = x.join(y, ["gram", "tile"]).where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & first & enough)
-    pairs = met.select("c1", "f1", "n1", "c2", "f2", "n2").distinct()
-    found = verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb"), "exact-links")
-    return classes, found if every else links.union(found), members
+    l = F.least("l1", "l2", least)
+    early = (F.col("rank1") <= F.col("m1") - least + l) & (F.col("rank2") <= F.col("m2") - least + l)
+    met = x.join(y, ["gram", "tile"]).where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & early & enough)
+    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("met"), F.max(l).alias("l")).where("met >= l").drop("met", "l")
+    links.append(verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb"), "exact-links"))
+    discard(opened, crowded)
+    spark.sql(f"DROP TABLE {name}")
+    remove(spark, folder)
+    links = reduce(DataFrame.union, links)
+    if every:
+        links = _within(texts, classes, keep(components(links), "components"), width, percent, True)
+    return classes, links, members
 
 
 #: Stands for a null id: below all others.
@@ -360,14 +461,13 @@ def similarity_components(
     different texts, each row links by its own text.  An empty table gives
     an empty result.
     """
-    classes, links, members = similar_classes(docs, id_col, text_col, width, percent, every)
-    roots = components(links).withColumnRenamed("node", "c")
-    rooted = classes.select("c", "f").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    classes, links, members = similar_classes(docs, id_col, text_col, width, percent, False)
+    roots = keep(components(links), "components")
+    rooted = classes.select("c", "f").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = rooted.groupBy("root").agg(F.min("f").alias("component"))
     rooted = rooted.join(least, "root").select(F.col("c").alias("name"), "component")
     if every:
-        both = links.union(links.select("b", "a")).join(classes.select(F.col("c").alias("b"), "size"), "b")
-        beside = both.groupBy(F.col("a").alias("name")).agg(F.sum("size").alias("beside"))
+        beside = _within(_texts(docs, id_col, text_col), classes, roots, width, percent, False).withColumnRenamed("c", "name")
         own = classes.select(F.col("c").alias("name"), "size").join(beside, "name", "left")
         own = own.select("name", (F.col("size") - 1 + F.coalesce("beside", F.lit(0))).alias("n_links"))
         rooted = rooted.join(own, "name")
