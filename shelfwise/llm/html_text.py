@@ -23,6 +23,7 @@ from difflib import SequenceMatcher
 from hashlib import blake2b
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,18 +63,39 @@ HOLDS = {"article", "main", "section", "div", "ul", "ol", "dl", "table", "td", "
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 PIECE = re.compile(r"[A-Za-z]+")
-#: Longest group looked for as repeated.
-GROUP = 24
+#: Of those words, the ones that qualify as often as they name: as a first word they need a part behind them, as a last word they name nothing.
+VAGUE = {"related", "recommended", "social", "notice", "notices", "alert", "promotion", "subscription", "login", "disclaimer", "widget"}
+#: Words for parts of a box, and for what a box belongs to.
+PARTS = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "form", "group", "icons", "inner", "item", "items", "left", "link", "links",
+    "list", "main", "panel", "right", "row", "section", "slot", "stories", "text", "top", "unit", "wrap", "wrapper", "articles", "post", "posts", "news", "products", "topics", "pages",
+}
+OWNERS = {"site", "page", "main", "global", "left", "right", "top", "bottom", "primary", "secondary", "user", "reader", "post", "article", "entry", "mobile", "sticky"}
+#: Words that say how something else looks (``has-sidebar``) or that a box holds the title.
+STATES = {"has", "have", "no", "not", "with", "without", "is", "hide", "show", "hero", "title", "heading", "headline"}
+
 
+def _marked(value: str, inside: bool, key: bool = False) -> set[str]:
+    """Words that mark the class tokens, or the id (``key``), as a box beside the main text.
 
-def _marked(value: str, inside: bool) -> set[str]:
-    """Words of the class or id tokens that are made of such words alone (``cookie-notice``, but not ``has-sidebar``)."""
-    marks = MARKS if inside else MARKS | OUTSIDE_MARKS
+    A token marks when it is made of such words alone, or when its first or
+    last word is one (``comment-list``, ``site-footer``; not ``has-sidebar``).
+    Ids are often made from headings, so the other words of an id must name a
+    part or an owner of the box.
+    """
     found = set()
     for token in value.split():
-        words = {p.lower() for p in PIECE.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token))}
-        if words <= marks:
-            found |= words
+        words = [p.lower() for p in PIECE.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token))]
+        if not words:
+            continue
+        if set(words) <= (MARKS if inside else MARKS | OUTSIDE_MARKS):
+            found |= set(words)
+        elif not STATES & set(words):
+            first, last = words[0], words[-1]
+            if first in MARKS and (set(words[1:]) <= PARTS | MARKS or not key and first not in VAGUE):
+                found.add(first)
+            if last in MARKS - VAGUE and (not key or set(words[:-1]) <= OWNERS | MARKS) or last in OUTSIDE_MARKS and not inside and words[0] == "site":
+                found.add(last)
     return found
 
 
@@ -92,7 +114,7 @@ def _labels(attributes: str, inside: bool) -> tuple[str, bool, bool, set[str]]:
             form |= value.strip().lower() in FORM_ROLES
         else:
             name = name or value.strip().split(" ")[0].lower()
-            marks |= _marked(html.unescape(value), inside)
+            marks |= _marked(html.unescape(value), inside, kind == "id")
     return name, hidden, form, marks
 
 
@@ -190,35 +212,53 @@ class Page:
             self.items.append((f"#{path}", text))
 
 
+def _squares(kinds: np.ndarray, size: int) -> np.ndarray:
+    """Where a run of ``size`` follows itself.  Such a place has a multiple of ``size`` within its run, so those are looked at first."""
+    if not (kinds[:-size:size] == kinds[size::size]).any():
+        return np.zeros(0, np.int64)
+    same = np.concatenate([[0], np.cumsum(kinds[:-size] == kinds[size:])])
+    return np.flatnonzero(same[size:] - same[:-size] == size)
+
+
 def fold_repeats(items: list[list]) -> list[list]:
-    """Runs that follow themselves become one repeated group; its texts are slots unless all are alike."""
-    size = 1
-    while size <= min(GROUP, len(items) // 2):
-        out, i, changed = [], 0, False
-        while i < len(items):
-            j = i + size
-            while j + size <= len(items) and all(items[i + k][0] == items[j + k][0] for k in range(size)):
+    """Runs of any length that follow themselves become one repeated group; its texts are slots unless all are alike."""
+    size, kinds = 1, _numbered(items)
+    while size <= len(items) // 2:
+        places = _squares(kinds, size).tolist()
+        again = set(places)
+        out, i = [], 0
+        for at in places:
+            if at < i:
+                continue
+            j = at + size
+            while j - size in again:
                 j += size
             # a group is whole elements that open what they close; two alike that hold others may
             # as well be the template's box beside the content's, so those must come three times
-            depth = _depth([x[0] for x in items[i : i + size]])
-            if depth >= 0 and j >= i + size * (2 if depth < 2 else 3):
-                group = [list(x) for x in items[i : i + size]]
-                for a in range(i + size, j, size):
+            depth = _depth([x[0] for x in items[at : at + size]])
+            if depth >= 0 and j >= at + size * (2 if depth < 2 else 3):
+                group = [list(x) for x in items[at : at + size]]
+                for a in range(at + size, j, size):
                     for k in range(size):
                         _merge(group[k], items[a + k], same_page=True)
                 for x in group:
                     x[4] = 1
-                out += group
-                i, changed = j, True
-            else:
-                out.append(items[i])
-                i += 1
-        items = out
-        size = 1 if changed else size + 1
+                out += items[i:at] + group
+                i = j
+        if i:
+            items, size = out + items[i:], 1
+            kinds = _numbered(items)
+        else:
+            size += 1
     return items
 
 
+def _numbered(items: list[list]) -> np.ndarray:
+    """A number for each item's sign."""
+    known: dict[str, int] = {}
+    return np.array([known.setdefault(x[0], len(known)) for x in items], np.int64)
+
+
 def _depth(signs: list[str]) -> int:
     """How deep elements stand in each other; -1 if the run does not close what it opens."""
     depth = most = 0
@@ -320,17 +360,24 @@ def main_text(source: str, fixed: set[int], lists: dict[str, set[int]] | None =
     return "\n\n".join(b.text for b in region(page, shown(page, blocks)))
 
 
+def _title(block: Block) -> bool:
+    return re.split(r"[./]", block.path.rsplit("/", 1)[-1])[0] == "h1"
+
+
 def region(page: Page, blocks: list[Block]) -> list[Block]:
     """Of the blocks shown, those of the main region.
 
-    Articles are the region if they hold at least as much as the rest.  If
-    not, the rest is it, with the article if there is only one; several are
-    cards beside the text.
+    Articles are the region if they hold at least as much as the rest, with
+    the title before them if they have none of their own.  If not, the rest is
+    it, with the article if there is only one; several are cards beside the
+    text.
     """
     inside = [b for b in blocks if b.article]
     rest = [b for b in blocks if not b.article]
     if sum(len(b.text) for b in inside) >= sum(len(b.text) for b in rest):
-        return inside
+        before = blocks[: blocks.index(inside[0])] if inside else []
+        titles = [] if any(_title(b) for b in inside) else [b for b in before if _title(b)]
+        return titles[-1:] + inside
     cards = {b.article for b in inside if page.articles[b.article][0] == "article"}
     return [b for b in blocks if len(cards) < 2 or b.article not in cards]
 

@@ -198,7 +198,7 @@ def test_pipeline_empty(spark):
 
 
 def test_marked_boxes_and_attributes():
-    """Boxes are marked by whole names of their own attributes, and hide neither an article nor most of a page."""
+    """Boxes are marked by their own attributes, and hide neither an article nor most of a page."""
     body = "<p>The whole text of this page, which is longer than what stands beside it.</p>"
     text = "The whole text of this page, which is longer than what stands beside it."
     for box in ("div class='elementor-widget-container'", "div class=has-sidebar", "section id='related-work'", "div style='overflow: hidden'", "div title=\"hidden gems\"", "div data-state='hidden'", "div class='widget'", "form"):
@@ -214,6 +214,42 @@ def test_marked_boxes_and_attributes():
     assert html_text.main_text(formula, set()) == "As a=2 holds."
 
 
+def test_compound_boxes():
+    """The first or last word of a compound class marks a box, inside an article and on plain pages; other names do not."""
+    body = "<p>The whole text of this page, which is longer than what stands beside it.</p>"
+    text = "The whole text of this page, which is longer than what stands beside it."
+    names = "comments comment-list comments-area user-comments comment-body related-posts share-buttons site-footer ad-slot cookie-bar sidebar-left newsletter-box nav-links"
+    for name in names.split():
+        for kind in ("class", "id"):
+            box = f"<div {kind}='{name}'><p>beside the text</p></div>"
+            assert html_text.main_text(f"<article><h1>T</h1>{body}{box}</article>", set()) == f"T\n\n{text}", name
+            assert html_text.main_text(f"<h1>T</h1>{box}{body}", set()) == f"T\n\n{text}", name
+            assert html_text.main_text(f"<div {kind}='{name}'>{body}</div><p>short</p>", set()).startswith(text), name
+    for name in ("has-sidebar", "no-comments", "hero-banner", "title-banner", "related-work", "elementor-widget", "content", "entry-body", "advance", "headline"):
+        assert html_text.main_text(f"<article>{body}<div class='{name}'><p>of the text</p></div></article>", set()) == f"{text}\n\nof the text", name
+    for name in ("comments-on-the-treaty", "history-of-advertising", "cookie-recipes"):
+        assert html_text.main_text(f"<article>{body}<section id='{name}'><p>of the text</p></section></article>", set()) == f"{text}\n\nof the text", name
+
+
+def test_title_before_the_article():
+    body = "<article><p>The whole text of this page.</p></article>"
+    assert html_text.main_text(f"<h1>Other</h1><div><h1>Title</h1><p>by A</p></div>{body}<h1>after</h1>", set()) == "Title\n\nThe whole text of this page."
+    assert html_text.main_text("<h1>Site</h1>" + body.replace("<p>", "<h1>Own</h1><p>"), set()) == "Own\n\nThe whole text of this page."
+
+
+def test_repeats_of_any_length():
+    """A group of any length is found as repeated; runs are the ones that a comparison of all places finds."""
+    row = [["<tr>", None, 1, 0, 0], *[x for k in range(40) for x in ([f"<td.c{k}>", None, 1, 0, 0], [f"#td.c{k}", str(k), 1, 0, 0], [f"</td.c{k}>", None, 1, 0, 0])], ["</tr>", None, 1, 0, 0]]
+    folded = html_text.fold_repeats([list(x) for _ in range(5) for x in row])
+    assert [x[0] for x in folded] == [x[0] for x in row] and all(x[4] for x in folded)
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        kinds = rng.integers(0, 2, rng.integers(2, 30))
+        for size in range(1, len(kinds) // 2 + 1):
+            want = [i for i in range(len(kinds) - 2 * size + 1) if (kinds[i : i + size] == kinds[i + size : i + 2 * size]).all()]
+            assert html_text._squares(kinds, size).tolist() == want
+
+
 def test_template_counts_distinct_pages(spark):
     """Copies of a page are one page, and template is what most pages of the host repeat, be they two."""
     pages = [(i, f"http://big.example/{i}", f"<div><p>Big host</p></div><section><p>text {i}</p></section>") for i in range(12)]
