@@ -23,6 +23,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
+def digest(text_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def _shingles(rows: DataFrame, width: int, *keys: str) -> DataFrame:
     """A row per run of ``width`` words of column ``w``: the keys, ``n`` (their number) and ``g0``, ``g1``, ..."""
     n = F.size("w") - width + 1
@@ -65,8 +69,15 @@ def contaminated(
     item with all their shingles.  Null ids are reported as null.  Empty
     tables give an empty result; other columns are not read.
     """
+    overlap = overlaps(docs, items, id_col, text_col, item_col, item_text_col, width, percent)
+    overlap = overlap.groupBy("doc_id", "item_id", F.col("n").alias("n_item")).agg(F.max("n_shared").alias("n_shared"))
+    return overlap.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+
+
+def overlaps(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, width: int, percent: int) -> DataFrame:
+    """``doc_id v item_id n n_shared``: as ``contaminated``, for each text of an id by itself; ``v`` is the text's digest."""
     shingles = keep(item_shingles(items, item_col, item_text_col, width), "items")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("v"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), digest(text_col).alias("v"))
     grams = [f"g{j}" for j in range(width)]
 
     worded = rows.select("doc_id", "v", words(F.col("text")).alias("w"))
@@ -80,13 +91,14 @@ def contaminated(
     again = _shingles(again.select("doc_id", "v", words(F.col("text")).alias("w")), width, "doc_id", "v")
     shared = again.select("doc_id", "v", F.concat_ws(" ", *grams).alias("s")).join(shingles.select("item_id", "s", "n"), "s").distinct()
     overlap = shared.groupBy("doc_id", "v", "item_id", "n").agg(F.count("*").alias("n_shared"))
-    overlap = overlap.groupBy("doc_id", "item_id", F.col("n").alias("n_item")).agg(F.max("n_shared").alias("n_shared"))
-    return overlap.where(F.col("n_shared") * 100 >= F.col("n_item") * percent).select(
-        "doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment")
-    )
+    return overlap.where(F.col("n_shared") * 100 >= F.col("n") * percent)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the documents that hold an item, all columns kept; see ``contaminated``."""
-    bad = contaminated(docs, items, id_col, text_col, **how).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__bad")), "left_anti")
+def decontaminate(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", width: int = 5, percent: int = 80,
+) -> DataFrame:
+    """``docs`` without the rows whose text holds an item, all columns kept; see ``contaminated``.  Other rows of the same id stay."""
+    bad = overlaps(docs, items, id_col, text_col, item_col, item_text_col, width, percent)
+    bad = bad.select(F.col("doc_id").alias("__bad"), F.col("v").alias("__v")).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__bad")) & (digest(text_col) == F.col("__v")), "left_anti")

@@ -477,4 +477,39 @@ def similarity_components(
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), *linked)
 
 
+def _with_name(width: int):
+    def run(batches):
+        """Each row with the 128-bit name of its set, null for an empty set."""
+        for batch in slices(batches, "text"):
+            sets = shingle_sets(Words(batch.column("text"), fold=True), width)
+            names = digests(*sets)[1]
+            names = pa.compute.if_else(pa.array(np.asarray(sets[1]) > 0), names, pa.nulls(batch.num_rows, names.type))
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], names=[*batch.schema.names, "__name"])
+
+    return run
+
+
+def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` (``doc_id text`` and others) with one row of each group of linked rows.
+
+    Rows are judged by their own texts, also where they share an id or have
+    none.  The row with the smallest id stays, a null id below all others;
+    among several of one id the one whose set's name is smallest, and of
+    equal sets the text with the smallest digest.  Null and blank texts link with
+    nothing: of those only rows that repeat an id and its text go.  An empty
+    table gives an empty result.
+    """
+    classes, links, _ = similar_classes(docs, width=width, percent=percent, every=False)
+    roots = keep(components(links), "components")
+    rooted = classes.select("c", "f").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    first = rooted.groupBy("root").agg(F.min(F.struct("f", "c")).alias("first")).select(F.col("first.f").alias("__f"), F.col("first.c").alias("__c"))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["__name binary"])
+    rows = docs.mapInArrow(_with_name(width), schema)
+    own = (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__f")) & (F.col("__name") == F.col("__c"))
+    worded = rows.where("__name is not null").join(first, own, "left_semi")
+    rows = worded.union(rows.where("__name is null")).withColumn("__text", F.md5(F.coalesce("text", F.lit(""))))
+    alike = Window.partitionBy("doc_id", F.coalesce(F.hex("__name"), "__text"), F.when(F.col("__name").isNull(), F.col("text").isNull()))
+    return rows.withColumn("__nth", F.row_number().over(alike.orderBy("__text"))).where("__nth = 1").drop("__nth", "__text", "__name")
+
+
 by_value(__name__)

@@ -223,9 +223,26 @@ def test_decontamination(spark, odd):
             if own and n * 100 >= len(own) * 80:
                 want.add((i, item, n, len(own)))
     assert got == want and len(want) >= 8
-    kept = decontaminate.decontaminate(documents(spark, odd), table)
-    bad = {i for i, *_ in want}
-    assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(str(i) for i, *_ in odd if i not in bad)
+    # rows are kept by their own texts, not by their ids
+    held = [set().union(*[grams(t) for i, t in items if i == item]) for item in {i for i, _ in items}]
+    clean = [(i, t) for i, t, *_ in odd if not any(own and 100 * len(own & grams(t)) >= 80 * len(own) for own in held)]
+    kept = decontaminate.decontaminate(documents(spark, odd), table).select("doc_id", "text").collect()
+    assert Counter(map(str, kept)) == Counter(str(r) for r in documents(spark, [(*r, None, None) for r in clean]).select("doc_id", "text").collect())
+
+
+def test_rows_of_one_id(spark):
+    """An id's rows are judged by their own texts: near copies go and clean rows stay, with and without an id."""
+    a, b = ([f"{x}{k}" for k in range(60)] for x in "ab")
+    near = [" ".join([*x[:-1], "z"]) for x in (a, b)]
+    a, b = " ".join(a), " ".join(b)
+    rows = [(1, a), (2, near[0]), (2, b), (None, near[1]), (None, b), (3, ""), (3, ""), (3, None), (4, a)]
+    docs = documents(spark, [(i, t, None, None) for i, t in rows])
+    kept = [(r.doc_id, r.text) for r in jaccard_join.drop_similar(docs).collect()]
+    assert len(kept) == 4 and {(1, a), (3, ""), (3, None)} < set(kept)
+    assert [t in (near[1], b) for i, t in kept if i is None] == [True]
+    items = spark.createDataFrame([(1, b)], "item_id long, text string")
+    left = [(r.doc_id, r.text) for r in decontaminate.decontaminate(docs, items).collect()]
+    assert Counter(left) == Counter([(1, a), (2, near[0]), (3, ""), (3, ""), (3, None), (4, a)])
 
 
 def test_language_id_sums_segmentations():
