@@ -9,7 +9,7 @@ passes through as an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing
@@ -35,17 +35,15 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays (five-word shingles, similarity 0.8): the one with the smallest id."""
-    groups = jaccard_join.similarity_components(docs, width=5, percent=80, every=False)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
-    kept = docs.select(*DOCUMENT).join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
-    # rows that repeat an id and its text are copies too
-    copy = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source"))
-    return kept.withColumn("copy", copy).where("copy = 1").select(*DOCUMENT)
+    """One row of each group of near duplicates stays (five-word shingles, similarity 0.8): the one with the smallest id.
+
+    Rows count by their own texts, also where they share an id or have none.
+    """
+    return jaccard_join.drop_similar(docs.select(*DOCUMENT), width=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops the rows whose text holds a benchmark item."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontaminate.decontaminate(docs.select(*DOCUMENT), items)
 
