@@ -4,7 +4,9 @@ Every language has a probability for each piece of a fixed public
 vocabulary.  A word's probability is the sum, over all ways to cut it into
 pieces, of the product of their probabilities; a forward pass over the
 word's bytes computes it, for all languages and many words at once.  The
-vocabulary holds every single byte, so every word has a segmentation.
+vocabulary holds every single byte, so every word has a segmentation.  Words
+are taken whole, however long, with all pieces of the vocabulary: where a
+sum becomes small it is scaled up, and the scale kept as a logarithm.
 
 Learning is expectation maximisation: a forward and a backward pass give
 each piece's expected count in the words of each language, starting from
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -26,28 +29,28 @@ from shelfwise.llm.store import by_value
 from shelfwise.llm.words import Words, mix, rows_of, slices, spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-#: Longest piece, and longest run of a word scored at once (a longer word is cut into such runs), in bytes.
-PIECE_BYTES, RUN_BYTES = 12, 48
 #: Added to every expected count.
 PRIOR = 0.02
-#: Words worked on at once, and how much a document's evidence is flattened in its score.
-BLOCK_WORDS = 20_000
+#: Words, bytes of words, and numbers of a forward pass worked on at once; one longer word is taken whole.
+BLOCK_WORDS, BLOCK_BYTES, BLOCK_NUMBERS = 20_000, 400_000, 1 << 24
+#: Sums below this are scaled up.
+SMALL = 1e-100
+#: Words of more bytes are told apart by a digest of the whole.
+LONG_WORD = 64
 UNDEFINED = "und"
 
 
 def read_pieces(path: str = VOCABULARY) -> list[bytes]:
-    """The vocabulary's pieces of at most PIECE_BYTES bytes, without those that fold to another."""
+    """The vocabulary's pieces in lower case, each once, and all single bytes."""
     pieces = set()
     with open(path, "rb") as file:
         for line in file:
-            piece = base64.b64decode(line.split()[0])
-            if len(piece) <= PIECE_BYTES:
-                pieces.add(piece.lower())
+            pieces.add(base64.b64decode(line.split()[0]).lower())
     return sorted(pieces | {bytes([b]) for b in range(256)})
 
 
-def hashed(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """An open-addressed table of the pieces: hashes and piece numbers."""
+def hashed(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+    """An open-addressed table of the pieces: hashes and piece numbers; the longest piece's bytes."""
     size = 1 << (len(pieces) * 4 - 1).bit_length()
     keys, values = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
     for i, piece in enumerate(pieces):
@@ -56,7 +59,7 @@ def hashed(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         while values[at] >= 0:
             at = (at + 1) & (size - 1)
         keys[at], values[at] = h, i
-    return keys, values
+    return keys, values, max(map(len, pieces))
 
 
 def piece_hash(rows: np.ndarray) -> np.ndarray:
@@ -86,60 +89,93 @@ def find(keys: np.ndarray, values: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """Distinct runs of bytes (a word after a blank, in pieces of RUN_BYTES) with all pieces that fit at each place."""
+    """Distinct words (after a blank) with all pieces that fit at each place."""
 
-    def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, table: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, table: tuple[np.ndarray, np.ndarray, int]):
         self.n, self.size = len(start), size
         width = int(size.max(initial=0))
         grid = np.zeros((self.n, width), np.uint8)
         row = rows_of(size)
         place = spread(np.zeros(self.n, np.int64), size)
         grid[row, place] = data[start[row] + place]
-        #: piece[k][i, j]: the piece that is grid[i, j:j + k + 1]
-        self.pieces = []
+        #: at[j]: of each length k + 1 that has a piece at place j of any word, the words and their pieces
+        self.at: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(width)]
         total = np.zeros((self.n, width), np.uint64)
-        for k in range(min(PIECE_BYTES, width)):
+        for k in range(min(table[2], width)):
             part = total[:, : width - k] * np.uint64(0x100000001B3) + grid[:, k:].astype(np.uint64) + np.uint64(1)
             total = part
             inside = np.arange(width - k)[None, :] + k < size[:, None]
             found = np.full(part.shape, -1, np.int32)
-            found[inside] = find(*table, mix(part[inside]))
-            self.pieces.append(found)
+            found[inside] = find(*table[:2], mix(part[inside]))
+            place, word = np.nonzero(found.T >= 0)
+            piece = found[word, place].astype(np.int64)
+            edge = np.searchsorted(place, np.arange(width - k + 1))
+            for j in np.flatnonzero(np.diff(edge)):
+                some = slice(edge[j], edge[j + 1])
+                self.at[j].append((k, word[some], piece[some]))
         self.width = width
-
-    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """alpha[i, j, l] (scaled to double range by RUN_BYTES) and the log-probability of each run."""
-        alpha = np.zeros((self.width + 1, self.n, p.shape[1]))
-        alpha[0] = 1.0
-        for j in range(self.width):
-            for k in range(min(len(self.pieces), self.width - j)):
-                piece = self.pieces[k][:, j]
-                some = np.flatnonzero(piece >= 0)
-                if len(some):
-                    alpha[j + k + 1, some] += alpha[j, some] * p[piece[some]]
-        return alpha, np.log(np.maximum(alpha[self.size, np.arange(self.n)], 1e-300))
+        #: sums reach at most this many places ahead
+        self.reach = min(table[2], width) + 1
+
+    def forward(self, p: np.ndarray) -> np.ndarray:
+        """The log-probability of each word in each language, over all its segmentations.
+
+        ``ahead`` holds the sums of the next places, times exp(-scale).
+        """
+        ahead = np.zeros((self.reach, self.n, p.shape[1]))
+        ahead[0] = 1.0
+        scale = np.zeros(ahead.shape[1:])
+        out = np.zeros(scale.shape)
+        ends = self._ends()
+        for j in range(self.width + 1):
+            here = ahead[j % self.reach]
+            done = ends.get(j)
+            if done is not None:
+                out[done] = np.log(here[done]) + scale[done]
+            if j == self.width:
+                return out
+            low = (here < SMALL) & (here > 0)
+            if low.any():
+                by = np.where(low, here, 1.0)
+                ahead /= by
+                scale += np.log(by)
+            for k, some, piece in self.at[j]:
+                ahead[(j + k + 1) % self.reach, some] += here[some] * p[piece]
+            here[:] = 0.0
+        return out
 
     def expected(self, p: np.ndarray, lang: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Expected count of each piece in each language, for runs of language ``lang`` seen ``counts`` times."""
+        """Expected count of each piece in each language, for words of language ``lang`` seen ``counts`` times."""
         langs, every = p.shape[1], np.arange(self.n)
         flat = p.ravel()
         edges = []
         alpha = np.zeros((self.width + 1, self.n))
         alpha[0] = 1.0
+        #: the logarithm by which each place's sums are scaled; None while none is
+        scales = None
         for j in range(self.width):
-            for k in range(min(len(self.pieces), self.width - j)):
-                piece = self.pieces[k][:, j]
-                some = np.flatnonzero(piece >= 0)
-                if len(some):
-                    which = piece[some].astype(np.int64) * langs + lang[some]
-                    chance = flat[which]
-                    alpha[j + k + 1, some] += alpha[j, some] * chance
-                    edges.append((j, k, some, which, chance))
+            low = (alpha[j] < SMALL) & (alpha[j] > 0)
+            if low.any():
+                if scales is None:
+                    scales = np.zeros(alpha.shape)
+                by = np.where(low, alpha[j], 1.0)
+                alpha[j : j + self.reach] /= by
+                scales[j] += np.log(by)
+            if scales is not None:
+                scales[j + 1] = scales[j]
+            for k, some, piece in self.at[j]:
+                which = piece * langs + lang[some]
+                chance = flat[which]
+                alpha[j + k + 1, some] += alpha[j, some] * chance
+                edges.append((j, k, some, which, chance))
+        # what follows a place, in the same scale, over the whole word's probability
         beta = np.zeros_like(alpha)
-        beta[self.size, every] = counts / np.maximum(alpha[self.size, every], 1e-300)
+        beta[self.size, every] = counts / alpha[self.size, every]
         shares = []
         for j, k, some, _, chance in reversed(edges):
             part = chance * beta[j + k + 1, some]
+            if scales is not None:
+                part *= np.exp(scales[j, some] - scales[j + k + 1, some])
             beta[j, some] += part
             shares.append(part * alpha[j, some])
         if not edges:
@@ -147,28 +183,31 @@ class Runs:
         which = np.concatenate([e[3] for e in reversed(edges)])
         return np.bincount(which, np.concatenate(shares), minlength=p.size).reshape(p.shape)
 
+    def _ends(self) -> dict[int, np.ndarray]:
+        order = np.argsort(self.size, kind="stable")
+        sizes, first = np.unique(self.size[order], return_index=True)
+        return dict(zip(sizes.tolist(), np.split(order, first[1:]), strict=True))
+
 
 def cut_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes with a blank before each word, and start, size and row of every run."""
+    """Bytes with a blank before each word, and start, size and row of every word."""
     size = words.end - words.start
     ends = np.cumsum(size + 1)
     data = np.full(int(ends[-1]) if len(ends) else 0, 0x20, np.uint8)
     begin = ends - size - 1
     data[spread(begin + 1, size)] = words.data[spread(words.start, size)]
-    parts = -(-(size + 1) // RUN_BYTES)
-    word = rows_of(parts)
-    nth = spread(np.zeros(len(parts), np.int64), parts)
-    start = begin[word] + nth * RUN_BYTES
-    return data, start, np.minimum(RUN_BYTES, ends[word] - start), rows_of(words.count)[word]
+    return data, begin, size + 1, rows_of(words.count)
 
 
 def distinct_runs(data, start, size, lang=None):
-    """One run of every kind, and the kind of each run; runs of different languages differ."""
+    """One word of every kind, and the kind of each word; words of different languages differ."""
     total = np.zeros(len(start), np.uint64)
-    for j in range(int(size.max(initial=0))):
+    for j in range(min(int(size.max(initial=0)), LONG_WORD)):
         more = np.flatnonzero(size > j) if j else slice(None)
         total[more] = step(total[more], data[start[more] + j])
-    total = mix(total ^ (size.astype(np.uint64) << np.uint64(56)))
+    for i in np.flatnonzero(size > LONG_WORD):
+        total[i] = int.from_bytes(blake2b(data[start[i] : start[i] + size[i]].tobytes(), digest_size=8).digest(), "little")
+    total = mix(total ^ mix(size.astype(np.uint64)))
     if lang is not None:
         total = mix(total + lang.astype(np.uint64) + np.uint64(1))
     _, one, kind = np.unique(total, return_index=True, return_inverse=True)
@@ -197,16 +236,17 @@ def _count(langs: list[str], pieces, p):
     return run
 
 
-def _blocks(size: np.ndarray):
-    """Runs of like length together, some thousands at a time."""
+def _blocks(size: np.ndarray, numbers: int = 1):
+    """Words of like length together, as many as a block holds; ``numbers``: those a forward pass keeps for a word."""
     order = np.argsort(size, kind="stable")
-    for at in range(0, len(order), BLOCK_WORDS):
-        block = order[at : at + BLOCK_WORDS]
-        # a block with a few long runs is cut so that its grid stays small
-        while len(block):
-            n = max(1, int(np.searchsorted(np.cumsum(size[block]) + np.arange(len(block)), 40 * BLOCK_WORDS // 2)))
-            yield block[:n]
-            block = block[n:]
+    most = max(1, min(BLOCK_WORDS, BLOCK_NUMBERS // numbers))
+    at = 0
+    while at < len(order):
+        block = order[at : at + most]
+        # a block's grid is its longest word times its words
+        n = max(1, int(np.searchsorted(size[block] * np.arange(1, len(block) + 1), BLOCK_BYTES, "right")))
+        yield block[:n]
+        at += n
 
 
 @lru_cache(2)
@@ -224,8 +264,8 @@ def _score(langs: list[str], pieces, p, prior, with_text: bool):
             if len(start):
                 one, kind = distinct_runs(data, start, size)
                 logs = np.zeros((len(one), len(langs)))
-                for some in _blocks(size[one]):
-                    logs[some] = Runs(data, start[one[some]], size[one[some]], table).forward(prob)[1]
+                for some in _blocks(size[one], len(langs) * (table[2] + 1)):
+                    logs[some] = Runs(data, start[one[some]], size[one[some]], table).forward(prob)
                 for l in range(len(langs)):
                     evidence[:, l] += np.bincount(row, logs[kind, l], minlength=n)
             best = evidence.argmax(axis=1)
@@ -306,7 +346,7 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = 1) ->
     Learns from documents that are not held out; predictions see only the
     text.  A null text or one without a letter is ``und`` with score 0.
     Whole texts are scored: words are runs between ASCII white space, A-Z
-    folded, words of more than RUN_BYTES bytes in runs of that size.
+    folded, of any length.
     Repeated rows are scored alike; null languages teach nothing; with no
     training text everything is ``und``.  An empty table gives an empty
     result.

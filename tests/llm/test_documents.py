@@ -1,9 +1,11 @@
 """The operators on documents against brute force, with nulls, empty and long texts, ties, repeats and clashing columns."""
 
+import math
 import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -256,10 +258,10 @@ def test_language_id_sums_segmentations():
     def total(part):
         if not part:
             return np.ones(2)
-        return sum((p[number[part[:k]]] * total(part[k:]) for k in range(1, min(len(part), language_id.PIECE_BYTES) + 1) if part[:k] in number), np.zeros(2))
+        return sum((p[number[part[:k]]] * total(part[k:]) for k in range(1, len(part) + 1) if part[:k] in number), np.zeros(2))
 
     runs = language_id.Runs(data, np.array([0, 4]), np.array([4, 7]), language_id.hashed(pieces))
-    logs = runs.forward(p)[1]
+    logs = runs.forward(p)
     assert np.allclose(logs, np.log([total(b" the"), total(b" anches")]))
     # expected counts: each word's pieces cover its bytes once
     counts = runs.expected(p, np.array([0, 1]), np.array([1.0, 2.0]))
@@ -267,6 +269,54 @@ def test_language_id_sums_segmentations():
     assert np.allclose(size @ counts, [4.0, 14.0])
 
 
+def segmentation_sums(word, number, p):
+    """Log-probability and expected piece counts of a word, exactly, by fractions."""
+    n = len(word)
+    cuts = [(i, j, number[word[i:j]]) for i in range(n) for j in range(i + 1, n + 1) if word[i:j] in number]
+    head, tail = [Fraction(0)] * (n + 1), [Fraction(0)] * (n + 1)
+    head[0] = tail[n] = Fraction(1)
+    for i, j, k in cuts:
+        head[j] += head[i] * Fraction(p[k])
+    for i, j, k in reversed(cuts):
+        tail[i] += Fraction(p[k]) * tail[j]
+    counts = Counter()
+    for i, j, k in cuts:
+        counts[k] += float(head[i] * Fraction(p[k]) * tail[j] / head[n])
+    return math.log(head[n].numerator) - math.log(head[n].denominator), counts
+
+
+def test_language_id_long_words():
+    """Long words, and words of a script without blanks, are summed whole; a model of very many pieces loses no evidence."""
+    pieces = language_id.read_pieces()
+    number = {p: k for k, p in enumerate(pieces)}
+    assert max(map(len, pieces)) > 12
+    table = language_id.hashed(pieces)
+    rng = np.random.default_rng(7)
+    p = rng.random((len(pieces), 2)) ** 8
+    p /= p.sum(axis=0)
+    words = [b" " + b"internationalisation" * 6, " \u4e2d\u6587\u6ca1\u6709\u7a7a\u683c\u7684\u957f\u53e5\u5b50".encode() * 3, b" the", b" " + rng.bytes(90).hex().encode()]
+    size = np.array([len(w) for w in words])
+    data, start = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size
+    runs = language_id.Runs(data, start, size, table)
+    logs, lang = runs.forward(p), np.array([0, 1, 1, 0])
+    want = [[segmentation_sums(w, number, p[:, l]) for l in (0, 1)] for w in words]
+    assert np.allclose(logs, [[x[0] for x in row] for row in want])
+    assert logs.min() < math.log(1e-300)
+    counts = runs.expected(p, lang, np.ones(4))
+    total = np.zeros(p.shape)
+    for row, l in zip(want, lang, strict=True):
+        for k, n in row[l][1].items():
+            total[k, l] += n
+    assert np.allclose(counts, total)
+    # 1e12 pieces seen, none of them in this word but single bytes of one language
+    p = np.full((len(pieces), 2), language_id.PRIOR / 1e12)
+    p[[number[bytes([b])] for b in range(256)], 1] = 2 * language_id.PRIOR / 1e12
+    one = b" " + b"0123456789abcdef" * 4
+    logs = language_id.Runs(np.frombuffer(one, np.uint8), np.array([0]), np.array([len(one)]), table).forward(p)[0]
+    want = [segmentation_sums(one, number, p[:, l])[0] for l in (0, 1)]
+    assert np.allclose(logs, want) and logs[1] > logs[0] + 1
+
+
 def test_language_id(spark, odd):
     rng = np.random.default_rng(2)
     kinds = {"xx": ["tha", "ing", "wo", "ke"], "yy": ["sch", "ung", "ü", "ein"]}
