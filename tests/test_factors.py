@@ -188,3 +188,37 @@ def test_pruned_topk_is_exact_and_skips_products(spark):
         assert sorted(factors.topk_from_factors(uf, itf, 7, block_bytes=bytes_, prune=True).collect()) == sorted(plain.collect())
     one = factors.topk_from_factors(uf, itf.limit(3), 7, prune=True)
     assert one.count() == 120
+
+
+def test_leaves_rule_out_products_and_change_no_list():
+    """Items near one another are left out together; the k best are those of all products, blocks taken one by one or not."""
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    items, users = rng.normal(size=(9000, 4)), rng.normal(size=(200, 4))
+    items[50:90], users[::9] = items[7], 0.0
+    iid, uid = rng.permutation(9000), np.arange(200)
+    for digits in (None, 6, 1):
+        def ranked(frames):
+            out = pd.concat(frames)
+            out["score"] = out["score"] if digits is None else out["score"].round(digits)
+            return out.sort_values(["uid", "score", "iid"], ascending=[True, False, True]).groupby("uid").head(10).reset_index(drop=True)
+
+        want = ranked(factors._best(uid, users, iid, items, 10, digits, factors._all_near))
+        assert ranked(factors._best(uid, users, iid, items, 10, digits)).equals(want)
+        blocks = [factors.with_leaves(iid[b::20], items[b::20]) for b in range(20)]
+        assert ranked(factors._best_of(uid, users, blocks, 10, digits)).equals(want)
+    made, users = [], users[users.any(axis=1)]
+    _, dealt, leaves = factors.with_leaves(iid, items)
+    list(factors.leaf_near(users, dealt, leaves, 10, 0.0, np.full(len(users), -np.inf), made))
+    assert sum(made) < len(users) * 9000 / 2
+
+
+def test_small_blocks_share_a_broadcast(spark, monkeypatch):
+    """Blocks far smaller than a broadcast are sent together, not in a job each."""
+    sent, send = [], factors._send
+    monkeypatch.setattr(factors, "_send", lambda items: sent.append(1) or send(items))
+    uf, itf = fx.user_factors(spark, SF_SMALL), fx.item_factors(spark, SF_SMALL)
+    one = sorted(factors.topk_from_factors(uf, itf, 5).collect())
+    assert sorted(factors.topk_from_factors(uf, itf, 5, block_bytes=4096).collect()) == one
+    assert len(sent) == 2
