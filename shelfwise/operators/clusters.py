@@ -24,6 +24,8 @@ CLUSTER = "cluster"
 # Most centre values (k x dim) sent to the tasks of an assignment; beyond this
 # use a fitted KMeansModel and ``assign``.
 MAX_CENTER_VALUES = 2_000_000
+#: Bytes of one matrix of products, or of one batch of differences, inside a task.
+CHUNK_BYTES = 16 * 1024 * 1024
 
 # The scoring code travels by value: executors need numpy, not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,6 +56,47 @@ def centers_frame(spark: SparkSession, model: KMeansModel) -> DataFrame:
     return spark.createDataFrame(rows, "center_id int, features array<double>")
 
 
+def distinct_centers(ids: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centres in the order of their ids, of equal ones the first: no other is ever the nearest with the lowest id."""
+    if not np.isfinite(c).all():
+        return ids, c
+    _, first = np.unique(c, axis=0, return_index=True)
+    first = np.sort(first)
+    return ids[first], c[first]
+
+
+def nearest(p: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each point's nearest centre (of equal distances the first) and its squared distance, points taken in turns of CHUNK_BYTES.
+
+    Matrix products only choose which centres can be the nearest; distances
+    are summed element by element in order, as a sequential sum does.
+    """
+    best, dist = np.zeros(len(p), np.int64), np.zeros(len(p))
+    square, step = (c * c).sum(axis=1), max(1, CHUNK_BYTES // (8 * len(c)))
+    few = max(1, CHUNK_BYTES // (8 * max(1, c.shape[1])))
+    for at in range(0, len(p), step):
+        q = p[at : at + step]
+        if np.isfinite(q).all() and np.isfinite(square).all():
+            about = square - 2.0 * (q @ c.T)
+            # what rounding can make of two sums of this size
+            slack = 1e-13 * (c.shape[1] + 8) * ((q * q).sum(axis=1) + square.max())
+            rows, cols = np.nonzero(about <= (about.min(axis=1) + slack)[:, None])
+        else:
+            rows, cols = (x.ravel() for x in np.indices((len(q), len(c))))
+        exact = np.zeros(len(rows))
+        for a in range(0, len(rows), few):
+            d = q[rows[a : a + few]] - c[cols[a : a + few]]
+            for j in range(c.shape[1]):
+                exact[a : a + few] += d[:, j] * d[:, j]
+        starts = np.searchsorted(rows, np.arange(len(q)))
+        least = np.minimum.reduceat(exact, starts)
+        # a distance that is no number counts as the least, as in argmin
+        hit = np.flatnonzero((exact == least[rows]) | np.isnan(exact))
+        first = hit[np.searchsorted(rows[hit], np.arange(len(q)))]
+        best[at : at + step], dist[at : at + step] = cols[first], exact[first]
+    return best, dist
+
+
 def assign_to_centers(points: DataFrame, centers: DataFrame, id_col: str = "id",
                       features_col: str = "features") -> DataFrame:
     """Nearest given centre: ``(id, center_id, dist)``; ties to the lowest centre id.
@@ -71,18 +114,13 @@ def assign_to_centers(points: DataFrame, centers: DataFrame, id_col: str = "id",
     sent = points.sparkSession.sparkContext.broadcast((np.array([r["center_id"] for r in rows]), np.array([r["f"] for r in rows], float)))
 
     def score(batches):
-        ids, c = sent.value
+        ids, c = distinct_centers(*sent.value)
         for pdf in batches:
             if not len(pdf):
                 continue
             p = np.stack(pdf["f"].to_numpy()).astype(float)
-            # element by element in order, as a sequential sum does; ties go to the lowest id
-            dist = np.zeros((len(p), len(c)))
-            for j in range(c.shape[1]):
-                d = p[:, j, None] - c[None, :, j]
-                dist += d * d
-            best = dist.argmin(axis=1)
-            yield pd.DataFrame({"id": pdf["id"], "center_id": ids[best], "dist": dist[np.arange(len(p)), best]})
+            best, dist = nearest(p, c)
+            yield pd.DataFrame({"id": pdf["id"], "center_id": ids[best], "dist": dist})
 
     kinds = {"id": points.schema[id_col].dataType.simpleString(), "center": centers.schema["center_id"].dataType.simpleString()}
     rows = points.select(F.col(id_col).alias("id"), F.col(features_col).cast("array<double>").alias("f"))

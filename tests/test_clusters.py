@@ -76,3 +76,22 @@ def test_donors_from_rating_rows(spark, tmp_dir):
     version = jobs.refresh_clusters(store, 3, 3, donor_pool="ratings")
     found = store.donors(version).collect()
     assert found and all(1 <= r["donor_id"] <= 9 and r["recs"] for r in found)
+
+
+def test_nearest_is_bounded_and_exact():
+    """All points against all centres at once would take 400 MB a matrix; ties and equal centres go to the first."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    points, centers = rng.integers(0, 40, (10_000, 3)).astype(float), rng.integers(0, 40, (5_000, 3)).astype(float)
+    tracemalloc.start()
+    ids, kept = clusters.distinct_centers(np.arange(5_000) * 3, centers)
+    best, dist = clusters.nearest(points, kept)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+    for at in range(0, 10_000, 1_000):
+        want = sum((points[at : at + 1_000, j, None] - centers[None, :, j]) ** 2 for j in range(3))
+        assert (ids[best[at : at + 1_000]] == 3 * want.argmin(axis=1)).all() and (dist[at : at + 1_000] == want.min(axis=1)).all()
