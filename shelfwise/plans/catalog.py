@@ -447,10 +447,10 @@ def recs_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     store = jobs.Store(spark, scratch_path(spark, "store"))
     store.create()
-    given = _given_recs(spark, sf_dir)
+    given = staged(_given_recs(spark, sf_dir), "recs")
     store.write_recs(given, "als", 1, "bootstrap", 0, 0)
-    assigned = _user_clusters(spark, sf_dir)
-    copied = clusters.cold_start(assigned, clusters.donors(assigned, given), given)
+    assigned = staged(_user_clusters(spark, sf_dir), "assigned")
+    copied = clusters.cold_start(assigned, staged(clusters.donors(assigned, given), "donors"), given)
     store.write_recs(copied.select("user_id", "recs"), "cold_start", None, "users-g1", 0, 1)
     store.recs.compact()  # whole-row merge across a compacted base and newer batches
     w = Window.partitionBy("user_id").orderBy(F.col("rating").desc(), F.col("product_id").asc())

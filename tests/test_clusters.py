@@ -95,3 +95,13 @@ def test_nearest_is_bounded_and_exact():
     for at in range(0, 10_000, 1_000):
         want = sum((points[at : at + 1_000, j, None] - centers[None, :, j]) ** 2 for j in range(3))
         assert (ids[best[at : at + 1_000]] == 3 * want.argmin(axis=1)).all() and (dist[at : at + 1_000] == want.min(axis=1)).all()
+
+
+def test_recs_merge_makes_its_inputs_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from shelfwise.plans import catalog
+
+    names, staged = [], catalog.staged
+    monkeypatch.setattr(catalog, "staged", lambda df, name: names.append(name) or staged(df, name))
+    assert catalog.recs_merge(spark, SF_SMALL).count() > 0
+    assert names == ["recs", "assigned", "donors"]
