@@ -80,3 +80,36 @@ def test_rating_batches_pick_up_a_retrain(spark, tmp_dir):
     assert written == {0: 1, 1: 2}
     latest = store.recs_latest().filter(F.col("user_id") == 1).first()
     assert (latest["source"], latest["model_version"]) == ("als", 2)
+
+
+def test_bootstrap_fits_on_ratings_merged_once(spark, tmp_dir, monkeypatch):
+    fitted, fit = [], factors.fit_als
+    monkeypatch.setattr(factors, "fit_als", lambda rated, **kw: fitted.append(rated) or fit(rated, **kw))
+    store = jobs.Store(spark, f"{tmp_dir}/store")
+    ratings = spark.createDataFrame([(u, p, float(1 + (u * p) % 5)) for u in range(1, 10) for p in range(1, 6)], "user_id bigint, product_id bigint, rating double")
+    users = spark.createDataFrame([(u, "n", float(u % 2), 20.0 + u, "s", "l") for u in range(1, 13)], "user_id bigint, nick_name string, gender double, age double, read_style string, user_label string")
+    books = spark.createDataFrame([], "book_id bigint, book_name string, author string, average double, book_style string, book_label string")
+    jobs.bootstrap_frames(store, ratings.unionByName(ratings), users, books, als_params={"rank": 2, "max_iter": 2}, n_clusters=3, kmeans_iter=3)
+    assert "Aggregate" not in fitted[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, fitted[0].collect())) == sorted(map(tuple, ratings.collect()))
+
+
+def test_stores_are_filled_from_ratings_made_once(spark, monkeypatch):
+    """The ratings that a store is filled with come from a table, not from the join and the merge of order lines."""
+    from shelfwise.plans import catalog, models, streams
+
+    class Seen(Exception):
+        pass
+
+    def look(rated, *rest, **kw):
+        raise Seen(rated._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(jobs, "bootstrap_frames", lambda store, ratings, *rest, **kw: look(ratings))
+    monkeypatch.setattr(fx, "rating_lines", look)
+    for query in (streams.cold_start_current, streams._refresh_store, streams._users_store, models.retrain_switch, catalog.bootstrap_quarantine):
+        try:
+            query(spark, SF_SMALL + "/")  # no other test's store
+        except Seen as plan:
+            assert "Join" not in str(plan) and "Aggregate" not in str(plan), query.__name__
+        else:
+            raise AssertionError(query.__name__)
