@@ -222,3 +222,22 @@ def test_small_blocks_share_a_broadcast(spark, monkeypatch):
     one = sorted(factors.topk_from_factors(uf, itf, 5).collect())
     assert sorted(factors.topk_from_factors(uf, itf, 5, block_bytes=4096).collect()) == one
     assert len(sent) == 2
+
+
+def test_single_precision_only_chooses():
+    """Scores that single precision cannot tell apart, vectors of any size and flags at any place: the k best are those of all products."""
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    flags = np.zeros(77 + 8, bool)
+    flags[[0, 7, 8, 40, 63, 64, 76, 77, 80]] = True
+    assert factors._places(flags, 77).tolist() == [0, 7, 8, 40, 63, 64, 76]
+    base, users = rng.normal(size=4), rng.normal(size=(60, 4))
+    near = base + rng.normal(size=(3000, 4)) * 1e-9
+    for size_u, size_i in ((1.0, 1.0), (1e-60, 1e-70), (1e60, 1e40), (1e-160, 1.0)):
+        items, rows = near * size_i, users * size_u
+        frames = [pd.concat(factors._best_of(np.arange(60), rows, [block], 10, None, how)) for block, how in ((factors.with_leaves(np.arange(3000), items), None), ((np.arange(3000), items, None), factors._all_near))]
+        got, want = (f.sort_values(["uid", "score", "iid"], ascending=[True, False, True]).reset_index(drop=True) for f in frames)
+        assert got.groupby("uid").head(10).reset_index(drop=True).equals(want.groupby("uid").head(10).reset_index(drop=True))
+    leaves = factors.with_leaves(np.arange(3000), rng.normal(size=(3000, 4)))[2]
+    assert leaves[3].dtype == np.float32 and np.linalg.norm(leaves[3], axis=1).max() <= 1.0 + 1e-6
