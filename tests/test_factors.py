@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from shelfwise import fixtures as fx
 from shelfwise.operators import factors
+from shelfwise.session import scratch_path
 
 
 def _brute_topk(users, items, k):
@@ -241,3 +242,36 @@ def test_single_precision_only_chooses():
         assert got.groupby("uid").head(10).reset_index(drop=True).equals(want.groupby("uid").head(10).reset_index(drop=True))
     leaves = factors.with_leaves(np.arange(3000), rng.normal(size=(3000, 4)))[2]
     assert leaves[3].dtype == np.float32 and np.linalg.norm(leaves[3], axis=1).max() <= 1.0 + 1e-6
+
+
+def test_lists_of_a_saved_model_are_made_where_users_lie(spark):
+    """A saved fit whose items fit one broadcast: no shuffle, and the lists that ranking all candidates gives, leaf by leaf or from all products."""
+    rng = np.random.default_rng(12)
+    users = [(int(i), rng.normal(size=4).tolist()) for i in rng.permutation(700)] + [(900, [0.0] * 4)]
+    items = [(int(i), rng.normal(size=4).tolist()) for i in rng.permutation(3000)] + [(i, [1.0, 0.5, 0.0, 2.0]) for i in range(5000, 5030)]
+    path = scratch_path(spark, "model")
+    factors.FactorModel(spark.createDataFrame(users, factors.FACTORS), spark.createDataFrame(items, factors.FACTORS), 4).save_to(path)
+    model = factors.FactorModel.load(path)
+    recs = factors.recommend(model, 7)
+    assert "Exchange" not in recs._jdf.queryExecution().toString()
+    got = {r["user_id"]: [tuple(x) for x in r["recs"]] for r in recs.collect()}
+    ranked = factors.topk_from_factors(model.users, model.items, 7, round_digits=None, block_bytes=4096).orderBy("user_id", "rank").collect()
+    want: dict = {}
+    for r in ranked:
+        want.setdefault(r["user_id"], []).append((r["product_id"], r["score"]))
+    assert len(got) == 701 and got == want
+    asked = spark.createDataFrame([(3,), (900,), (12345,)], "user_id bigint")
+    assert {r["user_id"]: [tuple(x) for x in r["recs"]] for r in factors.recommend(model, 7, asked).collect()} == {u: want[u] for u in (3, 900)}
+
+
+def test_leaf_products_are_made_in_tiles(monkeypatch):
+    """Rows and leaves far larger than a tile: no product matrix is larger than TILE, and the pairs found are those of one matrix."""
+    rng = np.random.default_rng(13)
+    items, users = rng.normal(size=(2000, 4)), rng.normal(size=(500, 4))
+    uid, iid = np.arange(500), np.arange(2000)
+    whole, sizes, matmul = list(factors._best(uid, users, iid, items, 10, None)), [], np.matmul
+    monkeypatch.setattr(factors, "TILE", 3000)
+    monkeypatch.setattr(np, "matmul", lambda a, b, out: sizes.append(out.size) or matmul(a, b, out=out))
+    tiled = list(factors._best(uid, users, iid, items, 10, None))
+    assert sizes and max(sizes) <= 3000
+    assert all(a.equals(b) for a, b in zip(whole, tiled, strict=True))
