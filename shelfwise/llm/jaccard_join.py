@@ -43,6 +43,8 @@ LONGEST, VERIFY = 4, 20
 ROUNDS = 2
 #: Classes of one shingle or component that meet in one task, and bytes of their texts; larger groups are dealt by a second key.
 TILE, TILE_BYTES = 256, 1 << 23
+#: Columns of 64 bits that hold a set's signature.
+SIGNS = [f"s{k}" for k in range(8)]
 #: Tasks that first add up the frequencies of one block of cells.
 PARTS = 16
 
@@ -197,9 +199,21 @@ def cells_of(count: np.ndarray) -> np.ndarray:
     return 1 << np.ceil(np.log2(np.maximum(count / 2, 16))).astype(np.int64)
 
 
+def signatures(grams: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """For each set, whether the number of its shingles in each of 64 * len(SIGNS) cells is odd, a bit a cell.
+
+    Shingles that two sets share leave equal bits in both, so no two sets
+    differ in more bits than in shingles.
+    """
+    bit = (grams >> np.uint64(40)) % np.uint64(64 * len(SIGNS))
+    out = np.zeros(len(count) * len(SIGNS), np.uint64)
+    np.bitwise_xor.at(out, rows_of(count) * len(SIGNS) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.reshape(len(count), len(SIGNS)).view(np.int64)
+
+
 def _profiled(width: int):
     def run(batches):
-        """Each text with its set's name and profile: how many shingles fall into each cell of the hash range (255: or more)."""
+        """Each text with its set's name, signature and profile: how many shingles fall into each cell of the hash range (255: or more)."""
         for batch in slices(batches, "text"):
             grams, count = shingle_sets(Words(batch.column("text"), fold=True), width)
             size = cells_of(count)
@@ -207,9 +221,10 @@ def _profiled(width: int):
             row = rows_of(count)
             cell = first[row] + (grams & (size[row] - 1).astype(np.uint64)).astype(np.int64)
             profile = np.minimum(np.bincount(cell, minlength=int(size.sum())), 255).astype(np.uint8)
+            signs = [pa.array(s) for s in np.ascontiguousarray(signatures(grams, count).T)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("f"), digests(grams, count)[1], pa.array([profile[x : x + m].tobytes() for x, m in zip(first, size, strict=True)], pa.binary()), batch.column("text")],
-                names=["f", "c", "profile", "text"],
+                [batch.column("f"), digests(grams, count)[1], *signs, pa.array([profile[x : x + m].tobytes() for x, m in zip(first, size, strict=True)], pa.binary()), batch.column("text")],
+                names=["f", "c", *SIGNS, "profile", "text"],
             )
 
     return run
@@ -359,7 +374,8 @@ def similar_classes(
     rows = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("f"), "text").join(active, "f", "left_semi")
     name = f"active_{uuid.uuid4().hex[:12]}"
     folder = f"{shared_dir(spark)}/llm/{name}"
-    rows = rows.mapInArrow(_profiled(width), "f long, c binary, profile binary, text string").write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "f")
+    signs = ", ".join(f"{s} long" for s in SIGNS)
+    rows = rows.mapInArrow(_profiled(width), f"f long, c binary, {signs}, profile binary, text string").write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "f")
     rows.option("compression", "zstd").option("path", folder).saveAsTable(name)
     rows = spark.table(name)
 
@@ -391,23 +407,13 @@ def similar_classes(
         discard(before)
     rooted = _rooted(postings, roots)
     mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
-    rooted = opened = keep(rooted.join(mixed, "gram", "left_semi"), "open")
+    signed = rows.select("f", "c", *SIGNS).dropDuplicates(["f", "c"])
+    opened = keep(rooted.join(mixed, "gram", "left_semi").join(signed, ["f", "c"]), "open")
     discard(postings, roots)
     # a crowded bucket is dealt: each class on one side to one of its tiles, on the other to all of them
-    crowded = keep(rooted.groupBy("gram").count().where(F.col("count") > TILE).select("gram", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "crowded")
-    rooted = rooted.join(crowded, "gram", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    tile = {1: F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"), 2: F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))}
-    x, y = (rooted.select("gram", tile[i].alias("tile"), *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "l", "m", "rank", "rest", "place", "root")]) for i in (1, 2))
-    # what can still be shared: the places before this shingle, itself, and the rest of the shorter set
-    most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
-    enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
-    # of the shingles that two classes must share within their prefixes, the first l stand
-    # among the first m - least + l that each shares with any class: so many must match
-    least = F.greatest(matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent), F.lit(1))
-    l = F.least("l1", "l2", least)
-    early = (F.col("rank1") <= F.col("m1") - least + l) & (F.col("rank2") <= F.col("m2") - least + l)
-    met = x.join(y, ["gram", "tile"]).where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & early & enough)
-    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("met"), F.max(l).alias("l")).where("met >= l").drop("met", "l")
+    crowded = keep(opened.groupBy("gram").count().where(F.col("count") > TILE).select("gram", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "crowded")
+    met = _met(opened.join(crowded, "gram", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))), percent)
+    pairs = met.groupBy("c1", "f1", "n1", "c2", "f2", "n2").agg(F.count("*").alias("met"), F.max("l").alias("l")).where("met >= l").drop("met", "l")
     links.append(verify(pairs.toDF("a", "fa", "na", "b", "fb", "nb"), "exact-links"))
     discard(opened, crowded)
     spark.sql(f"DROP TABLE {name}")
@@ -428,6 +434,28 @@ def _rooted(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
     return postings.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
 
 
+def _met(rooted: DataFrame, percent: int) -> DataFrame:
+    """A row for each open shingle in which two classes of different components meet, as far as they can be similar; ``l``: how many must match."""
+    tile = {1: F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"), 2: F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))}
+    x, y = (rooted.select("gram", tile[i].alias("tile"), *[F.col(k).alias(f"{k}{i}") for k in ("c", "f", "n", "l", "m", "rank", "rest", "place", "root", *SIGNS)]) for i in (1, 2))
+    # what can still be shared: the places before this shingle, itself, and the rest of the shorter set
+    most = F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1") - 1, F.col("n2") - F.col("place2") - 1)
+    enough = most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
+    # of the shingles that two classes must share within their prefixes, the first l stand
+    # among the first m - least + l that each shares with any class: so many must match
+    least = F.greatest(matches(F.col("n1"), F.col("rest1"), F.col("n2"), F.col("rest2"), percent), F.lit(1))
+    l = F.least("l1", "l2", least)
+    early = (F.col("rank1") <= F.col("m1") - least + l) & (F.col("rank2") <= F.col("m2") - least + l)
+    return x.join(y, ["gram", "tile"]).where((F.col("root1") < F.col("root2")) & _sizes(F.col("n1"), F.col("n2"), percent) & (F.least("m1", "m2") >= least) & early & enough & _near(percent)).withColumn("l", l)
+
+
+def _near(t: int):
+    """Whether the signatures leave room for a link: what differs in one of them is not shared."""
+    differ = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{s}1").bitwiseXOR(F.col(f"{s}2"))) for s in SIGNS))
+    both = F.col("n1") + F.col("n2")
+    return (both - differ) * (100 + t) >= both * (2 * t)
+
+
 def needed_col(n, t: int):
     return F.ceil(n * t / 100).cast("int")
 

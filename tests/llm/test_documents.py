@@ -2,6 +2,7 @@
 
 import math
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +10,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, substring_dedup
 
@@ -180,6 +182,40 @@ def test_jaccard_join_chain(spark):
     assert Counter((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == linked(rows, 4, 85)
 
 
+def test_signatures_rule_out_no_link():
+    rng = np.random.default_rng(3)
+    for n in (1, 20, 300, 4000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        sets = [base, base[: n - n // 10], np.concatenate([base[n // 9 :], rng.integers(0, 2**63, n // 9, dtype=np.uint64)]), rng.integers(0, 2**63, n, dtype=np.uint64)]
+        signs = jaccard_join.signatures(np.concatenate(sets), np.array([len(x) for x in sets])).view(np.uint64)
+        for x, a in zip(sets, signs, strict=True):
+            for y, b in zip(sets, signs, strict=True):
+                assert int(np.bitwise_count(a ^ b).sum()) <= len(np.setxor1d(x, y))
+
+
+def test_jaccard_join_makes_no_rows_of_near_copies_that_do_not_link(spark, monkeypatch):
+    rng = random.Random(5)
+    base, rows = [f"b{i}" for i in range(300)], []
+    for d in range(120):
+        text = list(base)
+        for i in rng.sample(range(300), 5):
+            text[i] = f"x{d}y{i}"
+        rows.append((d, " ".join(text), "en", "a"))
+    made, met = [], jaccard_join._met
+
+    def counted(*a):
+        made.append(met(*a).count())
+        with monkeypatch.context() as without:
+            without.setattr(jaccard_join, "_near", lambda t: F.lit(True))
+            made.append(met(*a).count())
+        return met(*a)
+
+    monkeypatch.setattr(jaccard_join, "_met", counted)
+    got = jaccard_join.similarity_components(documents(spark, rows)).collect()
+    assert Counter((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == linked(rows, 4, 85)
+    assert made[0] * 5 < made[1]
+
+
 def test_jaccard_join_lists_all_links(spark, odd, monkeypatch):
     """Every link between different texts is listed, within connected groups too, and each row has its number of links."""
     monkeypatch.setattr(jaccard_join, "TILE", 7)
