@@ -113,3 +113,18 @@ def test_stores_are_filled_from_ratings_made_once(spark, monkeypatch):
             assert "Join" not in str(plan) and "Aggregate" not in str(plan), query.__name__
         else:
             raise AssertionError(query.__name__)
+
+
+def test_backfill_sends_no_items_when_every_user_has_a_list(spark, tmp_dir, monkeypatch):
+    store = jobs.Store(spark, f"{tmp_dir}/store")
+    ratings = spark.createDataFrame([(u, p, float(1 + (u * p) % 5)) for u in range(1, 10) for p in range(1, 6)], "user_id bigint, product_id bigint, rating double")
+    users = spark.createDataFrame([(u, "n", float(u % 2), 20.0 + u, "s", "l") for u in range(1, 13)], "user_id bigint, nick_name string, gender double, age double, read_style string, user_label string")
+    books = spark.createDataFrame([], "book_id bigint, book_name string, author string, average double, book_style string, book_label string")
+    jobs.bootstrap_frames(store, ratings, users, books, als_params={"rank": 2, "max_iter": 2}, n_clusters=3, kmeans_iter=3)
+    sent, send = [], factors._send
+    monkeypatch.setattr(factors, "_send", lambda items: sent.append(1) or send(items))
+    reader = jobs.Store(spark, store.root)
+    before = sorted((r["user_id"], str(r["recs"])) for r in reader.recs_latest().filter("source = 'als'").collect())
+    jobs.backfill(reader, 1, 1)
+    assert not sent
+    assert before == sorted((r["user_id"], str(r["recs"])) for r in reader.recs_latest().filter("source = 'als'").collect())
