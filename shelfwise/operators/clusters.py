@@ -12,11 +12,12 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 USER = "user_id"
 CLUSTER = "cluster"
@@ -65,22 +66,126 @@ def distinct_centers(ids: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.nda
     return ids[first], c[first]
 
 
-def nearest(p: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: Centres of a leaf, and of how many centres in how few dimensions on leaves are looked at (they only steer cost).
+LEAF_CENTERS, MANY_CENTERS, FEW_DIMENSIONS = 32, 256, 8
+#: Points that are taken together where leaves are looked at.
+POINTS = 1 << 16
+
+
+def boxes(c: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(order, starts, low, high)``: rows of ``c`` dealt into leaves of at most ``rows`` by halving along the widest dimension, and their boxes."""
+    order, starts, todo = np.arange(len(c)), [], [(0, len(c))]
+    while todo:
+        a, b = todo.pop()
+        if b - a <= rows:
+            starts.append(a)
+            continue
+        part, mid = c[order[a:b]], (b - a) // 2
+        order[a:b] = order[a:b][np.argpartition(part[:, np.ptp(part, axis=0).argmax()], mid)]
+        todo += [(a, a + mid), (a + mid, b)]
+    starts = np.sort(np.array(starts))
+    return order, starts, np.minimum.reduceat(c[order], starts, axis=0), np.maximum.reduceat(c[order], starts, axis=0)
+
+
+def _beyond(p: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distances of points from boxes (0 inside), a little less where rounding could have made them too large."""
+    out = np.zeros((len(p), len(low)))
+    for j in range(p.shape[1]):
+        x = p[:, j, None]
+        gap = np.maximum(low[:, j] - x, x - high[:, j])
+        np.maximum(gap, 0.0, out=gap)
+        gap *= gap
+        out += gap
+    out *= 1.0 - 1e-9
+    return out
+
+
+class Centers:
+    """Centres in the order of their ids; where they are many in few dimensions, in leaves and groups of leaves with the boxes around them."""
+
+    def __init__(self, c: np.ndarray):
+        self.c, self.square, self.leaves = c, (c * c).sum(axis=1), None
+        if len(c) > MANY_CENTERS and 0 < c.shape[1] <= FEW_DIMENSIONS and np.isfinite(self.square).all():
+            order, starts, low, high = boxes(c, LEAF_CENTERS)
+            # leaves follow each other as they were halved: neighbours make a group
+            tops = np.arange(0, len(starts), max(1, int(np.sqrt(len(starts)))))
+            self.leaves = (order, np.append(starts, len(c)), low, high)
+            self.groups = (np.append(tops, len(starts)), np.minimum.reduceat(low, tops, axis=0), np.maximum.reduceat(high, tops, axis=0))
+
+    def candidates(self, q: np.ndarray, made: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(point, centre) pairs that can be the nearest: of each point all centres whose distance rounding does not tell from the least.
+
+        ``made`` counts the distances that leaves needed.
+        """
+        # what rounding can make of two sums of this size
+        norms = (q * q).sum(axis=1)
+        slack = 1e-13 * (self.c.shape[1] + 8) * (norms + self.square.max())
+        if self.leaves is None:
+            about = self.square - 2.0 * (q @ self.c.T)
+            return np.nonzero(about <= (about.min(axis=1) + slack)[:, None])
+        order, starts, low, high = self.leaves
+        tops, top_low, top_high = self.groups
+        c, square = self.c[order], self.square[order]
+        least, found = np.full(len(q), np.inf), []
+
+        def meet(rows, leaf):
+            """Distances of some points from a leaf's centres; no point's least is above what it then is."""
+            a, b = starts[leaf], starts[leaf + 1]
+            about = square[a:b] - 2.0 * (q[rows] @ c[a:b].T) + norms[rows, None]
+            least[rows] = np.minimum(least[rows], about.min(axis=1) + slack[rows])
+            if made is not None:
+                made.append(about.size)
+            r, k = np.nonzero(about <= (least[rows] + slack[rows])[:, None])
+            found.append((rows[r], a + k, about[r, k]))
+
+        def by_part(parts):
+            rows = np.argsort(parts, kind="stable")
+            for some in np.split(rows, np.flatnonzero(np.diff(parts[rows])) + 1):
+                yield parts[some[0]], some
+
+        beyond = _beyond(q, top_low, top_high)
+        tried = np.empty(len(q), np.int64)
+        # the leaf that lies nearest gives every point a distance to begin with
+        for top, rows in by_part(beyond.argmin(axis=1)):
+            a, b = tops[top], tops[top + 1]
+            tried[rows] = a + _beyond(q[rows], low[a:b], high[a:b]).argmin(axis=1)
+        for leaf, rows in by_part(tried):
+            meet(rows, leaf)
+        for top in range(len(top_low)):
+            rows = np.flatnonzero(beyond[:, top] <= least + slack)
+            if not len(rows):
+                continue
+            a, b = tops[top], tops[top + 1]
+            inner = _beyond(q[rows], low[a:b], high[a:b])
+            for leaf in np.flatnonzero((inner <= (least + slack)[rows, None]).any(axis=0)):
+                want = rows[(inner[:, leaf] <= (least + slack)[rows]) & (tried[rows] != a + leaf)]
+                if len(want):
+                    meet(want, a + leaf)
+        rows, at, about = (np.concatenate(x) for x in zip(*found, strict=True))
+        stay = about <= (least + slack)[rows]
+        rows, cols = rows[stay], order[at[stay]]
+        by = np.lexsort((cols, rows))
+        return rows[by], cols[by]
+
+
+def nearest(p: np.ndarray, c: np.ndarray | Centers) -> tuple[np.ndarray, np.ndarray]:
     """Each point's nearest centre (of equal distances the first) and its squared distance, points taken in turns of CHUNK_BYTES.
 
     Matrix products only choose which centres can be the nearest; distances
-    are summed element by element in order, as a sequential sum does.
+    are summed element by element in order, as a sequential sum does.  Of
+    many centres in few dimensions, a point meets those of the leaves whose
+    boxes are not beyond the nearest centre found so far.
     """
+    centers = c if isinstance(c, Centers) else Centers(c)
+    c = centers.c
     best, dist = np.zeros(len(p), np.int64), np.zeros(len(p))
-    square, step = (c * c).sum(axis=1), max(1, CHUNK_BYTES // (8 * len(c)))
+    finite = np.isfinite((p * p).sum()) and np.isfinite(centers.square).all()
+    step = POINTS if finite and centers.leaves is not None else max(1, CHUNK_BYTES // (8 * len(c)))
     few = max(1, CHUNK_BYTES // (8 * max(1, c.shape[1])))
     for at in range(0, len(p), step):
         q = p[at : at + step]
-        if np.isfinite(q).all() and np.isfinite(square).all():
-            about = square - 2.0 * (q @ c.T)
-            # what rounding can make of two sums of this size
-            slack = 1e-13 * (c.shape[1] + 8) * ((q * q).sum(axis=1) + square.max())
-            rows, cols = np.nonzero(about <= (about.min(axis=1) + slack)[:, None])
+        if np.isfinite(q).all() and np.isfinite(centers.square).all():
+            rows, cols = centers.candidates(q)
         else:
             rows, cols = (x.ravel() for x in np.indices((len(q), len(c))))
         exact = np.zeros(len(rows))
@@ -97,6 +202,28 @@ def nearest(p: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, dist
 
 
+def _matrix(col: pa.Array) -> np.ndarray:
+    """The rows' vectors, one a row of a matrix; all must be as long."""
+    flat = col.flatten()
+    if col.null_count or len(flat) % len(col) or (np.diff(col.offsets.to_numpy()) != len(flat) // len(col)).any():
+        return np.stack(col.to_pandas().to_numpy()).astype(float)
+    return flat.to_numpy(zero_copy_only=False).astype(float).reshape(len(col), -1)
+
+
+def gathered(batches, rows: int):
+    """Arrow batches put together until they hold ``rows`` or more; empty ones are left out."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def assign_to_centers(points: DataFrame, centers: DataFrame, id_col: str = "id",
                       features_col: str = "features") -> DataFrame:
     """Nearest given centre: ``(id, center_id, dist)``; ties to the lowest centre id.
@@ -115,16 +242,15 @@ def assign_to_centers(points: DataFrame, centers: DataFrame, id_col: str = "id",
 
     def score(batches):
         ids, c = distinct_centers(*sent.value)
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            p = np.stack(pdf["f"].to_numpy()).astype(float)
-            best, dist = nearest(p, c)
-            yield pd.DataFrame({"id": pdf["id"], "center_id": ids[best], "dist": dist})
+        c = Centers(c)
+        for batch in gathered(batches, 1 if c.leaves is None else POINTS):
+            best, dist = nearest(_matrix(batch.column("f")), c)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids[best]).cast(number), pa.array(dist)], names=["id", "center_id", "dist"])
 
     kinds = {"id": points.schema[id_col].dataType.simpleString(), "center": centers.schema["center_id"].dataType.simpleString()}
+    number = to_arrow_type(centers.schema["center_id"].dataType)
     rows = points.select(F.col(id_col).alias("id"), F.col(features_col).cast("array<double>").alias("f"))
-    out = rows.mapInPandas(score, f"id {kinds['id']}, center_id {kinds['center']}, dist double")
+    out = rows.mapInArrow(score, f"id {kinds['id']}, center_id {kinds['center']}, dist double")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -297,7 +297,7 @@ def donors_from_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Donors by the original's pool: rating rows as points (user, product, rating) against centres (user, gender, age)."""
     centers = fx.users(spark, sf_dir).filter(F.col("user_id") % fx.USER_CENTER_MODULUS == 0)
     centers = centers.select(F.col("user_id").alias("center_id"), F.array(F.col("user_id").cast("double"), "gender", "age").alias("features"))
-    rated = _training_ratings(spark, sf_dir)
+    rated = staged(_training_ratings(spark, sf_dir), "ratings")
     return clusters.donors(clusters.rating_pool(centers, rated), rated.select("user_id").distinct())
 
 

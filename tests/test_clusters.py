@@ -105,3 +105,34 @@ def test_recs_merge_makes_its_inputs_once(spark, monkeypatch):
     monkeypatch.setattr(catalog, "staged", lambda df, name: names.append(name) or staged(df, name))
     assert catalog.recs_merge(spark, SF_SMALL).count() > 0
     assert names == ["recs", "assigned", "donors"]
+
+
+def test_nearest_of_many_centers_meets_few_of_them():
+    """Centres along a line, as (user, gender, age) are, and points far off it: what a point meets does not grow with the centres."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    user = np.repeat(np.arange(20_000) * 150.0, 2)  # every centre twice: the first wins
+    centers = np.stack([user, user // 150 % 2, 18 + user * 7 % 60], axis=1)
+    points = np.stack([rng.integers(0, 3_000_000, 20_000), rng.integers(0, 4_000_000, 20_000), rng.integers(1, 6, 20_000)], axis=1).astype(float)
+    made = []
+    clusters.Centers(centers).candidates(points, made)
+    assert 0 < sum(made) < len(points) * len(centers) / 100
+    best, dist = clusters.nearest(points, centers)
+    for at in range(0, 600, 200):
+        want = sum((points[at : at + 200, j, None] - centers[None, :, j]) ** 2 for j in range(3))
+        assert (best[at : at + 200] == want.argmin(axis=1)).all() and (dist[at : at + 200] == want.min(axis=1)).all()
+    # points that are no numbers or too large to square fall back on all centres
+    odd = np.array([[np.nan, 1.0, 1.0], [1e200, 0.0, 0.0], points[0]])
+    with np.errstate(over="ignore"):
+        assert clusters.nearest(odd, centers)[0].tolist() == [0, 0, best[0]]
+
+
+def test_donors_from_ratings_makes_its_ratings_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from shelfwise.plans import catalog
+
+    names, staged = [], catalog.staged
+    monkeypatch.setattr(catalog, "staged", lambda df, name: names.append(name) or staged(df, name))
+    assert catalog.donors_from_ratings(spark, SF_SMALL).count() > 0
+    assert names == ["ratings"]
