@@ -275,3 +275,17 @@ def test_leaf_products_are_made_in_tiles(monkeypatch):
     tiled = list(factors._best(uid, users, iid, items, 10, None))
     assert sizes and max(sizes) <= 3000
     assert all(a.equals(b) for a, b in zip(whole, tiled, strict=True))
+
+
+def test_als_blocks_follow_the_ratings(spark, monkeypatch):
+    """A block's ratings are what a task holds: more ratings make more blocks, not larger ones, unless the caller names their number."""
+    asked, als = [], factors.als
+    monkeypatch.setattr(factors, "als", lambda *a, **kw: asked.append(a[4]) or als(*a, **kw))
+    monkeypatch.setattr(factors, "BLOCK_RATINGS", 20)
+    ratings = spark.createDataFrame([(u, p, float(1 + (u * p) % 5)) for u in range(30) for p in range(8)], "user_id bigint, product_id bigint, rating double")
+    few = ratings.filter("user_id < 5")
+    factors.fit_als(ratings, rank=2, max_iter=1)
+    factors.fit_als(factors.numbered(ratings), rank=2, max_iter=1)
+    factors.fit_als(few, rank=2, max_iter=1)
+    factors.fit_als(ratings, rank=2, max_iter=1, num_blocks=3)
+    assert asked == [12, 12, factors.NUM_BLOCKS, 3]
